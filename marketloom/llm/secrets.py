@@ -55,6 +55,8 @@ ADDED = (
 )
 RULES = BASE + ADDED
 REDACTED = "[REDACTED]"
+#: Trigrams of a clause that are looked up at most; fewer name more candidates, never fewer.
+CLAUSE_TRIGRAMS = 5
 _MOST = 64  # strings that a mandatory part of a pattern may stand for before it is closed
 
 
@@ -148,7 +150,10 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
         ways = {w for w in ways if not any(o < w for o in ways)}
         clauses = list({a | b for a, b in product(clauses, ways)})
     clauses = [c for c in clauses if not any(o < c for o in clauses)]
-    return [] if clauses == [frozenset()] else sorted(clauses, key=sorted)
+    if clauses == [frozenset()]:
+        return []
+    spread = [sorted(c)[:: -(-len(c) // CLAUSE_TRIGRAMS)] for c in clauses]
+    return sorted({frozenset(c) for c in spread}, key=sorted)
 
 
 def document_key(id_col: str, text_col: str) -> Column:
