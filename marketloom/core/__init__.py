@@ -1 +1 @@
-
+"""Table schemas, fixed-point numbers, time and exchange conventions."""

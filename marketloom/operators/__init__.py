@@ -1 +1 @@
-
+"""Lazy DataFrame transformations."""

@@ -1 +1 @@
-
+"""Reading, normalising, ingesting and writing."""
