@@ -76,6 +76,7 @@ class Curves:
     seed: int = 11
 
     def __post_init__(self):
+        self.dims = min(self.dims, self.size + 1)
         rng = np.random.default_rng(self.seed)
         self.turns = [np.linalg.qr(rng.normal(size=(self.size + 1, self.size + 1)))[0][:, : self.dims] for _ in range(self.count)]
         self.shifts = rng.uniform(0, 1, (self.count, self.dims))
