@@ -1,0 +1,125 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from marketloom.llm import ann, mixing, queries
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def brute_targets(sizes, weights=(1, 2, 3), repeats=3):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), sum(sizes.values())
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        over = {s for s in open_ if w[s] * level > repeats * sizes[s] + 1e-9}
+        if not over:
+            return target | {s: w[s] * level for s in open_}
+        for s in over:
+            target[s] = repeats * sizes[s]
+            left -= target[s]
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 5, "c": 5}, {"a": 10, "b": 10, None: 10}, {"a": 0, "b": 9}, {"a": 0}, {"x": 1, "y": 1000, "z": 3, "zz": 50, "é": 7}])
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(rows).collect()}
+    expected = brute_targets(sizes)
+    assert got.keys() == expected.keys() and all(abs(got[s] - expected[s]) < 1e-6 for s in got)
+
+
+def test_mix_keeps_to_targets(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 40))), None, ["a", "a", "a", "b", None][int(rng.integers(5))], None) for i in range(800)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = mixing.mix(docs, ranges=64).collect()
+    assert len(out) == 800
+    again = {r["doc_id"]: r["taken"] for r in mixing.mix(docs.repartition(7), ranges=4096).collect()}
+    assert again == {r["doc_id"]: r["taken"] for r in out}
+    total = sum(r["size"] for r in out)
+    assert total * 0.98 <= sum(r["taken"] for r in out) <= total
+    for s in ("a", "b", None):
+        own = [r for r in out if r["source"] == s]
+        assert {r["source_size"] for r in own} == {sum(r["size"] for r in own)}
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.03 * total
+    assert all(r["taken"] <= 3 * r["size"] and (not r["size"] or r["taken"] % r["size"] == 0) for r in out)
+
+
+def test_mix_edge_cases(spark):
+    rows = [(None, None, None, None, None), (1, "", None, "a", 0), (2, "x y", None, "a", 3), (2, "x y", None, "a", 3), (3, "z", None, None, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("size", F.lit(9)).withColumn("h", F.lit(1)).withColumn("target", F.lit(0))
+    out = mixing.mix(docs.drop("size", "target")).collect()
+    assert len(out) == 5 and all(r["taken"] == 0 for r in out if not r["size"])
+    assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_hilbert_neighbours_touch():
+    side, dims = 3, 3
+    grid = np.stack(np.meshgrid(*[np.arange(1 << side)] * dims, indexing="ij"), -1).reshape(-1, dims)
+    keys = ann.hilbert_keys(grid, side)
+    assert sorted(keys) == list(range(len(grid)))
+    walk = grid[np.argsort(keys)]
+    assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def brute_nearest(ids, x, k):
+    out = {}
+    for q in range(len(ids)):
+        if ids[q] % 20 == 0:
+            scored = sorted((-float(x[q] @ x[i]), int(ids[i])) for i in range(len(ids)) if i != q)
+            out[int(ids[q])] = [i for _, i in scored[:k]]
+    return out
+
+
+def test_neighbours_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    expected = brute_nearest(table["vec_id"].to_numpy(), np.stack(table["embedding"].map(lambda v: np.asarray(v, float))), 20)
+    got = queries.op8_neighbours(spark, sf).toPandas()
+    assert set(got["query_id"]) == set(expected)
+    share = [len(set(g["vec_id"]) & set(expected[q])) / 20 for q, g in got.groupby("query_id")]
+    assert np.mean(share) >= 0.9
+
+
+def test_neighbours_edge_cases(spark):
+    rows = [(0, [1.0, 0.0], 1), (20, [1.0, 0.0], 1), (3, [2.0, 0.0], 1), (4, None, 1), (5, [0.0, 0.0], 1), (6, [float("nan"), 1.0], 1), (7, [None, 1.0], 1)]
+    rows += [(8, [-1.0, 0.5], 1), (None, [1.0, 1.0], 1), (40, [1.0], 1), (3, [2.0, 0.0], 1)] + [(100 + 2 * i + 1, [1.0, 0.0], 1) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("score", F.lit(0)).withColumn("rank", F.lit(0))
+    got = ann.search(table, F.col("vec_id") % 20 == 0, k=20).toPandas()
+    assert set(got["query_id"]) == {0, 20}
+    first = got[got["query_id"] == 0].sort_values("rank")
+    assert first["vec_id"].tolist() == [3, 20, *range(101, 137, 2)] and first["score"].iloc[0] == 2.0
+    assert ann.search(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_pipeline_stages(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        out.write.parquet(f"{tmp_path}/{name}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{name}")
+        assert set(before.columns) <= set(docs.columns) and docs.count() <= before.count()
+        if name != "mixing":
+            assert docs.columns == before.columns
+    assert docs.where("taken <= 0").count() == 0
+
+
+def test_pipeline_edge_rows(spark, sf, tmp_path):
+    """Nulls in every column, empty texts and repeated rows pass all stages."""
+    few = spark.read.parquet(f"{sf}/documents.parquet").limit(30)
+    odd = spark.createDataFrame([(None, None, None, None, None), (10**6, "", "en", "src1", 0), (10**6, "", "en", "src1", 0), (None, "plain words here", None, None, 16)], SCHEMA)
+    docs = few.unionByName(odd)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        docs = stage(spark, docs, sf)
+    assert docs.count() > 0
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(spark, sf):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(4, text, "en", "a", 1), (2, text, "en", "b", 1), (2, text, "en", "b", 1), (9, "all other words of a text", "en", "a", 1), (None, text, "en", "a", 1)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), sf).collect()
+    assert sorted(r["doc_id"] for r in kept) == [2, 9]
