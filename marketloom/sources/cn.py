@@ -147,7 +147,7 @@ def snapshots(df: DataFrame, exchange: str, symbol: str | None = None) -> DataFr
         raise ValueError("snapshots are supported for szse only")
     _need(df, "MsgSeqNum", "QuotTime", "BidPrice", "BidOrderQty", "OfferPrice", "OfferOrderQty")
     ladder = lambda c, t: F.from_json(F.col(c).cast("string"), f"array<{t}>")
-    prices = {n: F.transform(ladder(c, "double"), to_fixed) for n, c in (("bid_price_levels", "BidPrice"), ("ask_price_levels", "OfferPrice"))}
+    prices = {n: F.transform(ladder(c, "double"), lambda x: to_fixed(x)) for n, c in (("bid_price_levels", "BidPrice"), ("ask_price_levels", "OfferPrice"))}
     sizes = {n: ladder(c, "bigint") for n, c in (("bid_qty_levels", "BidOrderQty"), ("ask_qty_levels", "OfferOrderQty"))}
     error = F.lit(None).cast("string")
     for column in (*prices.values(), *sizes.values()):
