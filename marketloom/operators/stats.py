@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import divide
 
+#: Ranges of values that a group is ranked in.
+RANGES = 64
+
 
 def distribution(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """min, quartiles (linear between neighbours), mean and max."""
@@ -58,8 +61,8 @@ def rank_ic(
     """(by, feature, ic, t_stat, n): Spearman correlation of each feature with the label.
 
     Rows where either is null are left out, and groups of fewer than ``least`` rows.  A value's rank is the
-    number of rows below it plus the mean place among its equals; counts per value are summed first, so the
-    ordered pass runs over distinct values, not rows.
+    number of rows below it plus the mean place among its equals.  Counts per value are summed first; then
+    values are ranked in ``RANGES`` ranges of each group, so that one feature is many tasks.
     """
     pairs = F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features))
     long = df.select(*by, F.col(label).cast("double").alias("y"), F.explode(pairs).alias("p"))
@@ -68,9 +71,16 @@ def rank_ic(
 
     def ranked(rows: DataFrame, c: str) -> DataFrame:
         counts = rows.groupBy(*groups, c).agg(F.count("*").alias("__n"))
-        below = Window.partitionBy(*groups).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-        place = F.coalesce(F.sum("__n").over(below), F.lit(0)) + (F.col("__n") + 1) / 2
-        return rows.join(counts.withColumn(f"r{c}", place).drop("__n"), [*groups, c])
+        cuts = counts.groupBy(*groups).agg(F.percentile_approx(c, [i / RANGES for i in range(1, RANGES)], 1000).alias("__cuts"))
+        ranged = counts.join(cuts, list(groups)).withColumn("__r", F.size(F.filter("__cuts", lambda x: x < F.col(c)))).drop("__cuts")
+        ahead = Window.partitionBy(*groups).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+        sums = ranged.groupBy(*groups, "__r").agg(F.sum("__n").alias("__t"))
+        starts = sums.select(*groups, "__r", F.coalesce(F.sum("__t").over(ahead), F.lit(0)).alias("__start"))
+        inside = Window.partitionBy(*groups, "__r").orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
+        below = F.col("__start") + F.coalesce("__in", F.lit(0))
+        placed = ranged.withColumn("__in", F.sum("__n").over(inside)).join(starts, [*groups, "__r"])
+        placed = placed.select(*groups, c, (below + (F.col("__n") + 1) / 2).alias(f"r{c}"))
+        return rows.join(placed, [*groups, c])
 
     both = ranked(ranked(long, "x"), "y").groupBy(*groups).agg(F.corr("rx", "ry").alias("ic"), F.count("*").alias("n"))
     t = divide(F.col("ic") * F.sqrt(F.col("n") - 2.0), F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("ic") * F.col("ic"))))

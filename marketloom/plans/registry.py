@@ -901,7 +901,7 @@ def _ledger(spark, d):
         F.count("*").alias("rows_total"), F.count_if(F.col("o_totalprice") > 1000).alias("rows_written")
     ).select(
         "file_id",
-        F.when(F.col("file_id") % 2 == 0, "tardis").otherwise("quant360").alias("vendor"),
+        F.when(F.col("file_id") % 2 == 0, "feed_a").otherwise("feed_b").alias("vendor"),
         F.when(F.col("file_id") % 3 == 0, "trades").otherwise("quotes").alias("data_type"),
         F.concat(F.lit("bronze/"), F.col("file_id").cast("string")).alias("bronze_path"),
         F.concat(F.lit("h"), F.col("file_id").cast("string")).alias("file_hash"),
@@ -915,7 +915,7 @@ def _ledger(spark, d):
 
 
 _LEDGER = (
-    "(SELECT o_orderkey % 50 AS file_id, CASE WHEN o_orderkey % 50 % 2 = 0 THEN 'tardis' ELSE 'quant360' END AS vendor,"
+    "(SELECT o_orderkey % 50 AS file_id, CASE WHEN o_orderkey % 50 % 2 = 0 THEN 'feed_a' ELSE 'feed_b' END AS vendor,"
     " CASE WHEN o_orderkey % 50 % 3 = 0 THEN 'trades' ELSE 'quotes' END AS data_type, CASE WHEN o_orderkey % 50 % 5 = 0 THEN 'failed' ELSE 'success' END AS status,"
     " count(*) AS rows_total, count_if(o_totalprice > 1000) AS rows_written FROM orders GROUP BY ALL)"
 )
@@ -930,9 +930,9 @@ def manifest_summary(spark, d):
     return manifest.manifest_summary(_ledger(spark, d))
 
 
-@query(f"SELECT file_id, vendor, data_type, rows_total FROM {_LEDGER} WHERE status = 'failed' AND vendor = 'tardis'", views=False)
+@query(f"SELECT file_id, vendor, data_type, rows_total FROM {_LEDGER} WHERE status = 'failed' AND vendor = 'feed_a'", views=False)
 def manifest_list(spark, d):
-    return manifest.manifest_list(_ledger(spark, d), status="failed", vendor="tardis").select("file_id", "vendor", "data_type", "rows_total")
+    return manifest.manifest_list(_ledger(spark, d), status="failed", vendor="feed_a").select("file_id", "vendor", "data_type", "rows_total")
 
 
 @query(f"SELECT file_id, vendor, status, rows_total FROM {_LEDGER} WHERE file_id = 7", views=False)
@@ -946,10 +946,10 @@ def filter_pending(spark, d):
     return manifest.filter_pending(ledger.select(*manifest.IDENTITY), ledger).select("bronze_path")
 
 
-@query(f"SELECT 'bronze/' || file_id AS bronze_path FROM {_LEDGER} WHERE vendor <> 'tardis'", views=False)
+@query(f"SELECT 'bronze/' || file_id AS bronze_path FROM {_LEDGER} WHERE vendor <> 'feed_a'", views=False)
 def manifest_diff(spark, d):
     ledger = _ledger(spark, d)
-    return manifest.manifest_diff(ledger.select("bronze_path"), ledger, "tardis")
+    return manifest.manifest_diff(ledger.select("bronze_path"), ledger, "feed_a")
 
 
 @query(
