@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from .common import WORD, checkpointed
 
+#: Ranges of a running sum at least, and rows that one range holds, about; a digit more is 16 times the ranges.
+LEAST_RANGES, RANGE_ROWS = 4096, 2000
+
 
 def word_count(text_col: str = "text"):
     """Number of runs that are not space; 0 for null."""
@@ -71,14 +74,15 @@ def mix(
     text_col: str = "text",
     weights: tuple[float, ...] = (1, 2, 3),
     repeats: int = 3,
-    ranges: int = 4096,
+    ranges: int | None = None,
 ) -> DataFrame:
     """(``docs`` columns, size, source_size, target, taken): one row per input row.
 
     ``taken`` counts the words that the mix takes of the row, over at most ``repeats`` passes.  Null texts
     have size 0 and take nothing; a null source is a source of its own, after all others; rows that tie in
     id and size are interchangeable.  The budget is the total size; a document that would pass it ends the
-    mix.  An empty table returns no rows.
+    mix.  An empty table returns no rows.  ``ranges`` is the number of ranges of each running sum; by default
+    it follows the rows, so that a range stays small enough for one task.
     """
     columns = docs.columns
     sized = docs.select(
@@ -88,6 +92,11 @@ def mix(
         word_count(text_col).alias("size"),
     ).withColumn("h", shuffle_key("id"))
     narrow = checkpointed(sized.select("source", "id", "size", "h"))
+    if ranges is None:
+        ranges = LEAST_RANGES
+        rows = narrow.count()
+        while ranges * RANGE_ROWS < rows:
+            ranges *= 16
     shares = checkpointed(targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats))
 
     # Distinct (source, id, size) with the number of copies: repeated rows are one entry of the queue.
