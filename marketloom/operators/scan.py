@@ -1,7 +1,8 @@
 """Running sums and last-seen values in two levels, so that one hot key is many tasks.
 
-Rows are windowed inside a chunk of time of their key; the few chunk totals are combined over the whole key
-and joined back.  The join uses the windows' partitioning, so the rows are shuffled once.
+Rows are windowed inside a chunk of time of their key.  What a chunk inherits from those before it is worked
+out from one small row per chunk and enters the chunk as a row of its own, ahead of all others.  So the rows
+themselves are shuffled once and joined with nothing.
 """
 
 from __future__ import annotations
@@ -13,32 +14,31 @@ from pyspark.sql import functions as F
 
 #: A chunk of time: one day.
 CHUNK_US = 86_400_000_000
-_CHUNK, _CARRY = "__chunk", "__carry"
-
-
-def _join_back(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    right = carried.select(*(F.col(k).alias(f"__r_{k}") for k in (*keys, _CHUNK)), _CARRY)
-    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in (*keys, _CHUNK)]
-    return rows.join(right, on, "left").drop(*(f"__r_{k}" for k in (*keys, _CHUNK)))
+_CHUNK, _REAL = "__chunk", "__real"
 
 
 def chunk_of(ts: str | Column, chunk_us: int = CHUNK_US) -> Column:
+    """Start of the chunk of a time, exact for any long."""
     column = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(column / F.lit(chunk_us)).cast("long")
+    return column - F.pmod(column, F.lit(chunk_us).cast("long"))
+
+
+def _inside(keys: Sequence[str], order: Sequence[Column]):
+    sort = [F.asc(_REAL), *order]
+    return Window.partitionBy(*keys, _CHUNK).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], measure: Column, output: str, chunk_us: int = CHUNK_US
 ) -> DataFrame:
     """Adds ``output``: the decimal(38,0) sum of ``measure`` up to and with each row.  ``order[0]`` is the time."""
-    rows = df.withColumn(_CHUNK, chunk_of(order[0], chunk_us)).withColumn("__m", measure.cast("decimal(38,0)"))
+    rows = df.withColumns({_CHUNK: chunk_of(order[0], chunk_us), "__m": measure.cast("decimal(38,0)"), _REAL: F.lit(True)})
+    totals = rows.groupBy(*keys, _CHUNK).agg(F.sum("__m").alias("__m"))
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*keys, _CHUNK).agg(F.sum("__m").alias("__t"))
-    carried = totals.withColumn(_CARRY, F.sum("__t").over(before))
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = _join_back(rows.withColumn("__in", F.sum("__m").over(inside)), carried, keys)
-    total = (F.col("__in") + F.coalesce(_CARRY, F.lit(0).cast("decimal(38,0)"))).cast("decimal(38,0)")
-    return summed.withColumn(output, total).drop(_CHUNK, _CARRY, "__m", "__in")
+    carried = totals.select(*keys, _CHUNK, F.sum("__m").over(before).alias("__m"), F.lit(False).alias(_REAL))
+    both = rows.unionByName(carried.where("__m is not null"), allowMissingColumns=True)
+    total = F.sum("__m").over(_inside(keys, [F.asc(c) for c in order])).cast("decimal(38,0)")
+    return both.withColumn(output, total).where(_REAL).drop(_CHUNK, "__m", _REAL)
 
 
 def last_seen(
@@ -51,14 +51,14 @@ def last_seen(
     chunk_us: int = CHUNK_US,
 ) -> DataFrame:
     """Adds ``output``: the last non-null ``value`` up to and with each row, walking ``order`` up or down."""
-    rows = df.withColumn(_CHUNK, chunk_of(order[0], chunk_us)).withColumn("__v", value)
-    sort = [F.desc(c) if descending else F.asc(c) for c in (*order,)]
+    rows = df.withColumns({_CHUNK: chunk_of(order[0], chunk_us), "__v": value, _REAL: F.lit(True)})
     place = F.when(F.col("__v").isNotNull(), F.struct(*order))
     latest = (F.min_by if descending else F.max_by)("__v", place)
-    chunks = rows.groupBy(*keys, _CHUNK).agg(latest.alias("__l"))
+    chunks = rows.groupBy(*keys, _CHUNK).agg(latest.alias("__v"))
     by_chunk = Window.partitionBy(*keys).orderBy(F.desc(_CHUNK) if descending else F.asc(_CHUNK))
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunks.withColumn(_CARRY, F.last("__l", ignorenulls=True).over(before)).drop("__l")
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
-    seen = _join_back(rows.withColumn("__in", F.last("__v", ignorenulls=True).over(inside)), carried, keys)
-    return seen.withColumn(output, F.coalesce("__in", _CARRY)).drop(_CHUNK, _CARRY, "__v", "__in")
+    carried = chunks.select(*keys, _CHUNK, F.last("__v", ignorenulls=True).over(before).alias("__v"), F.lit(False).alias(_REAL))
+    both = rows.unionByName(carried.where("__v is not null"), allowMissingColumns=True)
+    sort = [F.desc(c) if descending else F.asc(c) for c in order]
+    seen = both.withColumn(output, F.last("__v", ignorenulls=True).over(_inside(keys, sort)))
+    return seen.where(_REAL).drop(_CHUNK, "__v", _REAL)
