@@ -1276,3 +1276,4 @@ def join_aggregate_wide(spark, d):
     )
 
 
+from . import ingest_queries  # noqa: E402, F401  registers its queries
