@@ -1255,6 +1255,42 @@ def replay_event_table(spark, d):
     return out.select("event_table", *BY, "ts_event_us", "file_seq")
 
 
+_F20 = _F(20)
+
+
+@query(
+    f", z AS (SELECT exchange, symbol, ts_spine_us, CASE WHEN count(close) {_F20} >= 20 THEN (close - avg(close) {_F20}) / nullif(stddev_samp(close) {_F20}, 0) END AS z FROM bars)"
+    " SELECT exchange, symbol, ts_spine_us, round(z, 4) + 0e0 AS z FROM z"
+)
+def skew_zscore(spark, d):
+    out = signals.rolling_zscore(volume_bars_of(spark, d), "close", 20, BY, TS, "z")
+    return out.select(*BY, TS, F.round("z", 4).alias("z"))
+
+
+@query(
+    ", i AS (SELECT underlying_index AS symbol, avg(mark_iv) AS avg_iv FROM options GROUP BY 1), f AS (SELECT symbol, avg(funding_rate) AS funding_rate FROM ticker GROUP BY 1)"
+    " SELECT symbol, round(avg_iv - funding_rate * 3 * 365, 6) AS iv_funding_spread FROM i JOIN f USING (symbol)"
+)
+def iv_funding_spread(spark, d):
+    iv = signals.iv_summary(v.options(spark, d)).select(F.col("underlying_index").alias("symbol"), "avg_iv")
+    rates = v.ticker(spark, d).groupBy("symbol").agg(F.avg("funding_rate").alias("funding_rate"))
+    out = signals.iv_funding_spread(iv.join(rates, "symbol"))
+    return out.select("symbol", F.round("iv_funding_spread", 6).alias("iv_funding_spread"))
+
+
+@query(
+    "SELECT p AS bronze_path, 'szse' AS exchange, 'order_new' AS data_type, o_orderdate::DATE AS \"date\", s AS symbol FROM"
+    " (SELECT o_orderdate, CAST(o_custkey AS VARCHAR) AS s, 'bronze/exchange=SZSE/type=order_new/date=' || strftime(o_orderdate, '%Y-%m-%d') || '/symbol=' || o_custkey || '/' || o_orderkey || '.csv.gz' AS p FROM orders)",
+    views=False,
+)
+def discover_bronze_partitions(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    path = F.format_string("bronze/exchange=SZSE/type=order_new/date=%s/symbol=%d/%d.csv.gz", day, "o_custkey", "o_orderkey")
+    both = orders.select(path.alias("bronze_path")).unionByName(orders.select(F.lit("bronze/other.txt").alias("bronze_path")))
+    return files.discover_partitions(both, exchange="szse")
+
+
 # Joins and sums of the wide tables
 
 

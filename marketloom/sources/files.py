@@ -47,7 +47,7 @@ def discover_partitions(files: DataFrame, exchange: str | None = None, data_type
         "bronze_path",
         F.lower(part(1)).alias("exchange"),
         part(2).alias("data_type"),
-        F.to_date(part(3)).alias("date"),
+        F.try_to_timestamp(part(3), F.lit("yyyy-MM-dd")).cast("date").alias("date"),
         part(4).alias("symbol"),
     )
     if exchange is not None:
