@@ -28,6 +28,8 @@ DIMS = 8
 DEPTH = 6
 #: Rows of one window, about.
 WINDOW_ROWS = 2048
+#: Range partitions of one curve at least, and rows of one partition, about.
+SPANS, SPAN_ROWS = 8, 1 << 20
 #: Rows and queries of the calibration sample at most.
 SAMPLE_ROWS = 12_000
 SAMPLE_QUERIES = 200
@@ -115,19 +117,48 @@ def calibrate(curves: Curves, rows: np.ndarray, queries: np.ndarray, k: int, rec
     return 1.0, 1.0
 
 
-def _top(query_ids, row_ids, scores, k):
-    """(query, row, score) of the k largest of each line, ties to smaller row ids."""
-    if scores.shape[1] > k:
-        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-        line, column = np.nonzero(scores >= edge[:, None])
-    else:
-        line, column = np.nonzero(np.ones_like(scores, bool))
-    value = scores[line, column]
-    order = np.lexsort((row_ids[column], -value, line))
-    line, column, value = line[order], column[order], value[order]
-    place = np.arange(len(line)) - np.searchsorted(line, line)
-    keep = place < k
-    return query_ids[line[keep]], row_ids[column[keep]], value[keep]
+class _Nearest:
+    """The k best rows of each query so far, ties to smaller row ids."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.clear()
+
+    def clear(self):
+        self.place: dict[int, int] = {}
+        self.score = np.empty((0, self.k))
+        self.row = np.empty((0, self.k), np.int64)
+
+    def add(self, query_ids: np.ndarray, row_ids: np.ndarray, scores: np.ndarray) -> None:
+        """A line of ``scores`` for each query, a column for each row."""
+        if scores.shape[1] > self.k:
+            # All that tie with the k-th stay in the choice, so that the smaller id wins.
+            edge = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
+            width = int((scores >= edge[:, None]).sum(axis=1).max())
+            columns = np.argpartition(-scores, width - 1, axis=1)[:, :width] if width < scores.shape[1] else np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+        else:
+            columns = np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+        new = [q for q in query_ids.tolist() if q not in self.place]
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        grown = len(self.place) - len(self.score)
+        if grown > 0:
+            grown = max(grown, len(self.score))
+            self.score = np.r_[self.score, np.full((grown, self.k), -np.inf)]
+            self.row = np.r_[self.row, np.full((grown, self.k), np.iinfo(np.int64).max)]
+        at = np.array([self.place[q] for q in query_ids.tolist()])
+        score = np.c_[self.score[at], np.take_along_axis(scores, columns, axis=1)]
+        row = np.c_[self.row[at], row_ids[columns]]
+        order = np.lexsort((row, -score), axis=1)[:, : self.k]
+        self.score[at], self.row[at] = np.take_along_axis(score, order, axis=1), np.take_along_axis(row, order, axis=1)
+
+    def emptied(self) -> pa.RecordBatch:
+        n = len(self.place)
+        query = np.repeat(np.fromiter(self.place, np.int64, n), self.k)
+        score, row = self.score[:n].ravel(), self.row[:n].ravel()
+        there = score > -np.inf
+        self.clear()
+        columns = [pa.array(query[there]), pa.array(row[there]), pa.array(score[there])]
+        return pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
 
 def _matrix(column, size: int) -> np.ndarray:
@@ -198,6 +229,8 @@ def search(
     distinct_ids = keyed.select("id", "same", "v").withColumn("i", F.row_number().over(by_vector)).where(F.col("i") <= k + 2).drop("i")
     asking = keyed.where("q").groupBy("same").agg(F.min("id").alias("id"), F.first("v").alias("v"))
 
+    parts = curves * max(SPANS, round(total / SPAN_ROWS))
+
     def deal(query: bool):
         def run(batches):
             for batch in batches:
@@ -231,7 +264,11 @@ def search(
     queries = asking.select("id", "v").mapInArrow(deal(True), dealt_schema)
 
     def compare(batches):
-        """One window after the other: its rows, sorted ahead of its queries, then the queries in blocks."""
+        """Windows in order of their curve; each one's rows are sorted ahead of its queries.
+
+        A query's windows follow each other, so its nearest so far are kept and given once for the partition.
+        """
+        best = _Nearest(k + 2)
         window, ids, held = None, [], []
         for batch in batches:
             w = batch.column(0).to_numpy(zero_copy_only=False)
@@ -239,6 +276,8 @@ def search(
             cut = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (q[1:] != q[:-1])])
             for a, b in zip(cut, [*cut[1:], len(w)], strict=True):
                 if w[a] != window:
+                    if window is not None and w[a] // windows != window // windows:
+                        yield best.emptied()
                     window, ids, held = w[a], [], []
                 part = batch.slice(a, b - a)
                 own = part.column(2).to_numpy(zero_copy_only=False)
@@ -251,13 +290,12 @@ def search(
                 ids, held = [np.concatenate(ids)], [np.concatenate(held)]
                 for at in range(0, len(own), 512):
                     block = _matrix(part.column(3).slice(at, 512), size)
-                    line, row, value = _top(own[at : at + 512], ids[0], block @ held[0].T, k + 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(line), pa.array(row), pa.array(value)], names=["query_id", "vec_id", "score"])
+                    best.add(own[at : at + 512], ids[0], block @ held[0].T)
+        yield best.emptied()
 
-    parts = max(curves, curves * windows // 4)
     found = (
         candidates.unionByName(queries)
-        .repartition(parts, "w")
+        .repartitionByRange(parts, "w")
         .sortWithinPartitions("w", "q")
         .mapInArrow(compare, "query_id long, vec_id long, score double")
         .groupBy("query_id", "vec_id")
