@@ -516,7 +516,7 @@ def _ic_sql(source: str, feature: str, label: str, by: str = "") -> str:
         f"SELECT {keys}'{feature}' AS feature, round(corr(rx, ry), 6) AS ic, count(*) AS n FROM (SELECT *,"
         f" rank() OVER ({part}ORDER BY {feature}) + (count(*) OVER ({again}{feature}) - 1) / 2e0 AS rx,"
         f" rank() OVER ({part}ORDER BY {label}) + (count(*) OVER ({again}{label}) - 1) / 2e0 AS ry"
-        f" FROM (SELECT * FROM {source} WHERE {feature} IS NOT NULL AND {label} IS NOT NULL)) GROUP BY ALL"
+        f" FROM (SELECT * FROM {source} WHERE {feature} IS NOT NULL AND {label} IS NOT NULL)) GROUP BY ALL HAVING count(*) >= 10"
     )
 
 
