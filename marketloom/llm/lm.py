@@ -30,13 +30,17 @@ LAMBDA = 0.7
 #: Pseudo-count of the unigrams.
 PRIOR = 0.1
 #: Tokens whose counts are broadcast.
-FREQUENT = 100_000
+FREQUENT = 200_000
 #: Bits of the filter at most (64 MB) and bits for each training token.  Above the bound false positives grow.
 MOST_BITS = 1 << 29
 BITS_PER_TOKEN = 4
 PROBES = 3
-SEGMENTS = 256
 BLOCK = 512
+#: Training tokens to a segment of the filter, about; segments are a power of two.
+SEGMENT_TOKENS = 1 << 19
+LEAST_SEGMENTS, MOST_SEGMENTS = 1 << 4, 1 << 16
+#: N-grams that a task sums at a time.
+SUMMED = 12_000_000
 _LEVELS = 48
 _GOLD, _SEED_2, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -46,41 +50,83 @@ def tokens(data: bytes) -> list[bytes]:
     return [*data.lower().split(), END]
 
 
-class Hashes:
-    """64-bit hashes of tokens; a token's hash is kept for its next occurrence."""
+class Vocabulary:
+    """Numbers for tokens, with arrays of what is known of each; it starts anew when it is full."""
 
-    KEPT = 500_000
+    KEPT = 400_000
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __init__(self, describe):
+        """``describe`` turns a list of new tokens into a tuple of arrays, one item for each."""
+        self.describe = describe
+        self.clear()
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh64_intdigest
+    def clear(self):
+        self.number: dict[bytes, int] = {}
+        self.names: list[bytes] = []
+        self.columns: list[np.ndarray] = []
 
-        known = self.known
-        if len(known) > self.KEPT:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word; columns and names hold until the next call."""
+        if len(self.names) > self.KEPT:
+            self.clear()
+        new = list(set(words).difference(self.number))
+        if new:
+            at = len(self.names)
+            self.number.update(zip(new, range(at, at + len(new)), strict=True))
+            self.names += new
+            for i, values in enumerate(self.describe(new)):
+                if i == len(self.columns):
+                    self.columns.append(np.empty(0, values.dtype))
+                if len(self.columns[i]) < len(self.names):
+                    grown = np.empty(2 * len(self.names), values.dtype)
+                    grown[:at] = self.columns[i][:at]
+                    self.columns[i] = grown
+                self.columns[i][at : len(self.names)] = values
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _scattered(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _GOLD
+    return h ^ (h >> np.uint64(29))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _GOLD
-    return h ^ (h >> np.uint64(29))
+    """Keys of n-grams: 48 bits.  Two of a billion keys are equal about as rarely as one in half a million."""
+    return _scattered(h) >> np.uint64(16)
 
 
-def bigrams(h: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it; the first follows the start."""
+def bigrams(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of each token with the one before it; those at ``starts`` follow the start."""
     before = np.empty_like(h)
-    before[0], before[1:] = _START, h[:-1]
+    before[1:] = h[:-1]
+    before[starts] = _START
     return mixed(before * _SEED_2 + h)
 
 
+def joined(batch_column):
+    """Chunks of texts as (all tokens, where each text starts)."""
+    words: list[bytes] = []
+    starts: list[int] = []
+    for t in batch_column:
+        starts.append(len(words))
+        words += tokens(t.as_py() or b"")
+        if len(words) > 250_000:
+            yield words, np.array(starts)
+            words, starts = [], []
+    if starts:
+        yield words, np.array(starts)
+
+
 def places(h: np.ndarray, level: int, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """(block, bits inside it) of entries at one level.  The block is by the leading bits, whatever the level."""
-    block = (h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
-    one = mixed(h + np.uint64(level * int(_SEED_2) & 0xFFFFFFFFFFFFFFFF))
+    block = (h >> np.uint64(16)) * np.uint64(blocks) >> np.uint64(32)
+    one = _scattered(h + np.uint64(level * int(_SEED_2) & 0xFFFFFFFFFFFFFFFF))
     step = (one >> np.uint64(40)) | np.uint64(1)
     return block, [(one + np.uint64(i) * step) & np.uint64(BLOCK - 1) for i in range(PROBES)]
 
@@ -107,76 +153,130 @@ def counts_of(level: np.ndarray) -> np.ndarray:
 
 
 def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(token, c): exact counts; each batch is summed before it is dealt."""
+    """(token, c): exact counts; each task sums its tokens before they are dealt."""
+
+    def summed(seen):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"]
+        )
 
     def run(batches):
+        seen: Counter = Counter()
         for batch in batches:
-            seen: Counter = Counter()
             for t in batch.column(0):
                 seen.update(tokens(t.as_py() or b""))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"]
-            )
+                if len(seen) > 500_000:
+                    yield summed(seen)
+                    seen = Counter()
+        yield summed(seen)
 
     return docs.select(utf8(text_col).alias("t")).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def segments_of(train_tokens: int) -> int:
+    wanted = max(1, train_tokens // SEGMENT_TOKENS)
+    return min(MOST_SEGMENTS, max(LEAST_SEGMENTS, 1 << (wanted - 1).bit_length()))
+
+
 def filter_bits(train_tokens: int) -> int:
     """Size of the filter in bits: by the training tokens, up to ``MOST_BITS``; a multiple of all segments."""
-    unit = SEGMENTS * BLOCK
-    return min(MOST_BITS, max(1, -(-train_tokens * BITS_PER_TOKEN // unit)) * unit)
+    unit = segments_of(train_tokens) * BLOCK
+    return min(MOST_BITS // unit, max(1, -(-train_tokens * BITS_PER_TOKEN // unit))) * unit
+
+
+def pack(keys: np.ndarray, counts: np.ndarray, bits: int) -> tuple[bytes, bytes]:
+    """Ascending keys below 2^bits as Golomb-like steps: low bytes, then the steps of the rest as single bytes."""
+    low = min(bits, max(0, bits - max(1, len(keys)).bit_length()))
+    size = -(-low // 8)
+    shift = np.uint64(8 * size)
+    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+    step = np.diff(keys >> shift, prepend=np.uint64(0))
+    return bytes([size]) + raw, _varint(np.stack([step, counts.astype(np.uint64)]).ravel())
+
+
+def _varint(values: np.ndarray) -> bytes:
+    """Bytes of 255 stand for 255 more of the value that follows."""
+    more = (values // np.uint64(255)).astype(np.int64)
+    out = np.full(len(values) + int(more.sum()), 255, np.uint8)
+    out[np.arange(len(values)) + np.cumsum(more)] = values % np.uint64(255)
+    return out.tobytes()
+
 
+def unpack(low: bytes, rest: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size, data = low[0], np.frombuffer(rest, np.uint8)
+    ends = np.flatnonzero(data != 255)
+    values = data[ends].astype(np.uint64) + np.uint64(255) * np.diff(ends, prepend=-1).astype(np.uint64) - np.uint64(255)
+    n = len(values) // 2
+    keys = np.zeros((n, 8), np.uint8)
+    keys[:, :size] = np.frombuffer(low, np.uint8, offset=1).reshape(n, size) if size else 0
+    return (np.cumsum(values[:n]) << np.uint64(8 * size)) | keys.view("<u8").ravel(), values[n:].astype(np.int64)
 
-def build_filter(docs: DataFrame, size: int, text_col: str = "text") -> np.ndarray:
-    """The filter of all unigrams and bigrams of ``docs``, as bytes; ``size`` bits, a fixed bound."""
-    blocks, per_segment = size // BLOCK, size // SEGMENTS
+
+def build_filter(docs: DataFrame, train_tokens: int, text_col: str = "text") -> np.ndarray:
+    """The filter of all unigrams and bigrams of ``docs``, as bytes; ``filter_bits`` bounds its size."""
+    size, segments = filter_bits(train_tokens), segments_of(train_tokens)
+    blocks, per_segment = size // BLOCK, size // segments
+    inner = 48 - (segments.bit_length() - 1)  # bits of a key inside its segment
 
     def count(batches):
-        hashes = Hashes()
+        vocabulary = Vocabulary(lambda new: (hashes(new),))
 
         def summed(held):
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            segment = (keys >> np.uint64(32)) * np.uint64(SEGMENTS) >> np.uint64(32)
+            cuts = np.searchsorted(keys, np.arange(segments + 1, dtype=np.uint64) << np.uint64(inner))
+            rows = []
+            for s in range(segments):
+                a, b = cuts[s], cuts[s + 1]
+                if b > a:
+                    rows.append((s, *pack(keys[a:b] - (np.uint64(s) << np.uint64(inner)), n[a:b], inner)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(segment.astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
-                names=["segment", "h", "c"],
+                [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
+                names=["segment", "low", "rest"],
             )
 
         held, rows = [], 0
         for batch in batches:
-            for t in batch.column(0):
-                h = hashes(tokens(t.as_py() or b""))
-                held += [mixed(h), bigrams(h)]
+            for words, starts in joined(batch.column(0)):
+                numbers = vocabulary(words)
+                h = vocabulary.columns[0][numbers]
+                held += [mixed(h), bigrams(h, starts)]
                 rows += 2 * len(h)
-                if rows > 4_000_000:
+                if rows > SUMMED:
                     yield summed(held)
                     held, rows = [], 0
         if held:
             yield summed(held)
 
     def fill(batches):
-        made: dict[int, np.ndarray] = {}
+        def filled(segment, parts):
+            keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            h, back = np.unique(keys, return_inverse=True)
+            top = np.log2(np.bincount(back, counts)).astype(np.int64) + 1
+            h = h + (np.uint64(segment) << np.uint64(inner))
+            bits, first = np.zeros(per_segment, bool), segment * (blocks // segments)
+            for level in range(1, int(top.max()) + 1):
+                block, inside = places(h[top >= level], level, blocks)
+                for i in inside:
+                    bits[((block - np.uint64(first)) * np.uint64(BLOCK) + i).astype(np.int64)] = True
+            packed = np.packbits(bits, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([packed], pa.binary())], names=["segment", "bits"])
+
+        segment, parts = None, []
         for batch in batches:
-            segment = batch.column(0).to_numpy(zero_copy_only=False)
-            h = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            top = np.log2(batch.column(2).to_numpy(zero_copy_only=False)).astype(np.int64) + 1
-            for s in np.unique(segment):
-                bits = made.setdefault(int(s), np.zeros(per_segment // 8, np.uint8))
-                own, first = segment == s, int(s) * (blocks // SEGMENTS)
-                for level in range(1, int(top[own].max()) + 1):
-                    block, inside = places(h[own & (top >= level)], level, blocks)
-                    for i in inside:
-                        at = ((block - np.uint64(first)) * np.uint64(BLOCK) + i).astype(np.int64)
-                        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        for s, bits in made.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["segment", "bits"])
-
-    counted = docs.select(utf8(text_col).alias("t")).mapInArrow(count, "segment int, h long, c long")
-    # Dealt by segment once; the sums per n-gram and the filling both stay inside that partitioning.
-    dealt = counted.repartition("segment").groupBy("segment", "h").agg(F.sum("c").alias("c"))
+            for s, low, rest in zip(*(batch.column(i) for i in range(3)), strict=True):
+                if s.as_py() != segment:
+                    if parts:
+                        yield filled(segment, parts)
+                    segment, parts = s.as_py(), []
+                parts.append(unpack(low.as_py(), rest.as_py()))
+        if parts:
+            yield filled(segment, parts)
+
+    counted = docs.select(utf8(text_col).alias("t")).mapInArrow(count, "segment int, low binary, rest binary")
+    dealt = counted.repartition("segment").sortWithinPartitions("segment")
     whole = np.zeros(size // 8, np.uint8)
-    for row in dealt.mapInArrow(fill, "segment int, bits binary").toLocalIterator():  # a segment at a time
-        whole[row["segment"] * per_segment // 8 :][: per_segment // 8] |= np.frombuffer(row["bits"], np.uint8)
+    for row in dealt.mapInArrow(fill, "segment int, bits binary").toLocalIterator():
+        whole[row["segment"] * per_segment // 8 :][: per_segment // 8] = np.frombuffer(row["bits"], np.uint8)
     return whole
 
 
@@ -195,64 +295,58 @@ def score_texts(
     totals = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = int(totals["n"]), int(totals["v"])
     below = log10(n + PRIOR * (v + 1))
-    top = counted.orderBy(F.desc("c"), "token").limit(frequent).collect()  # at most ``frequent`` tokens
-    shared = spark.sparkContext.broadcast({bytes(r["token"]): log10(r["c"] + PRIOR) - below for r in top if len(r["token"]) <= 64})
-    bits = spark.sparkContext.broadcast(build_filter(train, filter_bits(n), text_col))
+    top = counted.orderBy(F.desc("c"), "token").limit(frequent).toArrow()  # at most ``frequent`` tokens
+    known = zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)
+    shared = spark.sparkContext.broadcast({t: log10(c + PRIOR) - below for t, c in known if len(t) <= 64})
+    bits = spark.sparkContext.broadcast(build_filter(train, n, text_col))
+    end = hashes([END])
 
     def run(batches):
-        known, held, hashes = shared.value, bits.value, Hashes()
-
-        def score(texts: list[list[bytes]]) -> list[float]:
-            parts = [hashes(t) for t in texts]
-            h, pairs = np.concatenate(parts), np.concatenate([bigrams(p) for p in parts])
-            starts = np.cumsum([0, *(len(p) for p in parts[:-1])])
-            one, back = np.unique(h, return_inverse=True)
-            uni = counts_of(levels(mixed(one), held))[back]
-            two, back = np.unique(pairs, return_inverse=True)
-            both = counts_of(levels(two, held))[back]
-            context = np.empty_like(uni)
-            context[1:] = uni[:-1]
-            context[starts] = max(1.0, sum_starts)
-            p = LAMBDA * np.minimum(1.0, both / np.maximum(context, 1.0)) + (1 - LAMBDA) * np.minimum(
-                1.0, (uni + PRIOR) / max(n + PRIOR * (v + 1), PRIOR)
-            )
-            return np.add.reduceat(np.log10(p), starts).tolist()
+        known, held = shared.value, bits.value
+        missing = float("nan")
 
+        def describe(new):
+            h = hashes(new)
+            base = np.fromiter((known.get(w, missing) for w in new), np.float64, len(new))
+            return h, base, counts_of(levels(mixed(h), held))
+
+        vocabulary = Vocabulary(describe)
         # Texts begin as often as they end.
-        sum_starts = float(counts_of(levels(mixed(hashes([END])), held))[0])
+        begins = max(1.0, float(counts_of(levels(mixed(end), held))[0]))
+        kind = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
         for batch in batches:
-            out, texts, size = [], [], 0
-            scores: list[float] = []
-            for t in batch.column(1):
-                words = tokens(t.as_py() or b"")
-                base, hits, rare = 0.0, 0, Counter()
-                for w in words:
-                    p = known.get(w)
-                    if p is None:
-                        rare[w] += 1
-                    else:
-                        base += p
-                        hits += 1
-                out.append((len(words), hits, base, [{"token": w, "k": k} for w, k in rare.items()]))
-                texts.append(words)
-                size += len(words)
-                if size > 200_000:
-                    scores += score(texts)
-                    texts, size = [], 0
-            if texts:
-                scores += score(texts)
-            kind = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([x[0] for x in out], pa.int64()),
-                    pa.array([x[1] for x in out], pa.int64()),
-                    pa.array([x[2] for x in out], pa.float64()),
-                    pa.array([x[3] for x in out], kind),
-                    pa.array(scores, pa.float64()),
-                ],
-                names=["doc_id", "n_tokens", "hits", "base", "rare", "score"],
-            )
+            at = 0
+            for words, starts in joined(batch.column(1)):
+                numbers = vocabulary(words)
+                h, base, uni = (c[numbers] for c in vocabulary.columns)
+                both = counts_of(levels(bigrams(h, starts), held))
+                context = np.empty_like(uni)
+                context[1:] = uni[:-1]
+                context[starts] = begins
+                p = LAMBDA * np.minimum(1.0, both / np.maximum(context, 1.0)) + (1 - LAMBDA) * np.minimum(
+                    1.0, (uni + PRIOR) / max(n + PRIOR * (v + 1), PRIOR)
+                )
+                rare = np.isnan(base)
+                sizes = np.diff(np.r_[starts, len(words)])
+                text = np.repeat(np.arange(len(starts)), sizes)[rare]
+                size = np.int64(len(vocabulary.names))
+                pairs, k = np.unique(text * size + numbers[rare], return_counts=True)
+                names, owner = vocabulary.names, pairs // size
+                tokens_ = pa.array([names[i] for i in pairs % size], pa.binary())
+                flat = pa.StructArray.from_arrays([tokens_, pa.array(k.astype(np.int64))], fields=list(kind.value_type))
+                offsets = np.searchsorted(owner, np.arange(len(starts) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, len(starts)),
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array(np.add.reduceat((~rare).astype(np.int64), starts)),
+                        pa.array(np.add.reduceat(np.where(rare, 0.0, base), starts)),
+                        pa.ListArray.from_arrays(pa.array(offsets), flat),
+                        pa.array(np.add.reduceat(np.log10(p), starts)),
+                    ],
+                    names=["doc_id", "n_tokens", "hits", "base", "rare", "score"],
+                )
+                at += len(starts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("t"))
     scored = rows.mapInArrow(
