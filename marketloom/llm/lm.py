@@ -185,7 +185,7 @@ def filter_bits(train_tokens: int) -> int:
 
 
 def pack(keys: np.ndarray, counts: np.ndarray, bits: int) -> tuple[bytes, bytes]:
-    """Ascending keys below 2^bits as Golomb-like steps: low bytes, then the steps of the rest as single bytes."""
+    """Ascending keys below 2^bits: the low bytes of each as they are, and the steps of the rest with the counts."""
     low = min(bits, max(0, bits - max(1, len(keys)).bit_length()))
     size = -(-low // 8)
     shift = np.uint64(8 * size)

@@ -13,13 +13,12 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows that the machine is fitted on at most.
 SAMPLE_ROWS = 6000
-#: Words of a text that a fitted row keeps (texts are scored whole, over all their words).
+#: Buckets that words are hashed to.
 HASHED = 1 << 14
 FACTORS = 8
 _SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()\-]")
@@ -141,9 +140,12 @@ def learn(
     learned from; several labels of one document are all learned from.
     """
     first = F.md5(F.col(id_col).cast("string").cast("binary"))
+    known = labels.where(usable & F.col(label_col).isNotNull())
+    # Only hashes that can be among the first are sorted: about four times the sample, however many rows there are.
+    place = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
     sample = (
-        labels.where(usable & F.col(label_col).isNotNull())
-        .select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("int").alias("y"), first.alias("h"))
+        known.select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("int").alias("y"), first.alias("h"))
+        .where(place * known.count() <= 4.0 * sample_rows)
         .orderBy("h", "k", "y")
         .limit(sample_rows)
     )

@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
