@@ -38,87 +38,108 @@ NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 
 
 _WORD, _END, _NUM, _CAPITAL, _PERCENT, _UNIT = range(6)
-_SEEN: dict[str, tuple[int, str]] = {}
+_PLACEHOLDERS = (NUM, UNIT, NAME)
 
 
-def _kind(token: str) -> tuple[int, str]:
-    low = token.lower()
+def _kind(token: str) -> int:
     if token in ".!?\n":
-        kind = _END
-    elif token == "%":
-        kind = _PERCENT
-    elif token[0].isdigit() and _NUMBER.match(low):
-        kind = _NUM
-    elif low in UNITS:
-        kind = _UNIT
-    elif token[0].isupper() and token[1:2].islower():
-        kind = _CAPITAL
-    else:
-        kind = _WORD
-    if len(_SEEN) > 500_000:
-        _SEEN.clear()
-    if len(token) <= 64:
-        _SEEN[token] = kind, low
-    return kind, low
-
-
-def canonical(text: str) -> tuple[list[str], list[str]]:
-    """(template tokens, words in lower case), one of each per word.
-
-    A number starts with digits; a unit is a word of ``UNITS`` right behind a number; a name is a word with a
-    capital first and a small letter after it that does not begin a sentence.
-    """
-    template, words, begins, number, seen = [], [], True, False, _SEEN
-    for token in _TOKEN.findall(text):
-        kind, low = seen.get(token) or _kind(token)
-        if kind == _END:
-            begins = True
-            continue
-        if kind == _PERCENT:
-            if not number:
-                continue
-            template.append(UNIT)
-        elif kind == _NUM:
-            template.append(NUM)
-        elif kind == _UNIT and number:
-            template.append(UNIT)
-        elif kind == _CAPITAL and not begins:
-            template.append(NAME)
-        else:
-            template.append(low)
-        words.append(low)
-        begins, number = False, kind == _NUM
-    return template, words
-
-
-class Windows:
-    """Hashes of all windows of a text.  A word's hash is kept for its next occurrence."""
-
-    KEPT = 500_000
+        return _END
+    if token == "%":
+        return _PERCENT
+    low = token.lower()
+    if token[0].isdigit() and _NUMBER.match(low):
+        return _NUM
+    if low in UNITS:
+        return _UNIT
+    return _CAPITAL if token[0].isupper() and token[1:2].islower() else _WORD
+
+
+def _hash(token: str) -> int:
+    return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+
+
+class _Tokens(dict):
+    """Numbers of tokens, given at first sight, with the kind, lower case and its hash of each."""
+
+    KEPT = 400_000
 
     def __init__(self):
-        self.known: dict[str, int] = {}
-
-    def __call__(self, template: list[str], size: int) -> np.ndarray:
-        known = self.known
-        if len(known) > self.KEPT:
-            known.clear()
-        for t in set(template).difference(known):
-            known[t] = int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little")
-        h = np.fromiter(map(known.__getitem__, template), np.uint64, len(template))
-        n = len(h) - size + 1
+        super().__init__()
+        self.low: list[str] = []
+        self.kind = np.empty(1024, np.int8)
+        self.hash = np.empty(1024, np.uint64)
+
+    def __missing__(self, token: str) -> int:
+        number = len(self.low)
+        if number == len(self.kind):
+            self.kind, self.hash = np.resize(self.kind, 2 * number), np.resize(self.hash, 2 * number)
+        low = token.lower()
+        self.low.append(low)
+        self.kind[number], self.hash[number] = _kind(token), _hash(low)
+        self[token] = number
+        return number
+
+
+class Canonical:
+    """Templates of texts, and hashes of their windows."""
+
+    def __init__(self):
+        self.tokens = _Tokens()
+        self.placeholders = np.array([_hash(p) for p in _PLACEHOLDERS], np.uint64)
+
+    def __call__(self, text: str) -> Template:
+        """A number starts with digits; a unit is a word of ``UNITS`` (or %) right behind a number; a name is a
+        word with a capital first and a small letter after it that does not begin a sentence."""
+        if len(self.tokens.low) > _Tokens.KEPT:
+            self.tokens = _Tokens()
+        found = _TOKEN.findall(text)
+        tokens = self.tokens
+        number = np.fromiter(map(tokens.__getitem__, found), np.int64, len(found))
+        kind = tokens.kind[number]
+        sentence = np.cumsum(kind == _END)
+        word = kind != _END
+        number, kind, sentence = number[word], kind[word], sentence[word]
+        behind_number = np.r_[False, kind[:-1] == _NUM]
+        if (stray := (kind == _PERCENT) & ~behind_number).any():
+            number, kind, sentence = number[~stray], kind[~stray], sentence[~stray]
+            behind_number = np.r_[False, kind[:-1] == _NUM]
+        inside = np.r_[False, sentence[1:] == sentence[:-1]]
+        slot = np.full(len(kind), -1, np.int8)
+        slot[kind == _NUM] = 0
+        slot[((kind == _UNIT) & behind_number) | (kind == _PERCENT)] = 1
+        slot[(kind == _CAPITAL) & inside] = 2
+        hashes = np.where(slot >= 0, self.placeholders[slot], tokens.hash[number])
+        return Template(number, slot, hashes, tokens.low)
+
+
+class Template:
+    def __init__(self, number, slot, hashes, low):
+        self.number, self.slot, self.hashes, self.low = number, slot, hashes, low
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    def words(self, at: int, size: int) -> list[str]:
+        return [self.low[i] for i in self.number[at : at + size]]
+
+    def text(self, at: int, size: int) -> str:
+        slots = self.slot[at : at + size]
+        return " ".join(w if s < 0 else _PLACEHOLDERS[s] for w, s in zip(self.words(at, size), slots, strict=True))
+
+    def windows(self, size: int) -> np.ndarray:
+        """Hash of each window of ``size`` tokens."""
+        n = len(self) - size + 1
         if n <= 0:
             return np.empty(0, np.uint64)
         out = np.full(n, size, np.uint64)
         for i in range(size):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
+            out = out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[i : i + n]
             out ^= out >> np.uint64(29)
         return out
 
-
-def _enough(template: list[str], at: int, size: int) -> bool:
-    """At least half of a window must be words, or a row of numbers would be a question."""
-    return 2 * sum(t in (NUM, UNIT, NAME) for t in template[at : at + size]) <= size
+    def enough(self, at: int, size: int) -> bool:
+        """At least half of a window must be words, or a row of numbers would be a question."""
+        return 2 * int((self.slot[at : at + size] >= 0).sum()) <= size
 
 
 _WINDOW_SCHEMA = "at long, template string, words array<string>"
@@ -142,25 +163,23 @@ def _windows(rows: DataFrame, key: str, key_type: str, sizes: list[int], bits=No
     )
 
     def run(batches):
-        windows = Windows()
+        canonical = Canonical()
         held = None if bits is None else bits.value
         for batch in batches:
             rows = []
             for k, t in zip(batch.column(0), batch.column(1), strict=True):
-                template, words = canonical(t.as_py() or "")
+                template = canonical(t.as_py() or "")
                 for size in sizes:
                     if held is None and size != min(len(template), max(sizes)):
                         continue  # an item is searched by windows of one size
-                    hashes = windows(template, size)
+                    hashes = template.windows(size)
                     places = range(len(hashes))
                     if held is not None:
                         i = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
                         places = np.flatnonzero(held[i >> 3] >> (i & 7).astype(np.uint8) & 1).tolist()
                     for at in places:
-                        if _enough(template, at, size):
-                            rows.append(
-                                (k.as_py(), at, " ".join(template[at : at + size]), words[at : at + size], len(hashes))
-                            )
+                        if template.enough(at, size):
+                            rows.append((k.as_py(), at, template.text(at, size), template.words(at, size), len(hashes)))
                 if len(rows) >= 20_000:
                     yield _emit(out, rows)
                     rows = []
@@ -173,8 +192,9 @@ def _sizes(items: DataFrame, window: int) -> list[int]:
     """Window sizes in use: ``window``, and the lengths of shorter items; at most ``window`` of them."""
 
     def run(batches):
+        canonical = Canonical()
         for batch in batches:
-            found = {min(window, len(canonical(t.as_py() or "")[0])) for t in batch.column(0)}
+            found = {min(window, len(canonical(t.as_py() or ""))) for t in batch.column(0)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["size"])
 
     used = {r["size"] for r in items.select("text").mapInArrow(run, "size long").distinct().collect()}
@@ -185,13 +205,13 @@ def _filter_bits(items: DataFrame, sizes: list[int]) -> np.ndarray:
     """The bitmap of the items' window hashes: words of 64 bits, OR-ed by Spark; 1 MB whatever the items."""
 
     def run(batches):
-        windows = Windows()
+        canonical = Canonical()
         for batch in batches:
             found = [np.empty(0, np.uint64)]
             for t in batch.column(0):
-                template = canonical(t.as_py() or "")[0]
-                if len(template) >= min(sizes, default=1):
-                    found.append(windows(template, min(len(template), max(sizes))))
+                template = canonical(t.as_py() or "")
+                if len(template) >= min(sizes):
+                    found.append(template.windows(min(len(template), max(sizes))))
             i = np.unique(np.concatenate(found) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(i >> 3, pa.int64()), pa.array(1 << (i & 7), pa.int64())], names=["byte", "bits"]
@@ -212,10 +232,10 @@ def matches(
     item_text_col: str = "text",
     window: int = WINDOW,
 ) -> DataFrame:
-    """(key, item_id, n_windows, item_windows, consistent_slots): documents, by md5 of their text, with items.
+    """(key, item_id, n_windows, item_windows, changed_slots): documents, by md5 of their text, with items.
 
-    One row per text and item with at least one shared template window whose slots are consistent along one
-    alignment.  Items shorter than ``window`` words are searched whole, those under ``LEAST_WORDS`` not at
+    One row per text and item that share template windows along one alignment, if all slots of those windows
+    are consistent or one of the windows is the same word for word.  Items shorter than ``window`` words are searched whole, those under ``LEAST_WORDS`` not at
     all.  Null texts match nothing.  Repeated texts share a key.
     """
     spark = docs.sparkSession
@@ -243,12 +263,13 @@ def matches(
         F.countDistinct("item_at").alias("n_windows"),
         F.max("item_windows").alias("item_windows"),
         F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
+        F.max(F.size(F.filter(slots, lambda x: x["i"] != x["d"])) == 0).alias("literal"),
     )
     one_way = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["t"], x["i"])))) == F.size("slots")
     other_way = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["t"], x["d"])))) == F.size("slots")
     changed = F.size(F.filter("slots", lambda x: x["i"] != x["d"]))
     return (
-        lined.where(one_way & other_way)
+        lined.where((one_way & other_way) | F.col("literal"))
         .groupBy("key", "item_id")
         .agg(
             F.max("n_windows").alias("n_windows"),
