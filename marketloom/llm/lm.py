@@ -3,7 +3,9 @@
 The n-gram counts of the training texts are quantised to levels, level = 1 + floor(log2 count), and an n-gram
 of level q is put into one Bloom filter q times, once for each level up to its own.  A count is read back by
 asking for level 1, 2, ... until one is missing.  The filter is blocked (all bits of an entry lie in one
-512-bit block), so Spark builds it in segments: entries are dealt by segment and every task fills its own.
+512-bit block), so it is cut into segments and grows with the corpus without ever being in one place: batches
+of texts send their distinct n-grams to the segments, a task fills each segment and probes it for all
+batches, and the levels go back to the batch's texts, which are scored there.
 
 Probabilities are interpolated: p(w | v) = LAMBDA c(v w) / c(v) + (1 - LAMBDA) p(w), with the unigram smoothed as in
 the base score.
@@ -15,10 +17,12 @@ occurrences of all other tokens meet their counts in a join, pre-aggregated per
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,15 +35,14 @@ LAMBDA = 0.7
 PRIOR = 0.1
 #: Tokens whose counts are broadcast.
 FREQUENT = 200_000
-#: Bits of the filter at most (64 MB) and bits for each training token.  Above the bound false positives grow.
-MOST_BITS = 1 << 29
-BITS_PER_TOKEN = 4
+#: Bits of the filter for each training token.  The filter grows with them; no process holds more than a segment.
+BITS_PER_TOKEN = 16
 PROBES = 3
 BLOCK = 512
 #: Training tokens to a segment of the filter, about; segments are a power of two.
 SEGMENT_TOKENS = 1 << 19
 LEAST_SEGMENTS, MOST_SEGMENTS = 1 << 4, 1 << 16
-#: N-grams that a task sums at a time.
+#: Bytes of one batch of texts, about; a task sums its n-grams at a time.
 SUMMED = 12_000_000
 _LEVELS = 48
 _GOLD, _SEED_2, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -131,11 +134,16 @@ def places(h: np.ndarray, level: int, blocks: int) -> tuple[np.ndarray, list[np.
     return block, [(one + np.uint64(i) * step) & np.uint64(BLOCK - 1) for i in range(PROBES)]
 
 
-def levels(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Level of each n-gram by repeated membership probes; 0 where level 1 is missing."""
+def levels(h: np.ndarray, bits: np.ndarray, blocks: int | None = None, first: int = 0) -> np.ndarray:
+    """Level of each n-gram by repeated membership probes; 0 where level 1 is missing.
+
+    ``bits`` are the whole filter, or those from block ``first`` of a filter of ``blocks``.
+    """
+    blocks = blocks or len(bits) * 8 // BLOCK
     found, alive = np.zeros(len(h), np.int64), np.arange(len(h))
     for level in range(1, _LEVELS):
-        block, inside = places(h[alive], level, len(bits) * 8 // BLOCK)
+        block, inside = places(h[alive], level, blocks)
+        block = block - np.uint64(first)
         held = np.ones(len(alive), bool)
         for i in inside:
             at = block * np.uint64(BLOCK) + i
@@ -179,9 +187,9 @@ def segments_of(train_tokens: int) -> int:
 
 
 def filter_bits(train_tokens: int) -> int:
-    """Size of the filter in bits: by the training tokens, up to ``MOST_BITS``; a multiple of all segments."""
+    """Size of the filter in bits: by the training tokens, without a bound; a multiple of all segments."""
     unit = segments_of(train_tokens) * BLOCK
-    return min(MOST_BITS // unit, max(1, -(-train_tokens * BITS_PER_TOKEN // unit))) * unit
+    return max(1, -(-train_tokens * BITS_PER_TOKEN // unit)) * unit
 
 
 def pack(keys: np.ndarray, counts: np.ndarray, bits: int) -> tuple[bytes, bytes]:
@@ -212,82 +220,187 @@ def unpack(low: bytes, rest: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (np.cumsum(values[:n]) << np.uint64(8 * size)) | keys.view("<u8").ravel(), values[n:].astype(np.int64)
 
 
+@dataclass
+class Segments:
+    """Shape of the filter for ``train_tokens``: equal segments by the leading bits of the keys."""
+
+    train_tokens: int
+
+    def __post_init__(self):
+        self.count = segments_of(self.train_tokens)
+        self.blocks = filter_bits(self.train_tokens) // BLOCK
+        self.inner = 48 - (self.count.bit_length() - 1)  # bits of a key inside its segment
+        self.own = self.blocks // self.count
+
+    def cut(self, keys: np.ndarray, counts: np.ndarray):
+        """(segment, packed keys and counts) of each segment that has some of the ascending keys."""
+        cuts = np.searchsorted(keys, np.arange(self.count + 1, dtype=np.uint64) << np.uint64(self.inner))
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            part = slice(cuts[s], cuts[s + 1])
+            yield s, *pack(keys[part] - (np.uint64(s) << np.uint64(self.inner)), counts[part], self.inner)
+
+    def filled(self, segment: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The segment's bytes; distinct keys with counts of 0 are left out."""
+        top = np.where(counts > 0, np.log2(np.maximum(counts, 1)).astype(np.int64) + 1, 0)
+        bits = np.zeros(self.own * BLOCK, bool)
+        for level in range(1, int(top.max(initial=0)) + 1):
+            block, inside = places(keys[top >= level], level, self.blocks)
+            for i in inside:
+                bits[((block - np.uint64(segment * self.own)) * np.uint64(BLOCK) + i).astype(np.int64)] = True
+        return np.packbits(bits, bitorder="little")
+
+    def answered(self, segment: int, parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(the segment's bytes, levels of each part's keys)."""
+        held = [unpack(*part) for part in parts]
+        keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        keys = keys + (np.uint64(segment) << np.uint64(self.inner))
+        bits = self.filled(segment, keys, np.bincount(back, np.concatenate([n for _, n in held])))
+        found = levels(keys, bits, self.blocks, segment * self.own).astype(np.uint8)[back]
+        return bits, np.split(found, np.cumsum([len(k) for k, _ in held])[:-1])
+
+
 def build_filter(docs: DataFrame, train_tokens: int, text_col: str = "text") -> np.ndarray:
-    """The filter of all unigrams and bigrams of ``docs``, as bytes; ``filter_bits`` bounds its size."""
-    size, segments = filter_bits(train_tokens), segments_of(train_tokens)
-    blocks, per_segment = size // BLOCK, size // segments
-    inner = 48 - (segments.bit_length() - 1)  # bits of a key inside its segment
+    """The whole filter of ``docs`` as bytes, for corpora whose filter one process can hold; scores do without it."""
+    shape = Segments(train_tokens)
+    whole = np.zeros(shape.blocks * BLOCK // 8, np.uint8)
+    rows = docs.select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("u"), utf8(text_col).alias("t"), F.spark_partition_id().alias("p")
+    )
+    dealt = rows.mapInArrow(_sent(shape, SUMMED), _SENT).repartition("segment").sortWithinPartitions("segment")
+    for row in dealt.mapInArrow(_probed(shape, True), _PROBED).toLocalIterator():
+        whole[row["segment"] * shape.own * BLOCK // 8 :][: len(row["data"])] = np.frombuffer(row["data"], np.uint8)
+    return whole
+
+
+_SENT = "segment int, batch long, low binary, rest binary"
+_PROBED = "batch long, segment int, data binary"
+
+
+def _cut(batches, most: int):
+    """(name, slices) of batches of a task's texts, each of about ``most`` bytes.
+
+    The name is a digest of the task, the place in it and the texts, so what is read twice meets its like or nothing.
+    """
+    from xxhash import xxh64
+
+    seed, held, size = None, [], 0
+
+    def named():
+        digest = xxh64(seed=seed)
+        for part in held:
+            for t in part.column(2):
+                text = t.as_py() or b""
+                digest.update(b"%d " % len(text))
+                digest.update(text)
+        return digest.intdigest() - (1 << 63), held
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        seed = batch.column(3)[0].as_py() << 32 if seed is None else seed
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + len(END))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = min(batch.num_rows, int(np.searchsorted(ends, before + most - size, side="right")) + 1)
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1]) - before
+            at = to
+            if size > most:
+                yield named()
+                seed, held, size = seed + 1, [], 0
+    if held:
+        yield named()
+
+
+def _sent(shape: Segments, most: int):
+    """Each batch of texts gives each segment its distinct keys in order, with their counts in the training texts:
+    0 for keys of other texts alone."""
 
-    def count(batches):
+    def run(batches):
         vocabulary = Vocabulary(lambda new: (hashes(new),))
+        for name, parts in _cut(batches, most):
+            used, other = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+            for part in parts:
+                at = 0
+                for words, starts in joined(part.column(2)):
+                    known = part.column(1).slice(at, len(starts)).to_numpy(zero_copy_only=False)
+                    known = np.repeat(known, np.diff(np.r_[starts, len(words)]))
+                    at += len(starts)
+                    numbers = vocabulary(words)
+                    h = vocabulary.columns[0][numbers]
+                    for keys in (mixed(h), bigrams(h, starts)):
+                        used.append(keys[known])
+                        other.append(keys[~known])
+            keys, n = np.unique(np.concatenate(used), return_counts=True)
+            every = np.union1d(keys, np.concatenate(other))
+            counts = np.zeros(len(every), np.int64)
+            counts[np.searchsorted(every, keys)] = n
+            rows = list(shape.cut(every, counts))
+            columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([name] * len(rows), pa.int64())]
+            columns += [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]
+            yield pa.RecordBatch.from_arrays(columns, names=["segment", "batch", "low", "rest"])
+
+    return run
+
+
+def _packed_texts(most: int):
+    """The texts of the same batches, packed, with no segment."""
 
-        def summed(held):
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.searchsorted(keys, np.arange(segments + 1, dtype=np.uint64) << np.uint64(inner))
-            rows = []
-            for s in range(segments):
-                a, b = cuts[s], cuts[s + 1]
-                if b > a:
-                    rows.append((s, *pack(keys[a:b] - (np.uint64(s) << np.uint64(inner)), n[a:b], inner)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
-                names=["segment", "low", "rest"],
-            )
-
-        held, rows = [], 0
-        for batch in batches:
-            for words, starts in joined(batch.column(0)):
-                numbers = vocabulary(words)
-                h = vocabulary.columns[0][numbers]
-                held += [mixed(h), bigrams(h, starts)]
-                rows += 2 * len(h)
-                if rows > SUMMED:
-                    yield summed(held)
-                    held, rows = [], 0
-        if held:
-            yield summed(held)
-
-    def fill(batches):
-        def filled(segment, parts):
-            keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-            h, back = np.unique(keys, return_inverse=True)
-            top = np.log2(np.bincount(back, counts)).astype(np.int64) + 1
-            h = h + (np.uint64(segment) << np.uint64(inner))
-            bits, first = np.zeros(per_segment, bool), segment * (blocks // segments)
-            for level in range(1, int(top.max()) + 1):
-                block, inside = places(h[top >= level], level, blocks)
-                for i in inside:
-                    bits[((block - np.uint64(first)) * np.uint64(BLOCK) + i).astype(np.int64)] = True
-            packed = np.packbits(bits, bitorder="little").tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([packed], pa.binary())], names=["segment", "bits"])
-
-        segment, parts = None, []
+    def run(batches):
+        for name, parts in _cut(batches, most):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for part in parts:
+                    out.write_batch(part)
+            columns = [pa.array([name], pa.int64()), pa.nulls(1, pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["batch", "segment", "data"])
+
+    return run
+
+
+def _probed(shape: Segments, whole: bool):
+    """Fills each segment and, in the order of its keys, gives each batch their levels; rows come sorted by segment.
+
+    With ``whole`` the segments' bytes are given instead.
+    """
+
+    def run(batches):
+        def done():
+            bits, found = shape.answered(segment, parts)
+            data = [bits.tobytes()] if whole else [x.tobytes() for x in found]
+            columns = [pa.array([None] if whole else names, pa.int64()), pa.array([segment] * len(data), pa.int32()), pa.array(data, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["batch", "segment", "data"])
+
+        segment, names, parts = None, [], []
         for batch in batches:
-            for s, low, rest in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for s, name, low, rest in zip(*(batch.column(i) for i in range(4)), strict=True):
                 if s.as_py() != segment:
                     if parts:
-                        yield filled(segment, parts)
-                    segment, parts = s.as_py(), []
-                parts.append(unpack(low.as_py(), rest.as_py()))
+                        yield done()
+                    segment, names, parts = s.as_py(), [], []
+                names.append(name.as_py())
+                parts.append((low.as_py(), rest.as_py()))
         if parts:
-            yield filled(segment, parts)
+            yield done()
 
-    counted = docs.select(utf8(text_col).alias("t")).mapInArrow(count, "segment int, low binary, rest binary")
-    dealt = counted.repartition("segment").sortWithinPartitions("segment")
-    whole = np.zeros(size // 8, np.uint8)
-    for row in dealt.mapInArrow(fill, "segment int, bits binary").toLocalIterator():
-        whole[row["segment"] * per_segment // 8 :][: per_segment // 8] = np.frombuffer(row["bits"], np.uint8)
-    return whole
+    return run
 
 
 def score_texts(
-    docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT
+    docs: DataFrame,
+    usable: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    frequent: int = FREQUENT,
+    summed: int = SUMMED,
 ) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row per input row.
 
     The model learns from rows where ``usable`` holds.  A null text counts as empty: its one token is the
     end.  Without training rows N and V are 0 and every token has probability PRIOR / PRIOR = 1 in the base.
-    Ids may be null or repeated; extra columns are ignored.
+    Ids may be null or repeated; extra columns are ignored.  ``docs`` is read more than once; if its tasks do not
+    get the same rows each time, the run fails.
     """
     spark = docs.sparkSession
     train = docs.where(usable)
@@ -298,34 +411,26 @@ def score_texts(
     top = counted.orderBy(F.desc("c"), "token").limit(frequent).toArrow()  # at most ``frequent`` tokens
     known = zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)
     shared = spark.sparkContext.broadcast({t: log10(c + PRIOR) - below for t, c in known if len(t) <= 64})
-    bits = spark.sparkContext.broadcast(build_filter(train, n, text_col))
-    end = hashes([END])
+    shape = Segments(n)
+    end = mixed(hashes([END]))
 
     def run(batches):
-        known, held = shared.value, bits.value
+        known = shared.value
         missing = float("nan")
 
         def describe(new):
             h = hashes(new)
-            base = np.fromiter((known.get(w, missing) for w in new), np.float64, len(new))
-            return h, base, counts_of(levels(mixed(h), held))
+            return h, np.fromiter((known.get(w, missing) for w in new), np.float64, len(new))
 
         vocabulary = Vocabulary(describe)
-        # Texts begin as often as they end.
-        begins = max(1.0, float(counts_of(levels(mixed(end), held))[0]))
         kind = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
-        for batch in batches:
+
+        def chunks(texts):
+            """(starts, keys of unigrams, keys of bigrams, columns without the score) of chunks of texts."""
             at = 0
-            for words, starts in joined(batch.column(1)):
+            for words, starts in joined(texts.column(2)):
                 numbers = vocabulary(words)
-                h, base, uni = (c[numbers] for c in vocabulary.columns)
-                both = counts_of(levels(bigrams(h, starts), held))
-                context = np.empty_like(uni)
-                context[1:] = uni[:-1]
-                context[starts] = begins
-                p = LAMBDA * np.minimum(1.0, both / np.maximum(context, 1.0)) + (1 - LAMBDA) * np.minimum(
-                    1.0, (uni + PRIOR) / max(n + PRIOR * (v + 1), PRIOR)
-                )
+                h, base = (c[numbers] for c in vocabulary.columns)
                 rare = np.isnan(base)
                 sizes = np.diff(np.r_[starts, len(words)])
                 text = np.repeat(np.arange(len(starts)), sizes)[rare]
@@ -335,21 +440,67 @@ def score_texts(
                 tokens_ = pa.array([names[i] for i in pairs % size], pa.binary())
                 flat = pa.StructArray.from_arrays([tokens_, pa.array(k.astype(np.int64))], fields=list(kind.value_type))
                 offsets = np.searchsorted(owner, np.arange(len(starts) + 1)).astype(np.int32)
+                columns = [
+                    texts.column(0).slice(at, len(starts)),
+                    pa.array(sizes.astype(np.int64)),
+                    pa.array(np.add.reduceat((~rare).astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(np.where(rare, 0.0, base), starts)),
+                    pa.ListArray.from_arrays(pa.array(offsets), flat),
+                ]
+                at += len(starts)
+                yield starts, mixed(h), bigrams(h, starts), columns
+
+        def scored(texts, answers):
+            """Batches of rows of one batch of texts; ``answers`` are its levels by segment."""
+            held = [x for data in texts for batch in pa.ipc.open_stream(data) for x in chunks(batch)]
+            keys, back = np.unique(np.concatenate([np.empty(0, np.uint64), *(k for x in held for k in x[1:3])]), return_inverse=True)
+            level = np.frombuffer(b"".join(answers[s] for s in sorted(answers)), np.uint8)
+            if len(level) != len(keys):
+                raise RuntimeError("texts read twice differ: checkpoint the documents first")
+            count = counts_of(level.astype(np.int64))
+            # Texts begin as often as they end.
+            begins = max(1.0, float(count[np.searchsorted(keys, end)[0]]))
+            at = 0
+            for starts, uni_keys, _, columns in held:
+                size = len(uni_keys)
+                uni, both = count[back[at : at + size]], count[back[at + size : at + 2 * size]]
+                at += 2 * size
+                context = np.empty_like(uni)
+                context[1:] = uni[:-1]
+                context[starts] = begins
+                p = LAMBDA * np.minimum(1.0, both / np.maximum(context, 1.0)) + (1 - LAMBDA) * np.minimum(
+                    1.0, (uni + PRIOR) / max(n + PRIOR * (v + 1), PRIOR)
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, len(starts)),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array(np.add.reduceat((~rare).astype(np.int64), starts)),
-                        pa.array(np.add.reduceat(np.where(rare, 0.0, base), starts)),
-                        pa.ListArray.from_arrays(pa.array(offsets), flat),
-                        pa.array(np.add.reduceat(np.log10(p), starts)),
-                    ],
+                    [*columns, pa.array(np.add.reduceat(np.log10(p), starts))],
                     names=["doc_id", "n_tokens", "hits", "base", "rare", "score"],
                 )
-                at += len(starts)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("t"))
-    scored = rows.mapInArrow(
+        number, texts, answers = None, [], {}
+        for batch in batches:
+            for own, segment, data in zip(*(batch.column(i) for i in range(3)), strict=True):
+                if own.as_py() != number:
+                    if number is not None:
+                        yield from scored(texts, answers)
+                    number, texts, answers = own.as_py(), [], {}
+                if segment.is_valid:
+                    answers[segment.as_py()] = data.as_py()
+                else:
+                    texts.append(data.as_py())
+        if number is not None:
+            yield from scored(texts, answers)
+
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(usable, F.lit(False)).alias("u"),
+        utf8(text_col).alias("t"),
+        F.spark_partition_id().alias("p"),  # counted from 0 in either reading, as a task's own number is not
+    )
+    sent = rows.mapInArrow(_sent(shape, summed), _SENT).repartition("segment").sortWithinPartitions("segment")
+    probed = sent.mapInArrow(_probed(shape, False), _PROBED)
+    # The texts are read once more here, since to carry them through the segments would shuffle them twice.
+    met = probed.unionByName(rows.mapInArrow(_packed_texts(summed), _PROBED)).repartition("batch").sortWithinPartitions("batch")
+    scored = met.mapInArrow(
         run, "doc_id long, n_tokens long, hits long, base double, rare array<struct<token:binary,k:long>>, score double"
     )
     # From here on a row is known by its number, fixed by writing it.

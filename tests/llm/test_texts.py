@@ -235,6 +235,48 @@ def test_lm_prefers_its_own_language_and_handles_no_training(spark, docs):
     assert lm.score_texts(docs([]), learned("doc_id", 10)).count() == 0
 
 
+def plain_scores(rows):
+    """The interpolated model with counts at the middle of their levels, without a filter."""
+    cut = lambda t: [*(t or "").encode().lower().split(), lm.END]
+    one, two = Counter(), Counter()
+    for i, t in rows:
+        if i is not None and zlib.crc32(str(i).encode()) % 10:
+            one.update(cut(t))
+            two.update(zip([None, *cut(t)], cut(t)))
+    n, v = sum(one.values()), len(one)
+    read = lambda c: 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
+    for i, t in rows:
+        total = 0.0
+        for a, b in zip([None, *cut(t)], cut(t)):
+            seen = max(1.0, read(one[lm.END if a is None else a]))
+            p = 0.7 * min(1.0, read(two[a, b]) / seen) + 0.3 * min(1.0, (read(one[b]) + 0.1) / (n + 0.1 * (v + 1)))
+            total += math.log10(p)
+        yield i, total
+
+
+def test_lm_scores_equal_a_plain_model_over_many_batches(spark, docs):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 900}" for _ in range(rng.randint(0, 60)))) for i in range(400)] + [(500, None), (None, "w1 w2")]
+    expected = dict(plain_scores(rows))
+    for summed in (300, lm.SUMMED):
+        got = {r["doc_id"]: r["score"] for r in lm.score_texts(docs(rows), learned("doc_id", 10), summed=summed).collect()}
+        assert set(got) == set(expected)
+        # A false positive of the filter moves one n-gram of a text, and hardly any text has one.
+        assert sum(abs(got[i] - expected[i]) > 1e-9 for i in got) <= 0.25 * len(got)
+        assert np.mean([got[i] - expected[i] for i in got]) < 0.1
+
+
+def test_lm_filter_grows_with_the_corpus_and_rarely_errs(spark, docs):
+    for tokens_ in (1000, 10**8, 5 * 10**9, 10**12):
+        assert lm.filter_bits(tokens_) >= 12 * tokens_
+    rng = np.random.default_rng(3)
+    shape = lm.Segments(200_000)
+    keys = np.unique(rng.integers(0, 1 << shape.inner, 11_000, dtype=np.uint64))  # of one segment, as dense as they come
+    bits, _ = shape.answered(3, [lm.pack(keys, np.ones(len(keys), np.int64), shape.inner)])
+    unseen = rng.integers(0, 1 << shape.inner, 50_000, dtype=np.uint64) + (np.uint64(3) << np.uint64(shape.inner))
+    assert (lm.levels(unseen, bits, shape.blocks, 3 * shape.own) > 0).mean() < 0.01
+
+
 def test_held_out_of_null_ids(spark, docs):
     row = docs([(None, "x")]).select(held_out("doc_id", 5), learned("doc_id", 5)).first()
     assert tuple(row) == (False, False)
