@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import decontam, mixing, quality, secrets, simhash
@@ -22,17 +22,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the row with the smallest doc_id; rows of that id that tie are one.
+    """One row of each group of near-copies (5-word shingles, similarity of 0.8 or more), as ``simhash`` tells them.
 
-    A group with null ids alone keeps all of its rows that differ.
+    Rows count by all of their columns: different texts under one doc_id, or under null, are different rows.
+    Texts that are null, empty or without words are one group; an empty table gives an empty one.
     """
-    classes = simhash.near_duplicates(docs)
-    stay = classes.where("doc_id <=> component_id").groupBy("doc_id").agg(F.min("fp").alias("fp"))
-    kept = docs.join(stay.select(F.col("doc_id").alias("__id")), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    ids = Window.partitionBy("doc_id").orderBy(*(F.col(f"`{c}`") for c in docs.columns if c != "doc_id"))
-    same = Window.partitionBy("doc_id", "text").orderBy(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
-    first = F.when(F.col("doc_id").isNull(), F.row_number().over(same)).otherwise(F.row_number().over(ids))
-    return kept.withColumn("__first", first).where("__first = 1").drop("__first")
+    return simhash.without_near_copies(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
