@@ -4,7 +4,8 @@ Words of benchmark items and documents are canonicalised: numbers, units behind
 typed placeholders, other words their lower case.  Windows of the resulting templates are hash-joined, and
 the values in the placeholders' slots are compared: one benchmark value must stand for one document value
 and the other way round.  So a question asked again with other numbers or names is caught, and texts that
-merely share a frame of placeholders are not.
+merely share a frame of placeholders are not.  Windows of the words as they stand, whatever they are, are joined
+beside the templates, so that no copy word for word is lost to its slots.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 WINDOW = 8
-#: Items of fewer words are not searched: they occur by chance.
-LEAST_WORDS = 5
-#: Bits of the filter that lets document windows through to the join.  Fixed, so the broadcast is 1 MB.
-FILTER_BITS = 1 << 23
+#: A template of fewer words is not searched with other values in its slots; word for word, any item is.
+TEMPLATE_WORDS = 5
+#: Bits for each item window of the filter that lets document windows through to the join, and the most of all.
+#: The broadcast is 16 MB at most; beyond it more windows reach the join, which is exact.
+WINDOW_BITS, LEAST_BITS, MOST_BITS = 24, 1 << 16, 1 << 27
+PROBES = 3
 #: Units, whole words in lower case.
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb lbs oz ounce ounces pound pounds"
@@ -108,13 +111,26 @@ class Canonical:
         slot[kind == _NUM] = 0
         slot[((kind == _UNIT) & behind_number) | (kind == _PERCENT)] = 1
         slot[(kind == _CAPITAL) & inside] = 2
-        hashes = np.where(slot >= 0, self.placeholders[slot], tokens.hash[number])
-        return Template(number, slot, hashes, tokens.low)
+        words = tokens.hash[number]
+        return Template(number, slot, words, np.where(slot >= 0, self.placeholders[slot], words), tokens.low, bool((kind[:1] == _CAPITAL).any()))
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _window_hashes(hashes: np.ndarray, size: int, start: int) -> np.ndarray:
+    n = max(0, len(hashes) - size + 1)
+    out = np.full(n, start + size, np.uint64)
+    for i in range(size):
+        out = out * _STEP + hashes[i : i + n]
+        out ^= out >> np.uint64(29)
+    return out
 
 
 class Template:
-    def __init__(self, number, slot, hashes, low):
-        self.number, self.slot, self.hashes, self.low = number, slot, hashes, low
+    def __init__(self, number, slot, words, hashes, low, capital):
+        self.number, self.slot, self.plain, self.hashes, self.low = number, slot, words, hashes, low
+        self.capital = capital  # whether the first word could be a name
 
     def __len__(self) -> int:
         return len(self.number)
@@ -126,23 +142,31 @@ class Template:
         slots = self.slot[at : at + size]
         return " ".join(w if s < 0 else _PLACEHOLDERS[s] for w, s in zip(self.words(at, size), slots, strict=True))
 
-    def windows(self, size: int) -> np.ndarray:
-        """Hash of each window of ``size`` tokens."""
-        n = len(self) - size + 1
-        if n <= 0:
-            return np.empty(0, np.uint64)
-        out = np.full(n, size, np.uint64)
-        for i in range(size):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + self.hashes[i : i + n]
-            out ^= out >> np.uint64(29)
-        return out
-
-    def enough(self, at: int, size: int) -> bool:
-        """At least half of a window must be words, or a row of numbers would be a question."""
-        return 2 * int((self.slot[at : at + size] >= 0).sum()) <= size
-
-
-_WINDOW_SCHEMA = "at long, template string, words array<string>"
+    def literal(self, at: int, size: int) -> str:
+        """The words of a window; no template begins like it."""
+        return "= " + " ".join(self.words(at, size))
+
+    def literals(self, size: int) -> np.ndarray:
+        """Hash of the words of each window of ``size`` tokens."""
+        return _window_hashes(self.plain, size, 0)
+
+    def templates(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the windows that can be asked again with other values: they have a slot, but at least
+        half of them are words, or a row of numbers would be a question."""
+        if not TEMPLATE_WORDS <= size <= len(self) or not (self.slot >= 0).any():
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        slots = np.cumsum(np.r_[0, self.slot >= 0])
+        slots = slots[size:] - slots[:-size]
+        places = np.flatnonzero((slots > 0) & (2 * slots <= size))
+        return places, _window_hashes(self.hashes, size, 1 << 32)[places]
+
+    def quoted(self, placeholders: np.ndarray) -> Template | None:
+        """The same with a name as first word: an item's first word begins a sentence, its quotation may not."""
+        if not self.capital or self.slot[0] >= 0:
+            return None
+        slot, hashes = self.slot.copy(), self.hashes.copy()
+        slot[0], hashes[0] = 2, placeholders[2]
+        return Template(self.number, slot, self.plain, hashes, self.low, False)
 
 
 def _emit(schema, rows):
@@ -150,78 +174,114 @@ def _emit(schema, rows):
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _windows(rows: DataFrame, key: str, key_type: str, sizes: list[int], bits=None) -> DataFrame:
-    """(key, at, template, words) of all windows, or of those that the broadcast filter ``bits`` lets through."""
+def _item_windows(canonical: Canonical, text: str, window: int):
+    """(place, string, words, windows of the item, hash) of an item's windows: those of ``window`` words, or the whole
+    of a shorter item."""
+    template = canonical(text)
+    size = min(window, len(template))
+    if not size:
+        return
+    n = len(template) - size + 1
+    for at, h in enumerate(template.literals(size).tolist()):
+        yield at, template.literal(at, size), template.words(at, size), n, h
+    for at, h in zip(*template.templates(size), strict=True):
+        yield int(at), template.text(at, size), template.words(at, size), n, int(h)
+    if (quoted := template.quoted(canonical.placeholders)) is not None:
+        for at, h in zip(*quoted.templates(size), strict=True):
+            if at == 0:
+                yield 0, quoted.text(0, size), quoted.words(0, size), n, int(h)
+
+
+def _probe(hashes: np.ndarray, i: int, bits: int) -> np.ndarray:
+    """The i-th place of each hash in a filter of ``bits`` (a power of two)."""
+    return ((hashes + np.uint64(i) * ((hashes >> np.uint64(32)) | np.uint64(1))) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def items_of(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, item_at, template, item_words, item_windows, size, hash): a row per window of an item."""
     out = pa.schema(
         [
-            (key, pa.int64() if key_type == "long" else pa.string()),
-            ("at", pa.int64()),
+            ("item_id", pa.int64()),
+            ("item_at", pa.int64()),
             ("template", pa.string()),
-            ("words", pa.list_(pa.string())),
-            ("n", pa.int64()),
+            ("item_words", pa.list_(pa.string())),
+            ("item_windows", pa.int64()),
+            ("hash", pa.int64()),
         ]
     )
 
     def run(batches):
         canonical = Canonical()
-        held = None if bits is None else bits.value
         for batch in batches:
             rows = []
             for k, t in zip(batch.column(0), batch.column(1), strict=True):
-                template = canonical(t.as_py() or "")
-                for size in sizes:
-                    if held is None and size != min(len(template), max(sizes)):
-                        continue  # an item is searched by windows of one size
-                    hashes = template.windows(size)
-                    places = range(len(hashes))
-                    if held is not None:
-                        i = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                        places = np.flatnonzero(held[i >> 3] >> (i & 7).astype(np.uint8) & 1).tolist()
-                    for at in places:
-                        if template.enough(at, size):
-                            rows.append((k.as_py(), at, template.text(at, size), template.words(at, size), len(hashes)))
+                for at, string, words, n, h in _item_windows(canonical, t.as_py() or "", window):
+                    rows.append((k.as_py(), at, string, words, n, h - (1 << 64) if h >> 63 else h))
                 if len(rows) >= 20_000:
                     yield _emit(out, rows)
                     rows = []
             yield _emit(out, rows)
 
-    return rows.mapInArrow(run, f"{key} {key_type}, {_WINDOW_SCHEMA}, n long")
+    return items.select("item_id", "text").mapInArrow(
+        run, "item_id long, item_at long, template string, item_words array<string>, item_windows long, hash long"
+    )
+
 
+def window_filter(asked: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """(filter of the item windows' hashes as bytes, sizes of windows in use): words of 64 bits, OR-ed by Spark.
 
-def _sizes(items: DataFrame, window: int) -> list[int]:
-    """Window sizes in use: ``window``, and the lengths of shorter items; at most ``window`` of them."""
+    It has ``WINDOW_BITS`` bits for each distinct window, within bounds that do not depend on the data.
+    """
+    stated = asked.select("hash", F.size("item_words").alias("size")).distinct()
+    counts = {r["size"]: r["count"] for r in stated.groupBy("size").count().collect()}  # at most ``window`` sizes
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, WINDOW_BITS * sum(counts.values())):
+        bits *= 2
 
     def run(batches):
-        canonical = Canonical()
         for batch in batches:
-            found = {min(window, len(canonical(t.as_py() or ""))) for t in batch.column(0)}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["size"])
+            hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            i = np.unique(np.concatenate([_probe(hashes, i, bits) for i in range(PROBES)]))
+            yield pa.RecordBatch.from_arrays([pa.array(i >> 6), pa.array(np.int64(1) << (i & 63))], names=["word", "bits"])
 
-    used = {r["size"] for r in items.select("text").mapInArrow(run, "size long").distinct().collect()}
-    return sorted(s for s in used | {window} if s >= min(LEAST_WORDS, window))
+    words = stated.select("hash").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    out = np.zeros(bits >> 6, np.int64)
+    got = words.toPandas()  # at most MOST_BITS / 64 rows
+    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    return out.view(np.uint8), sorted(counts)
 
 
-def _filter_bits(items: DataFrame, sizes: list[int]) -> np.ndarray:
-    """The bitmap of the items' window hashes: words of 64 bits, OR-ed by Spark; 1 MB whatever the items."""
+def windows_of(texts: DataFrame, sizes: list[int], filter_) -> DataFrame:
+    """(key, at, template, words) of the windows of ``texts`` (key, t) that the broadcast filter lets through."""
+    out = pa.schema([("key", pa.string()), ("at", pa.int64()), ("template", pa.string()), ("words", pa.list_(pa.string()))])
 
     def run(batches):
-        canonical = Canonical()
+        canonical, held = Canonical(), filter_.value
+        bits = 8 * len(held)
+
+        def passed(hashes):
+            alive = np.arange(len(hashes))
+            for i in range(PROBES):
+                at = _probe(hashes[alive], i, bits)
+                alive = alive[held[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
+            return alive
+
         for batch in batches:
-            found = [np.empty(0, np.uint64)]
-            for t in batch.column(0):
+            rows = []
+            for k, t in zip(batch.column(0), batch.column(1), strict=True):
                 template = canonical(t.as_py() or "")
-                if len(template) >= min(sizes):
-                    found.append(template.windows(min(len(template), max(sizes))))
-            i = np.unique(np.concatenate(found) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(i >> 3, pa.int64()), pa.array(1 << (i & 7), pa.int64())], names=["byte", "bits"]
-            )
+                for size in sizes:
+                    for at in passed(template.literals(size)).tolist():
+                        rows.append((k.as_py(), at, template.literal(at, size), template.words(at, size)))
+                    places, hashes = template.templates(size)
+                    for at in places[passed(hashes)].tolist():
+                        rows.append((k.as_py(), at, template.text(at, size), template.words(at, size)))
+                if len(rows) >= 20_000:
+                    yield _emit(out, rows)
+                    rows = []
+            yield _emit(out, rows)
 
-    rows = items.select("text").mapInArrow(run, "byte long, bits long").groupBy("byte").agg(F.bit_or("bits").alias("bits"))
-    bits = np.zeros(FILTER_BITS >> 3, np.uint8)
-    got = rows.toPandas()  # at most FILTER_BITS / 8 rows
-    bits[got["byte"].to_numpy(np.int64)] = got["bits"].to_numpy(np.uint8)
-    return bits
+    return texts.mapInArrow(run, "key string, at long, template string, words array<string>")
 
 
 def matches(
@@ -234,22 +294,22 @@ def matches(
 ) -> DataFrame:
     """(key, item_id, n_windows, item_windows, changed_slots): documents, by md5 of their text, with items.
 
-    One row per text and item that share template windows along one alignment, if all slots of those windows
-    are consistent or one of the windows is the same word for word.  Items shorter than ``window`` words are searched whole, those under ``LEAST_WORDS`` not at
-    all.  Null texts match nothing.  Repeated texts share a key.
+    One row per text and item that share windows along one alignment, if one of the windows is the same word for
+    word or all slots of those windows are consistent.  Items shorter than ``window`` words are searched whole,
+    however short; those without words match nothing.  Other values in slots are looked for in windows of at least
+    ``TEMPLATE_WORDS`` words of which at least half are no slots.  Null texts match nothing.  Repeated texts share a
+    key.  Very long texts are searched whole.
     """
     spark = docs.sparkSession
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(
         F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
     )
-    sizes = _sizes(items, window)
-    bits = spark.sparkContext.broadcast(_filter_bits(items, sizes))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("t"))
     texts = texts.select(F.md5(F.col("t").cast("binary")).alias("key"), "t")
-    asked = _windows(items, "item_id", "long", sizes).select(
-        "item_id", F.col("at").alias("item_at"), "template", F.col("words").alias("item_words"), F.col("n").alias("item_windows")
-    )
-    held = checkpointed(_windows(texts, "key", "string", sizes, bits).select("key", "at", "template", "words").distinct())
+    asked = checkpointed(items_of(items, window))
+    bits, sizes = window_filter(asked)
+    asked = asked.drop("hash")
+    held = checkpointed(windows_of(texts, sizes, spark.sparkContext.broadcast(bits)).distinct())
     pairs = held.join(asked, "template").withColumn("shift", F.col("at") - F.col("item_at"))
     slots = F.transform(
         F.filter(

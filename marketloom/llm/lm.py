@@ -8,7 +8,7 @@ of texts send their distinct n-grams to the segments, a task fills each segment
 batches, and the levels go back to the batch's texts, which are scored there.
 
 Probabilities are interpolated: p(w | v) = LAMBDA c(v w) / c(v) + (1 - LAMBDA) p(w), with the unigram smoothed as in
-the base score.
+the base score; behind a token that was never seen, p(w | v) = p(w).
 
 Beside it, an exact unigram base score.  Counts of the most frequent tokens are broadcast (a bounded table);
 occurrences of all other tokens meet their counts in a join, pre-aggregated per document.
@@ -16,6 +16,7 @@ occurrences of all other tokens meet their counts in a join, pre-aggregated per
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from dataclasses import dataclass
 from math import log10
@@ -33,8 +34,8 @@ END = b"</s> "
 LAMBDA = 0.7
 #: Pseudo-count of the unigrams.
 PRIOR = 0.1
-#: Tokens whose counts are broadcast.
-FREQUENT = 200_000
+#: Tokens whose counts are broadcast, and bytes above which a token is known by its digest there.
+FREQUENT, LONG = 200_000, 64
 #: Bits of the filter for each training token.  The filter grows with them; no process holds more than a segment.
 BITS_PER_TOKEN = 16
 PROBES = 3
@@ -53,6 +54,11 @@ def tokens(data: bytes) -> list[bytes]:
     return [*data.lower().split(), END]
 
 
+def _short(token: bytes) -> bytes:
+    """The token, or a space, which no word holds, and the md5 of a long one."""
+    return b" " + hashlib.md5(token).digest() if len(token) > LONG else token
+
+
 class Vocabulary:
     """Numbers for tokens, with arrays of what is known of each; it starts anew when it is full."""
 
@@ -408,9 +414,11 @@ def score_texts(
     totals = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = int(totals["n"]), int(totals["v"])
     below = log10(n + PRIOR * (v + 1))
-    top = counted.orderBy(F.desc("c"), "token").limit(frequent).toArrow()  # at most ``frequent`` tokens
+    # At most ``frequent`` tokens; long ones go by their digest, so a frequent one is no heavier and no key of a join.
+    short = F.when(F.length("token") > LONG, F.concat(F.lit(b" "), F.unhex(F.md5("token")))).otherwise(F.col("token"))
+    top = counted.orderBy(F.desc("c"), "token").limit(frequent).select(short, "c").toArrow()
     known = zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)
-    shared = spark.sparkContext.broadcast({t: log10(c + PRIOR) - below for t, c in known if len(t) <= 64})
+    shared = spark.sparkContext.broadcast({t: log10(c + PRIOR) - below for t, c in known})
     shape = Segments(n)
     end = mixed(hashes([END]))
 
@@ -420,7 +428,7 @@ def score_texts(
 
         def describe(new):
             h = hashes(new)
-            return h, np.fromiter((known.get(w, missing) for w in new), np.float64, len(new))
+            return h, np.fromiter((known.get(_short(w), missing) for w in new), np.float64, len(new))
 
         vocabulary = Vocabulary(describe)
         kind = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
@@ -468,9 +476,9 @@ def score_texts(
                 context = np.empty_like(uni)
                 context[1:] = uni[:-1]
                 context[starts] = begins
-                p = LAMBDA * np.minimum(1.0, both / np.maximum(context, 1.0)) + (1 - LAMBDA) * np.minimum(
-                    1.0, (uni + PRIOR) / max(n + PRIOR * (v + 1), PRIOR)
-                )
+                alone = np.minimum(1.0, (uni + PRIOR) / max(n + PRIOR * (v + 1), PRIOR))
+                behind = LAMBDA * np.minimum(1.0, both / np.maximum(context, 1.0)) + (1 - LAMBDA) * alone
+                p = np.where(context > 0, behind, alone)
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(np.add.reduceat(np.log10(p), starts))],
                     names=["doc_id", "n_tokens", "hits", "base", "rare", "score"],

@@ -4,20 +4,22 @@ Every document gets a virtual finish time: the words of its source up to and wit
 divided by the source's target.  A source whose target is above its size goes round again, up to ``repeats``
 times.  All passes of all documents are put in order of finish time and taken while the budget lasts.
 
-Both running sums (inside a source, and over finish times) are two-level: sums of small ranges first, a
-running sum over the few range sums, then windows inside each range.  So one source with a third of all
-rows, or all of them, is spread over many tasks.
+Both running sums (inside a source, and over finish times) have three levels: sums of small ranges, sums of a
+few thousand ranges together, a running sum over those, and then windows inside each of them and inside each range.
+So one source with a third of all rows, or all of them, is spread over many tasks, and no task has all ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, checkpointed
 
 #: Ranges of a running sum at least, and rows that one range holds, about; a digit more is 16 times the ranges.
 LEAST_RANGES, RANGE_ROWS = 4096, 2000
+#: Columns that the mix adds.
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def word_count(text_col: str = "text"):
@@ -75,21 +77,25 @@ def mix(
     weights: tuple[float, ...] = (1, 2, 3),
     repeats: int = 3,
     ranges: int | None = None,
+    size: Column | None = None,
 ) -> DataFrame:
     """(``docs`` columns, size, source_size, target, taken): one row per input row.
 
+    Input columns of those four names are replaced.  ``size`` is the column of sizes, where they are known; by
+    default the words of the text are counted.
+
     ``taken`` counts the words that the mix takes of the row, over at most ``repeats`` passes.  Null texts
     have size 0 and take nothing; a null source is a source of its own, after all others; rows that tie in
     id and size are interchangeable.  The budget is the total size; a document that would pass it ends the
     mix.  An empty table returns no rows.  ``ranges`` is the number of ranges of each running sum; by default
     it follows the rows, so that a range stays small enough for one task.
     """
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in ADDED]
     sized = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"),
-        F.col(source_col).cast("string").alias("source"),
-        F.col(id_col).alias("id"),
-        word_count(text_col).alias("size"),
+        F.col(f"`{source_col}`").cast("string").alias("source"),
+        F.col(f"`{id_col}`").alias("id"),
+        (word_count(text_col) if size is None else F.coalesce(size.cast("long"), F.lit(0).cast("long"))).alias("size"),
     ).withColumn("h", shuffle_key("id"))
     narrow = checkpointed(sized.select("source", "id", "size", "h"))
     if ranges is None:
@@ -117,13 +123,28 @@ def mix(
     )
 
 
+def _ahead(sums: DataFrame, keys: list[str], order: str, coarse: Column) -> DataFrame:
+    """Adds ``ahead``: the sum of ``words`` of the rows before each, by ``order``, in two levels; ``coarse`` follows the order."""
+    cut = sums.withColumn("__c", coarse)
+    before = Window.partitionBy(*keys).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    upper = cut.groupBy(*keys, "__c").agg(F.sum("words").alias("__w"))
+    upper = upper.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__c").alias("__d"), F.coalesce(F.sum("__w").over(before), F.lit(0)).alias("__a"))
+    inside = Window.partitionBy(*keys, "__c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    on = F.col("__c") == F.col("__d")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    own = cut.withColumn("__o", F.coalesce(F.sum("words").over(inside), F.lit(0)))
+    return own.join(upper, on).withColumn("ahead", F.col("__a") + F.col("__o")).select(*sums.columns, "ahead")
+
+
 def _running(entries: DataFrame, ranges: int) -> DataFrame:
     """Adds ``before``: the words of the entry's source ahead of it, by (h, id, size)."""
     digits = max(1, len(f"{ranges - 1:x}"))
     cut = entries.withColumn("r", F.substring("h", 1, digits))
-    ahead = Window.partitionBy("source").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     sums = cut.groupBy("source", "r").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
-    starts = sums.select(F.col("source").alias("s"), F.col("r").alias("q"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start"))
+    # Three digits less make one of 4,096 ranges.
+    starts = _ahead(sums, ["source"], "r", F.substring("r", 1, max(0, digits - 3)))
+    starts = starts.select(F.col("source").alias("s"), F.col("r").alias("q"), F.col("ahead").alias("start"))
     inside = Window.partitionBy("source", "r").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     own = cut.withColumn("own", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
     joined = own.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("r") == F.col("q")))
@@ -143,11 +164,10 @@ def _take(placed: DataFrame, repeats: int, ranges: int) -> DataFrame:
     span = F.least(F.floor(F.col("finish") * F.lit(ranges // 2)), F.lit(ranges * 4)).cast("long")
     ranged = queue.withColumn("f", span)
     sums = ranged.groupBy("f").agg(F.sum("words").alias("words"))
-    up_to = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, 0)
     total = placed.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0)).alias("budget"))
-    steps = sums.withColumn("upto", F.sum("words").over(up_to)).crossJoin(F.broadcast(total))  # one row
+    steps = _ahead(sums, [], "f", F.floor(F.col("f") / 4096)).crossJoin(F.broadcast(total))  # one row
     # The range in which the budget ends, with the words before it: one row.
-    last = steps.where("upto > budget").agg(F.min(F.struct("f", (F.col("upto") - F.col("words")).alias("ahead"), "budget")).alias("x"))
+    last = steps.where("ahead + words > budget").agg(F.min(F.struct("f", "ahead", "budget")).alias("x"))
     last = last.select("x.f", "x.ahead", "x.budget").withColumnRenamed("f", "edge")
     inside = Window.orderBy("finish", "h", "source", "id", "size", "pass").rowsBetween(Window.unboundedPreceding, 0)
     border = (

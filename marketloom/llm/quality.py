@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +75,9 @@ class Machine:
     scale: np.ndarray
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        index, value, stats = features(text)
+        return self.joined(*features(text))
+
+    def joined(self, index: np.ndarray, value: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return (
             np.r_[index, np.arange(HASHED, HASHED + STATS)],
             np.r_[value, np.clip((stats - self.mean) / self.scale, -4, 4) / np.sqrt(STATS)],
@@ -89,10 +92,17 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.raw(*self.vector(text)), -40, 40))))
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Machine:
-    """AdaGrad over the sample, in a fixed shuffled order.  With one class or none the score is its share."""
+def fit(
+    known: list[tuple[np.ndarray, np.ndarray, np.ndarray]],
+    labels: list[int],
+    epochs: int = 12,
+    rate: float = 0.05,
+    decay: float = 1e-4,
+    seed: int = 7,
+) -> Machine:
+    """AdaGrad over the ``features`` of a sample, in a fixed shuffled order.  With one class or none the score is its share."""
     rng = np.random.default_rng(seed)
-    stats = np.array([statistics(t, t.split()) for t in texts]) if texts else np.zeros((1, STATS))
+    stats = np.array([x[2] for x in known]) if known else np.zeros((1, STATS))
     share = (sum(labels) + 0.5) / (len(labels) + 1)
     machine = Machine(
         float(np.log(share / (1 - share))),
@@ -104,7 +114,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0.0
     if len(set(labels)) < 2:
         machine.factors[:] = 0
         return machine
-    rows = [machine.vector(t) for t in texts]
+    rows = [machine.joined(*x) for x in known]
     g_w, g_v, g_b = np.full(HASHED + STATS, 1e-2), np.full((HASHED + STATS, FACTORS), 1e-2), 1e-2
     for _ in range(epochs):
         for r in rng.permutation(len(rows)):
@@ -137,7 +147,8 @@ def learn(
 
     The sample is the rows of ``labels`` whose md5 of the id comes first; it is bounded before it meets the
     documents, so the join broadcasts at most ``sample_rows`` ids.  Null labels and null texts are not
-    learned from; several labels of one document are all learned from.
+    learned from; several labels of one document are all learned from.  The driver gets features, not texts: at
+    most ``HASHED`` x 6 bytes of a row, however long its text.
     """
     first = F.md5(F.col(id_col).cast("string").cast("binary"))
     known = labels.where(usable & F.col(label_col).isNotNull())
@@ -150,14 +161,30 @@ def learn(
         .limit(sample_rows)
     )
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t")).where("t is not null")
-    joined = rows.join(F.broadcast(sample), "k").orderBy("h", "k", "y", "t").limit(sample_rows).collect()
-    return fit([r["t"] for r in joined], [1 if r["y"] > 0 else 0 for r in joined])
+
+    def packed(batches):
+        for batch in batches:
+            found = [features(t.as_py()) for t in batch.column(3)]
+            sparse = [x[0].astype("<u2").tobytes() + x[1].astype("<f4").tobytes() for x in found]
+            columns = [*batch.columns[:3], pa.array(sparse, pa.binary()), pa.array([x[2].tolist() for x in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "k", "y", "words", "stats"])
+
+    joined = rows.join(F.broadcast(sample), "k").select("h", "k", "y", "t")
+    chosen = joined.mapInArrow(packed, "h string, k long, y int, words binary, stats array<double>")
+    chosen = chosen.orderBy("h", "k", "y", "words", "stats").limit(sample_rows).collect()
+
+    def unpacked(r):
+        n = len(r["words"]) // 6
+        index = np.frombuffer(r["words"], "<u2", n).astype(np.int64)
+        return index, np.frombuffer(r["words"], "<f4", n, 2 * n).astype(float), np.array(r["stats"])
+
+    return fit([unpacked(r) for r in chosen], [1 if r["y"] > 0 else 0 for r in chosen])
 
 
 def score(docs: DataFrame, machine: Machine, text_col: str = "text", output: str = "score") -> DataFrame:
     """All columns of ``docs`` and ``output``, the probability of label 1, from the whole text alone.
 
-    Null counts as an empty text.  Equal texts score equally; repeated rows each return a row.
+    An input column named ``output`` is replaced.  Null counts as an empty text.  Equal texts score equally; repeated rows each return a row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # fixed size: HASHED x FACTORS numbers
 

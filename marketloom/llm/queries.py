@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, decontam, langid, licenses, lm, mixing, quality, secrets, simhash, tokens
-from .common import held_out, learned, table
+from .common import checkpointed, held_out, learned, table
 
 ACCEPT = 0.3
 
@@ -68,8 +68,9 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    # The words are counted once; from there on the rows are narrow.
+    docs = checkpointed(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("words")))
+    return mixing.mix(docs, size=F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,7 +98,7 @@ def test_language_edge_cases(spark, docs):
 
 def test_quality_sum_of_squares_equals_pairs():
     rng = np.random.default_rng(2)
-    machine = quality.fit(["a b c", "x y z !!", "a a a a"], [1, 0, 0], epochs=2)
+    machine = quality.fit([*map(quality.features, ["a b c", "x y z !!", "a a a a"])], [1, 0, 0], epochs=2)
     machine.factors = rng.normal(size=machine.factors.shape)
     index, value = machine.vector("a b c d e")
     pairs = sum(
@@ -141,15 +141,15 @@ def test_decontamination(spark, docs):
     ]
     found = decontam.contaminated(docs(texts), bench)
     got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
-    assert (0, 1) in got and (1, 2) in got and (7, 5) in got
-    assert not {d for d, _ in got} & {3, 4, 5, 6, 8}
+    assert (0, 1) in got and (1, 2) in got and (7, 5) in got and (3, 3) in got
+    assert not {d for d, _ in got} & {4, 5, 6, 8}
     changed = {r["doc_id"]: r["changed_slots"] for r in found.collect()}
     assert changed[1] > 0
     assert (2, 2) not in got  # Anna stands for two names there
     assert decontam.contaminated(docs([]), bench).count() == 0
     assert decontam.contaminated(docs(texts), bench.limit(0)).count() == 0
     kept = {r["doc_id"] for r in decontam.clean(docs(texts), bench).collect()}
-    assert kept == {2, 3, 4, 5, 6, 8}
+    assert kept == {2, 4, 5, 6, 8}
 
 
 def test_canonical_templates():
@@ -172,6 +172,85 @@ def test_decontamination_repeated_rows(spark, docs):
     assert decontam.clean(rows, bench).columns == rows.columns
 
 
+def brute_leaks(texts, items, window=8):
+    """(text, item) pairs by comparing all windows, one by one."""
+    canonical = decontam.Canonical()
+    read = lambda t: (lambda x: (x.words(0, len(x)), x.slot.tolist(), x.capital))(canonical(t or ""))
+
+    def hits(doc, item, size):
+        """Slots by alignment, and whether a window is the same word for word."""
+        out = {}
+        (d, ds, _), (w, ws, capital) = doc, item
+        for j in range(len(w) - size + 1):
+            ways = [ws[j : j + size]]
+            if j == 0 and capital and ws[0] < 0:
+                ways.append([2, *ws[1:size]])
+            for i in range(len(d) - size + 1):
+                a, b = d[i : i + size], w[j : j + size]
+                slots, literal = out.setdefault(i - j, (set(), []))
+                if a == b:
+                    literal.append(1)
+                mine = ds[i : i + size]
+                full = sum(s >= 0 for s in mine)
+                if size >= 5 and full and 2 * full <= size:
+                    for way in ways:
+                        if way == mine and all(x == y for x, y, s in zip(a, b, mine) if s < 0):
+                            slots.update((s, x, y) for x, y, s in zip(a, b, mine) if s >= 0)
+        return out
+
+    found = set()
+    for k, t in enumerate(texts):
+        for n, (_, item) in enumerate(items):
+            doc, own = read(t), read(item)
+            size = min(window, len(own[0]))
+            if not size:
+                continue
+            for slots, literal in hits(doc, own, size).values():
+                one = len({(s, x) for s, x, _ in slots}) == len(slots) == len({(s, y) for s, _, y in slots})
+                if literal or (slots and one):
+                    found.add((k, items[n][0]))
+    return found
+
+
+def test_decontamination_equals_brute_force_over_all_windows(spark, docs):
+    items = [
+        (1, "3 4 5 6 7 8 9 10 11 12"),
+        (2, "Anna Bell Carl Dora Emil Fritz Gina Hugo"),
+        (3, "hi"),
+        (4, "Paris has 3 rivers and 2 old bridges"),
+        (5, "If Anna buys 12 kg of rice and Bob buys 7 kg of rice how much rice do Anna and Bob have"),
+        (6, ""),
+        (7, "?! ."),
+        (8, "two 2"),
+        (9, "Paris has 3 rivers and 2 old bridges"),
+    ]
+    rng = random.Random(6)
+    words = "Anna Bob 3 4 5 12 7 kg of rice and buys . ! hi how much do have Paris rivers old bridges has the 2".split()
+    texts = [t for _, t in items] + [
+        "numbers: 3 4 5 6 7 8 9 10 11 12 end",
+        "list of Anna Bell Carl Dora Emil Fritz Gina Hugo here",
+        "he asked: Paris has 3 rivers and 2 old bridges?",
+        "he asked: Rome has 5 rivers and 9 old bridges?",
+        "Rome has 5 rivers and 9 old bridges",
+        "If Carla buys 30 kg of rice and Dave buys 5 kg of rice how much rice do Carla and Dave have",
+        "say hi to all",
+        "x " * 20000 + "3 4 5 6 7 8 9 10",
+        None,
+    ]
+    texts += [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(120)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs(texts), bench).collect()}
+    assert got == brute_leaks(texts, items)
+    assert {(9, 1), (10, 2), (11, 4), (12, 4), (15, 3), (16, 1)} <= got
+
+
+def test_decontamination_filter_follows_the_items(spark):
+    few = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    many = spark.createDataFrame([(i, " ".join(f"w{i * 7 + j}" for j in range(12))) for i in range(4000)], "item_id long, text string")
+    sizes = [len(decontam.window_filter(decontam.items_of(x, 8))[0]) for x in (few, many)]
+    assert sizes[0] == decontam.LEAST_BITS // 8 and sizes[1] > 4 * sizes[0]
+
+
 def brute_base(rows):
     cut = lambda t: [*(t or "").encode().lower().split(), lm.END]
     counts = Counter()
