@@ -2,7 +2,8 @@
 
 For every language a raw-content dictionary is joined from a bounded, fixed sample of labelled texts.  A text
 is normalised, cut into pieces and every piece is compressed with each dictionary; the smallest total wins.
-Narrow margins are marked as not reliable.
+A language with little text has a shorter dictionary, so it meets the best of the others with that one's dictionary
+cut to the same length.  Narrow margins are marked as not reliable.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ UNKNOWN = "und"
 #: Texts that at most are sampled for one language, and bytes of them that make its dictionary.
 SAMPLE_TEXTS = 300
 SAMPLE_BYTES = 96 << 10
-#: Texts longer than this many characters are not sampled (they are predicted whole all the same).
+#: Of a longer text a piece of this many characters is sampled (it is predicted whole all the same).
 SAMPLE_CHARS = 6000
-#: Languages that are learned at most: the most frequent ones.  Each costs one compression of every text.
-MOST_LANGUAGES = 64
+#: Languages up to which their counts are broadcast.
+FEW_LANGUAGES = 10_000
 #: Characters that are compressed at a time.
 PIECE = 8192
 #: The winner must save at least this share of bytes against the second to be reliable.
@@ -44,52 +45,82 @@ def learn(
 ) -> dict[str, bytes]:
     """Dictionary content per language, from rows where ``usable`` holds and the language is not null.
 
-    At most ``MOST_LANGUAGES`` x ``sample_texts`` texts of at most ``SAMPLE_CHARS`` characters reach the
-    driver: for each language those whose md5 of the id comes first, so that the sample is spread and fixed.
+    Every language of those rows is learned, however rare and however long its texts; each costs one compression of
+    every text.  For each language those texts count whose md5 of the id comes first, so that the sample is spread
+    and fixed: at most ``sample_texts``, of a text over ``SAMPLE_CHARS`` characters a piece of that many whose
+    place follows from the md5, and no more than about twice ``sample_bytes`` in all reach the driver.  Null and
+    empty texts teach nothing, nor do those without a letter; repeated texts count once.
     """
     rows = docs.where(usable & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"),
         F.md5(F.col(id_col).cast("string").cast("binary")).alias("h"),
         F.col(text_col).cast("string").alias("t"),
     )
-    rows = rows.where((F.char_length("t") > 0) & (F.char_length("t") <= SAMPLE_CHARS))
-    named = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    length = F.char_length("t")
+    rows = rows.where(length > 0)
+    named = rows.groupBy("lang").count()
+    if (few := named.limit(FEW_LANGUAGES + 1).count()) <= FEW_LANGUAGES:
+        named = F.broadcast(named)
+    if not few:
+        return {}
     # Of a frequent language only the hashes that can be among the first go on: about four times the sample,
     # however many rows there are.
     place = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
-    near = rows.join(F.broadcast(named), "lang").where(place * F.col("count") <= 4.0 * sample_texts)
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))
-    sample = near.withColumn("i", first).where(F.col("i") <= sample_texts)
+    near = rows.join(named, "lang").where(place * F.col("count") <= 4.0 * sample_texts)
+    begin = F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), length - SAMPLE_CHARS + 1)) + 1
+    near = near.select("lang", "h", F.substring("t", begin.cast("int"), F.lit(SAMPLE_CHARS)).alias("t"))
+    order = Window.partitionBy("lang").orderBy("h", "t")
+    first = near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= sample_texts)
+    before = F.coalesce(F.sum(F.octet_length("t")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sample = first.withColumn("before", before).where(F.col("before") < 2 * sample_bytes)
     parts: dict[str, list[str]] = {}
-    for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["i"])):
+    for r in sorted(sample.select("lang", "i", "t").collect(), key=lambda r: (r["lang"], r["i"])):
         parts.setdefault(r["lang"], []).append(normalised(r["t"]))
-    content = {lang: " ".join(dict.fromkeys(texts)).encode() for lang, texts in parts.items()}
-    size = min([sample_bytes, *(len(c) for c in content.values() if len(c) > 4096)])  # the same for all
-    return {lang: c[:size] for lang, c in content.items() if c}
+    content = {lang: " ".join(filter(None, dict.fromkeys(texts))).encode() for lang, texts in parts.items()}
+    return {lang: c[:sample_bytes] for lang, c in content.items() if c}
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], level: int = 3):
-        import zstandard
-
-        self.coders = {}
-        for lang, content in sorted(dictionaries.items()):
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=level)
-            self.coders[lang] = zstandard.ZstdCompressor(
-                level=level, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
-            )
+        self.dictionaries, self.level, self.coders = dictionaries, level, {}
+        #: Languages by the length that their dictionary is cut to, longest first.
+        self.tiers: dict[int, list[str]] = {}
+        longest = max(map(len, dictionaries.values()), default=0)
+        for lang in sorted(dictionaries):
+            size = longest
+            while size > len(dictionaries[lang]):
+                size //= 2
+            self.tiers.setdefault(size, []).append(lang)
+        self.tiers = dict(sorted(self.tiers.items(), reverse=True))
+
+    def size(self, pieces: list[bytes], lang: str, length: int) -> int:
+        """Bytes of the pieces with the first ``length`` bytes of a language's dictionary."""
+        coder = self.coders.get((lang, length))
+        if coder is None:
+            import zstandard
+
+            options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+            data = zstandard.ZstdCompressionDict(self.dictionaries[lang][:length], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            data.precompute_compress(level=self.level)
+            coder = self.coders[lang, length] = zstandard.ZstdCompressor(level=self.level, dict_data=data, **options)
+        return sum(len(coder.compress(p)) for p in pieces)
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, reliable).  The score falls from 1 to 1 / languages as the margin narrows."""
         plain = normalised(text or "")
-        if not self.coders or not any(map(str.isalpha, plain)):
+        if not self.tiers or not any(map(str.isalpha, plain)):
             return UNKNOWN, 0.0, False
         pieces = [plain[i : i + PIECE].encode() for i in range(0, len(plain), PIECE)]
-        sizes = sorted((sum(len(c.compress(p)) for p in pieces), lang) for lang, c in self.coders.items())
+        cost: dict[str, int] = {}
+        for length, langs in self.tiers.items():
+            # Behind the leader, by as much as behind its dictionary of the same length.
+            lead = min(cost.items(), key=lambda x: (x[1], x[0])) if cost else None
+            shift = lead[1] - self.size(pieces, lead[0], length) if lead else 0
+            cost |= {lang: self.size(pieces, lang, length) + shift for lang in langs}
+        sizes = sorted((n, lang) for lang, n in cost.items())
         best, lang = sizes[0]
         score = 1 / sum(exp(max(-60.0, (best - s) / 2)) for s, _ in sizes)
-        return lang, score, len(sizes) == 1 or sizes[1][0] - best >= max(1, MARGIN * best)
+        return lang, score, len(sizes) == 1 or sizes[1][0] - best >= max(1, MARGIN * max(1, best))
 
 
 def identify(
@@ -100,7 +131,7 @@ def identify(
     ``und`` with score 0 where the text is null or has no letter, or where nothing was learned.  Ties go to
     the language first in code-point order.  Ids may be null or repeated; extra columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # at most MOST_LANGUAGES x SAMPLE_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # at most SAMPLE_BYTES a language
 
     def run(batches):
         classify = Classifier(shared.value, level)

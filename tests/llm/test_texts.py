@@ -96,6 +96,52 @@ def test_language_edge_cases(spark, docs):
     assert {r["lang_pred"] for r in langid.identify(docs(["text"]), {}).collect()} == {"und"}
 
 
+def plain_language(text, dictionaries):
+    """The smallest total over the pieces, by compressors made for each call."""
+    import zstandard
+
+    plain = langid.normalised(text or "")
+    if not any(map(str.isalpha, plain)):
+        return "und"
+
+    def size(content):
+        coder = zstandard.ZstdCompressor(
+            level=3, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        return sum(len(coder.compress(plain[i : i + 8192].encode())) for i in range(0, len(plain), 8192))
+
+    return min((size(c), lang) for lang, c in dictionaries.items())[1]
+
+
+def test_language_query_equals_a_plain_classifier(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    known = langid.learn(rows, learned("doc_id", 5))
+    shortest = min(map(len, known.values()))
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(rows, {k: c[:shortest] for k, c in known.items()}).collect()}
+    for r in rows.collect():
+        assert got[r["doc_id"]] == plain_language(r["text"], {k: c[:shortest] for k, c in known.items()})
+
+
+def test_languages_that_are_rare_long_or_many_are_learned(spark, docs):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabularies = {f"l{k:02}": ["".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(40)] for k in range(70)}
+    draw = lambda lang, n: " ".join(rng.choices(vocabularies[lang], k=n))
+    train = docs([])
+    for k, lang in enumerate(vocabularies):
+        # The first has only long texts, the second little text, the third much.
+        texts = [draw(lang, {0: 4000, 1: 60, 2: 600}.get(k, 120)) for _ in range({0: 3, 1: 1, 2: 200}.get(k, 4))]
+        train = train.unionByName(docs([(10_000 + 1000 * k + 5 * i + 1, t) for i, t in enumerate(texts)], lang=lang))
+    known = langid.learn(train.coalesce(4), F.lit(True))
+    assert set(known) == set(vocabularies) and len(known["l02"]) > 50 * len(known["l01"])
+    asked = [(lang, draw(lang, 25)) for lang in vocabularies for _ in range(3)]
+    got = langid.identify(docs([t for _, t in asked]), known).collect()
+    right = [r["lang_pred"] == asked[r["doc_id"]][0] for r in got]
+    assert np.mean(right) > 0.97
+    assert all(ok for ok, (lang, _) in zip(right, asked, strict=True) if lang in ("l00", "l01", "l02"))
+
+
 def test_quality_sum_of_squares_equals_pairs():
     rng = np.random.default_rng(2)
     machine = quality.fit([*map(quality.features, ["a b c", "x y z !!", "a a a a"])], [1, 0, 0], epochs=2)
