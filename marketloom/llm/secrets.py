@@ -57,6 +57,8 @@ RULES = BASE + ADDED
 REDACTED = "[REDACTED]"
 #: Trigrams of a clause that are looked up at most; fewer name more candidates, never fewer.
 CLAUSE_TRIGRAMS = 5
+#: Matches of a text that are placed together.
+FOLDED = 64
 _MOST = 64  # strings that a mandatory part of a pattern may stand for before it is closed
 
 
@@ -204,25 +206,36 @@ def _hits(text: Column, rule: Rule, order: int) -> Column:
     )
 
 
+def _folded(items: Column, kind: str, step, finish) -> Column:
+    """Walks ``items``: ``step`` (place, item) gives the next place and a piece, ``finish`` (place, pieces) the result.
+
+    Pieces are gathered in chunks, since each one that is appended to an array copies the array.
+    """
+    none, nones = (F.expr(f"cast(array() as array<{k}>)") for k in (kind, f"array<{kind}>"))
+    last = F.greatest(F.lit(0), F.floor((F.size(items) - 1) / FOLDED).cast("int"))
+    chunks = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(items, c * FOLDED + 1, FOLDED))
+
+    def one(acc, x):
+        at, piece = step(acc["at"], x)
+        return F.struct(at.alias("at"), F.concat(acc["out"], F.array(piece)).alias("out"))
+
+    def chunk(acc, part):
+        done = F.aggregate(part, F.struct(acc["at"].alias("at"), none.alias("out")), one)
+        more = F.transform(F.array(done), lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+        return more[0]
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), nones.alias("out"))
+    return F.aggregate(chunks, start, chunk, lambda acc: finish(acc["at"], F.flatten(acc["out"])))
+
+
 def _spans(hits: Column, rule: Rule, order: int) -> Column:
     """Array of (start, end, kind order, kind), code points, end exclusive; failing matches dropped."""
-    none = F.expr("cast(array() as array<struct<s:bigint,e:bigint,keep:boolean>>)")
-    placed = F.aggregate(
-        hits,
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
-        lambda acc, h: F.struct(
-            (acc["at"] + h["gap"] + h["size"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + h["gap"]).alias("s"), (acc["at"] + h["gap"] + h["size"]).alias("e"), h["keep"].alias("keep")
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+
+    def step(at, h):
+        end = at + h["gap"] + h["size"]
+        return end, F.struct((at + h["gap"]).alias("s"), end.alias("e"), h["keep"].alias("keep"))
+
+    placed = _folded(hits, "struct<s:bigint,e:bigint,keep:boolean>", step, lambda _, pieces: pieces)
     return F.transform(
         F.filter(placed, lambda x: x["keep"]),
         lambda x: F.struct(x["s"].alias("s"), F.lit(order).alias("o"), x["e"].alias("e"), F.lit(rule.kind).alias("kind")),
@@ -239,14 +252,17 @@ def scan(
 ) -> DataFrame:
     """(``docs`` columns, spans): spans is an array of structs (s, o, e, kind), by start, then rule order.
 
-    Matches are leftmost and non-overlapping per rule.  A null text counts as empty; empty texts have no
+    An input column named spans is replaced.  At most 63 rules, a bit each.  Matches are leftmost and
+    non-overlapping per rule.  A null text counts as empty; empty texts have no
     spans; repeated rows each return a row; a null id is kept.
     """
+    if len(rules) > 63:
+        raise ValueError(f"at most 63 rules, not {len(rules)}")
     rules = tuple(Rule(r.kind, _SHORTCUT.get(r.kind, r.pattern), r.group, r.least) for r in rules)
     queries = {i: q for i, r in enumerate(rules) if (q := trigram_query(r.pattern))}
     trigrams = sorted({t for q in queries.values() for clause in q for t in clause})
     every = sum(1 << i for i in range(len(rules)) if i not in queries)
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != "spans"]
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).alias("id"))
     rows = rows.select("row", "text", document_key("id", "text").alias("key"))
     if trigrams:
@@ -269,23 +285,13 @@ def digest(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every stretch that spans cover replaced by ``[REDACTED]``; other characters stay."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    joined = F.aggregate(
-        spans,
-        start,
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["e"]).alias("at"),
-            F.when(x["e"] <= acc["at"], acc["out"])  # inside the stretch before
-            .when((x["s"] < acc["at"]) & (acc["at"] > 0), acc["out"])  # goes on from it
-            .otherwise(
-                F.concat(
-                    acc["out"],
-                    F.substring(text, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int")),
-                    F.lit(REDACTED),
-                )
-            )
-            .alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2147483647))),
-    )
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+
+    def step(at, x):
+        before = F.substring(text, (at + 1).cast("int"), (x["s"] - at).cast("int"))
+        covered = (x["e"] <= at) | ((x["s"] < at) & (at > 0))  # inside the stretch before, or going on from it
+        return F.greatest(at, x["e"]), F.when(covered, F.lit("")).otherwise(F.concat(before, F.lit(REDACTED)))
+
+    def finish(at, pieces):
+        return F.concat(F.array_join(pieces, ""), F.substring(text, (at + 1).cast("int"), F.lit(2147483647)))
+
+    return F.when(F.size(spans) > 0, _folded(spans, "string", step, finish)).otherwise(text)

@@ -1,6 +1,8 @@
 import hashlib
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketloom.llm import queries, secrets
@@ -57,6 +59,21 @@ def test_redaction_covers_overlaps_and_keeps_the_rest(spark, docs):
     assert got == ['é [REDACTED]" end', "none", None, "[REDACTED] [REDACTED]"]
 
 
+def test_many_matches_in_one_text(spark, docs):
+    text = " ".join(f"token=abcdef{i:04}" for i in range(6000))
+    rows = docs([text]).withColumn("spans", F.lit(1))
+    began = time.time()
+    found = secrets.scan(rows).select("*", secrets.redacted(F.col("text"), F.col("spans")).alias("clean")).collect()[0]
+    assert time.time() - began < 30
+    assert [(x["s"], x["e"]) for x in found["spans"]] == [(s, e) for s, _, e, _ in brute(text)]
+    assert found["clean"] == " ".join(["[REDACTED]"] * 6000)
+
+
+def test_too_many_rules_are_refused(docs):
+    with pytest.raises(ValueError, match="63"):
+        secrets.scan(docs([]), rules=secrets.BASE * 22)
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("abcd") == [frozenset({"abc", "bcd"})]
     assert secrets.trigram_query("[0-9a-f]{24,}") == []
