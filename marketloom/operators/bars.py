@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import divide, wide
 from ..core.specs import SCALE
+from .scan import previous
 
 BAR = ("exchange", "symbol", "ts_spine_us")
 ORDER = ("ts_event_us", "file_id", "file_seq")
@@ -134,13 +135,11 @@ def funding_bars(aligned: DataFrame, keys: Sequence[str] = BAR) -> DataFrame:
 def vol_buckets(trades: DataFrame, bucket_us: int = BUCKET_US) -> DataFrame:
     """Deviation of log returns per bucket of time, first and last time and count; hourly by the square root of 12.
 
-    Returns are taken inside a bucket's day: a window over a symbol's day, so a hot symbol is many tasks.
+    A return is against the trade before, whatever its day; a hot symbol is a task for each of its days.
     """
-    day = F.floor(F.col("ts_event_us") / F.lit(86_400_000_000))
-    order = Window.partitionBy("exchange", "symbol", "__day").orderBy(*ORDER)
-    price = F.log(decoded(F.col("price")))
-    rows = trades.where("price > 0").withColumn("__day", day).withColumn("__lp", price)
-    rows = rows.withColumn("__ret", F.col("__lp") - F.lag("__lp").over(order))
+    rows = trades.where("price > 0").withColumn("__lp", F.log(decoded(F.col("price"))))
+    rows = previous(rows, ("exchange", "symbol"), ORDER, F.col("__lp"), "__before")
+    rows = rows.withColumn("__ret", F.col("__lp") - F.col("__before"))
     bucket = (F.floor(F.col("ts_event_us") / F.lit(bucket_us)) * bucket_us).cast("long")
     return rows.groupBy("exchange", "symbol", bucket.alias("bucket_us")).agg(
         F.stddev_samp("__ret").alias("bucket_vol"),

@@ -28,8 +28,11 @@ def symbol_id(exchange: Column, symbol: Column, valid_from: Column) -> Column:
 
 
 def with_ids(df: DataFrame) -> DataFrame:
-    made = df.withColumn("symbol_id", symbol_id(F.col("exchange"), F.col("exchange_symbol"), F.col("valid_from_ts_us")))
-    return made.select(*spec("dim_symbol").names)
+    """Gives ids to rows that have none; ids that are there stay, whatever they are, since events hold them."""
+    made = symbol_id(F.col("exchange"), F.col("exchange_symbol"), F.col("valid_from_ts_us"))
+    if "symbol_id" in df.columns:
+        made = F.coalesce("symbol_id", made)
+    return df.withColumn("symbol_id", made).select(*spec("dim_symbol").names)
 
 
 def _opened(df: DataFrame, at: Column) -> DataFrame:
@@ -51,7 +54,8 @@ def bootstrap(snapshot: DataFrame, effective_ts_us: int) -> DataFrame:
 def upsert(dim: DataFrame, snapshot: DataFrame, effective_ts_us: int, delistings: DataFrame | None = None) -> DataFrame:
     """The dimension after a snapshot.
 
-    Exchanges in neither the snapshot nor the delistings, and closed versions, stay untouched.  A changed
+    Exchanges in neither the snapshot nor the delistings, and closed versions, stay untouched; a version keeps its
+    ``symbol_id`` for good, and only opened ones get a new one.  A changed
     key's version is closed at ``effective_ts_us`` and a new one opened; new keys are opened; equal ones stay.
     Without ``delistings`` current keys that the snapshot lacks are closed at ``effective_ts_us``.  With
     them, only listed keys that the snapshot lacks are closed, each at its own ``delisted_at_ts_us``.
@@ -127,7 +131,10 @@ def validate(dim: DataFrame) -> DataFrame:
 
 
 def refresh(dim: DataFrame, history: DataFrame) -> DataFrame:
-    """Replaces all rows of the exchanges that ``history`` has; other exchanges stay."""
+    """Replaces all rows of the exchanges that ``history`` has; other exchanges stay, with their ids.
+
+    ``save_dim`` refuses a result whose windows overlap; ``validate`` tells of it before.
+    """
     others = dim.join(history.select("exchange").distinct(), "exchange", "left_anti")
     return with_ids(others.unionByName(history, allowMissingColumns=True))
 
@@ -139,41 +146,47 @@ def as_of(dim: DataFrame, ts_us: int | None) -> DataFrame:
     return dim.where((F.col("valid_from_ts_us") <= ts_us) & (F.lit(ts_us) < F.col("valid_until_ts_us")))
 
 
-def pit_coverage(
-    events: DataFrame, dim: DataFrame, symbol: str = "symbol", ts: str = "ts_event_us", validated: bool = True
-) -> DataFrame:
+def without_overlaps(versions: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Windows of each key cut so that a time lies in one at most: the version with the earliest start keeps its whole
+    window, the next one what is left of its own.  As large as the dimension, not as the events."""
+    names = [c for c in versions.columns if c not in ("valid_from_ts_us", "valid_until_ts_us")]
+    by_start = Window.partitionBy(*keys).orderBy("valid_from_ts_us", "valid_until_ts_us", *names)
+    before = F.max("valid_until_ts_us").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    start = F.greatest("valid_from_ts_us", F.coalesce(before, "valid_from_ts_us"))
+    return versions.withColumn("valid_from_ts_us", start).where("valid_from_ts_us < valid_until_ts_us")
+
+
+def _valid_at(left: DataFrame, versions: DataFrame, keys: dict[str, str], ts: str) -> DataFrame:
+    """Left rows with the version (columns prefixed by __d_) of their keys that is valid at their time.
+
+    Equality on the keys with the window as a condition; Spark broadcasts the dimension while it is small.
+    """
+    right = without_overlaps(versions, keys.values())
+    right = right.select(*(F.col(c).alias(f"__d_{c}") for c in right.columns))
+    on = (F.col("__d_valid_from_ts_us") <= F.col(ts)) & (F.col(ts) < F.col("__d_valid_until_ts_us"))
+    for own, other in keys.items():
+        on = on & (F.col(own) == F.col(f"__d_{other}"))
+    return left.join(right, on, "left")
+
+
+def pit_coverage(events: DataFrame, dim: DataFrame, symbol: str = "symbol", ts: str = "ts_event_us") -> DataFrame:
     """Adds ``symbol_id`` of the version valid at each row's time, and a reason where there is none.
 
-    A dimension that ``validate`` passes has at most one such version.  With ``validated=False`` windows may
-    overlap: they are cut so that the version with the earliest start keeps its whole window.
+    Of several such versions the one with the earliest start counts; rows are neither lost nor repeated.
     """
     versions = dim.select("exchange", "exchange_symbol", "symbol_id", "valid_from_ts_us", "valid_until_ts_us")
-    if not validated:
-        by_start = Window.partitionBy(*KEY).orderBy("valid_from_ts_us", "valid_until_ts_us", "symbol_id")
-        before = F.max("valid_until_ts_us").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-        versions = versions.withColumn("valid_from_ts_us", F.greatest("valid_from_ts_us", F.coalesce(before, "valid_from_ts_us")))
-        versions = versions.where("valid_from_ts_us < valid_until_ts_us")
-    right = versions.select(*(F.col(c).alias(f"__d_{c}") for c in versions.columns))
-    on = (
-        (F.col("exchange") == F.col("__d_exchange"))
-        & (F.col(symbol) == F.col("__d_exchange_symbol"))
-        & (F.col("__d_valid_from_ts_us") <= F.col(ts))
-        & (F.col(ts) < F.col("__d_valid_until_ts_us"))
-    )
-    left = events.drop("symbol_id")
-    # Equality on both keys with the window as a condition; Spark broadcasts the dimension while it is small.
-    joined = left.join(right, on, "left")
+    joined = _valid_at(events.drop("symbol_id"), versions, {"exchange": "exchange", symbol: "exchange_symbol"}, ts)
     found = F.col("__d_symbol_id")
     reason = F.when(found.isNull(), F.lit(MISSING))
     if REASON in events.columns:
         reason = F.coalesce(F.col(REASON), reason)
-    return joined.withColumn("symbol_id", found).withColumn(REASON, reason).drop(*right.columns)
+    return joined.withColumn("symbol_id", found).withColumn(REASON, reason).drop(*(f"__d_{c}" for c in versions.columns))
 
 
 def join_symbol_meta(df: DataFrame, dim: DataFrame, columns: Iterable[str], ts: str = "ts_event_us") -> DataFrame:
     """Adds columns of the version with the row's (exchange, symbol_id) valid at its time; null without one.
 
-    Rows are neither lost nor repeated.
+    Of several such versions the one with the earliest start counts; rows are neither lost nor repeated.
     """
     columns = list(columns)
     blocked = {"exchange", "symbol_id", "valid_from_ts_us", "valid_until_ts_us"} & set(columns)
@@ -181,17 +194,9 @@ def join_symbol_meta(df: DataFrame, dim: DataFrame, columns: Iterable[str], ts:
         raise ValueError(f"cannot add columns {sorted(blocked or clash)}")
     if unknown := set(columns) - set(dim.columns):
         raise ValueError(f"the dimension has no columns {sorted(unknown)}")
-    window = ("valid_from_ts_us", "valid_until_ts_us")
-    first = dim.groupBy("exchange", "symbol_id", *window).agg(F.min_by(F.struct(*columns), F.struct(*columns)).alias("__m"))
-    right = first.select(*(F.col(c).alias(f"__d_{c}") for c in ("exchange", "symbol_id", *window)), "__m")
-    on = (
-        (F.col("exchange") == F.col("__d_exchange"))
-        & (F.col("symbol_id") == F.col("__d_symbol_id"))
-        & (F.col("__d_valid_from_ts_us") <= F.col(ts))
-        & (F.col(ts) < F.col("__d_valid_until_ts_us"))
-    )
-    joined = df.join(right, on, "left")
-    return joined.select(*(joined[c] for c in df.columns), *(F.col("__m")[c].alias(c) for c in columns))
+    versions = dim.select("exchange", "symbol_id", "valid_from_ts_us", "valid_until_ts_us", F.struct(*columns).alias("m"))
+    joined = _valid_at(df, versions, {"exchange": "exchange", "symbol_id": "symbol_id"}, ts)
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), *(F.col("__d_m")[c].alias(c) for c in columns))
 
 
 # Listing feeds

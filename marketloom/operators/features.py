@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..core.numeric import divide
+from .spine import THRESHOLDS
 from .windows import by, lagged, returns, rolling_mean, rolling_median
 
 KEYS, TS = ("exchange", "symbol"), "ts_spine_us"
 #: Round-trip costs in basis points: two exchanges; perpetual against spot.
 EXCHANGE_COST_BPS, CARRY_COST_BPS = 14.0, 48.0
-#: Regimes by hourly volatility, and bar thresholds of each.
+#: Regimes by hourly volatility.
 HIGH_VOL, LOW_VOL = 0.02, 0.005
-THRESHOLDS = {"HIGH": 50, "LOW": 200, "MEDIUM": 100}
 BPS = 10_000.0
 
 

@@ -62,3 +62,18 @@ def last_seen(
     sort = [F.desc(c) if descending else F.asc(c) for c in order]
     seen = both.withColumn(output, F.last("__v", ignorenulls=True).over(_inside(keys, sort)))
     return seen.where(_REAL).drop(_CHUNK, "__v", _REAL)
+
+
+def previous(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, output: str, chunk_us: int = CHUNK_US
+) -> DataFrame:
+    """Adds ``output``: ``value`` of the row before, null in the first row of each key, across all chunks.
+
+    The value must not be null: a chunk hands on its last one.
+    """
+    rows = df.withColumns({_CHUNK: chunk_of(order[0], chunk_us), "__v": value, _REAL: F.lit(True)})
+    ends = rows.groupBy(*keys, _CHUNK).agg(F.max_by("__v", F.struct(*order)).alias("__v"))
+    carried = ends.select(*keys, _CHUNK, F.lag("__v").over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("__v"), F.lit(False).alias(_REAL))
+    both = rows.unionByName(carried.where("__v is not null"), allowMissingColumns=True)
+    walk = Window.partitionBy(*keys, _CHUNK).orderBy(F.asc(_REAL), *(F.asc(c) for c in order))
+    return both.withColumn(output, F.lag("__v").over(walk)).where(_REAL).drop(_CHUNK, "__v", _REAL)

@@ -24,11 +24,11 @@ def iv_summary(options: DataFrame) -> DataFrame:
     )
 
 
-def iv_skew_25d(options: DataFrame, width: float = 0.05) -> DataFrame:
-    """Mean 25-delta call IV less put IV per underlying."""
+def iv_skew_25d(options: DataFrame, width: float = 0.05, by: Sequence[str] = ("underlying_index",)) -> DataFrame:
+    """Mean 25-delta call IV less put IV per underlying, or per ``by``."""
     near = F.abs(F.abs("delta") - 0.25) <= width
     side = lambda t: F.avg(F.when(near & (F.col("option_type") == t), F.col("mark_iv")))
-    return options.groupBy("underlying_index").agg((side("call") - side("put")).alias("skew_25d"))
+    return options.groupBy(*by).agg((side("call") - side("put")).alias("skew_25d"))
 
 
 def iv_term_structure(options: DataFrame, width: float = 0.1) -> DataFrame:

@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import notional, wide
 from ..core.specs import SCALE
+from ..core.storage import kept
 from ..core.timeutil import bounds
+from .asof import asof_backward
 from .scan import CHUNK_US, running_sum
 
 ORDER = ("ts_event_us", "file_id", "file_seq")
+#: Bar thresholds by regime; each divides the largest.
+THRESHOLDS = {"HIGH": 50, "LOW": 200, "MEDIUM": 100}
 COLUMNS = ("exchange", "symbol", "symbol_id", "ts_spine_us")
 
 
@@ -94,7 +98,10 @@ def trades_spine(trades: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 
 def _threshold_spine(trades: DataFrame, measure: Column, threshold: int, max_rows, chunk_us: int) -> DataFrame:
-    """A point at each trade that carries its symbol's running sum over a multiple of the threshold."""
+    """A point at each trade that carries its symbol's running sum over a multiple of the threshold.
+
+    The points, few next to the trades, are kept, so that whatever joins them does not walk the trades again.
+    """
     summed = running_sum(trades, ("exchange", "symbol"), ORDER, measure, "__sum", chunk_us)
     step = F.lit(threshold).cast("decimal(38,0)")
     # The sum before a trade is its sum less its own measure, so no second window is needed.
@@ -103,7 +110,7 @@ def _threshold_spine(trades: DataFrame, measure: Column, threshold: int, max_row
     points = hits.groupBy("exchange", "symbol", F.col("ts_event_us").alias("ts_spine_us")).agg(
         F.min_by("symbol_id", F.struct("file_id", "file_seq")).alias("symbol_id")
     )
-    return within_rows(points.select(*COLUMNS), max_rows)
+    return within_rows(kept(points.select(*COLUMNS)), max_rows)
 
 
 def volume_spine(trades: DataFrame, threshold: int, max_rows: int | None = None, chunk_us: int = CHUNK_US) -> DataFrame:
@@ -118,6 +125,29 @@ def dollar_spine(trades: DataFrame, threshold: int, max_rows: int | None = None,
     return _threshold_spine(trades, notional(F.col("price"), F.col("qty")), threshold, max_rows, chunk_us)
 
 
+def adaptive_spine(
+    trades: DataFrame,
+    regimes: DataFrame,
+    unit: int,
+    bucket_us: int = 300_000_000,
+    max_rows: int | None = None,
+    chunk_us: int = CHUNK_US,
+) -> DataFrame:
+    """A volume spine whose threshold follows the regime: ``bar_threshold`` times ``unit`` (fixed-point).
+
+    ``regimes`` has a row per exchange, symbol and bucket, with a ``bar_threshold`` of ``THRESHOLDS``.  A trade counts
+    by the last bucket that had ended at its time, so nothing is looked ahead, and by the middle threshold before the
+    first one.  A trade counts the more, the lower its threshold; one running sum crosses one step throughout.
+    """
+    _positive("unit", unit)
+    ready = regimes.select("exchange", "symbol", (F.col("bucket_us") + bucket_us).alias("ready_us"), "bar_threshold")
+    own = asof_backward(trades, ready, ("exchange", "symbol"), "ts_event_us", "ready_us", ["bar_threshold"], chunk_us=chunk_us)
+    step = max(THRESHOLDS.values())
+    share = F.lit(step) / F.coalesce("bar_threshold", F.lit(THRESHOLDS["MEDIUM"]))
+    measure = wide(F.abs("qty")) * share.cast("decimal(10,0)")
+    return _threshold_spine(own, measure, step * unit, max_rows, chunk_us)
+
+
 def build_spine(config, *, trades: DataFrame | None = None, dim: DataFrame | None = None, start=None, end=None) -> DataFrame:
     """The spine that ``config`` names, over [start, end)."""
     if isinstance(config, ClockSpine):
@@ -131,4 +161,4 @@ def build_spine(config, *, trades: DataFrame | None = None, dim: DataFrame | Non
     return kinds[type(config)](rows, config.threshold, config.max_rows)
 
 
-__all__ = ["SCALE", "ClockSpine", "DollarSpine", "TradesSpine", "VolumeSpine", "build_spine", "clock_spine", "dollar_spine", "trades_spine", "volume_spine", "window_of"]
+__all__ = ["SCALE", "ClockSpine", "DollarSpine", "TradesSpine", "VolumeSpine", "adaptive_spine", "build_spine", "clock_spine", "dollar_spine", "trades_spine", "volume_spine", "window_of"]

@@ -60,6 +60,12 @@ def persistence(column: str, w) -> Column:
     return F.col(column) * F.lag(column).over(w)
 
 
+def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(keys, columns) of the first row of each key by ``order``; combined on the way, so no key is sorted."""
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("__x"))
+    return first.select(*keys, *(F.col("__x")[c].alias(c) for c in columns))
+
+
 def order_check(df: DataFrame, keys: Sequence[str] = ("exchange", "symbol"), ts: str = "ts_event_us") -> DataFrame:
     """(keys, n_backwards): keys whose time goes back in file order."""
     w = Window.partitionBy(*keys, "file_id").orderBy("file_seq")

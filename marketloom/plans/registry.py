@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import decode_scaled
 from ..core.specs import SCALE
+from ..core.storage import kept
 from ..core.timeutil import trading_date
 from ..operators import asof, bars, cotrading, dimension, features, quality, signals, stats, validation, windows
 from ..operators import spine as spines
@@ -261,6 +262,29 @@ def join_symbol_meta(spark, d):
     return joined.select("file_seq", "tick_size", "lot_size")
 
 
+_VALID = " AND m.valid_from_ts_us <= t.ts_event_us AND t.ts_event_us < m.valid_until_ts_us GROUP BY t.file_seq"
+
+
+@query(
+    f", m AS ({v.more_versions_sql(v.OVERLAPPING)}) SELECT t.file_seq, arg_min(m.symbol_id, m.valid_from_ts_us) AS symbol_id,"
+    " CASE WHEN count(m.symbol_id) = 0 THEN 'missing_pit_symbol_coverage' END AS quarantine_reason"
+    f" FROM trades t LEFT JOIN m ON t.exchange = m.exchange AND t.symbol = m.exchange_symbol{_VALID}"
+)
+def pit_coverage_overlap(spark, d):
+    """Versions that overlap, one of them inside another: the one that starts first counts."""
+    dim = v.with_more_versions(v.dim(spark, d), v.OVERLAPPING)
+    return dimension.pit_coverage(v.trades(spark, d), dim).select("file_seq", "symbol_id", "quarantine_reason")
+
+
+@query(
+    f", m AS ({v.more_versions_sql(v.REPEATED)}) SELECT t.file_seq, arg_min(m.tick_size, m.valid_from_ts_us) AS tick_size"
+    f" FROM trades t LEFT JOIN m ON t.exchange = m.exchange AND t.symbol_id = m.symbol_id{_VALID}"
+)
+def join_symbol_meta_overlap(spark, d):
+    dim = v.with_more_versions(v.dim(spark, d), v.REPEATED)
+    return dimension.join_symbol_meta(v.trades(spark, d), dim, ["tick_size"]).select("file_seq", "tick_size")
+
+
 @query("SELECT file_seq, ts_spine_us FROM aligned")
 def align_to_spine(spark, d):
     return volume_aligned(spark, d).select("file_seq", "ts_spine_us")
@@ -512,12 +536,18 @@ def _ic_sql(source: str, feature: str, label: str, by: str = "") -> str:
     keys = f"{by}, " if by else ""
     part = f"PARTITION BY {by} " if by else ""
     again = f"PARTITION BY {by}, " if by else "PARTITION BY "
-    return (
-        f"SELECT {keys}'{feature}' AS feature, round(corr(rx, ry), 6) AS ic, count(*) AS n FROM (SELECT *,"
+    found = (
+        f"SELECT {keys}'{feature}' AS feature, corr(rx, ry) AS c, count(*) AS n FROM (SELECT *,"
         f" rank() OVER ({part}ORDER BY {feature}) + (count(*) OVER ({again}{feature}) - 1) / 2e0 AS rx,"
         f" rank() OVER ({part}ORDER BY {label}) + (count(*) OVER ({again}{label}) - 1) / 2e0 AS ry"
         f" FROM (SELECT * FROM {source} WHERE {feature} IS NOT NULL AND {label} IS NOT NULL)) GROUP BY ALL HAVING count(*) >= 10"
     )
+    t = f"SELECT *, c * sqrt(n - 2e0) / nullif(sqrt(greatest(0, 1 - c * c)), 0) AS t FROM ({found})"
+    z = f"SELECT *, abs(t) * (1 - 1 / (4e0 * (n - 2))) / sqrt(1 + t * t / (2e0 * (n - 2))) / sqrt(2) AS x FROM ({t})"
+    k = f"SELECT *, 1 / (1 + 0.3275911e0 * x) AS k FROM ({z})"
+    terms = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+    tail = " + ".join(f"({c}e0) * power(k, {i})" for i, c in enumerate(terms, 1))
+    return f"SELECT {keys}feature, round(c, 6) + 0e0 AS ic, round(exp(-x * x) * ({tail}), 6) + 0e0 AS p_value, n FROM ({k})"
 
 
 _FWD = f"(SELECT *, lead(close, 5) OVER {_W} / nullif(close, 0) - 1 AS fwd_ret_5bar FROM bars)"
@@ -527,14 +557,14 @@ _FWD = f"(SELECT *, lead(close, 5) OVER {_W} / nullif(close, 0) - 1 AS fwd_ret_5
 def rank_ic(spark, d):
     rows = windows.forward_returns(volume_bars_of(spark, d), BY, (TS,), steps=(5,))
     ic = stats.rank_ic(rows, ["flow_imbalance", "avg_size"], "fwd_ret_5bar", least=10)
-    return ic.select("feature", F.round("ic", 6).alias("ic"), "n")
+    return ic.select("feature", F.round("ic", 6).alias("ic"), F.round("p_value", 6).alias("p_value"), "n")
 
 
 @query(_ic_sql(_FWD, "flow_imbalance", "fwd_ret_5bar", "exchange"))
 def rank_ic_by_group(spark, d):
     rows = windows.forward_returns(volume_bars_of(spark, d), BY, (TS,), steps=(5,))
     ic = stats.rank_ic(rows, ["flow_imbalance"], "fwd_ret_5bar", by=("exchange",), least=10)
-    return ic.select("exchange", "feature", F.round("ic", 6).alias("ic"), "n")
+    return ic.select("exchange", "feature", F.round("ic", 6).alias("ic"), F.round("p_value", 6).alias("p_value"), "n")
 
 
 def _adaptive_ic_sql(source: str) -> str:
@@ -542,17 +572,51 @@ def _adaptive_ic_sql(source: str) -> str:
     return _ic_sql(fwd, "flow_imbalance", "fwd_ret_5bar")
 
 
+#: Volume that a bar threshold of 1 stands for.
+_UNIT = 10 * SCALE
+_ADAPTIVE = (
+    f", g AS ({_REGIMES}), w AS (SELECT t.*, coalesce(CASE g.regime WHEN 'HIGH' THEN 4 WHEN 'LOW' THEN 1 ELSE 2 END, 2) AS share"
+    " FROM trades t ASOF LEFT JOIN g ON t.exchange = g.exchange AND t.symbol = g.symbol AND t.ts_event_us >= g.bucket_us + 300000000),"
+    " q AS (SELECT *, CAST(qty AS HUGEINT) * share AS m FROM w),"
+    " r AS (SELECT *, sum(m) OVER (PARTITION BY exchange, symbol ORDER BY ts_event_us, file_id, file_seq ROWS UNBOUNDED PRECEDING) AS s FROM q),"
+    f" a_spine AS (SELECT exchange, symbol, symbol_id, ts_event_us AS ts_spine_us FROM r WHERE s // {200 * _UNIT} > (s - m) // {200 * _UNIT})"
+)
+_ADAPTIVE_BARS = (
+    _ADAPTIVE + ", a_aligned AS (SELECT t.*, x.ts_spine_us FROM trades t ASOF LEFT JOIN a_spine x ON t.exchange = x.exchange AND t.symbol = x.symbol"
+    f" AND t.ts_event_us < x.ts_spine_us), a_bars AS ({v.BARS_SQL.format('a_aligned')})"
+)
+
+
+def _adaptive_points(spark, d):
+    trades = v.trades(spark, d)
+    return trades, spines.adaptive_spine(trades, _regimes(spark, d), _UNIT)
+
+
+@query(_ADAPTIVE + " SELECT * FROM a_spine")
+def adaptive_spine(spark, d):
+    """Volume bars that are shorter while the market is volatile."""
+    return _adaptive_points(spark, d)[1]
+
+
 @query(
-    f", a AS ({_adaptive_ic_sql('bars')}), f AS ({_adaptive_ic_sql('slow_bars')})"
-    " SELECT a.feature, a.ic AS ic_adaptive, f.ic AS ic_fixed, round(abs(a.ic) - abs(f.ic), 5) AS improvement FROM a JOIN f USING (feature)"
+    f"{_ADAPTIVE_BARS}, a AS ({_adaptive_ic_sql('a_bars')}), f AS ({_adaptive_ic_sql('bars')})"
+    " SELECT a.feature, a.ic AS ic_adaptive, f.ic AS ic_fixed, a.p_value AS p_adaptive, f.p_value AS p_fixed, a.n AS n_adaptive, f.n AS n_fixed,"
+    " round((a.ic - f.ic) / nullif(abs(f.ic), 0), 4) + 0e0 AS improvement FROM a JOIN f USING (feature)"
 )
 def fx_adaptive_vs_fixed(spark, d):
-    def ic(threshold, name):
-        rows = windows.forward_returns(volume_bars_of(spark, d, threshold), BY, (TS,), steps=(5,))
-        return stats.rank_ic(rows, ["flow_imbalance"], "fwd_ret_5bar", least=10).select("feature", F.round("ic", 6).alias(name))
+    """Rank correlation over bars whose threshold follows the regime, against bars of the middle threshold."""
+
+    def ic(rows, name):
+        ahead = windows.forward_returns(rows, BY, (TS,), steps=(5,))
+        found = stats.rank_ic(ahead, ["flow_imbalance"], "fwd_ret_5bar", least=10)
+        return found.select(
+            "feature", F.round("ic", 6).alias(f"ic_{name}"), F.round("p_value", 6).alias(f"p_{name}"), F.col("n").alias(f"n_{name}")
+        )
 
-    both = ic(v.VOLUME, "ic_adaptive").join(ic(v.SLOW_VOLUME, "ic_fixed"), "feature")
-    return both.withColumn("improvement", F.round(F.abs("ic_adaptive") - F.abs("ic_fixed"), 5))
+    adaptive = bars.trade_bars(asof.align_to_spine(*_adaptive_points(spark, d)))
+    both = ic(adaptive, "adaptive").join(ic(volume_bars_of(spark, d), "fixed"), "feature")
+    step = F.col("ic_adaptive") - F.col("ic_fixed")
+    return both.withColumn("improvement", F.round(step / F.nullif(F.abs("ic_fixed"), F.lit(0.0)), 4))
 
 
 # Windows
@@ -620,8 +684,7 @@ def order_check(spark, d):
     " SELECT exchange, symbol, trading_date, file_seq, price FROM f WHERE r = 1"
 )
 def first_per_group(spark, d):
-    one = v.trades(spark, d).groupBy(*BY, "trading_date").agg(F.min_by(F.struct("file_seq", "price"), F.struct(*spines.ORDER)).alias("x"))
-    return one.select(*BY, "trading_date", "x.file_seq", "x.price")
+    return windows.first_per_group(v.trades(spark, d), [*BY, "trading_date"], spines.ORDER, ["file_seq", "price"])
 
 
 # Feature packs
@@ -679,7 +742,8 @@ _PW = "(PARTITION BY symbol ORDER BY ts_spine_us)"
 
 
 def _pair(spark, d, first: str, second: str) -> DataFrame:
-    rows = bars.hl_spread_bars(volume_aligned(spark, d))
+    # Bars are worked out once and split, not once for each side.
+    rows = kept(bars.hl_spread_bars(volume_aligned(spark, d)))
     side = lambda e, p: features.prefixed(rows.where(F.col("exchange") == e).drop("exchange"), p, ["symbol", TS])
     a, b = side("binance-futures", first), side("okx-futures", second)
     return asof.asof_backward(a, b, ["symbol"], TS, TS, [c for c in b.columns if c not in ("symbol", TS)])
@@ -859,39 +923,68 @@ def _snapshot(spark, d):
 _UPSERT = v.JAN_20 + 5 * v.DAY
 
 
+def _opened_unnamed(dim: DataFrame) -> DataFrame:
+    """Ids of versions opened by the change are blake2b hashes, which SQL lacks; all others must be as they were."""
+    opened = F.col("valid_from_ts_us") == _UPSERT
+    made = dimension.symbol_id(F.col("exchange"), F.col("exchange_symbol"), F.col("valid_from_ts_us"))
+    return dim.select(
+        "exchange", "exchange_symbol", "valid_from_ts_us", "valid_until_ts_us", "is_current", "tick_size",
+        F.when(~opened, F.col("symbol_id")).alias("symbol_id"), (~opened | (F.col("symbol_id") == made)).alias("id_is_right"),
+    )
+
+
 @query(
     f"SELECT exchange, exchange_symbol, valid_from_ts_us, CASE WHEN is_current AND exchange_symbol IN ('S0', 'S1') THEN {_UPSERT} ELSE valid_until_ts_us END AS valid_until_ts_us,"
-    " is_current AND exchange_symbol NOT IN ('S0', 'S1') AS is_current, tick_size FROM dim"
-    f" UNION ALL SELECT exchange, exchange_symbol, {_UPSERT}, valid_until_ts_us, true, 7 FROM dim WHERE is_current AND exchange_symbol = 'S1'"
+    " is_current AND exchange_symbol NOT IN ('S0', 'S1') AS is_current, tick_size, symbol_id, true AS id_is_right FROM dim"
+    f" UNION ALL SELECT exchange, exchange_symbol, {_UPSERT}, valid_until_ts_us, true, 7, NULL, true FROM dim WHERE is_current AND exchange_symbol = 'S1'"
 )
 def dim_upsert(spark, d):
-    out = dimension.upsert(v.dim(spark, d), _snapshot(spark, d), _UPSERT)
-    return out.select("exchange", "exchange_symbol", "valid_from_ts_us", "valid_until_ts_us", "is_current", "tick_size")
+    return _opened_unnamed(dimension.upsert(v.dim(spark, d), _snapshot(spark, d), _UPSERT))
 
 
 @query(
     f"SELECT exchange, exchange_symbol, valid_from_ts_us, CASE WHEN is_current AND exchange_symbol = 'S0' AND exchange = 'okx-futures' THEN {_UPSERT - 5}"
     f" WHEN is_current AND exchange_symbol = 'S1' THEN {_UPSERT} ELSE valid_until_ts_us END AS valid_until_ts_us,"
-    " is_current AND NOT (exchange_symbol = 'S1' OR (exchange_symbol = 'S0' AND exchange = 'okx-futures')) AS is_current, tick_size FROM dim"
-    f" UNION ALL SELECT exchange, exchange_symbol, {_UPSERT}, valid_until_ts_us, true, 7 FROM dim WHERE is_current AND exchange_symbol = 'S1'"
+    " is_current AND NOT (exchange_symbol = 'S1' OR (exchange_symbol = 'S0' AND exchange = 'okx-futures')) AS is_current, tick_size, symbol_id, true AS id_is_right FROM dim"
+    f" UNION ALL SELECT exchange, exchange_symbol, {_UPSERT}, valid_until_ts_us, true, 7, NULL, true FROM dim WHERE is_current AND exchange_symbol = 'S1'"
 )
 def dim_delist_explicit(spark, d):
     current = v.dim(spark, d)
     gone = current.where("is_current and exchange = 'okx-futures' and exchange_symbol in ('S0', 'S2')")
     gone = gone.select("exchange", "exchange_symbol", F.lit(_UPSERT - 5).cast("long").alias("delisted_at_ts_us"))
-    out = dimension.upsert(current, _snapshot(spark, d), _UPSERT, gone)
-    return out.select("exchange", "exchange_symbol", "valid_from_ts_us", "valid_until_ts_us", "is_current", "tick_size")
+    return _opened_unnamed(dimension.upsert(current, _snapshot(spark, d), _UPSERT, gone))
+
 
+_DERIVATIVES = {"S0": "BTC-PERPETUAL", "S1": "btc-27JUN25-50000-C", "S2": "ETH-27JUN25", "S3": " eth_perpetual"}
+_DERIVATIVE_TYPES = {"BTC-PERPETUAL": "perpetual", "btc-27JUN25-50000-C": "option", "ETH-27JUN25": "future", "eth_perpetual": "perpetual"}
 
-@query("SELECT DISTINCT exchange, symbol AS exchange_symbol, 'unknown' AS market_type, true AS is_current FROM trades")
+
+@query(
+    "SELECT DISTINCT exchange, CASE symbol "
+    + " ".join(f"WHEN '{k}' THEN '{x.strip()}'" for k, x in _DERIVATIVES.items())
+    + " ELSE symbol END AS exchange_symbol, CASE symbol "
+    + " ".join(f"WHEN '{k}' THEN '{_DERIVATIVE_TYPES[x.strip()]}'" for k, x in _DERIVATIVES.items())
+    + " ELSE 'unknown' END AS market_type, true AS is_current FROM trades"
+)
 def dim_from_events(spark, d):
-    made = dimension.from_events(v.trades(spark, d), v.JAN_1)
+    names = F.create_map(*[F.lit(x) for kv in _DERIVATIVES.items() for x in kv])
+    events = v.trades(spark, d).withColumn("symbol", F.coalesce(F.try_element_at(names, F.col("symbol")), "symbol"))
+    made = dimension.from_events(events, v.JAN_1)
     return made.select("exchange", "exchange_symbol", "market_type", "is_current")
 
 
-@query("SELECT 'repeated_symbol_id' AS rule, exchange, exchange_symbol FROM dim WHERE false")
+@query(
+    f", m AS ({v.more_versions_sql(v.BROKEN)}), k AS (SELECT *, lead(valid_from_ts_us) OVER (PARTITION BY exchange, exchange_symbol"
+    " ORDER BY valid_from_ts_us, valid_until_ts_us) AS following, count(*) OVER (PARTITION BY symbol_id) AS same,"
+    " row_number() OVER (PARTITION BY symbol_id ORDER BY exchange, exchange_symbol) AS i FROM m)"
+    " SELECT 'empty_window' AS rule, exchange, exchange_symbol FROM k WHERE valid_until_ts_us <= valid_from_ts_us"
+    " UNION ALL SELECT 'several_current', exchange, exchange_symbol FROM k WHERE is_current GROUP BY ALL HAVING count(*) > 1"
+    " UNION ALL SELECT 'overlap', exchange, exchange_symbol FROM k WHERE valid_until_ts_us > following"
+    " UNION ALL SELECT 'repeated_symbol_id', exchange, exchange_symbol FROM k WHERE same > 1 AND i = 1"
+)
 def dim_validate(spark, d):
-    return dimension.violations(v.dim(spark, d))
+    """Each rule is broken by some versions."""
+    return dimension.violations(v.with_more_versions(v.dim(spark, d), v.BROKEN))
 
 
 def _ledger(spark, d):
@@ -1255,16 +1348,20 @@ def replay_event_table(spark, d):
     return out.select("event_table", *BY, "ts_event_us", "file_seq")
 
 
-_F20 = _F(20)
+_Z = "OVER (PARTITION BY underlying_index ORDER BY trading_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
 
 
 @query(
-    f", z AS (SELECT exchange, symbol, ts_spine_us, CASE WHEN count(close) {_F20} >= 20 THEN (close - avg(close) {_F20}) / nullif(stddev_samp(close) {_F20}, 0) END AS z FROM bars)"
-    " SELECT exchange, symbol, ts_spine_us, round(z, 4) + 0e0 AS z FROM z"
+    ", n AS (SELECT *, abs(abs(delta) - 0.25) <= 0.05 AS near FROM options), s AS (SELECT underlying_index, trading_date,"
+    " avg(CASE WHEN near AND option_type = 'call' THEN mark_iv END) - avg(CASE WHEN near AND option_type = 'put' THEN mark_iv END) AS skew_25d"
+    " FROM n GROUP BY ALL),"
+    f" z AS (SELECT *, CASE WHEN count(skew_25d) {_Z} >= 5 THEN (skew_25d - avg(skew_25d) {_Z}) / nullif(stddev_samp(skew_25d) {_Z}, 0) END AS z FROM s)"
+    " SELECT underlying_index, trading_date, round(skew_25d, 6) + 0e0 AS skew_25d, round(z, 6) + 0e0 AS z FROM z"
 )
 def skew_zscore(spark, d):
-    out = signals.rolling_zscore(volume_bars_of(spark, d), "close", 20, BY, TS, "z")
-    return out.select(*BY, TS, F.round("z", 4).alias("z"))
+    skew = signals.iv_skew_25d(v.options(spark, d), by=("underlying_index", "trading_date"))
+    out = signals.rolling_zscore(skew, "skew_25d", 5, ("underlying_index",), "trading_date", "z")
+    return out.select("underlying_index", "trading_date", F.round("skew_25d", 6).alias("skew_25d"), F.round("z", 6).alias("z"))
 
 
 @query(

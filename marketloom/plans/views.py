@@ -150,6 +150,45 @@ def dim(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def with_more_versions(known: DataFrame, versions: list[tuple]) -> DataFrame:
+    """The dimension with more versions of each symbol: (added to the id, start, end, current, tick, condition)."""
+    first = known.where("not is_current")
+    out = known
+    for plus, start, end, now, tick, condition in versions:
+        extra = {
+            "symbol_id": (F.col("symbol_id") + plus).cast("long"),
+            "valid_from_ts_us": F.lit(start).cast("long"),
+            "valid_until_ts_us": F.lit(end).cast("long"),
+            "is_current": F.lit(now),
+            "tick_size": F.lit(tick).cast("long"),
+            "updated_at_ts_us": F.lit(start).cast("long"),
+        }
+        out = out.unionByName(first.where(condition).withColumns(extra))
+    return out
+
+
+#: Versions that overlap those of ``dim``, and versions that break each of its rules; lists for ``with_more_versions``.
+OVERLAPPING = [
+    (2000, JAN_1 + 5 * DAY, JAN_15 + 2 * DAY, False, 77, "true"),
+    (3000, JAN_1 + 7 * DAY, JAN_1 + 8 * DAY, False, 88, "true"),
+]
+#: Another version of the same id, which the join of metadata can meet twice.
+REPEATED = [(0, JAN_1 + 5 * DAY, JAN_20 + 2 * DAY, False, 77, "exchange_symbol <> 'S3'")]
+BROKEN = [
+    (4000, JAN_10, JAN_10, False, 1, "exchange_symbol = 'S0' AND exchange = 'okx-futures'"),
+    (5000, JAN_20 + 3 * DAY, OPEN_END, True, 1, "exchange_symbol = 'S1'"),
+    (1, JAN_20 + 50 * DAY, JAN_20 + 60 * DAY, False, 1, "exchange_symbol = 'S2'"),
+]
+
+
+def more_versions_sql(versions: list[tuple]) -> str:
+    return "SELECT * FROM dim" + "".join(
+        " UNION ALL SELECT * REPLACE (CAST(symbol_id + {0} AS BIGINT) AS symbol_id, CAST({1} AS BIGINT) AS valid_from_ts_us,"
+        " CAST({2} AS BIGINT) AS valid_until_ts_us, {3} AS is_current, CAST({4} AS BIGINT) AS tick_size) FROM dim WHERE NOT is_current AND {5}".format(*x)
+        for x in versions
+    )
+
+
 _E = "exchange, trading_date, symbol, symbol_id, ts_event_us, file_id, file_seq"
 CTES = f"""
 e AS (
@@ -209,14 +248,14 @@ slow_aligned AS (
   SELECT t.*, x.ts_spine_us FROM trades t ASOF LEFT JOIN slow_spine x
   ON t.exchange = x.exchange AND t.symbol = x.symbol AND t.ts_event_us < x.ts_spine_us),
 """
-_BARS = """
+BARS_SQL = """
   SELECT exchange, symbol, ts_spine_us, arg_min(price, ts_event_us) / 1e9 AS open, max(price) / 1e9 AS high, min(price) / 1e9 AS low,
          arg_max(price, ts_event_us) / 1e9 AS close, CAST(sum(qty) AS DOUBLE) / 1e9 AS volume, count(*) AS trade_count,
          CAST(sum(CAST(price AS HUGEINT) * qty) AS DOUBLE) / CAST(sum(qty) AS DOUBLE) / 1e9 AS vwap,
          CAST(sum(CASE side WHEN 'buy' THEN qty WHEN 'sell' THEN -qty ELSE 0 END) AS DOUBLE) / CAST(sum(qty) AS DOUBLE) AS flow_imbalance,
          CAST(sum(qty) AS DOUBLE) / count(*) / 1e9 AS avg_size, median(qty) / 1e9 AS median_size, stddev_samp(price / 1e9) AS price_std
   FROM {0} WHERE ts_spine_us IS NOT NULL GROUP BY ALL"""
-CTES += f"bars AS ({_BARS.format('aligned')}), slow_bars AS ({_BARS.format('slow_aligned')}),"
+CTES += f"bars AS ({BARS_SQL.format('aligned')}), slow_bars AS ({BARS_SQL.format('slow_aligned')}),"
 CTES += """
 t_aligned AS (
   SELECT t.*, x.ts_spine_us FROM ticker t ASOF LEFT JOIN v_spine x
@@ -229,8 +268,7 @@ f_bars AS (
          (arg_max(open_interest, ts_event_us) - arg_min(open_interest, ts_event_us)) / 1e9 AS oi_change
   FROM t_aligned WHERE ts_spine_us IS NOT NULL GROUP BY ALL),
 rets AS (
-  SELECT *, ln(price / 1e9) - lag(ln(price / 1e9)) OVER (PARTITION BY exchange, symbol, ts_event_us // 86400000000
-                                                          ORDER BY ts_event_us, file_id, file_seq) AS ret
+  SELECT *, ln(price / 1e9) - lag(ln(price / 1e9)) OVER (PARTITION BY exchange, symbol ORDER BY ts_event_us, file_id, file_seq) AS ret
   FROM trades WHERE price > 0),
 vol AS (
   SELECT exchange, symbol, ts_event_us // 300000000 * 300000000 AS bucket_us, stddev_samp(ret) AS bucket_vol,

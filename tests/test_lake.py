@@ -65,7 +65,7 @@ def test_listing(spark):
 def test_point_in_time_coverage(spark):
     dim = spark.createDataFrame([("x", "A", 11, 10, 20), ("x", "A", 22, 20, OPEN_END), ("x", "B", 1, 0, 30), ("x", "B", 2, 10, 40)], "exchange string, exchange_symbol string, symbol_id long, valid_from_ts_us long, valid_until_ts_us long")
     events = spark.createDataFrame([("x", "A", t) for t in (9, 10, 19, 20)] + [("x", "B", 15), ("x", "B", 35), ("y", "A", 15)], "exchange string, symbol string, ts_event_us long")
-    got = {(r["exchange"], r["symbol"], r["ts_event_us"]): r for r in dimension.pit_coverage(events, dim, validated=False).collect()}
+    got = {(r["exchange"], r["symbol"], r["ts_event_us"]): r for r in dimension.pit_coverage(events, dim).collect()}
     assert len(got) == 7
     assert [got[("x", "A", t)]["symbol_id"] for t in (9, 10, 19, 20)] == [None, 11, 11, 22]
     assert (got[("x", "B", 15)]["symbol_id"], got[("x", "B", 35)]["symbol_id"]) == (1, 2)
