@@ -14,15 +14,8 @@ from pyspark.sql import types as T
 SCALE = 1_000_000_000
 OPEN_END = 2**63 - 1
 
-_TYPES = {
-    "s": T.StringType(),
-    "l": T.LongType(),
-    "i": T.IntegerType(),
-    "d": T.DoubleType(),
-    "b": T.BooleanType(),
-    "D": T.DateType(),
-    "al": T.ArrayType(T.LongType()),
-}
+STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+BOOLEAN, DATE, LONGS = T.BooleanType(), T.DateType(), T.ArrayType(T.LongType())
 
 
 @dataclass(frozen=True)
@@ -78,101 +71,216 @@ class TableSpec:
         return spark.createDataFrame([], self.schema)
 
 
-def _columns(text: str) -> tuple[ColumnSpec, ...]:
-    """``name:type`` items; ``?`` marks nullable, ``*`` fixed-point."""
-    out = []
-    for item in text.split():
-        name, kind = item.split(":")
-        out.append(
-            ColumnSpec(name, _TYPES[kind.rstrip("?*")], "?" in kind, SCALE if "*" in kind else None)
-        )
-    return tuple(out)
+def required(name: str, dtype: T.DataType, scaled: bool = False) -> ColumnSpec:
+    """A column that must be there; ``scaled`` ones are fixed-point."""
+    return ColumnSpec(name, dtype, False, SCALE if scaled else None)
+
 
+def optional(name: str, dtype: T.DataType, scaled: bool = False) -> ColumnSpec:
+    return ColumnSpec(name, dtype, True, SCALE if scaled else None)
 
-_EVENT = "exchange:s trading_date:D symbol:s symbol_id:l ts_event_us:l ts_local_us:l? file_id:l file_seq:l "
+
+#: Columns of every event table.
+_EVENT = (
+    required("exchange", STRING),
+    required("trading_date", DATE),
+    required("symbol", STRING),
+    required("symbol_id", LONG),
+    required("ts_event_us", LONG),
+    optional("ts_local_us", LONG),
+    required("file_id", LONG),
+    required("file_seq", LONG),
+)
 _ORDER = ("exchange", "symbol_id", "ts_event_us", "file_id", "file_seq")
 _CN_ORDER = ("exchange", "symbol_id", "trading_date", "channel_id", "channel_seq", "file_id", "file_seq")
 _PARTITION = ("exchange", "trading_date")
 
 
-def _event(name: str, columns: str, order: tuple[str, ...] = _ORDER) -> TableSpec:
-    return TableSpec(name, "event", _columns(_EVENT + columns), order, _PARTITION)
+def _event(name: str, *columns: ColumnSpec, order: tuple[str, ...] = _ORDER) -> TableSpec:
+    return TableSpec(name, "event", _EVENT + columns, order, _PARTITION)
 
 
+#: The tables, column by column.
 SPECS = {
     s.name: s
     for s in (
-        _event("trades", "trade_id:s? side:s is_buyer_maker:b? price:l* qty:l*"),
-        _event("quotes", "bid_price:l* bid_qty:l* ask_price:l* ask_qty:l* seq_num:l?"),
+        _event(
+            "trades",
+            optional("trade_id", STRING),
+            required("side", STRING),
+            optional("is_buyer_maker", BOOLEAN),
+            required("price", LONG, scaled=True),
+            required("qty", LONG, scaled=True),
+        ),
+        _event(
+            "quotes",
+            required("bid_price", LONG, scaled=True),
+            required("bid_qty", LONG, scaled=True),
+            required("ask_price", LONG, scaled=True),
+            required("ask_qty", LONG, scaled=True),
+            optional("seq_num", LONG),
+        ),
         _event(
             "orderbook_updates",
-            "book_seq:l? side:s price:l* qty:l* is_snapshot:b",
-            ("exchange", "symbol_id", "ts_event_us", "book_seq", "file_id", "file_seq"),
+            optional("book_seq", LONG),
+            required("side", STRING),
+            required("price", LONG, scaled=True),
+            required("qty", LONG, scaled=True),
+            required("is_snapshot", BOOLEAN),
+            order=("exchange", "symbol_id", "ts_event_us", "book_seq", "file_id", "file_seq"),
         ),
         _event(
             "derivative_ticker",
-            "mark_price:l* index_price:l?* last_price:l?* open_interest:l?* funding_rate:d? predicted_funding_rate:d?"
-            " funding_ts_us:l?",
+            required("mark_price", LONG, scaled=True),
+            optional("index_price", LONG, scaled=True),
+            optional("last_price", LONG, scaled=True),
+            optional("open_interest", LONG, scaled=True),
+            optional("funding_rate", DOUBLE),
+            optional("predicted_funding_rate", DOUBLE),
+            optional("funding_ts_us", LONG),
+        ),
+        _event(
+            "liquidations",
+            optional("liquidation_id", STRING),
+            required("side", STRING),
+            required("price", LONG, scaled=True),
+            required("qty", LONG, scaled=True),
         ),
-        _event("liquidations", "liquidation_id:s? side:s price:l* qty:l*"),
         _event(
             "options_chain",
-            "option_type:s strike:l* expiration_ts_us:l open_interest:l?* last_price:l?* bid_price:l?* ask_price:l?*"
-            " mark_price:l?* bid_qty:l?* ask_qty:l?* bid_iv:d? ask_iv:d? mark_iv:d? underlying_index:s?"
-            " underlying_price:l?* delta:d? gamma:d? vega:d? theta:d? rho:d?",
+            required("option_type", STRING),
+            required("strike", LONG, scaled=True),
+            required("expiration_ts_us", LONG),
+            optional("open_interest", LONG, scaled=True),
+            optional("last_price", LONG, scaled=True),
+            optional("bid_price", LONG, scaled=True),
+            optional("ask_price", LONG, scaled=True),
+            optional("mark_price", LONG, scaled=True),
+            optional("bid_qty", LONG, scaled=True),
+            optional("ask_qty", LONG, scaled=True),
+            optional("bid_iv", DOUBLE),
+            optional("ask_iv", DOUBLE),
+            optional("mark_iv", DOUBLE),
+            optional("underlying_index", STRING),
+            optional("underlying_price", LONG, scaled=True),
+            optional("delta", DOUBLE),
+            optional("gamma", DOUBLE),
+            optional("vega", DOUBLE),
+            optional("theta", DOUBLE),
+            optional("rho", DOUBLE),
         ),
         _event(
             "cn_order_events",
-            "channel_id:i channel_seq:l channel_biz_seq:l? symbol_order_seq:l? order_ref:l event_kind:s side:s"
-            " order_type:s? price:l* qty:l*",
-            _CN_ORDER,
+            required("channel_id", INT),
+            required("channel_seq", LONG),
+            optional("channel_biz_seq", LONG),
+            optional("symbol_order_seq", LONG),
+            required("order_ref", LONG),
+            required("event_kind", STRING),
+            required("side", STRING),
+            optional("order_type", STRING),
+            required("price", LONG, scaled=True),
+            required("qty", LONG, scaled=True),
+            order=_CN_ORDER,
         ),
         _event(
             "cn_tick_events",
-            "channel_id:i channel_seq:l channel_biz_seq:l? symbol_trade_seq:l? bid_order_ref:l? ask_order_ref:l?"
-            " event_kind:s aggressor_side:s? price:l* qty:l*",
-            _CN_ORDER,
+            required("channel_id", INT),
+            required("channel_seq", LONG),
+            optional("channel_biz_seq", LONG),
+            optional("symbol_trade_seq", LONG),
+            optional("bid_order_ref", LONG),
+            optional("ask_order_ref", LONG),
+            required("event_kind", STRING),
+            optional("aggressor_side", STRING),
+            required("price", LONG, scaled=True),
+            required("qty", LONG, scaled=True),
+            order=_CN_ORDER,
         ),
         _event(
             "cn_l2_snapshots",
-            "snapshot_seq:l image_status:s? trading_phase_code:s? bid_price_levels:al bid_qty_levels:al"
-            " ask_price_levels:al ask_qty_levels:al bid_order_count_levels:al? ask_order_count_levels:al?"
-            " pre_close_price:l?* open_price:l?* high_price:l?* low_price:l?* last_price:l?* volume:l? amount:l?"
-            " num_trades:l? total_bid_qty:l? total_ask_qty:l?",
-            ("exchange", "symbol_id", "ts_event_us", "snapshot_seq", "file_id", "file_seq"),
+            required("snapshot_seq", LONG),
+            optional("image_status", STRING),
+            optional("trading_phase_code", STRING),
+            required("bid_price_levels", LONGS),
+            required("bid_qty_levels", LONGS),
+            required("ask_price_levels", LONGS),
+            required("ask_qty_levels", LONGS),
+            optional("bid_order_count_levels", LONGS),
+            optional("ask_order_count_levels", LONGS),
+            optional("pre_close_price", LONG, scaled=True),
+            optional("open_price", LONG, scaled=True),
+            optional("high_price", LONG, scaled=True),
+            optional("low_price", LONG, scaled=True),
+            optional("last_price", LONG, scaled=True),
+            optional("volume", LONG),
+            optional("amount", LONG),
+            optional("num_trades", LONG),
+            optional("total_bid_qty", LONG),
+            optional("total_ask_qty", LONG),
+            order=("exchange", "symbol_id", "ts_event_us", "snapshot_seq", "file_id", "file_seq"),
         ),
         TableSpec(
             "dim_symbol",
             "dimension",
-            _columns(
-                "symbol_id:l exchange:s exchange_symbol:s canonical_symbol:s market_type:s base_asset:s quote_asset:s"
-                " valid_from_ts_us:l valid_until_ts_us:l is_current:b tick_size:l?* lot_size:l?* contract_size:l?*"
-                " updated_at_ts_us:l"
+            (
+                required("symbol_id", LONG),
+                required("exchange", STRING),
+                required("exchange_symbol", STRING),
+                required("canonical_symbol", STRING),
+                required("market_type", STRING),
+                required("base_asset", STRING),
+                required("quote_asset", STRING),
+                required("valid_from_ts_us", LONG),
+                required("valid_until_ts_us", LONG),
+                required("is_current", BOOLEAN),
+                optional("tick_size", LONG, scaled=True),
+                optional("lot_size", LONG, scaled=True),
+                optional("contract_size", LONG, scaled=True),
+                required("updated_at_ts_us", LONG),
             ),
-            ("exchange", "exchange_symbol", "valid_from_ts_us"),
-            (),
-            ("exchange", "exchange_symbol", "valid_from_ts_us"),
+            tie_break_keys=("exchange", "exchange_symbol", "valid_from_ts_us"),
+            business_keys=("exchange", "exchange_symbol", "valid_from_ts_us"),
         ),
         TableSpec(
             "ingest_manifest",
             "control",
-            _columns(
-                "file_id:l vendor:s data_type:s bronze_path:s file_hash:s status:s rows_total:l rows_written:l"
-                " rows_quarantined:l trading_date_min:D? trading_date_max:D? created_at_ts_us:l processed_at_ts_us:l?"
-                " status_reason:s?"
+            (
+                required("file_id", LONG),
+                required("vendor", STRING),
+                required("data_type", STRING),
+                required("bronze_path", STRING),
+                required("file_hash", STRING),
+                required("status", STRING),
+                required("rows_total", LONG),
+                required("rows_written", LONG),
+                required("rows_quarantined", LONG),
+                optional("trading_date_min", DATE),
+                optional("trading_date_max", DATE),
+                required("created_at_ts_us", LONG),
+                optional("processed_at_ts_us", LONG),
+                optional("status_reason", STRING),
             ),
-            ("file_id",),
-            (),
-            ("vendor", "data_type", "bronze_path", "file_hash"),
+            tie_break_keys=("file_id",),
+            business_keys=("vendor", "data_type", "bronze_path", "file_hash"),
         ),
         TableSpec(
             "validation_log",
             "control",
-            _columns(
-                "file_id:l rule_name:s severity:s logged_at_ts_us:l file_seq:l? field_name:s? field_value:s?"
-                " ts_event_us:l? symbol:s? symbol_id:l? message:s?"
+            (
+                required("file_id", LONG),
+                required("rule_name", STRING),
+                required("severity", STRING),
+                required("logged_at_ts_us", LONG),
+                optional("file_seq", LONG),
+                optional("field_name", STRING),
+                optional("field_value", STRING),
+                optional("ts_event_us", LONG),
+                optional("symbol", STRING),
+                optional("symbol_id", LONG),
+                optional("message", STRING),
             ),
-            ("file_id", "logged_at_ts_us", "file_seq"),
+            tie_break_keys=("file_id", "logged_at_ts_us", "file_seq"),
         ),
     )
 }

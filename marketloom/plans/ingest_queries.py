@@ -217,7 +217,7 @@ def dim_refresh(spark, d):
 @query()
 def dim_symbol_id(spark, d):
     """Stable ids; blake2b has no SQL."""
-    return dimension.with_ids(v.dim(spark, d)).select("exchange", "exchange_symbol", "valid_from_ts_us", "symbol_id")
+    return dimension.with_ids(v.dim(spark, d).drop("symbol_id")).select("exchange", "exchange_symbol", "valid_from_ts_us", "symbol_id")
 
 
 def _listing(spark, d):

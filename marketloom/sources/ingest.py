@@ -4,8 +4,9 @@ Rows are normalised by a parser, marked by the rules, given the symbol version v
 written as events or as quarantine; counts per file become the ledger's rows.  Every row of a file that has a
 parse error is left out and the file is failed; other files go on.
 
-A retry after a crash writes a file's rows anew: event rows are keyed by file id, so readers that join the ledger
-on success see each file once.
+Raw files are read and parsed once: marked rows go to a staged folder, and all else reads that.  The ledger has the
+files as pending before anything else is written.  After a crash the next run over the same files finds them pending,
+takes away what the broken run had written for them (whole files, since a run writes its own) and starts anew.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..core.specs import normalize, spec
+from ..core.storage import kept
 from ..core.timeutil import trading_date
 from ..operators.dimension import pit_coverage
 from ..operators.validation import REASON, mark
@@ -45,6 +48,7 @@ ALIASES = {
     "l2_new": "cn_l2_snapshots",
 }
 Parser = Callable[[DataFrame], DataFrame]
+Writer = Callable[[DataFrame, str], None]
 #: Parsers by table; a caller may add its own or pass one.
 PARSERS: dict[str, Parser] = {
     "trades": crypto.trades,
@@ -101,18 +105,28 @@ class Marked:
         )
 
 
-def mark_rows(raw: DataFrame, data_type: str, dim: DataFrame, parser: Parser | None = None, exchange: str | None = None) -> Marked:
-    """``raw`` must have file_id and file_seq (numbered while reading, before any rule)."""
-    table = table_of(data_type)
+def marked_rows(raw: DataFrame, table: str, dim: DataFrame, parser: Parser | None = None, exchange: str | None = None) -> DataFrame:
+    """Parsed rows with dates, parse errors, reasons and symbol ids; each row by itself."""
     parsed = (parser or parser_of(table, exchange))(raw)
     if ERROR not in parsed.columns:
         parsed = parsed.withColumn(ERROR, F.lit(None).cast("string"))
     dated = parsed.withColumn("trading_date", trading_date(F.col("ts_event_us"), F.col("exchange")))
     unknown = F.when(F.col("trading_date").isNull(), F.lit("unknown exchange"))
     dated = dated.withColumn(ERROR, F.coalesce(F.col(ERROR), unknown))
-    failed = dated.where(F.col(ERROR).isNotNull()).select(F.col("file_id").alias("__f")).distinct()
-    flagged = dated.join(failed, F.col("file_id") == F.col("__f"), "left").withColumn("file_failed", F.col("__f").isNotNull()).drop("__f")
-    return Marked(pit_coverage(mark(flagged, table), dim), table)
+    return pit_coverage(mark(dated, table), dim)
+
+
+def with_failed(rows: DataFrame, table: str) -> Marked:
+    """Marks all rows of a file as failed that has a parse error."""
+    failed = rows.where(F.col(ERROR).isNotNull()).select(F.col("file_id").alias("__f")).distinct()
+    flagged = rows.join(failed, F.col("file_id") == F.col("__f"), "left").withColumn("file_failed", F.col("__f").isNotNull())
+    return Marked(flagged.drop("__f"), table)
+
+
+def mark_rows(raw: DataFrame, data_type: str, dim: DataFrame, parser: Parser | None = None, exchange: str | None = None) -> Marked:
+    """``raw`` must have file_id and file_seq (numbered while reading, before any rule)."""
+    table = table_of(data_type)
+    return with_failed(marked_rows(raw, table, dim, parser, exchange), table)
 
 
 def ledger_rows(files: DataFrame, counts: DataFrame, now_us: int) -> DataFrame:
@@ -140,6 +154,28 @@ def ledger_rows(files: DataFrame, counts: DataFrame, now_us: int) -> DataFrame:
     return normalize(rows, "ingest_manifest")
 
 
+def pending_rows(files: DataFrame, now_us: int) -> DataFrame:
+    """Rows of ``ingest_manifest`` for files that a run is about to work on."""
+    none = {c: F.lit(None).cast("long") for c in ("rows_total", "rows_written", "rows_quarantined", "processed_at_ts_us")}
+    none |= {c: F.lit(None) for c in ("trading_date_min", "trading_date_max", "status_reason")}
+    created = F.coalesce("created_at_ts_us", F.lit(now_us)).cast("long")
+    return normalize(files.withColumns({"status": F.lit("pending"), "created_at_ts_us": created} | none), "ingest_manifest")
+
+
+def take_back(spark: SparkSession, root: str, table: str, ids: DataFrame) -> int:
+    """Deletes the files of the table and of the quarantine that hold rows of these ``file_id``s; returns their number.
+
+    Only for ids of a run that did not end: such a run's files hold rows of no other, and compaction leaves them alone.
+    """
+    paths = []
+    for name in (table, "validation_log"):
+        rows = lake.read_table(spark, root, name, with_path=True).select("file_id", "path")
+        paths += [r["path"] for r in rows.join(ids, "file_id", "left_semi").select("path").distinct().collect()]
+    for path in paths:
+        lake.delete(spark, path)
+    return len(paths)
+
+
 def ingest(
     spark: SparkSession,
     root: str,
@@ -152,32 +188,48 @@ def ingest(
     force: bool = False,
     dry_run: bool = False,
     now_us: int | None = None,
+    writer: Writer | None = None,
 ) -> DataFrame:
     """Ingests files (identity columns) that the ledger has not as success; returns their ledger rows.
 
-    ``read`` turns paths into raw rows with bronze_path and file_seq.  ``dry_run`` writes nothing and numbers
-    files 0.  The ledger is written last.
+    ``read`` turns paths into raw rows with bronze_path and file_seq; the driver lists the paths, as for any read.
+    ``writer`` (valid rows, table) takes the place of the event store; it must bear a retry itself.  ``dry_run``
+    writes nothing to the lake and numbers files 0.  ``force`` takes files that have succeeded as well, and writes
+    their rows once more.  Two runs over the same files at the same time are not supported.
     """
-    now = now_us or time.time_ns() // 1000
+    now, table = now_us or time.time_ns() // 1000, table_of(data_type)
     ledger = lake.read_table(spark, root, "ingest_manifest")
     pending = files if force else manifest.filter_pending(files, ledger)
     if dry_run:
         pending = pending.withColumns({"file_id": F.lit(0).cast("long"), "created_at_ts_us": F.lit(now).cast("long")})
     else:
         pending = manifest.assign_ids(pending, ledger)
-    # One short row per file, fixed before anything is written, so that ids do not change under the job.
-    listed = pending.collect()
-    pending = spark.createDataFrame(listed, pending.schema)
-    if not listed:
-        return spec("ingest_manifest").empty(spark)
-    raw = read([r["bronze_path"] for r in listed])
-    numbered = raw.join(F.broadcast(pending.select("bronze_path", "file_id")), "bronze_path")
-    marked = mark_rows(numbered, data_type, dim, parser, exchange)
-    rows = ledger_rows(pending, marked.counts(), now)
-    if dry_run:
-        return rows
-    rows = spark.createDataFrame(rows.collect(), rows.schema)
-    lake.append_quarantine(marked.rejected, root, marked.table, now)
-    lake.append_events(marked.valid, root, marked.table)
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/ingest_manifest")
-    return rows
+    staged = f"{root}/_staged/{uuid4().hex}"
+    try:
+        pending.write.parquet(f"{staged}/files")  # fixed before anything else is written
+        pending = spark.read.parquet(f"{staged}/files")
+        paths = [r["bronze_path"] for r in pending.select("bronze_path").collect()]
+        if not paths:
+            return spec("ingest_manifest").empty(spark)
+        if not dry_run:
+            broken = manifest.latest(ledger).where("status = 'pending'").select("file_id")
+            broken = broken.join(pending.select("file_id"), "file_id", "left_semi")
+            if not broken.isEmpty():
+                take_back(spark, root, table, broken)
+            pending_rows(pending, now).coalesce(1).write.mode("append").parquet(f"{root}/ingest_manifest")
+        numbered = read(paths).join(pending.select("bronze_path", "file_id"), "bronze_path")
+        marked_rows(numbered, table, dim, parser, exchange).write.parquet(f"{staged}/rows")
+        marked = with_failed(spark.read.parquet(f"{staged}/rows"), table)
+        rows = ledger_rows(pending, marked.counts(), now)
+        if dry_run:
+            return kept(rows)
+        lake.append_quarantine(marked.rejected, root, table, now)
+        if writer is None:
+            lake.append_events(marked.valid, root, table)
+        else:
+            writer(marked.valid, table)
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/ingest_manifest")
+        done = kept(lake.read_table(spark, root, "ingest_manifest").where(F.col("processed_at_ts_us") == now).join(pending.select("file_id"), "file_id", "left_semi"))
+        return done.select(*spec("ingest_manifest").names)
+    finally:
+        lake.delete(spark, staged)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -14,19 +15,34 @@ from ..core.timeutil import bounds, date_bounds
 from ..operators.dimension import as_of as valid_at
 from ..operators.dimension import validate
 from ..operators.validation import REASON
+from .manifest import latest
 
 LINEAGE = ("file_id", "file_seq")
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The table with its own types; an empty one where nothing was written yet."""
+def read_table(spark: SparkSession, root: str, table: str, with_path: bool = False) -> DataFrame:
+    """The table with its own types, and the ``path`` of each row's file if asked; an empty one where nothing was
+    written yet."""
     s = spec(table)
     try:
-        return spark.read.schema(s.schema).parquet(f"{root}/{table}").select(*s.names)
+        rows = spark.read.schema(s.schema).parquet(f"{root}/{table}")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return s.empty(spark)
+        return s.empty(spark).withColumn("path", F.lit("")) if with_path else s.empty(spark)
+    return rows.select(*s.names, *([F.col("_metadata.file_path").alias("path")] if with_path else []))
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(the path for Hadoop, its file system)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder, if it is there."""
+    hadoop, fs = _file_system(spark, path)
+    fs.delete(hadoop, True)
 
 
 def _projection(s: TableSpec, columns: Sequence[str] | None, include_lineage: bool) -> list[str]:
@@ -119,7 +135,10 @@ def append_events(df: DataFrame, root: str, table: str) -> None:
 
 
 def save_dim(df: DataFrame, root: str) -> None:
-    """Replaces the dimension: a new version's folder; readers take the latest one that is complete."""
+    """Replaces the dimension: a new version's folder; readers take the latest one that is complete.
+
+    Of two writers at once one fails, since the folder of a version is written once.
+    """
     spark = df.sparkSession
     validate_schema(df, "dim_symbol")
     versions = _versions(spark, root)
@@ -135,15 +154,12 @@ def load_dim(spark: SparkSession, root: str) -> DataFrame:
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Versions whose write was committed."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/dim_symbol")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path, fs = _file_system(spark, f"{root}/dim_symbol")
     if not fs.exists(path):
         return []
-    found = [(s.getPath().getName(), s.getPath()) for s in fs.listStatus(path)]
-    return sorted(
-        int(n[2:]) for n, p in found if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-    )
+    found = [s.getPath() for s in fs.listStatus(path)]
+    done = [p for p in found if p.getName().startswith("v=") and fs.exists(_file_system(spark, f"{p}/_SUCCESS")[0])]
+    return sorted(int(p.getName()[2:]) for p in done)
 
 
 def quarantine_rows(rejected: DataFrame, table: str, logged_at_us: int) -> DataFrame:
@@ -185,6 +201,49 @@ def write_features(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
+#: A folder that is being swapped lists its old files here; names that begin like this are not read as data.
+_SWAP, _NEW = "_swap", "_new-"
+
+
+def finish_swap(spark: SparkSession, folder: str) -> None:
+    """Ends a swap that a crash has stopped: forward if the old files were already listed, back if not."""
+    path, fs = _file_system(spark, folder)
+    if not fs.exists(path):
+        return
+    marker, _ = _file_system(spark, f"{folder}/{_SWAP}")
+    new = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith(_NEW)]
+    if not fs.exists(marker):
+        for p in new:
+            fs.delete(p, False)
+        return
+    listed = fs.open(marker)
+    names = spark._jvm.org.apache.commons.io.IOUtils.toString(listed, "UTF-8").split()
+    listed.close()
+    for name in names:
+        fs.delete(_file_system(spark, f"{folder}/{name}")[0], False)
+    for p in new:
+        fs.rename(p, _file_system(spark, f"{folder}/{p.getName().removeprefix(_NEW)}")[0])
+    fs.delete(marker, False)
+
+
+def swap_files(spark: SparkSession, staged: str, folder: str) -> None:
+    """Puts the data files of ``staged`` in the place of those of ``folder``.
+
+    New files are moved in under names that readers skip; then the old ones are listed, from where on a crash is
+    mended forward by ``finish_swap``; then the old ones go and the new ones get their names.
+    """
+    source, fs = _file_system(spark, staged)
+    target, _ = _file_system(spark, folder)
+    old = [s.getPath().getName() for s in fs.listStatus(target)]
+    for s in fs.listStatus(source):
+        if (name := s.getPath().getName()).endswith(".parquet"):
+            fs.rename(s.getPath(), _file_system(spark, f"{folder}/{_NEW}{name}")[0])
+    out = fs.create(_file_system(spark, f"{folder}/{_SWAP}")[0])
+    out.write(bytearray("\n".join(n for n in old if n.endswith(".parquet") and n[0] not in "._"), "utf-8"))
+    out.close()
+    finish_swap(spark, folder)
+
+
 def compact_partitions(
     spark: SparkSession,
     root: str,
@@ -193,35 +252,52 @@ def compact_partitions(
     target_bytes: int = 128 << 20,
     min_small_files: int = 8,
     dry_run: bool = False,
+    continue_on_error: bool = True,
+    at_once: int = 4,
 ) -> DataFrame:
     """Rewrites each partition that has at least ``min_small_files`` small files; returns a report.
 
-    (partition, files_before, files_after, bytes_before, skipped).  Rows are staged in a new folder, then
-    the partition is overwritten, so a failure before the last step leaves the partition as it was.
+    (partition, files_before, files_after, bytes_before, skipped, error).  Rows are written to a staged folder and
+    swapped in, so a failure leaves the old files or, after the next call, the new ones; the staged folder goes in
+    either case.  A partition with rows of a pending file waits until that one's ingest has ended.  ``at_once``
+    partitions are worked on at a time.  Errors are reported and others go on, unless ``continue_on_error`` is off.
     """
     s = event_spec(table)
     if bad := [p for p in partitions if set(p) != set(s.partition_by)]:
         raise ValueError(f"{table}: partition keys must be {s.partition_by}, not {bad}")
     wanted = sorted({tuple((k, str(p[k])) for k in s.partition_by) for p in partitions})
-    report = []
-    for values in wanted:
+    open_files = latest(read_table(spark, root, "ingest_manifest")).where("status = 'pending'").select("file_id")
+
+    def one(values) -> tuple:
         name = "/".join(f"{k}={v}" for k, v in values)
-        path = f"{root}/{table}/{name}"
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-        sizes = [r["length"] for r in files.select("length").collect()]  # one number per file of one partition
-        small = [n for n in sizes if n < target_bytes]
-        skipped = "dry_run" if dry_run else "below_min_small_files" if len(small) < min_small_files else None
-        after = len(sizes)
-        if skipped is None:
-            after = max(1, -(-sum(sizes) // target_bytes))
-            staged = f"{root}/_staged/{uuid4().hex}"
-            columns = [c for c in s.names if c not in s.partition_by]
-            rows = spark.read.schema(s.schema).parquet(path).select(*columns)
-            rows.repartition(after).write.parquet(staged)
-            spark.read.parquet(staged).repartition(after).sortWithinPartitions(*(k for k in s.tie_break_keys if k in columns)).write.mode(
-                "overwrite"
-            ).parquet(path)
-        report.append((name, len(sizes), after, sum(sizes), skipped))
+        path, staged = f"{root}/{table}/{name}", f"{root}/_staged/{uuid4().hex}"
+        sizes: list[int] = []
+        try:
+            if not dry_run:
+                finish_swap(spark, path)
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+            sizes = [r["length"] for r in files.select("length").collect()]  # one number per file of one partition
+            small = [n for n in sizes if n < target_bytes]
+            after, columns = max(1, -(-sum(sizes) // target_bytes)), [c for c in s.names if c not in s.partition_by]
+            skipped = "dry_run" if dry_run else "below_min_small_files" if len(small) < min_small_files else None
+            if skipped is None:
+                rows = spark.read.schema(s.schema).parquet(path).select(*columns)
+                if not rows.join(open_files, "file_id", "left_semi").isEmpty():
+                    skipped = "pending_ingest"
+                else:
+                    order = [k for k in s.tie_break_keys if k in columns]
+                    rows.repartition(after).sortWithinPartitions(*order).write.parquet(staged)
+                    swap_files(spark, staged, path)
+            return name, len(sizes), after if skipped is None else len(sizes), sum(sizes), skipped, None
+        except Exception as e:  # whatever stops one partition is its report
+            if not continue_on_error:
+                raise
+            return name, len(sizes), len(sizes), sum(sizes), None, str(e).split("\n")[0]
+        finally:
+            delete(spark, staged)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        report = list(pool.map(one, wanted))
     return spark.createDataFrame(
-        report, "partition string, files_before long, files_after long, bytes_before long, skipped string"
+        report, "partition string, files_before long, files_after long, bytes_before long, skipped string, error string"
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..core.storage import kept
 from ..operators.bars import decoded, exact_sum, first_by_order, last_by_order
 from ..sources import ingest as batch
 from ..sources.files import with_file_seq
@@ -44,16 +45,20 @@ def stream_ingest(
     checkpoint: str,
     exchange: str | None = None,
 ) -> StreamingQuery:
-    """Ingests CSV files as they appear under ``folder``; the ledger keeps restarts from writing a file twice."""
+    """Ingests CSV files as they appear under ``folder``; the ledger keeps restarts from writing a file twice.
+
+    A file is known by its path and by a digest of its rows, so another content under an old path is another file.
+    """
 
     def each(rows: DataFrame, _: int) -> None:
-        rows.persist()
-        found = rows.select("bronze_path").distinct()
+        rows = kept(rows)
+        columns = [F.col(f"`{c}`") for c in rows.columns if c != "bronze_path"]
+        sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")) for seed in (1, 2)]
+        found = rows.groupBy("bronze_path").agg(F.concat_ws(":", F.count("*"), *sums).alias("digest"))
         files = found.select(
-            F.lit(vendor).alias("vendor"), F.lit(data_type).alias("data_type"), "bronze_path", F.sha2("bronze_path", 256).alias("file_hash")
+            F.lit(vendor).alias("vendor"), F.lit(data_type).alias("data_type"), "bronze_path", F.sha2("digest", 256).alias("file_hash")
         )
         batch.ingest(spark, root, files, lambda paths: with_file_seq(rows.where(F.col("bronze_path").isin(paths))), data_type, dim(), exchange=exchange)
-        rows.unpersist()
 
     source = spark.readStream.schema(schema).option("header", True).csv(folder).select("*", F.col("_metadata.file_path").alias("bronze_path"))
     return source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -145,6 +145,58 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert lake.load_events(spark, str(tmp_path / "none"), "trades", "deribit", "BTC", 0, 1).count() == 0
 
 
+def ingest_setup(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    ts = 1_704_067_200_000_000
+    csv(raw, "a.csv", ("deribit", "BTC", ts, ts, 1, "buy", 2.5, 1), ("deribit", "BTC", ts, ts, 2, "buy", -1, 1))
+    csv(raw, "b.csv", ("deribit", "BTC", ts + 5, ts, 1, "sell", 3.5, 1))
+    dim = dimension.bootstrap(snapshot(spark, ("deribit", "BTC", 1)), ts - 5)
+    listed = files.list_files(spark, str(raw), "*.csv", hashes=True).select(F.lit("v").alias("vendor"), F.lit("trades").alias("data_type"), "bronze_path", F.col("sha256").alias("file_hash"))
+    return root, dim, listed, lambda paths: files.with_file_seq(files.read_csv_typed(spark, paths, SCHEMA))
+
+
+def test_ingest_after_a_crash_between_events_and_ledger(spark, tmp_path):
+    root, dim, listed, read = ingest_setup(spark, tmp_path)
+
+    def broken(rows, table):
+        lake.append_events(rows, root, table)
+        raise RuntimeError("power cut")
+
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="power cut"):
+            ingest.ingest(spark, root, listed, read, "trades", dim, writer=broken)
+        assert lake.read_table(spark, root, "trades").count() == 2
+    state = manifest.latest(lake.read_table(spark, root, "ingest_manifest")).collect()
+    assert {r["status"] for r in state} == {"pending"} and sorted(r["file_id"] for r in state) == [1, 2]
+    waits = lake.compact_partitions(spark, root, "trades", [{"exchange": "deribit", "trading_date": "2024-01-01"}], min_small_files=1)
+    assert waits.first()["skipped"] == "pending_ingest"
+    out = ingest.ingest(spark, root, listed, read, "trades", dim, now_us=7).collect()
+    assert sorted((r["file_id"], r["status"]) for r in out) == [(1, "success"), (2, "success")]
+    rows = lake.read_table(spark, root, "trades").collect()
+    assert sorted((r["file_id"], r["file_seq"]) for r in rows) == [(1, 1), (2, 1)]
+    assert lake.read_table(spark, root, "validation_log").count() == 1
+    assert ingest.ingest(spark, root, listed, read, "trades", dim).count() == 0
+    assert not list((tmp_path / "lake" / "_staged").glob("*"))
+    assert lake.read_table(spark, root, "trades").count() == 2
+
+
+def test_ingest_writer_hook_and_parsing_once(spark, tmp_path):
+    root, dim, listed, read = ingest_setup(spark, tmp_path)
+    taken, reads = [], spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    once = lambda paths: (lambda rows: rows.mapInArrow(counted, rows.schema))(read(paths))
+    out = ingest.ingest(spark, root, listed, once, "trades", dim, writer=lambda rows, table: taken.append((table, rows.count())))
+    assert taken == [("trades", 2)] and {r["status"] for r in out.collect()} == {"success"}
+    assert lake.read_table(spark, root, "trades").count() == 0
+    assert reads.value == 3  # each raw row was read and parsed once
+
+
 def test_dimension_store_and_discovery(spark, tmp_path):
     root = str(tmp_path)
     assert lake.load_dim(spark, root).count() == 0
@@ -181,6 +233,59 @@ def test_compaction(spark, tmp_path):
         lake.compact_partitions(spark, root, "trades", [{"exchange": "x"}])
 
 
+def test_compaction_reports_errors_and_mends_a_broken_swap(spark, tmp_path):
+    root = str(tmp_path)
+    schema = "exchange string, trading_date date, symbol string, symbol_id long, ts_event_us long, file_id long, file_seq long, side string, price long, qty long"
+    for i in range(3):
+        row = spark.createDataFrame([("x", dt.date(2024, 1, 1), "s", 1, i, 1, i, "buy", 1, 1)], schema)
+        lake.append_events(normalize(row, "trades"), root, "trades")
+    one, none = {"exchange": "x", "trading_date": "2024-01-01"}, {"exchange": "x", "trading_date": "2030-01-01"}
+    report = {r["partition"][-10:]: r for r in lake.compact_partitions(spark, root, "trades", [one, none], min_small_files=2).collect()}
+    assert report["2024-01-01"]["error"] is None and report["2024-01-01"]["files_after"] == 1
+    assert "PATH_NOT_FOUND" in report["2030-01-01"]["error"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lake.compact_partitions(spark, root, "trades", [none], continue_on_error=False)
+    folder = tmp_path / "trades" / "exchange=x" / "trading_date=2024-01-01"
+    old = next(folder.glob("*.parquet"))
+    (folder / "_new-late.parquet").write_bytes(old.read_bytes())
+    lake.finish_swap(spark, str(folder))  # the old files were not listed yet: back
+    assert [p.name for p in folder.glob("*.parquet")] == [old.name]
+    (folder / "_new-late.parquet").write_bytes(old.read_bytes())
+    (folder / "_swap").write_text(old.name)
+    assert lake.read_table(spark, root, "trades").count() == 3
+    lake.finish_swap(spark, str(folder))  # they were: forward
+    assert sorted(p.name for p in folder.iterdir() if p.suffix == ".parquet" or p.name == "_swap") == ["late.parquet"]
+    assert lake.read_table(spark, root, "trades").count() == 3
+
+
+def test_readers_and_writers_of_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n007,\n1.50,é\n")
+    rows = files.read_csv_strings(spark, str(tmp_path / "a.csv"))
+    assert rows.dtypes[:2] == [("x", "string"), ("y", "string")]
+    assert [(r["x"], r["y"]) for r in rows.collect()] == [("007", None), ("1.50", "é")] and rows.first()["bronze_path"].endswith("a.csv")
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "n long, s string")
+    for kind in ("csv", "json", "parquet"):
+        lake.write_output(frame, str(tmp_path / kind), kind, limit=1)
+        back = spark.read.csv(str(tmp_path / kind), header=True) if kind == "csv" else getattr(spark.read, kind)(str(tmp_path / kind))
+        assert back.count() == 1 and set(back.columns) == {"n", "s"}
+    with pytest.raises(ValueError, match="format"):
+        lake.write_output(frame, str(tmp_path / "z"), "xml")
+    lake.write_features(frame, str(tmp_path / "features"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "features")).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_upsert_keeps_ids(spark):
+    first = dimension.bootstrap(snapshot(spark, ("b", "BTC", 1), ("b", "ETH", 2), ("c", "X", 3)), 5).withColumn("symbol_id", F.when(F.col("exchange_symbol") == "BTC", 42).when(F.col("exchange_symbol") == "ETH", 43).otherwise(44).cast("long"))
+    out = dimension.upsert(first, snapshot(spark, ("b", "BTC", 9), ("b", "NEW", 1)), 10)
+    ids = {(r["exchange_symbol"], r["valid_from_ts_us"]): r["symbol_id"] for r in out.collect()}
+    assert (ids["BTC", 5], ids["ETH", 5], ids["X", 5]) == (42, 43, 44)
+    again = dimension.bootstrap(snapshot(spark, ("b", "BTC", 9), ("b", "NEW", 1)), 10)
+    made = {r["exchange_symbol"]: r["symbol_id"] for r in again.collect()}
+    assert (ids["BTC", 10], ids["NEW", 10]) == (made["BTC"], made["NEW"])
+    more = dimension.refresh(out, again.where("exchange = 'none'"))
+    assert {(r["exchange_symbol"], r["valid_from_ts_us"]): r["symbol_id"] for r in more.collect()} == ids
+
+
 def test_manifest(spark):
     names = spec("ingest_manifest").names
     rows = [(1, "v", "t", "p1", "h", "failed", 0, 0, 0, None, None, 5, 6, None), (1, "v", "t", "p1", "h", "success", 1, 1, 0, None, None, 5, 7, None), (2, "v", "t", "p2", "h", "failed", 0, 0, 0, None, None, 5, 6, "x")]
@@ -220,3 +325,7 @@ def test_stream_ingest(spark, tmp_path):
     for _ in range(2):
         jobs.stream_ingest(spark, str(raw), SCHEMA, root, "v", "trades", lambda: dim, str(tmp_path / "state")).awaitTermination()
     assert lake.read_table(spark, root, "trades").count() == 1
+    csv(raw, "a.csv", ("deribit", "BTC", ts + 1, ts, 1, "buy", 3.5, 1))  # another content under the old path
+    jobs.stream_ingest(spark, str(raw), SCHEMA, root, "v", "trades", lambda: dim, str(tmp_path / "anew")).awaitTermination()
+    ledger = lake.read_table(spark, root, "ingest_manifest").where("status = 'success'")
+    assert lake.read_table(spark, root, "trades").count() == 2 and ledger.select("file_hash").distinct().count() == 2
