@@ -9,13 +9,16 @@ from ..core.numeric import divide, wide
 from .bars import decoded
 
 TOLERANCE_US = 1_000
+#: Trades of a bucket that one task looks at on the left.
+CROWDED = 5_000
 
 
 def matched_trades(trades: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataFrame:
     """(sym_i, sym_j, ts_i, id_i, qty_i, qty_j): each trade of the smaller symbol with the other's nearest trade.
 
     Trades meet through buckets as wide as the tolerance: a trade is looked for in its own bucket and both
-    neighbours, so pairs are formed only between trades that are nearly at the same time.
+    neighbours, so pairs are formed only between trades that are nearly at the same time.  The left side of a crowded
+    bucket, as at an opening auction, is dealt to several tasks, and each of them has the right side.
     """
     bucket = F.floor(F.col("ts_event_us") / F.lit(tolerance_us)).cast("long")
     one = trades.select("symbol", F.col("ts_event_us").alias("ts"), "file_id", "file_seq", "qty", bucket.alias("b"))
@@ -26,7 +29,13 @@ def matched_trades(trades: DataFrame, tolerance_us: int = TOLERANCE_US) -> DataF
     right = one.select(
         F.col("symbol").alias("sym_j"), F.col("ts").alias("ts_j"), F.struct("file_id", "file_seq").alias("id_j"), F.col("qty").alias("qty_j"), "b"
     )
-    near = left.join(right, "b").where(F.col("sym_i") < F.col("sym_j")).withColumn("gap", F.abs(F.col("ts_i") - F.col("ts_j")))
+    # Few buckets are crowded, and Spark broadcasts them while they are.
+    crowded = one.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED)
+    crowded = crowded.select("b", F.ceil(F.col("n") / CROWDED).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    left = left.join(crowded, "b", "left").withColumn("part", F.pmod(F.xxhash64("sym_i", "ts_i", "id_i"), parts).cast("int")).drop("parts")
+    right = right.join(crowded, "b", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    near = left.join(right, ["b", "part"]).where(F.col("sym_i") < F.col("sym_j")).withColumn("gap", F.abs(F.col("ts_i") - F.col("ts_j")))
     best = F.min_by("qty_j", F.struct("gap", "ts_j", "id_j"))
     return near.where(F.col("gap") <= tolerance_us).groupBy("sym_i", "sym_j", "ts_i", "id_i", "qty_i").agg(best.alias("qty_j"))
 
@@ -76,7 +85,7 @@ def clusters(similar: DataFrame, k: int, iterations: int = 20) -> DataFrame:
     from pyspark.ml.clustering import PowerIterationClustering
 
     names = similar.select(F.explode(F.array("sym_i", "sym_j")).alias("symbol")).distinct()
-    ids = names.withColumn("id", F.row_number().over(Window.orderBy("symbol")).cast("long"))
+    ids = names.withColumn("id", F.xxhash64("symbol"))
     links = (
         similar.where("similarity > 0")
         .join(ids.select(F.col("symbol").alias("sym_i"), F.col("id").alias("src")), "sym_i")

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.numeric import divide, wide
+from ..core.storage import kept
 from .bars import decoded, exact_sum
+from .stats import percent_rank
 from .windows import by, lagged, rolling_mean, rolling_std
 
 HOUR_US = 3_600_000_000
@@ -113,10 +115,15 @@ def whale_ratio(liquidations: DataFrame, least_qty: int) -> DataFrame:
 
 
 def euphoria_index(df: DataFrame, columns: Sequence[str], weights: Sequence[float] = (0.3, 0.3, 0.2, 0.2), keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Weighted percentile ranks of four columns inside each key."""
-    rank = lambda c: F.percent_rank().over(Window.partitionBy(*keys).orderBy(c))
-    total = sum((rank(c) * w for c, w in zip(columns, weights, strict=True)), F.lit(0.0))
-    return df.withColumn("euphoria_index", total)
+    """Weighted percentile ranks of four columns inside each key.
+
+    ``df`` is kept, since its values are ranked column by column; a key with most rows is many tasks.
+    """
+    out, names, own = kept(df), [f"__rank{i}" for i in range(len(columns))], df.columns
+    for column, name in zip(columns, names, strict=True):
+        out = percent_rank(out, keys, column, name)
+    total = sum((F.col(n) * w for n, w in zip(names, weights, strict=True)), F.lit(0.0))
+    return out.withColumn("euphoria_index", total).select(*own, "euphoria_index")
 
 
 def book_features(snapshots: DataFrame, levels: int = 5) -> DataFrame:
@@ -169,26 +176,59 @@ def order_to_cancel(orders: DataFrame) -> DataFrame:
     )
 
 
-def l3_order_flow(orders: DataFrame) -> DataFrame:
-    """Per symbol and date: order-flow and cancel imbalance, lag-1 sign correlation and longest run of one side."""
-    w = by(("symbol", "trading_date"), ("channel_id", "channel_seq"))
+#: Sequence numbers of a channel that one task walks.
+FLOW_CHUNK = 1 << 18
+
+
+def l3_order_flow(orders: DataFrame, chunk: int = FLOW_CHUNK) -> DataFrame:
+    """Per symbol and date: order-flow and cancel imbalance, lag-1 sign correlation and longest run of one side.
+
+    Orders are walked by channel and sequence in chunks.  A chunk becomes one row with its sums and its first and
+    last run; runs that go on in the next chunk are joined there, so a symbol's day is many tasks.
+    """
+    day = ["symbol", "trading_date"]
+    part = [*day, "channel_id", "k"]
+    w = by(part, ("channel_seq",))
     sign = F.when(F.col("side") == "BUY", 1).when(F.col("side") == "SELL", -1).otherwise(0)
-    rows = orders.withColumn("sign", sign).withColumn("before", lagged("sign", 1, w))
+    rows = orders.withColumn("k", F.floor(F.col("channel_seq") / chunk)).withColumn("sign", sign).withColumn("before", lagged("sign", 1, w))
     rows = rows.withColumn("run", F.sum((F.col("sign") != F.coalesce("before", F.lit(9))).cast("int")).over(w))
-    runs = rows.groupBy("symbol", "trading_date", "run").agg(
+    added, cancelled = (F.when(F.col("event_kind") == kind, wide(F.col("qty"))) for kind in ("ADD", "CANCEL"))
+    runs = rows.groupBy(*part, "run").agg(
         F.count("*").alias("length"),
-        F.sum(F.when(F.col("event_kind") == "ADD", F.col("sign") * wide(F.col("qty")))).alias("add_flow"),
-        F.sum(F.when(F.col("event_kind") == "ADD", wide(F.col("qty")))).alias("adds"),
-        F.sum(F.when(F.col("event_kind") == "CANCEL", F.col("sign") * wide(F.col("qty")))).alias("cancel_flow"),
-        F.sum(F.when(F.col("event_kind") == "CANCEL", wide(F.col("qty")))).alias("cancels"),
+        F.min("sign").alias("sign"),
+        F.sum(added * F.col("sign")).alias("add_flow"),
+        F.sum(added).alias("adds"),
+        F.sum(cancelled * F.col("sign")).alias("cancel_flow"),
+        F.sum(cancelled).alias("cancels"),
         F.sum(F.col("sign") * F.col("before")).alias("products"),
         F.count("before").alias("pairs"),
     )
-    return runs.groupBy("symbol", "trading_date").agg(
+    sums = ("add_flow", "adds", "cancel_flow", "cancels", "products", "pairs")
+    end = F.struct("run", "length", "sign")
+    chunks = runs.groupBy(*part).agg(
+        *(F.sum(c).alias(c) for c in sums), F.max("length").alias("longest"), F.min(end).alias("first"), F.max(end).alias("last")
+    )
+    # First and last run of each chunk, in order; the chunk's own sums stand beside the first.
+    ends = F.when(F.col("first.run") == F.col("last.run"), F.array("first")).otherwise(F.array("first", "last"))
+    edges = chunks.select(*part, *sums, "longest", F.posexplode(ends).alias("place", "e")).select(
+        *part, "place", "longest", F.col("e.length").alias("length"), F.col("e.sign").alias("sign"),
+        *(F.when(F.col("place") == 0, F.col(c)).alias(c) for c in sums),
+    )
+    walk = by(day, ("channel_id", "k", "place"))
+    edges = edges.withColumn("before", F.when(F.col("place") == 0, lagged("sign", 1, walk)))
+    edges = edges.withColumn("run", F.sum(F.coalesce((F.col("sign") != F.col("before")).cast("int"), F.lit(1))).over(walk))
+    joined = edges.groupBy(*day, "run").agg(
+        *(F.sum(c).alias(c) for c in sums),
+        F.greatest(F.sum("length"), F.max("longest")).alias("longest"),
+        F.sum(F.col("sign") * F.col("before")).alias("more"),
+        F.count("before").alias("met"),
+    )
+    total = lambda *cs: sum((F.coalesce(F.sum(c), F.lit(0)) for c in cs[1:]), F.coalesce(F.sum(cs[0]), F.lit(0)))
+    return joined.groupBy(*day).agg(
         divide(F.sum("add_flow"), F.sum("adds")).alias("ofi"),
         divide(F.sum("cancel_flow"), F.sum("cancels")).alias("cancel_imbalance"),
-        divide(F.sum("products"), F.sum("pairs")).alias("sign_autocorrelation"),
-        F.max("length").alias("longest_run"),
+        divide(total("products", "more"), total("pairs", "met")).alias("sign_autocorrelation"),
+        F.max("longest").alias("longest_run"),
     )
 
 

@@ -23,6 +23,10 @@ THRESHOLDS = {"HIGH": 50, "LOW": 200, "MEDIUM": 100}
 COLUMNS = ("exchange", "symbol", "symbol_id", "ts_spine_us")
 
 
+#: Ticks of a clock spine that one row becomes at a time.
+TICKS = 4096
+
+
 @dataclass(frozen=True)
 class ClockSpine:
     step_us: int
@@ -77,11 +81,14 @@ def clock_spine(dim: DataFrame, start, end, step_us: int, max_rows: int | None =
         ticks = F.sum(F.expr(f"(__last - __first) div {step_us} + 1"))
         if (versions.agg(ticks.alias("n")).first()["n"] or 0) > max_rows:
             raise RuntimeError(f"the spine would produce too many rows, over {max_rows}")
-    points = versions.select(
+    # Stretches first, then their ticks, so that no row becomes an array as long as a version.
+    stretch = versions.withColumn("__at", F.explode(F.sequence("__first", "__last", F.lit(step_us * TICKS).cast("long"))))
+    stretch = stretch.withColumn("__to", F.least("__last", F.col("__at") + F.lit(step_us * (TICKS - 1))))
+    points = stretch.select(
         "exchange",
         F.col("exchange_symbol").alias("symbol"),
         "symbol_id",
-        F.explode(F.sequence("__first", "__last", F.lit(step_us).cast("long"))).alias("ts_spine_us"),
+        F.explode(F.sequence("__at", "__to", F.lit(step_us).cast("long"))).alias("ts_spine_us"),
     )
     return points.groupBy("exchange", "symbol", "ts_spine_us").agg(F.min("symbol_id").alias("symbol_id")).select(*COLUMNS)
 

@@ -49,6 +49,35 @@ def null_inf_report(df: DataFrame, columns: Sequence[str], limit: float = 0.05)
     return rows.select("column", "null_share", (F.col("null_share") > limit).alias("flagged"), "n_infinite")
 
 
+def value_places(df: DataFrame, groups: Sequence[str], column: str) -> DataFrame:
+    """(groups, column, below, same): for each value of a group the rows with smaller values, and with this one.
+
+    Nulls are smaller than all.  Counts per value are summed first; then values are placed in ``RANGES`` ranges of
+    each group, so that one group is many tasks.
+    """
+    counts = df.groupBy(*groups, column).agg(F.count("*").alias("same"))
+    cuts = counts.groupBy(*groups).agg(F.percentile_approx(column, [i / RANGES for i in range(1, RANGES)], 1000).alias("__cuts"))
+    ranged = counts.join(cuts, list(groups)).withColumn("__r", F.coalesce(F.size(F.filter("__cuts", lambda x: x < F.col(column))), F.lit(0)))
+    ahead = Window.partitionBy(*groups).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*groups, "__r").agg(F.sum("same").alias("__t"))
+    starts = sums.select(*groups, "__r", F.coalesce(F.sum("__t").over(ahead), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy(*groups, "__r").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("__in", F.coalesce(F.sum("same").over(inside), F.lit(0))).join(starts, [*groups, "__r"])
+    return placed.select(*groups, column, (F.col("__start") + F.col("__in")).alias("below"), "same")
+
+
+def percent_rank(df: DataFrame, groups: Sequence[str], column: str, output: str) -> DataFrame:
+    """Adds the share of a group's other rows that are smaller; 0 in a group of one.  ``df`` is read more than once."""
+    places = value_places(df, groups, column)
+    totals = df.groupBy(*groups).agg(F.count("*").alias("__n"))
+    share = F.coalesce(divide(F.col("below"), F.col("__n") - 1), F.lit(0.0))
+    known = places.join(totals, list(groups)).select(*(F.col(g).alias(f"__{g}") for g in groups), F.col(column).alias("__c"), share.alias(output))
+    on = F.col(column).eqNullSafe(F.col("__c"))
+    for g in groups:
+        on = on & (F.col(g) == F.col(f"__{g}"))
+    return df.join(known, on).drop("__c", *(f"__{g}" for g in groups))
+
+
 def rank_ic(
     df: DataFrame, features: Sequence[str], label: str, by: Sequence[str] = (), least: int = 100
 ) -> DataFrame:
@@ -56,8 +85,7 @@ def rank_ic(
 
     Rows where either is null are left out, and groups of fewer than ``least`` rows.  A value's rank is the
     number of rows below it plus the mean place among its equals.  ``df`` is read once, to narrow rows that are
-    kept; counts per value are summed first, then values are ranked in ``RANGES`` ranges of each group, so that one
-    feature is many tasks.
+    kept.
     """
     pairs = F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features))
     long = df.select(*by, F.col(label).cast("double").alias("y"), F.explode(pairs).alias("p"))
@@ -66,16 +94,8 @@ def rank_ic(
 
     def ranks(c: str) -> DataFrame:
         """The rank of each value of a group."""
-        counts = long.groupBy(*groups, c).agg(F.count("*").alias("__n"))
-        cuts = counts.groupBy(*groups).agg(F.percentile_approx(c, [i / RANGES for i in range(1, RANGES)], 1000).alias("__cuts"))
-        ranged = counts.join(cuts, list(groups)).withColumn("__r", F.size(F.filter("__cuts", lambda x: x < F.col(c)))).drop("__cuts")
-        ahead = Window.partitionBy(*groups).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-        sums = ranged.groupBy(*groups, "__r").agg(F.sum("__n").alias("__t"))
-        starts = sums.select(*groups, "__r", F.coalesce(F.sum("__t").over(ahead), F.lit(0)).alias("__start"))
-        inside = Window.partitionBy(*groups, "__r").orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-        below = F.col("__start") + F.coalesce("__in", F.lit(0))
-        placed = ranged.withColumn("__in", F.sum("__n").over(inside)).join(starts, [*groups, "__r"])
-        return placed.select(*groups, c, (below + (F.col("__n") + 1) / 2).alias(f"r{c}"))
+        mean = F.col("below") + (F.col("same") + 1) / 2
+        return value_places(long, groups, c).select(*groups, c, mean.alias(f"r{c}"))
 
     # Rows of a common value are one key here; adaptive execution splits such a partition, as the sides are only joined.
     both = long.join(ranks("x"), [*groups, "x"]).join(ranks("y"), [*groups, "y"])

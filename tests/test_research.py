@@ -128,3 +128,133 @@ def test_cotrading(spark):
     assert abs(got[("a", "b")]["similarity"] - 1 / 6**0.5) < 1e-12
     graph = cotrading.edges(cotrading.similarity(df), 3, top_k=1)
     assert cotrading.centrality(graph).count() in (0, 2)
+
+
+def test_crowded_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    rows = [(rng.choice("abc"), rng.choice([7, rng.randint(0, 20_000)]), 1, i, rng.randint(1, 9) * S) for i in range(400)]
+    df = spark.createDataFrame(rows, "symbol string, ts_event_us long, file_id long, file_seq long, qty long")
+    order = ["sym_i", "sym_j", "ts_i", "id_i", "qty_j"]
+    whole = [tuple(r) for r in cotrading.matched_trades(df).select(*order).orderBy(*order).collect()]
+    monkeypatch.setattr(cotrading, "CROWDED", 20)
+    assert [tuple(r) for r in cotrading.matched_trades(df).select(*order).orderBy(*order).collect()] == whole
+
+
+def test_clusters_of_a_graph_with_two_parts(spark):
+    rows = [(a, b, 1, w) for g, w in (("abcd", 0.9), ("xyz", 0.4)) for a in g for b in g if a < b] + [("d", "x", 1, 0.001)]
+    similar = spark.createDataFrame(rows, "sym_i string, sym_j string, matches long, similarity double")
+    found = {}
+    for r in cotrading.clusters(similar, k=2).collect():
+        found.setdefault(r["cluster"], set()).add(r["symbol"])
+    assert sorted(map(sorted, found.values())) == [list("abcd"), list("xyz")]
+
+
+def test_returns_of_volatility_buckets_cross_midnight(spark):
+    import math
+
+    day = 86_400_000_000
+    rows = [("x", "s", t, 1, i, p * S) for i, (t, p) in enumerate([(day - 2, 1), (day - 1, 2), (day, 8), (day + 1, 4), (3 * day, 2), (3 * day + 1, 6)])]
+    trades = spark.createDataFrame(rows, "exchange string, symbol string, ts_event_us long, file_id long, file_seq long, price long")
+    got = [r["bucket_vol"] for r in bars.vol_buckets(trades).orderBy("bucket_us").collect()]
+    spread = lambda a, b: abs(math.log(a) - math.log(b)) / 2**0.5
+    assert got[0] is None and all(abs(x - y) < 1e-12 for x, y in zip(got[1:], [spread(4, 0.5), spread(0.5, 3)], strict=True))
+
+
+def test_adaptive_spine_follows_the_regime(spark):
+    rows = [("x", "s", 1, t, 1, t, S) for t in range(0, 1200, 10)]
+    trades = spark.createDataFrame(rows, "exchange string, symbol string, symbol_id long, ts_event_us long, file_id long, file_seq long, qty long")
+    regimes = spark.createDataFrame([("x", "s", 200, 50), ("x", "s", 500, 200)], "exchange string, symbol string, bucket_us long, bar_threshold int")
+    got = points(spine.adaptive_spine(trades, regimes, S // 10, bucket_us=100), "s")
+    shares = [(2 if t < 300 else 4 if t < 600 else 1) for t in range(0, 1200, 10)]
+    total, expected = 0, []
+    for t, s in zip(range(0, 1200, 10), shares, strict=True):
+        if (total + s) // 20 > total // 20:
+            expected.append(t)
+        total += s
+    assert got == expected
+
+
+def test_p_values_are_those_of_student(spark):
+    import math
+
+    def exact(t, f):  # tail by the density's integral
+        c = math.exp(math.lgamma((f + 1) / 2) - math.lgamma(f / 2)) / math.sqrt(f * math.pi)
+        steps = 20_000
+        width = abs(t) / steps
+        return 1 - 2 * sum(c * (1 + (width * (i + 0.5)) ** 2 / f) ** (-(f + 1) / 2) * width for i in range(steps))
+
+    cases = [(t, f) for t in (0.0, 0.5, -1.3, 2.1, 4.0) for f in (8, 30, 100, 1000)]
+    df = spark.createDataFrame([(float(t), f) for t, f in cases], "t double, f long")
+    for r in df.select("t", "f", stats.p_value(F.col("t"), F.col("f")).alias("p")).collect():
+        assert abs(r["p"] - exact(r["t"], r["f"])) < (0.003 if r["f"] < 100 else 1e-4)
+
+
+def test_percent_ranks_equal_windows(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), rng.choice([None, 0.0, 0.0, rng.random()])) for _ in range(300)] + [("one", 5.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    both = stats.percent_rank(df, ["k"], "v", "got").withColumn("expected", F.percent_rank().over(Window.partitionBy("k").orderBy("v")))
+    assert both.count() == 301 and both.where("abs(got - expected) > 1e-12").count() == 0
+
+
+@pytest.mark.parametrize("chunk", [3, 1 << 18])
+def test_order_flow_is_the_same_in_any_chunks(spark, chunk):
+    import random
+
+    from marketloom.operators import signals
+
+    rng = random.Random(9)
+    rows = [("s", i % 2, c, q, rng.choice(["BUY", "BUY", "SELL", "X"]), rng.choice(["ADD", "CANCEL"]), rng.randint(1, 9)) for c in range(3) for i, q in enumerate(sorted(rng.sample(range(100), 40)))]
+    df = spark.createDataFrame(rows, "symbol string, trading_date int, channel_id int, channel_seq long, side string, event_kind string, qty long")
+    got = {r["trading_date"]: r for r in signals.l3_order_flow(df, chunk).collect()}
+    for day in (0, 1):
+        own = sorted(r[2:] for r in rows if r[1] == day)
+        signs = [{"BUY": 1, "SELL": -1}.get(r[2], 0) for r in own]
+        longest = run = 1
+        for a, b in zip(signs, signs[1:]):
+            run = run + 1 if a == b else 1
+            longest = max(longest, run)
+        adds = [(s * r[4], r[4]) for s, r in zip(signs, own, strict=True) if r[3] == "ADD"]
+        assert got[day]["longest_run"] == longest
+        assert abs(got[day]["ofi"] - sum(a for a, _ in adds) / sum(b for _, b in adds)) < 1e-12
+        assert abs(got[day]["sign_autocorrelation"] - sum(a * b for a, b in zip(signs, signs[1:])) / (len(signs) - 1)) < 1e-12
+
+
+def test_long_clock_spines_come_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(spine, "TICKS", 3)
+    dim = spark.createDataFrame([("x", "s", 1, 0, OPEN_END)], "exchange string, exchange_symbol string, symbol_id long, valid_from_ts_us long, valid_until_ts_us long")
+    assert points(spine.clock_spine(dim, 5, 103, 10), "s") == list(range(10, 101, 10))
+
+
+@pytest.mark.parametrize("name,most", [("volume_bars", 3), ("rank_ic", 4), ("fx_perp_spot", 4), ("align_to_spine", 3)])
+def test_queries_read_their_source_few_times(spark, name, most):
+    """Scans of files in the plans of all jobs that a query runs."""
+    from marketloom.core import storage
+    from marketloom.plans import registry
+
+    seen, real = [], storage.kept
+
+    def scans(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Relation [") + plan.count("RelationV2")
+
+    import marketloom.operators.spine as s1
+    import marketloom.operators.stats as s2
+
+    def counted(df):
+        seen.append(scans(df))
+        return real(df)
+
+    before = s1.kept, s2.kept, registry.kept
+    s1.kept = s2.kept = registry.kept = counted
+    try:
+        seen.append(scans(registry.QUERIES[name](spark, "/root/testdata/sf0.001")))
+    finally:
+        s1.kept, s2.kept, registry.kept = before
+    assert max(seen) <= most and sum(seen) >= 1
