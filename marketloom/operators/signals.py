@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.numeric import divide, wide
-from ..core.storage import kept
 from .bars import decoded, exact_sum
-from .stats import percent_rank
+from .stats import percent_ranks
 from .windows import by, lagged, rolling_mean, rolling_std
 
 HOUR_US = 3_600_000_000
@@ -115,15 +114,10 @@ def whale_ratio(liquidations: DataFrame, least_qty: int) -> DataFrame:
 
 
 def euphoria_index(df: DataFrame, columns: Sequence[str], weights: Sequence[float] = (0.3, 0.3, 0.2, 0.2), keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Weighted percentile ranks of four columns inside each key.
-
-    ``df`` is kept, since its values are ranked column by column; a key with most rows is many tasks.
-    """
-    out, names, own = kept(df), [f"__rank{i}" for i in range(len(columns))], df.columns
-    for column, name in zip(columns, names, strict=True):
-        out = percent_rank(out, keys, column, name)
-    total = sum((F.col(n) * w for n, w in zip(names, weights, strict=True)), F.lit(0.0))
-    return out.withColumn("euphoria_index", total).select(*own, "euphoria_index")
+    """Weighted percentile ranks of four columns inside each key; a key with most rows is many tasks."""
+    names = {c: f"__rank{i}" for i, c in enumerate(columns)}
+    total = sum((F.col(n) * w for n, w in zip(names.values(), weights, strict=True)), F.lit(0.0))
+    return percent_ranks(df, keys, names).withColumn("euphoria_index", total).select(*df.columns, "euphoria_index")
 
 
 def book_features(snapshots: DataFrame, levels: int = 5) -> DataFrame:

@@ -66,16 +66,20 @@ def value_places(df: DataFrame, groups: Sequence[str], column: str) -> DataFrame
     return placed.select(*groups, column, (F.col("__start") + F.col("__in")).alias("below"), "same")
 
 
-def percent_rank(df: DataFrame, groups: Sequence[str], column: str, output: str) -> DataFrame:
-    """Adds the share of a group's other rows that are smaller; 0 in a group of one.  ``df`` is read more than once."""
-    places = value_places(df, groups, column)
-    totals = df.groupBy(*groups).agg(F.count("*").alias("__n"))
-    share = F.coalesce(divide(F.col("below"), F.col("__n") - 1), F.lit(0.0))
-    known = places.join(totals, list(groups)).select(*(F.col(g).alias(f"__{g}") for g in groups), F.col(column).alias("__c"), share.alias(output))
-    on = F.col(column).eqNullSafe(F.col("__c"))
+def percent_ranks(df: DataFrame, groups: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """Adds for each column, under its output name, the share of a group's other rows that are smaller; 0 in a group
+    of one.  ``df`` is kept with a number for each row; all columns are ranked in one pass, a row for each value."""
+    base = kept(df.withColumn("__id", F.monotonically_increasing_id()))
+    values = F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns))
+    long = base.select("__id", *groups, F.explode(values).alias("x")).select("__id", *groups, F.col("x.c").alias("__c"), F.col("x.v").alias("__v"))
+    places = value_places(long, [*groups, "__c"], "__v").join(base.groupBy(*groups).agg(F.count("*").alias("__n")), list(groups))
+    share = F.coalesce(divide(F.col("below"), F.col("__n") - 1), F.lit(0.0)).alias("share")
+    known = places.select(*(F.col(g).alias(f"__{g}") for g in groups), F.col("__c").alias("__d"), F.col("__v").alias("__w"), share)
+    on = (F.col("__c") == F.col("__d")) & F.col("__v").eqNullSafe(F.col("__w"))
     for g in groups:
         on = on & (F.col(g) == F.col(f"__{g}"))
-    return df.join(known, on).drop("__c", *(f"__{g}" for g in groups))
+    ranks = long.join(known, on).groupBy("__id").agg(*(F.max(F.when(F.col("__c") == c, F.col("share"))).alias(o) for c, o in columns.items()))
+    return base.join(ranks, "__id").drop("__id")
 
 
 def rank_ic(

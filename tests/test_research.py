@@ -199,7 +199,7 @@ def test_percent_ranks_equal_windows(spark):
     rng = random.Random(3)
     rows = [(rng.choice("ab"), rng.choice([None, 0.0, 0.0, rng.random()])) for _ in range(300)] + [("one", 5.0)]
     df = spark.createDataFrame(rows, "k string, v double")
-    both = stats.percent_rank(df, ["k"], "v", "got").withColumn("expected", F.percent_rank().over(Window.partitionBy("k").orderBy("v")))
+    both = stats.percent_ranks(df, ["k"], {"v": "got"}).withColumn("expected", F.percent_rank().over(Window.partitionBy("k").orderBy("v")))
     assert both.count() == 301 and both.where("abs(got - expected) > 1e-12").count() == 0
 
 
