@@ -142,7 +142,11 @@ def norm_cn_ticks(spark, d):
 
 @query(
     "SELECT file_seq AS snapshot_seq, CASE WHEN k % 5 = 0 THEN 'expected 10 levels' END AS parse_error, CASE WHEN k % 5 <> 0 THEN (k + 1) * 1000000000 END AS best_bid,"
-    " CASE WHEN k % 5 <> 0 THEN k * 10 + 45 END AS bid_qty FROM e"
+    " CASE WHEN k % 5 <> 0 THEN k * 10 + 45 END AS bid_qty,"
+    " CASE WHEN k % 5 <> 0 THEN array_to_string(list_transform(range(10), lambda i: (k + 1) * 1000000000 - i * 500000000), ',') END AS bid_prices,"
+    " CASE WHEN k % 5 <> 0 THEN array_to_string(list_transform(range(10), lambda i: k * 1000000000 + 1500000000 + i * 1000000000), ',') END AS ask_prices,"
+    " CASE WHEN k % 5 <> 0 THEN array_to_string(list_transform(range(10), lambda i: k + i), ',') END AS bid_qtys,"
+    " CASE WHEN k % 5 <> 0 THEN array_to_string(range(10), ',') END AS ask_qtys FROM e"
 )
 def norm_cn_snapshots(spark, d):
     rows = _cn_raw(spark, d)
@@ -160,9 +164,11 @@ def norm_cn_snapshots(spark, d):
     out = cn.snapshots(made, "szse")
     good = F.col("parse_error").isNull()
     total = F.aggregate("bid_qty_levels", F.lit(0).cast("long"), lambda a, x: a + x)
+    ladders = {"bid_prices": "bid_price_levels", "ask_prices": "ask_price_levels", "bid_qtys": "bid_qty_levels", "ask_qtys": "ask_qty_levels"}
     return out.select(
-        "snapshot_seq", "parse_error", F.when(good, F.col("bid_price_levels")[0]).alias("best_bid"), F.when(good, total).alias("bid_qty")
-    )
+        "snapshot_seq", "parse_error", F.when(good, F.col("bid_price_levels")[0]).alias("best_bid"), F.when(good, total).alias("bid_qty"),
+        *(F.when(good, F.array_join(F.col(c).cast("array<string>"), ",")).alias(name) for name, c in ladders.items()),
+    )
 
 
 @query(

@@ -693,13 +693,14 @@ def first_per_group(spark, d):
 @query(
     f", b AS (SELECT *, CASE WHEN count(avg_size) {_F(50)} >= 50 THEN median(avg_size) {_F(50)} END AS m FROM bars)"
     f" SELECT exchange, symbol, ts_spine_us, (close - vwap) / nullif(vwap, 0) AS vwap_reversion,"
-    f" close / nullif(lag(close) OVER {_W}, 0) - 1 AS ret_1bar, trade_count / nullif(CAST(lag(trade_count) OVER {_W} AS DOUBLE), 0) - 1 AS trade_count_accel,"
+    f" close / nullif(lag(close) OVER {_W}, 0) - 1 AS ret_1bar, close / nullif(lag(close, 5) OVER {_W}, 0) - 1 AS ret_5bar,"
+    f" close / nullif(lag(close, 10) OVER {_W}, 0) - 1 AS ret_10bar, trade_count / nullif(CAST(lag(trade_count) OVER {_W} AS DOUBLE), 0) - 1 AS trade_count_accel,"
     f" flow_imbalance * lag(flow_imbalance) OVER {_W} AS flow_persistence, (high - low) / nullif(close, 0) AS hl_range_pct,"
     " avg_size / nullif(m, 0) AS size_ratio, CAST(extract(hour FROM make_timestamp(ts_spine_us)) AS INTEGER) AS hour,"
     " CAST(isodow(make_timestamp(ts_spine_us)) AS INTEGER) AS weekday FROM b",
 )
 def fx_momentum(spark, d):
-    doubles = ("vwap_reversion", "ret_1bar", "trade_count_accel", "flow_persistence", "hl_range_pct", "size_ratio")
+    doubles = ("vwap_reversion", "ret_1bar", "ret_5bar", "ret_10bar", "trade_count_accel", "flow_persistence", "hl_range_pct", "size_ratio")
     out = features.momentum(volume_bars_of(spark, d)).select(*BY, TS, *doubles, "hour", "weekday")
     return out.withColumns({c: F.round(c, DIGITS) for c in doubles})
 
@@ -710,7 +711,7 @@ def _round_columns(name: str, columns: str) -> None:
     ORACLES[name] = f"{prefix}, final AS (SELECT exchange{body}) SELECT * REPLACE ({names}) FROM final"
 
 
-_round_columns("fx_momentum", "vwap_reversion ret_1bar trade_count_accel flow_persistence hl_range_pct size_ratio")
+_round_columns("fx_momentum", "vwap_reversion ret_1bar ret_5bar ret_10bar trade_count_accel flow_persistence hl_range_pct size_ratio")
 
 
 @query(
