@@ -16,9 +16,13 @@ from marketloom.llm.queries import ACCEPT
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier accepts."""
+    """Rows that the quality classifier accepts, by the text alone: equal texts, repeated rows and rows with null ids
+    share their fate.  Null texts count as empty ones.  An empty table gives an empty one."""
     machine = quality.learn(docs, table(spark, sf_dir, "labels"), learned("doc_id", 5))
-    return quality.score(docs, machine, output="__score").where(F.col("__score") >= ACCEPT).drop("__score")
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    return quality.score(docs, machine, output=name).where(F.col(name) >= ACCEPT).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,25 +35,35 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a benchmark item."""
+    """Rows without a benchmark item; null and empty texts stay, repeated rows share their fate."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows; every secret is replaced in the text, and n_chars follows the text."""
+    """All rows; every secret is replaced in the text, and n_chars follows the text.
+
+    Rows without secrets stay as they are: null and empty texts, and their n_chars, too.  Repeated rows stay repeated.
+    """
     columns = docs.columns
     text = secrets.redacted(F.col("text"), F.col("spans"))
-    found = secrets.scan(docs).withColumn("text", text)
+    # The scan replaces a column of the name "spans", so one of the documents goes through under another.
+    aside = "spans_"
+    while aside in columns:
+        aside += "_"
+    found = secrets.scan(docs.withColumnRenamed("spans", aside)).withColumn("text", text)
     if "n_chars" in columns:
         kind = dict(docs.dtypes)["n_chars"]
         found = found.withColumn(
             "n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
         )
-    return found.select(*columns)
+    return found.select(*(F.col(aside if c == "spans" else f"`{c}`").alias(c) for c in columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the mix takes, with size, source_size, target and taken."""
+    """Rows that the mix takes, with size, source_size, target and taken; input columns of those names are replaced.
+
+    Texts that are null or without words take nothing.  A null source is a source.  An empty table gives an empty one.
+    """
     return mixing.mix(docs).where("taken > 0")
 
 
@@ -61,7 +75,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: SimHash components and the fitted classifier have no SQL; tests/llm holds a brute-force version.
+#: Near-copies and the fitted classifier have no SQL; tests/llm/plain.py runs the five stages plainly, row by row.
 ORACLE_SQL = None
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import sentencepiece
+from plain import brute_leaks
 from pyspark.sql import functions as F
 
 from marketloom.llm import decontam, langid, licenses, lm, quality, queries, tokens
@@ -218,46 +219,6 @@ def test_decontamination_repeated_rows(spark, docs):
     assert decontam.clean(rows, bench).columns == rows.columns
 
 
-def brute_leaks(texts, items, window=8):
-    """(text, item) pairs by comparing all windows, one by one."""
-    canonical = decontam.Canonical()
-    read = lambda t: (lambda x: (x.words(0, len(x)), x.slot.tolist(), x.capital))(canonical(t or ""))
-
-    def hits(doc, item, size):
-        """Slots by alignment, and whether a window is the same word for word."""
-        out = {}
-        (d, ds, _), (w, ws, capital) = doc, item
-        for j in range(len(w) - size + 1):
-            ways = [ws[j : j + size]]
-            if j == 0 and capital and ws[0] < 0:
-                ways.append([2, *ws[1:size]])
-            for i in range(len(d) - size + 1):
-                a, b = d[i : i + size], w[j : j + size]
-                slots, literal = out.setdefault(i - j, (set(), []))
-                if a == b:
-                    literal.append(1)
-                mine = ds[i : i + size]
-                full = sum(s >= 0 for s in mine)
-                if size >= 5 and full and 2 * full <= size:
-                    for way in ways:
-                        if way == mine and all(x == y for x, y, s in zip(a, b, mine) if s < 0):
-                            slots.update((s, x, y) for x, y, s in zip(a, b, mine) if s >= 0)
-        return out
-
-    found = set()
-    for k, t in enumerate(texts):
-        for n, (_, item) in enumerate(items):
-            doc, own = read(t), read(item)
-            size = min(window, len(own[0]))
-            if not size:
-                continue
-            for slots, literal in hits(doc, own, size).values():
-                one = len({(s, x) for s, x, _ in slots}) == len(slots) == len({(s, y) for s, _, y in slots})
-                if literal or (slots and one):
-                    found.add((k, items[n][0]))
-    return found
-
-
 def test_decontamination_equals_brute_force_over_all_windows(spark, docs):
     items = [
         (1, "3 4 5 6 7 8 9 10 11 12"),
