@@ -29,10 +29,17 @@ NOTICES = (
     ("licensed under cc by nc", "cc-by-nc"),
     ("licensed under cc by sa", "cc-by-sa"),
     ("creative commons attribution", "cc-by"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("creative commons attribution sharealike", "cc-by-sa"),
+    ("creative commons attribution noderivatives", "cc-by-nd"),
+    ("creative commons attribution noncommercial sharealike", "cc-by-nc-sa"),
+    ("creative commons attribution noncommercial noderivatives", "cc-by-nc-nd"),
     ("released into the public domain", "public-domain"),
     ("permission to use copy modify and or distribute this software", "isc"),
     ("all rights reserved", "reserved"),
 )
+#: Words that a notice with its errors has at most.
+LONGEST = 40
 #: Characters of a notice to each error allowed.
 CHARS_PER_ERROR = 12
 _BETWEEN = bytes(
@@ -75,7 +82,10 @@ class Scanner:
         return found
 
     def fuzzy(self, line: str) -> list[tuple[str, int, int, int, int]]:
-        """(label, first word, last word, errors, length of the notice) of every verified notice."""
+        """(label, first word, last word, errors, length of the notice) of every verified notice.
+
+        A notice that lies inside the span of a longer one is part of it and is not told by itself.
+        """
         tried, found = set(), {}
         for end, (size, places) in self.seeds.iter(line):
             for n, offset in places:
@@ -93,11 +103,18 @@ class Scanner:
                     errors = sum(m.fuzzy_counts)
                     if key not in found or errors < found[key][3]:
                         found[key] = (label, first - 1, first - 2 + len(inside.split()), errors, len(notice))
-        return sorted(found.values(), key=lambda x: (x[1], x[0]))
+        begin: dict[int, list] = {}
+        for y in found.values():
+            begin.setdefault(y[1], []).append(y)
+        # No notice has more words than this, so longer ones around a notice begin close before it.
+        near = lambda x: (y for at in range(x[1] - LONGEST, x[1] + 1) for y in begin.get(at, ()))
+        whole = [x for x in found.values() if not any(x[2] <= y[2] and x[4] < y[4] for y in near(x))]
+        return sorted(whole, key=lambda x: (x[1], x[0]))
 
     def __call__(self, data: bytes) -> dict:
         words = words_of(data)
-        line = f" {b' '.join(words).decode('latin-1')} " if words else ""
+        # Words end at ASCII characters, so their bytes are whole code points, and a wrong letter is one error.
+        line = f" {b' '.join(words).decode('utf-8', 'replace')} " if words else ""
         base, fuzzy = self.base(line), self.fuzzy(line)
         score = max([1.0] * bool(base) + [1 - errors / size for _, _, _, errors, size in fuzzy], default=0.0)
         return {

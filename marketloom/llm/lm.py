@@ -37,7 +37,7 @@ PRIOR = 0.1
 #: Tokens whose counts are broadcast, and bytes above which a token is known by its digest there.
 FREQUENT, LONG = 200_000, 64
 #: Bits of the filter for each training token.  The filter grows with them; no process holds more than a segment.
-BITS_PER_TOKEN = 16
+BITS_PER_TOKEN = 32
 PROBES = 3
 BLOCK = 512
 #: Training tokens to a segment of the filter, about; segments are a power of two.
@@ -162,8 +162,9 @@ def levels(h: np.ndarray, bits: np.ndarray, blocks: int | None = None, first: in
 
 
 def counts_of(level: np.ndarray) -> np.ndarray:
-    """Middle of the counts that a level stands for; 0 for level 0."""
-    return np.where(level > 0, 1.5 * np.exp2(np.maximum(level, 1) - 1) - 0.5, 0.0)
+    """Geometric middle of the counts that a level stands for, since scores add up logarithms; 0 for level 0."""
+    low = np.exp2(np.maximum(level, 1) - 1)
+    return np.where(level > 0, np.sqrt(low * (2 * low - 1)), 0.0)
 
 
 def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -321,8 +321,8 @@ def test_lm_prefers_its_own_language_and_handles_no_training(spark, docs):
     assert lm.score_texts(docs([]), learned("doc_id", 10)).count() == 0
 
 
-def plain_scores(rows):
-    """The interpolated model with counts at the middle of their levels, without a filter."""
+def plain_scores(rows, counted=None):
+    """The interpolated model with counts at the middle of their levels, or as ``counted``, without a filter."""
     cut = lambda t: [*(t or "").encode().lower().split(), lm.END]
     one, two = Counter(), Counter()
     for i, t in rows:
@@ -330,12 +330,12 @@ def plain_scores(rows):
             one.update(cut(t))
             two.update(zip([None, *cut(t)], cut(t)))
     n, v = sum(one.values()), len(one)
-    read = lambda c: 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
+    read = counted or (lambda c: (2 ** (c.bit_length() - 1) * (2 ** c.bit_length() - 1)) ** 0.5 if c else 0.0)
     for i, t in rows:
         total = 0.0
         for a, b in zip([None, *cut(t)], cut(t)):
-            seen = max(1.0, read(one[lm.END if a is None else a]))
-            p = 0.7 * min(1.0, read(two[a, b]) / seen) + 0.3 * min(1.0, (read(one[b]) + 0.1) / (n + 0.1 * (v + 1)))
+            seen, alone = read(one[lm.END if a is None else a]), min(1.0, (read(one[b]) + 0.1) / (n + 0.1 * (v + 1)))
+            p = 0.7 * min(1.0, read(two[a, b]) / seen) + 0.3 * alone if seen else alone
             total += math.log10(p)
         yield i, total
 
@@ -352,6 +352,77 @@ def test_lm_scores_equal_a_plain_model_over_many_batches(spark, docs):
         assert np.mean([got[i] - expected[i] for i in got]) < 0.1
 
 
+def test_lm_scores_are_close_to_those_of_exact_counts(spark):
+    """On held-out texts, whose n-grams the filter has not seen, 0.02 a token in the mean."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
+    exact = dict(plain_scores(rows, float))
+    for held in (True, False):
+        part = [r for r in lm.score_texts(table, learned("doc_id", 10)).collect() if (zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0) == held]
+        assert abs(np.mean([(r["score"] - exact[r["doc_id"]]) / r["n_tokens"] for r in part])) < 0.02
+
+
+def test_lm_odd_rows(spark, docs):
+    """Repeated rows and ids, null ids, very long texts and tokens, and extra columns with clashing names."""
+    long = "x" * 100_000
+    rows = [(1, f"a {long} b"), (1, f"a {long} b"), (1, "other text"), (None, long), (None, None), (12, "a b " * 100_000), (13, f"{long} {long}")]
+    table = docs(rows).selectExpr("*", "1 as row", "2 as token", "3 as c", "4 as score", "5 as u", "6 as t", "7 as p")
+    n, expected = brute_base(rows)
+    for frequent in (1000, 0):  # with the long token broadcast by its digest, and without
+        got = lm.score_texts(table, learned("doc_id", 10), frequent=frequent).collect()
+        assert len(got) == len(rows) and {r["train_tokens"] for r in got} == {n}
+        key = lambda x: (x[0] is None, x[0] or 0, round(x[3], 4))
+        have = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"]) for r in got), key=key)
+        for a, b in zip(have, sorted(expected, key=key), strict=True):
+            assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-6 * max(1, abs(b[3]))
+
+
+def test_odd_rows_of_the_other_operators(spark, docs):
+    """Null and repeated ids, null texts, repeated rows, and extra columns with clashing names."""
+    rows = [(5, "All rights reserved."), (5, "All rights reserved."), (5, "the other text"), (None, "cc by 4"), (None, None), (6, "")]
+    table = docs(rows).selectExpr("*", "1 as t", "2 as words", "3 as base", "4 as n_words", "5 as score", "6 as n_tokens", "7 as lang_pred", "8 as key", "9 as n_bytes")
+    found = licenses.scan_licenses(table).select("doc_id", F.size("base").alias("n")).collect()
+    assert sorted((r["doc_id"] or 0, r["n"]) for r in found) == [(0, 0), (0, 1), (5, 0), (5, 1), (5, 1), (6, 0)]
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    counted = tokens.count_tokens(table, MODEL).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in counted) == sorted((i or 0, len(library.encode(t or ""))) for i, t in rows)
+    known = langid.learn(table, F.lit(True))
+    named = langid.identify(table, known).collect()
+    assert sorted((r["doc_id"] or 0, r["lang_pred"]) for r in named) == [(0, "en"), (0, "und"), (5, "en"), (5, "en"), (5, "en"), (6, "und")]
+    leaks = decontam.contaminated(table, docs([(1, "cc by 4")]).selectExpr("doc_id as item_id", "text", "1 as doc_id", "2 as template")).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in leaks] == [(None, 1)]
+
+
+def test_licence_seeds_miss_nothing_that_a_full_search_finds(spark):
+    """Every notice whose bounded-error pattern matches somewhere in a whole text is told, or lies in a longer one."""
+    rng = random.Random(14)
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).select("text").collect()]
+    texts = sorted(texts, key=len)[:80]
+    for notice, _ in licenses.NOTICES * 6:  # with a few letters changed, dropped and doubled
+        w = list(notice)
+        for _ in range(rng.randint(0, len(notice) // 12 + 1)):
+            i = rng.randrange(len(w))
+            w[i] = rng.choice(["", w[i] * 2, "é", "q"])
+        texts.append(f"{rng.choice(texts)[:200]} {''.join(w)} {rng.choice(texts)[:100]}")
+    search = licenses.Scanner()
+    hits = 0
+    for t in texts:
+        line = f" {b' '.join(licenses.words_of(t.encode())).decode()} "
+        told = search.fuzzy(line)
+        for notice, label, _, pattern in search.notices:
+            if m := pattern.search(line):
+                hits += 1
+                first = line.count(" ", 0, m.start() + 1) - 1
+                assert any(x[0] == label or (x[4] > len(notice) and x[1] <= first + 1 and first - 1 <= x[2]) for x in told), (label, t[-400:])
+    assert hits > 100
+
+
+def test_licence_titles_and_letters_beyond_ascii(spark, docs):
+    texts = ["Creative Commons Attribution-NonCommercial-ShareAlike 4.0", "Creative Commons Attribution 4.0", "Creative Commons Attribution-ShareAlike", "released undér thé MIT license"]
+    got = {r["doc_id"]: [(n["label"], n["errors"]) for n in r["notices"]] for r in licenses.scan_licenses(docs(texts)).collect()}
+    assert got == {0: [("cc-by-nc-sa", 0)], 1: [("cc-by", 0)], 2: [("cc-by-sa", 0)], 3: [("mit", 2)]}
+
+
 def test_lm_filter_grows_with_the_corpus_and_rarely_errs(spark, docs):
     for tokens_ in (1000, 10**8, 5 * 10**9, 10**12):
         assert lm.filter_bits(tokens_) >= 12 * tokens_
