@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.numeric import divide
+from ..core.storage import kept
 
 
 def by(keys: Sequence[str], order: Sequence[str]):
@@ -60,6 +61,20 @@ def persistence(column: str, w) -> Column:
     return F.col(column) * F.lag(column).over(w)
 
 
+def row_index(df: DataFrame, order: Sequence[str], output: str = "row_index") -> DataFrame:
+    """Adds 0, 1, ... in the order of the columns, which must tell all rows apart.
+
+    Rows are dealt in ranges and numbered inside each; the ranges' counts, a row each, give the offsets.  The numbers
+    are kept, so that they do not change when the result is read again.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    ranged = kept(ranged.withColumn("__own", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    offsets = ranged.groupBy("__range").count().select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))
+    out = ranged.join(F.broadcast(offsets), "__range").withColumn(output, (F.col("__own") + F.col("__offset")).cast("long"))
+    return out.select(*df.columns, output)
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """(keys, columns) of the first row of each key by ``order``; combined on the way, so no key is sorted."""
     first = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("__x"))

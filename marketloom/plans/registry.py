@@ -687,6 +687,12 @@ def first_per_group(spark, d):
     return windows.first_per_group(v.trades(spark, d), [*BY, "trading_date"], spines.ORDER, ["file_seq", "price"])
 
 
+@query("SELECT file_seq, row_number() OVER (ORDER BY ts_event_us, file_id, file_seq) - 1 AS row_index FROM trades")
+def row_index(spark, d):
+    rows = v.trades(spark, d).select("ts_event_us", "file_id", "file_seq")
+    return windows.row_index(rows, spines.ORDER).select("file_seq", "row_index")
+
+
 # Feature packs
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..core.storage import kept
+from ..operators.windows import row_index
 
 IDENTITY = ("vendor", "data_type", "bronze_path", "file_hash")
 
@@ -30,18 +30,13 @@ def filter_pending(candidates: DataFrame, manifest: DataFrame) -> DataFrame:
 def assign_ids(candidates: DataFrame, manifest: DataFrame) -> DataFrame:
     """Adds ``file_id`` and ``created_at_ts_us``: those of a known identity, else the next numbers in order of path.
 
-    New identities are dealt in ranges and numbered inside each; the ranges' counts, a row each, give the offsets.
     The numbers are kept, so that they do not change when the result is read again.
     """
     known = manifest.groupBy(*IDENTITY).agg(F.min("file_id").alias("__id"), F.min("created_at_ts_us").alias("__at"))
     both = candidates.join(known, list(IDENTITY), "left")
     top = manifest.agg(F.coalesce(F.max("file_id"), F.lit(0)).alias("__top"))
     fresh = both.where("__id is null").select(*IDENTITY).distinct()
-    ranged = fresh.repartitionByRange(*IDENTITY).withColumn("__p", F.spark_partition_id())
-    ranged = kept(ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*IDENTITY))))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
-    offsets = ranged.groupBy("__p").count().select("__p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__o"))
-    numbered = ranged.join(F.broadcast(offsets), "__p").withColumn("__n", F.col("__i") + F.col("__o")).drop("__p", "__i", "__o")
+    numbered = row_index(fresh, IDENTITY, "__n").withColumn("__n", F.col("__n") + 1)
     joined = both.join(numbered, list(IDENTITY), "left").crossJoin(F.broadcast(top))  # one row
     return joined.withColumns(
         {"file_id": F.coalesce("__id", (F.col("__top") + F.col("__n")).cast("long")), "created_at_ts_us": F.col("__at")}
