@@ -44,7 +44,7 @@ BLOCK = 512
 SEGMENT_TOKENS = 1 << 19
 LEAST_SEGMENTS, MOST_SEGMENTS = 1 << 4, 1 << 16
 #: Bytes of one batch of texts, about; a task sums its n-grams at a time.
-SUMMED = 12_000_000
+SUMMED = 10_000_000
 _LEVELS = 48
 _GOLD, _SEED_2, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -62,7 +62,7 @@ def _short(token: bytes) -> bytes:
 class Vocabulary:
     """Numbers for tokens, with arrays of what is known of each; it starts anew when it is full."""
 
-    KEPT = 400_000
+    KEPT = 200_000
 
     def __init__(self, describe):
         """``describe`` turns a list of new tokens into a tuple of arrays, one item for each."""
@@ -180,7 +180,7 @@ def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for batch in batches:
             for t in batch.column(0):
                 seen.update(tokens(t.as_py() or b""))
-                if len(seen) > 500_000:
+                if len(seen) > 300_000:
                     yield summed(seen)
                     seen = Counter()
         yield summed(seen)
