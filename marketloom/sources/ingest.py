@@ -155,25 +155,29 @@ def ledger_rows(files: DataFrame, counts: DataFrame, now_us: int) -> DataFrame:
 
 
 def pending_rows(files: DataFrame, now_us: int) -> DataFrame:
-    """Rows of ``ingest_manifest`` for files that a run is about to work on."""
+    """Rows of ``ingest_manifest`` for files that a run is about to work on, later than all that was known of them."""
     none = {c: F.lit(None).cast("long") for c in ("rows_total", "rows_written", "rows_quarantined", "processed_at_ts_us")}
     none |= {c: F.lit(None) for c in ("trading_date_min", "trading_date_max", "status_reason")}
-    created = F.coalesce("created_at_ts_us", F.lit(now_us)).cast("long")
-    return normalize(files.withColumns({"status": F.lit("pending"), "created_at_ts_us": created} | none), "ingest_manifest")
+    return normalize(files.withColumns({"status": F.lit("pending"), "created_at_ts_us": F.lit(now_us)} | none), "ingest_manifest")
 
 
-def take_back(spark: SparkSession, root: str, table: str, ids: DataFrame) -> int:
-    """Deletes the files of the table and of the quarantine that hold rows of these ``file_id``s; returns their number.
+def take_back(spark: SparkSession, root: str, table: str, ids: DataFrame, unfinished: DataFrame) -> int:
+    """Deletes files of the table and of the quarantine that a run over ``ids`` wrote before it broke off.
 
-    Only for ids of a run that did not end: such a run's files hold rows of no other, and compaction leaves them alone.
+    A run writes files of its own, and all of its ids are among the ``unfinished`` ones; so a file goes if it holds rows
+    of ``ids`` and of no finished file.  Compaction leaves them alone.  Returns the number of files.
     """
-    paths = []
+    gone = []
     for name in (table, "validation_log"):
         rows = lake.read_table(spark, root, name, with_path=True).select("file_id", "path")
-        paths += [r["path"] for r in rows.join(ids, "file_id", "left_semi").select("path").distinct().collect()]
-    for path in paths:
+        held = [r["path"] for r in rows.join(ids, "file_id", "left_semi").select("path").distinct().collect()]
+        if held:
+            own = spark.read.parquet(*held).select("file_id", F.col("_metadata.file_path").alias("path"))
+            finished = own.join(unfinished, "file_id", "left_anti").select("path").distinct()
+            gone += set(held) - {r["path"] for r in finished.collect()}
+    for path in gone:
         lake.delete(spark, path)
-    return len(paths)
+    return len(gone)
 
 
 def ingest(
@@ -212,10 +216,10 @@ def ingest(
         if not paths:
             return spec("ingest_manifest").empty(spark)
         if not dry_run:
-            broken = manifest.latest(ledger).where("status = 'pending'").select("file_id")
-            broken = broken.join(pending.select("file_id"), "file_id", "left_semi")
+            unfinished = manifest.latest(ledger).where("status = 'pending'").select("file_id")
+            broken = unfinished.join(pending.select("file_id"), "file_id", "left_semi")
             if not broken.isEmpty():
-                take_back(spark, root, table, broken)
+                take_back(spark, root, table, broken, unfinished)
             pending_rows(pending, now).coalesce(1).write.mode("append").parquet(f"{root}/ingest_manifest")
         numbered = read(paths).join(pending.select("bronze_path", "file_id"), "bronze_path")
         marked_rows(numbered, table, dim, parser, exchange).write.parquet(f"{staged}/rows")

@@ -171,7 +171,7 @@ def test_ingest_after_a_crash_between_events_and_ledger(spark, tmp_path):
     assert {r["status"] for r in state} == {"pending"} and sorted(r["file_id"] for r in state) == [1, 2]
     waits = lake.compact_partitions(spark, root, "trades", [{"exchange": "deribit", "trading_date": "2024-01-01"}], min_small_files=1)
     assert waits.first()["skipped"] == "pending_ingest"
-    out = ingest.ingest(spark, root, listed, read, "trades", dim, now_us=7).collect()
+    out = ingest.ingest(spark, root, listed, read, "trades", dim).collect()
     assert sorted((r["file_id"], r["status"]) for r in out) == [(1, "success"), (2, "success")]
     rows = lake.read_table(spark, root, "trades").collect()
     assert sorted((r["file_id"], r["file_seq"]) for r in rows) == [(1, 1), (2, 1)]
@@ -181,6 +181,26 @@ def test_ingest_after_a_crash_between_events_and_ledger(spark, tmp_path):
     assert lake.read_table(spark, root, "trades").count() == 2
 
 
+def test_a_broken_retry_takes_back_its_own_rows_alone(spark, tmp_path):
+    root, dim, listed, read = ingest_setup(spark, tmp_path)
+    late = dim.withColumn("valid_from_ts_us", F.col("valid_from_ts_us") + 8)  # covers b.csv alone
+    first = {r["bronze_path"][-5:]: r["status"] for r in ingest.ingest(spark, root, listed, read, "trades", late).collect()}
+    assert first == {"a.csv": "quarantined", "b.csv": "success"}
+
+    def broken(rows, table):
+        lake.append_events(rows, root, table)
+        raise RuntimeError("power cut")
+
+    with pytest.raises(RuntimeError):
+        ingest.ingest(spark, root, listed, read, "trades", dim, writer=broken)  # a.csv, known and tried again
+    with pytest.raises(RuntimeError):
+        ingest.ingest(spark, root, listed, read, "trades", dim, writer=broken, force=True)  # and b.csv, which has succeeded
+    assert {r["status"] for r in manifest.latest(lake.read_table(spark, root, "ingest_manifest")).collect()} == {"pending"}
+    assert {r["status"] for r in ingest.ingest(spark, root, listed, read, "trades", dim).collect()} == {"success"}
+    rows = lake.read_table(spark, root, "trades").collect()
+    assert sorted((r["file_id"], r["file_seq"], r["price"] // S) for r in rows) == [(1, 1, 2), (2, 1, 3)]
+
+
 def test_ingest_writer_hook_and_parsing_once(spark, tmp_path):
     root, dim, listed, read = ingest_setup(spark, tmp_path)
     taken, reads = [], spark.sparkContext.accumulator(0)
