@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, licenses, lm, mixing, quality, secrets, simhash, tokens
-from .common import checkpointed, held_out, learned, table
+from . import ann, centroids, decontam, langid, licenses, lm, merkle, mixing, quality, secrets, simhash, sql, tokens
+from .common import checkpointed, held_out, learned, remainder, table
 
 ACCEPT = 0.3
 
@@ -97,6 +97,16 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = {"n_chars": F.try_add("n_chars", F.lit(1))}
+    return merkle.verified_manifest(docs, changed=tampered, where=remainder("doc_id", 7) == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -110,6 +120,8 @@ QUERIES = {
         op8_neighbours,
         op9_quality,
         op10_lm,
+        op11_centroids,
+        op13_merkle,
     )
 }
 
@@ -177,4 +189,9 @@ SELECT q.doc_id, q.size, q.source_size, q.target, CAST(q.size * coalesce(n.passe
 FROM q LEFT JOIN n ON q.doc_id IS NOT DISTINCT FROM n.doc_id AND q.source IS NOT DISTINCT FROM n.source AND q.size = n.size
 """
 
-ORACLES = {"op4_secrets": _secrets_sql(), "op7_mixing": _MIXING_SQL}
+ORACLES = {
+    "op4_secrets": _secrets_sql(),
+    "op7_mixing": _MIXING_SQL,
+    "op11_centroids": sql.clusters_sql(),
+    "op13_merkle": sql.merkle_sql(),
+}
