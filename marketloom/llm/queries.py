@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, centroids, decontam, langid, licenses, lm, merkle, mixing, quality, secrets, simhash, sql, tokens
+from . import ann, centroids, decontam, langid, licenses, lm, merkle, mixing, quality, secrets, setjoin, simhash, sql, tokens
 from .common import checkpointed, held_out, learned, remainder, table
 
 ACCEPT = 0.3
@@ -101,6 +101,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.components(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = {"n_chars": F.try_add("n_chars", F.lit(1))}
@@ -121,6 +125,7 @@ QUERIES = {
         op9_quality,
         op10_lm,
         op11_centroids,
+        op12_setjoin,
         op13_merkle,
     )
 }
@@ -193,5 +198,6 @@ ORACLES = {
     "op4_secrets": _secrets_sql(),
     "op7_mixing": _MIXING_SQL,
     "op11_centroids": sql.clusters_sql(),
+    "op12_setjoin": sql.set_join_sql(),
     "op13_merkle": sql.merkle_sql(),
 }
