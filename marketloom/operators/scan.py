@@ -41,6 +41,41 @@ def running_sum(
     return both.withColumn(output, total).where(_REAL).drop(_CHUNK, "__m", _REAL)
 
 
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: dict[str, Column], chunk_us: int = CHUNK_US, peers: bool = False
+) -> DataFrame:
+    """``running_sum`` of several measures at once, named by the keys of ``measures``.  With ``peers`` a row's sums hold
+    all rows that are equal to it in the order, as in a RANGE frame."""
+    held = {name: f"__m{i}" for i, name in enumerate(measures)}
+    rows = df.withColumns({_CHUNK: chunk_of(order[0], chunk_us), _REAL: F.lit(True), **{held[n]: m.cast("decimal(38,0)") for n, m in measures.items()}})
+    totals = rows.groupBy(*keys, _CHUNK).agg(*(F.sum(h).alias(h) for h in held.values()))
+    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*keys, _CHUNK, *(F.sum(h).over(before).alias(h) for h in held.values()), F.lit(False).alias(_REAL))
+    both = rows.unionByName(carried, allowMissingColumns=True)
+    frame = _inside(keys, [F.asc(c) for c in order])
+    if peers:
+        frame = frame.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = both.withColumns({name: F.sum(h).over(frame).cast("decimal(38,0)") for name, h in held.items()})
+    return sums.where(_REAL).drop(_CHUNK, _REAL, *held.values())
+
+
+def trailing_sums(
+    df: DataFrame, keys: Sequence[str], ts: str, measures: dict[str, Column], width_us: int, chunk_us: int = CHUNK_US
+) -> DataFrame:
+    """Adds sums of ``measures`` over a key's rows of the last ``width_us`` up to and with each row's time.
+
+    A row enters the running sums at its time and leaves them, with its sign turned, just after its time is out of
+    reach; so a frame of any length costs two rows and no walk over its rows.
+    """
+    held = {name: f"__x{i}" for i, name in enumerate(measures)}
+    rows = df.withColumns({held[n]: F.coalesce(m.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")) for n, m in measures.items()})
+    rows = rows.withColumn("__in", F.lit(True))
+    leaving = rows.select(*keys, (F.col(ts) + width_us + 1).alias(ts), *((-F.col(h)).cast("decimal(38,0)").alias(h) for h in held.values()), F.lit(False).alias("__in"))
+    both = rows.unionByName(leaving, allowMissingColumns=True)
+    sums = running_sums(both, keys, (ts,), {n: F.col(h) for n, h in held.items()}, chunk_us, peers=True)
+    return sums.where("__in").drop("__in", *held.values())
+
+
 def last_seen(
     df: DataFrame,
     keys: Sequence[str],

@@ -14,16 +14,106 @@ from ..core.storage import kept
 RANGES = 64
 
 
-def distribution(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """min, quartiles (linear between neighbours), mean and max."""
-    return df.groupBy(*by).agg(
-        F.min(column).alias("min"),
-        F.percentile(column, 0.25).alias("q25"),
-        F.percentile(column, 0.5).alias("median"),
-        F.avg(column).alias("mean"),
-        F.percentile(column, 0.75).alias("q75"),
-        F.max(column).alias("max"),
+#: Values that one task sorts; larger intervals are cut into ranges first.
+SORTED_ROWS = 1 << 17
+#: Parts that a group's facts are laid out in, so that rows of one group meet them in many tasks.
+PARTS = 32
+
+
+def beside(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` with the few ``facts`` of their key; null keys match.  A key with most rows is met in ``PARTS`` parts."""
+    dealt = rows.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)))
+    laid = facts.select(
+        *(F.col(k).alias(f"__{k}") for k in keys),
+        *(c for c in facts.columns if c not in keys),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("__other"),
     )
+    on = F.col("__part") == F.col("__other")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return dealt.join(laid, on, how).drop("__part", "__other", *(f"__{k}" for k in keys))
+
+
+def quantiles(df: DataFrame, column: str, shares: dict[str, float], by: Sequence[str] = (), small: int = SORTED_ROWS) -> DataFrame:
+    """(by, names of ``shares``): exact quantiles, linear between neighbours; null for a group without values.
+
+    A quantile lies between two ranks.  Ranks are looked for in intervals of values, at first a group's whole range: an
+    interval of more than ``small`` rows is cut into ranges, whose rows are counted, and those with a wanted rank are
+    the next intervals.  Then the values of the small intervals are counted and ranked.  No buffer holds the values
+    of a group, and a group with most rows is many tasks.  The rows are read once, to narrow ones that are kept.
+    """
+    by = list(by)
+    base = df.select(*by, F.col(column).cast("double").alias("__v"))
+    rows = kept(base.where("__v is not null"))
+    groups = rows.groupBy(*by).agg(F.count("*").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    at = {name: (F.col("__n") - 1) * F.lit(float(p)) for name, p in shares.items()}
+    ranks = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(a), F.ceil(a)) for a in at.values()))))
+    wanted = kept(groups.select(*by, "__n", F.explode(ranks).alias("__rank")))
+    spans = kept(groups.select(*by, "__low", "__high", F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__size")))
+    done = None
+    inside = F.col("__v").between(F.col("__low"), F.col("__high"))
+    span = [*by, "__low", "__high", "__below"]
+    while True:
+        wide = spans.where((F.col("__size") > small) & (F.col("__low") < F.col("__high")))
+        settled = spans.where((F.col("__size") <= small) | (F.col("__low") == F.col("__high")))
+        done = settled if done is None else done.unionByName(settled)
+        if wide.isEmpty():
+            break
+        met = beside(rows, wide, by).where(inside)
+        cuts = met.groupBy(*span).agg(F.percentile_approx("__v", [i / RANGES for i in range(1, RANGES)], 1000).alias("__cuts"))
+        placed = beside(rows, cuts, by).where(inside)
+        # Values that are a cut are a range of their own, so that a common value does not keep its neighbours.
+        place = F.size(F.filter("__cuts", lambda x: x < F.col("__v"))) + F.size(F.filter("__cuts", lambda x: x <= F.col("__v")))
+        parts = placed.groupBy(*span, place.alias("__r")).agg(
+            F.count("*").alias("__size"), F.min("__v").alias("__from"), F.max("__v").alias("__to")
+        )
+        ahead = Window.partitionBy(*span).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # two for each cut
+        start = F.col("__below") + F.coalesce(F.sum("__size").over(ahead), F.lit(0))
+        nexts = parts.select(*by, F.col("__from").alias("__low"), F.col("__to").alias("__high"), start.alias("__below"), "__size")
+        spans = kept(_holding(nexts, wanted, by).select(*nexts.columns).distinct())
+    done = _holding(done, wanted, by).select(*span).distinct()
+    counts = beside(rows, done, by).where(inside).groupBy(*span, "__v").agg(F.count("*").alias("__size"))
+    before = Window.partitionBy(*span).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    values = counts.select(*by, "__v", (F.col("__below") + F.coalesce(F.sum("__size").over(before), F.lit(0))).alias("__below"), "__size")
+    found = _holding(values, wanted, by).groupBy(*by, "__n").agg(F.map_from_entries(F.collect_set(F.struct("__rank", "__v"))).alias("__at"))
+
+    def value(a: Column) -> Column:
+        low, high = F.element_at("__at", F.floor(a)), F.element_at("__at", F.ceil(a))
+        return low + (high - low) * (a - F.floor(a))
+
+    out = found.select(*by, *(value(a).alias(name) for name, a in at.items()))
+    if not by:
+        one = df.sparkSession.range(1).select(F.lit(1).alias("__one"))
+        return one.join(out.withColumn("__one", F.lit(1)), "__one", "left").drop("__one")
+    every = base.groupBy(*by).agg(F.count("*").alias("__all"))
+    return beside_once(every, out, by).drop("__all")
+
+
+def beside_once(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of two tables of one row a key; null keys match."""
+    named = right.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(named, on, "left").drop(*(f"__{k}" for k in keys))
+
+
+def _holding(spans: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Spans of ranks (``__below``, ``__size``) with each wanted rank that is in them; a group has few of either."""
+    named = wanted.select(*(F.col(k).alias(f"__{k}") for k in by), "__rank", "__n")
+    on = (F.col("__rank") >= F.col("__below")) & (F.col("__rank") < F.col("__below") + F.col("__size"))
+    for k in by:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return spans.join(named, on).drop(*(f"__{k}" for k in by))
+
+
+def distribution(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """min, quartiles (linear between neighbours), mean and max; no group's values are held in one buffer."""
+    by, names = list(by), ("min", "q25", "median", "mean", "q75", "max")
+    df = kept(df.select(*by, column))
+    base = df.groupBy(*by).agg(F.min(column).alias("min"), F.avg(column).alias("mean"), F.max(column).alias("max"))
+    quarters = quantiles(df, column, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by)
+    return (beside_once(base, quarters, by) if by else base.crossJoin(F.broadcast(quarters))).select(*by, *names)  # one row each
 
 
 def zscore(df: DataFrame, column: str, output: str) -> DataFrame:

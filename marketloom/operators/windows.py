@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..core.numeric import divide
 from ..core.storage import kept
+from .scan import running_sum
+
+#: Consecutive rows of a key that one task walks.
+STRETCH = 1 << 16
 
 
 def by(keys: Sequence[str], order: Sequence[str]):
@@ -19,14 +23,45 @@ def lagged(column: str | Column, k: int, w) -> Column:
     return F.lag(column, k).over(w)
 
 
+def windowed(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Callable[[WindowSpec], dict[str, Column]],
+    back: int = 0,
+    ahead: int = 0,
+    stretch: int = STRETCH,
+    index: str | None = None,
+) -> DataFrame:
+    """Adds ``columns(w)``, where ``w`` is the window of a key's rows in order, a key being many tasks.
+
+    The rows of a key are numbered (by a running count, or by ``index`` if it is 0, 1, ... already) and cut into
+    stretches; a stretch has the last ``back`` rows of the one before and the first ``ahead`` rows of the next as a
+    halo, which is left out of the result.  The columns may look no further than that.  ``order`` starts with a long
+    that tells time and must tell all rows of a key apart.
+    """
+    stretch = max(stretch, back, ahead)
+    if index is None:
+        df = running_sum(df, keys, order, F.lit(1), "__i").withColumn("__i", F.col("__i").cast("long") - 1)
+    else:
+        df = df.withColumn("__i", F.col(index))
+    own, place = F.floor(F.col("__i") / stretch), F.pmod("__i", F.lit(stretch))
+    parts = F.array(own, F.when(place >= stretch - back, own + 1), F.when((place < ahead) & (own > 0), own - 1))
+    dealt = df.select("*", own.alias("__own"), F.explode(F.array_compact(parts)).alias("__part"))
+    w = Window.partitionBy(*keys, "__part").orderBy("__i")
+    return dealt.withColumns(columns(w)).where("__part = __own").drop("__i", "__own", "__part")
+
+
 def returns(df: DataFrame, keys, order, price: str = "close", steps: Sequence[int] = (1, 3, 5, 10)) -> DataFrame:
-    w = by(keys, order)
-    return df.withColumns({f"ret_{k}bar": divide(F.col(price), lagged(price, k, w)) - 1 for k in steps})
+    """Returns over ``steps`` rows; a key with most rows is many tasks."""
+    columns = lambda w: {f"ret_{k}bar": divide(F.col(price), lagged(price, k, w)) - 1 for k in steps}
+    return windowed(df, keys, order, columns, back=max(steps))
 
 
 def forward_returns(df: DataFrame, keys, order, price: str = "close", steps: Sequence[int] = (5, 10, 20)) -> DataFrame:
-    w = by(keys, order)
-    return df.withColumns({f"fwd_ret_{k}bar": divide(F.lead(price, k).over(w), F.col(price)) - 1 for k in steps})
+    """Returns over the next ``steps`` rows; a key with most rows is many tasks."""
+    columns = lambda w: {f"fwd_ret_{k}bar": divide(F.lead(price, k).over(w), F.col(price)) - 1 for k in steps}
+    return windowed(df, keys, order, columns, ahead=max(steps))
 
 
 def rolling_mean(column: str, n: int, w, least: int | None = None) -> Column:

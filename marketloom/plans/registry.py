@@ -36,7 +36,9 @@ def query(body: str | None = None, doubles: str = "", views: bool = True):
         QUERIES[function.__name__] = run
         if body is not None:
             replace = f" REPLACE ({', '.join(f'round(CAST({c} AS DOUBLE), {DIGITS}) + 0e0 AS {c}' for c in names)})" if names else ""
-            text = f"SELECT *{replace} FROM ({body}) AS q" if names else body
+            own = body.lstrip()
+            inner = f"WITH {own[1:]}" if own.startswith(",") else body  # views of its own
+            text = f"SELECT *{replace} FROM ({inner}) AS q" if names else body
             text = re.sub(r"count_if(\(([^()]|\([^()]*\))*\))", r"CAST(count_if\1 AS BIGINT)", text)  # HUGEINT in DuckDB
             ORACLES[function.__name__] = v.sql(text) if views else text
         return run
@@ -1416,4 +1418,4 @@ def join_aggregate_wide(spark, d):
     )
 
 
-from . import ingest_queries  # noqa: E402, F401  registers its queries
+from . import ingest_queries, microstructure_queries  # noqa: E402, F401  register their queries
