@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import divide, wide
 from .bars import decoded, exact_sum
-from .stats import percent_ranks
-from .windows import by, lagged, rolling_mean, rolling_std
+from .stats import beside_once, percent_ranks, quantiles
+from .windows import by, lagged, rolling_mean, rolling_std, windowed
 
 HOUR_US = 3_600_000_000
 
@@ -20,9 +20,10 @@ def high_gamma(options: DataFrame) -> DataFrame:
 
 
 def iv_summary(options: DataFrame) -> DataFrame:
-    return options.groupBy("underlying_index").agg(
-        F.avg("mark_iv").alias("avg_iv"), F.median("mark_iv").alias("median_iv"), F.max("mark_iv").alias("max_iv"), F.count("*").alias("n")
-    )
+    """Mean, exact median and greatest IV per underlying; an underlying with most rows is many tasks."""
+    base = options.groupBy("underlying_index").agg(F.avg("mark_iv").alias("avg_iv"), F.max("mark_iv").alias("max_iv"), F.count("*").alias("n"))
+    middle = quantiles(options, "mark_iv", {"median_iv": 0.5}, ["underlying_index"])
+    return beside_once(base, middle, ["underlying_index"]).select("underlying_index", "avg_iv", "median_iv", "max_iv", "n")
 
 
 def iv_skew_25d(options: DataFrame, width: float = 0.05, by: Sequence[str] = ("underlying_index",)) -> DataFrame:
@@ -75,9 +76,9 @@ def basis_stats(ticker: DataFrame) -> DataFrame:
 
 
 def liq_hourly_cascade(liquidations: DataFrame, least: int = 100) -> DataFrame:
-    """(hour_us, n): UTC hours with more than ``least`` liquidations."""
-    hour = (F.floor(F.col("ts_event_us") / F.lit(HOUR_US)) * HOUR_US).cast("long")
-    return liquidations.groupBy(hour.alias("hour_us")).agg(F.count("*").alias("n")).where(F.col("n") > least)
+    """(hour, n): UTC hours of the day, 0 to 23, with more than ``least`` liquidations."""
+    hour = F.floor(F.pmod("ts_event_us", F.lit(24 * HOUR_US)) / F.lit(HOUR_US)).cast("int")
+    return liquidations.groupBy(hour.alias("hour")).agg(F.count("*").alias("n")).where(F.col("n") > least)
 
 
 def liq_profile(liquidations: DataFrame) -> DataFrame:
@@ -113,17 +114,45 @@ def whale_ratio(liquidations: DataFrame, least_qty: int) -> DataFrame:
     return liquidations.groupBy("symbol").agg(divide(big, exact_sum(F.col("qty"))).alias("whale_ratio"))
 
 
-def euphoria_index(df: DataFrame, columns: Sequence[str], weights: Sequence[float] = (0.3, 0.3, 0.2, 0.2), keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Weighted percentile ranks of four columns inside each key; a key with most rows is many tasks."""
+#: Five minutes, in which liquidations are counted.
+VELOCITY_US = 300_000_000
+
+
+def euphoria_inputs(ticker: DataFrame, options: DataFrame, liquidations: DataFrame, step_us: int = 24 * HOUR_US) -> DataFrame:
+    """(symbol, step_us, funding, call_skew, iv, velocity) of the steps that have all four.
+
+    Mean funding rate, 25-delta call IV less put IV and mean IV of the symbol's options, and liquidations in five
+    minutes in the mean of the step.
+    """
+    step = (F.col("ts_event_us") - F.pmod("ts_event_us", F.lit(step_us))).alias("step_us")
+    funding = ticker.groupBy("symbol", step).agg(F.avg("funding_rate").alias("funding"))
+    held = options.withColumns({"symbol": F.col("underlying_index"), "step_us": step})
+    iv = held.groupBy("symbol", "step_us").agg(F.avg("mark_iv").alias("iv"))
+    skew = iv_skew_25d(held, by=("symbol", "step_us")).withColumnRenamed("skew_25d", "call_skew")
+    speed = liquidations.groupBy("symbol", step).agg((F.count("*") / F.lit(step_us / VELOCITY_US)).alias("velocity"))
+    out = funding.join(skew, ["symbol", "step_us"]).join(iv, ["symbol", "step_us"]).join(speed, ["symbol", "step_us"])
+    return out.where("funding is not null and call_skew is not null and iv is not null")
+
+
+def euphoria_index(
+    df: DataFrame,
+    columns: Sequence[str] = ("funding", "call_skew", "iv", "velocity"),
+    weights: Sequence[float] = (30, 30, 20, 20),
+    keys: Sequence[str] = ("symbol",),
+) -> DataFrame:
+    """0 to 100: weighted percentile ranks of four columns inside each key; a key with most rows is many tasks."""
     names = {c: f"__rank{i}" for i, c in enumerate(columns)}
     total = sum((F.col(n) * w for n, w in zip(names.values(), weights, strict=True)), F.lit(0.0))
     return percent_ranks(df, keys, names).withColumn("euphoria_index", total).select(*df.columns, "euphoria_index")
 
 
 def book_features(snapshots: DataFrame, levels: int = 5) -> DataFrame:
-    """Spread, spread at a depth, depth imbalance, and slopes, from ladders (fixed-point prices, raw quantities)."""
+    """Spread, spread at a depth, depth imbalance, and slopes, from ladders (fixed-point prices, raw quantities).
+
+    A slope is the price gap between the first and the last level over the quantity behind the first.
+    """
     bid, ask = F.col("bid_price_levels"), F.col("ask_price_levels")
-    total = lambda c: F.aggregate(F.slice(c, 1, levels), F.lit(0).cast("long"), lambda a, x: a + x)
+    total = lambda c, first=1: F.aggregate(F.slice(c, first, levels + 1 - first), F.lit(0).cast("long"), lambda a, x: a + x)
     mid = (decoded(bid[0]) + decoded(ask[0])) / 2
     bids, asks = total("bid_qty_levels"), total("ask_qty_levels")
     return snapshots.withColumns(
@@ -131,8 +160,8 @@ def book_features(snapshots: DataFrame, levels: int = 5) -> DataFrame:
             "spread_bps": divide(decoded(ask[0] - bid[0]), mid) * 10_000,
             "spread_deep_bps": divide(decoded(ask[levels - 1] - bid[levels - 1]), mid) * 10_000,
             "depth_imbalance": divide(bids - asks, bids + asks),
-            "bid_slope": divide(bids, decoded(bid[0] - bid[levels - 1])),
-            "ask_slope": divide(asks, decoded(ask[levels - 1] - ask[0])),
+            "bid_slope": divide(decoded(bid[0] - bid[levels - 1]), total("bid_qty_levels", 2)),
+            "ask_slope": divide(decoded(ask[levels - 1] - ask[0]), total("ask_qty_levels", 2)),
         }
     )
 
@@ -157,12 +186,6 @@ def session_imbalance(trades: DataFrame, phase: str = "trading_phase") -> DataFr
     )
 
 
-def large_trade_ratio(trades: DataFrame, least_qty: int) -> DataFrame:
-    return trades.groupBy("symbol", "trading_date").agg(
-        divide(F.count_if(F.col("qty") >= least_qty), F.count("*")).alias("large_trade_ratio"), F.count("*").alias("n")
-    )
-
-
 def order_to_cancel(orders: DataFrame) -> DataFrame:
     adds, cancels = F.count_if(F.col("event_kind") == "ADD"), F.count_if(F.col("event_kind") == "CANCEL")
     return orders.groupBy("symbol", "trading_date").agg(
@@ -174,8 +197,22 @@ def order_to_cancel(orders: DataFrame) -> DataFrame:
 FLOW_CHUNK = 1 << 18
 
 
+def sign_correlation(orders: DataFrame, lag: int = 5, stretch: int = FLOW_CHUNK) -> DataFrame:
+    """(symbol, trading_date, sign_correlation): corr(sign_t, sign_(t - lag)), each channel by its own sequence.
+
+    Unknown sides are 0; null where all signs of a day are alike.  A channel's day is cut into stretches with a halo.
+    """
+    sign = F.when(F.col("side") == "BUY", 1).when(F.col("side") == "SELL", -1).otherwise(0)
+    rows = orders.select("symbol", "trading_date", "channel_id", "channel_seq", sign.alias("sign"))
+    earlier = lambda w: {"before": F.lag("sign", lag).over(w)}
+    keys = ("symbol", "trading_date", "channel_id")
+    both = windowed(rows, keys, ("channel_seq",), earlier, back=lag, stretch=stretch, chunk=FLOW_CHUNK)
+    return both.groupBy("symbol", "trading_date").agg(F.corr("sign", "before").alias("sign_correlation"))
+
+
 def l3_order_flow(orders: DataFrame, chunk: int = FLOW_CHUNK) -> DataFrame:
-    """Per symbol and date: order-flow and cancel imbalance, lag-1 sign correlation and longest run of one side.
+    """Per symbol and date: order-flow and cancel imbalance, adds per cancel, sign correlation at lag 5, longest run of
+    one side.
 
     Orders are walked by channel and sequence in chunks.  A chunk becomes one row with its sums and its first and
     last run; runs that go on in the next chunk are joined there, so a symbol's day is many tasks.
@@ -194,10 +231,10 @@ def l3_order_flow(orders: DataFrame, chunk: int = FLOW_CHUNK) -> DataFrame:
         F.sum(added).alias("adds"),
         F.sum(cancelled * F.col("sign")).alias("cancel_flow"),
         F.sum(cancelled).alias("cancels"),
-        F.sum(F.col("sign") * F.col("before")).alias("products"),
-        F.count("before").alias("pairs"),
+        F.count_if(F.col("event_kind") == "ADD").alias("n_adds"),
+        F.count_if(F.col("event_kind") == "CANCEL").alias("n_cancels"),
     )
-    sums = ("add_flow", "adds", "cancel_flow", "cancels", "products", "pairs")
+    sums = ("add_flow", "adds", "cancel_flow", "cancels", "n_adds", "n_cancels")
     end = F.struct("run", "length", "sign")
     chunks = runs.groupBy(*part).agg(
         *(F.sum(c).alias(c) for c in sums), F.max("length").alias("longest"), F.min(end).alias("first"), F.max(end).alias("last")
@@ -214,16 +251,14 @@ def l3_order_flow(orders: DataFrame, chunk: int = FLOW_CHUNK) -> DataFrame:
     joined = edges.groupBy(*day, "run").agg(
         *(F.sum(c).alias(c) for c in sums),
         F.greatest(F.sum("length"), F.max("longest")).alias("longest"),
-        F.sum(F.col("sign") * F.col("before")).alias("more"),
-        F.count("before").alias("met"),
     )
-    total = lambda *cs: sum((F.coalesce(F.sum(c), F.lit(0)) for c in cs[1:]), F.coalesce(F.sum(cs[0]), F.lit(0)))
-    return joined.groupBy(*day).agg(
+    out = joined.groupBy(*day).agg(
         divide(F.sum("add_flow"), F.sum("adds")).alias("ofi"),
         divide(F.sum("cancel_flow"), F.sum("cancels")).alias("cancel_imbalance"),
-        divide(total("products", "more"), total("pairs", "met")).alias("sign_autocorrelation"),
+        divide(F.sum("n_adds"), F.sum("n_cancels")).alias("add_cancel_ratio"),
         F.max("longest").alias("longest_run"),
     )
+    return beside_once(out, sign_correlation(orders, stretch=chunk), day)
 
 
 def replay_events(*tables: tuple[str, DataFrame]) -> DataFrame:

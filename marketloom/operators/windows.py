@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import divide
 from ..core.storage import kept
-from .scan import running_sum
+from .scan import CHUNK_US, running_sum
 
 #: Consecutive rows of a key that one task walks.
 STRETCH = 1 << 16
@@ -32,17 +32,18 @@ def windowed(
     ahead: int = 0,
     stretch: int = STRETCH,
     index: str | None = None,
+    chunk: int = CHUNK_US,
 ) -> DataFrame:
     """Adds ``columns(w)``, where ``w`` is the window of a key's rows in order, a key being many tasks.
 
     The rows of a key are numbered (by a running count, or by ``index`` if it is 0, 1, ... already) and cut into
     stretches; a stretch has the last ``back`` rows of the one before and the first ``ahead`` rows of the next as a
-    halo, which is left out of the result.  The columns may look no further than that.  ``order`` starts with a long
-    that tells time and must tell all rows of a key apart.
+    halo, which is left out of the result.  The columns may look no further than that.  ``order`` starts with a long,
+    whose chunks of ``chunk`` are counted in one task each, and must tell all rows of a key apart.
     """
     stretch = max(stretch, back, ahead)
     if index is None:
-        df = running_sum(df, keys, order, F.lit(1), "__i").withColumn("__i", F.col("__i").cast("long") - 1)
+        df = running_sum(df, keys, order, F.lit(1), "__i", chunk).withColumn("__i", F.col("__i").cast("long") - 1)
     else:
         df = df.withColumn("__i", F.col(index))
     own, place = F.floor(F.col("__i") / stretch), F.pmod("__i", F.lit(stretch))

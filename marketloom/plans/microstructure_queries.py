@@ -12,8 +12,8 @@ from ..operators import spine as spines
 from . import views as v
 from .registry import BY, TS, query
 
-#: Quantity of a volume bucket, buckets of a mean, and notional of a large trade.
-BUCKET, OVER, LARGE = 200 * SCALE, 50, 3_000 * SCALE
+#: Quantity of a volume bucket, and buckets of a mean.
+BUCKET, OVER = 200 * SCALE, 50
 HOUR_US = 3_600_000_000
 
 

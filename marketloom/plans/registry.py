@@ -12,7 +12,7 @@ from ..core.numeric import decode_scaled
 from ..core.specs import SCALE
 from ..core.storage import kept
 from ..core.timeutil import trading_date
-from ..operators import asof, bars, cotrading, dimension, features, quality, signals, stats, validation, windows
+from ..operators import asof, bars, cotrading, dimension, features, microstructure, quality, signals, stats, validation, windows
 from ..operators import spine as spines
 from ..operators.phases import add_trading_phase, filter_by_phase
 from ..sources import files, lake, manifest
@@ -1219,7 +1219,7 @@ def basis_stats(spark, d):
     return out.withColumns({c: F.round(c, 3) for c in ("avg_basis_bps", "std_basis_bps", "max_basis_bps")})
 
 
-@query("SELECT ts_event_us // 3600000000 * 3600000000 AS hour_us, count(*) AS n FROM liquidations GROUP BY 1 HAVING count(*) > 5")
+@query("SELECT CAST(ts_event_us // 3600000000 % 24 AS INTEGER) AS hour, count(*) AS n FROM liquidations GROUP BY 1 HAVING count(*) > 5")
 def liq_hourly_cascade(spark, d):
     return signals.liq_hourly_cascade(v.liquidations(spark, d), least=5)
 
@@ -1255,30 +1255,38 @@ def whale_ratio(spark, d):
     return signals.whale_ratio(v.liquidations(spark, d), 90 * SCALE)
 
 
-_PR = "percent_rank() OVER (PARTITION BY exchange ORDER BY {0})"
+_PR = "percent_rank() OVER (PARTITION BY symbol ORDER BY {0})"
+_STEP = f"ts_event_us // {v.DAY} * {v.DAY} AS step_us"
 
 
 @query(
-    f"SELECT exchange, symbol, ts_spine_us, 0.3 * {_PR.format('volume')} + 0.3 * {_PR.format('trade_count')} + 0.2 * {_PR.format('vwap')} + 0.2 * {_PR.format('flow_imbalance')} AS euphoria_index FROM bars",
+    f", fu AS (SELECT symbol, {_STEP}, avg(funding_rate) AS funding FROM ticker GROUP BY ALL),"
+    f" op AS (SELECT underlying_index AS symbol, {_STEP}, avg(mark_iv) AS iv, avg(CASE WHEN abs(abs(delta) - 0.25) <= 0.05 AND option_type = 'call' THEN mark_iv END)"
+    " - avg(CASE WHEN abs(abs(delta) - 0.25) <= 0.05 AND option_type = 'put' THEN mark_iv END) AS call_skew FROM options GROUP BY ALL),"
+    f" li AS (SELECT symbol, {_STEP}, count(*) / 288e0 AS velocity FROM liquidations GROUP BY ALL),"
+    " four AS (SELECT * FROM fu JOIN op USING (symbol, step_us) JOIN li USING (symbol, step_us) WHERE call_skew IS NOT NULL),"
+    " near AS (SELECT symbol, step_us, round(funding, 9) AS funding, round(call_skew, 9) AS call_skew, round(iv, 9) AS iv, velocity FROM four)"
+    f" SELECT symbol, step_us, 30 * {_PR.format('funding')} + 30 * {_PR.format('call_skew')} + 20 * {_PR.format('iv')} + 20 * {_PR.format('velocity')} AS euphoria_index FROM near",
     "euphoria_index",
 )
 def euphoria_index(spark, d):
-    out = signals.euphoria_index(volume_bars_of(spark, d), ["volume", "trade_count", "vwap", "flow_imbalance"], keys=("exchange",))
-    return out.select(*BY, TS, "euphoria_index")
+    four = signals.euphoria_inputs(v.ticker(spark, d), v.options(spark, d), v.liquidations(spark, d))
+    four = four.withColumns({c: F.round(c, 9) for c in ("funding", "call_skew", "iv")})  # ties do not hang on the order of sums
+    return signals.euphoria_index(four).select("symbol", "step_us", "euphoria_index")
 
 
 @query(
     "SELECT file_seq, 0.02 / nullif(p / 1e9, 0) * 10000 AS spread_bps, 0.1 / nullif(p / 1e9, 0) * 10000 AS spread_deep_bps,"
     " ((5 * k + 15) - (515 - 5 * k)) / nullif(CAST((5 * k + 15) + (515 - 5 * k) AS DOUBLE), 0) AS depth_imbalance,"
-    " (5 * k + 15) / 0.04 AS bid_slope, (515 - 5 * k) / 0.04 AS ask_slope FROM e"
+    " 0.04 / nullif(CAST(4 * k + 14 AS DOUBLE), 0) AS bid_slope, 0.04 / nullif(CAST(414 - 4 * k AS DOUBLE), 0) AS ask_slope FROM e"
 )
 def book_features(spark, d):
     out = signals.book_features(v.snapshots(spark, d)).select("file_seq", "spread_bps", "spread_deep_bps", "depth_imbalance", "bid_slope", "ask_slope")
-    return out.withColumns({c: F.round(c, 3) for c in out.columns[1:]})
+    return out.withColumns({c: F.round(c, 6 if c.endswith("slope") else 3) for c in out.columns[1:]})
 
 
 ORACLES["book_features"] = ORACLES["book_features"].replace("SELECT file_seq, 0.02", "SELECT * REPLACE (" + ", ".join(
-    f"round(CAST({c} AS DOUBLE), 3) AS {c}" for c in ("spread_bps", "spread_deep_bps", "depth_imbalance", "bid_slope", "ask_slope")
+    f"round(CAST({c} AS DOUBLE), {6 if c.endswith('slope') else 3}) AS {c}" for c in ("spread_bps", "spread_deep_bps", "depth_imbalance", "bid_slope", "ask_slope")
 ) + ") FROM (SELECT file_seq, 0.02") + ")"
 
 _DAILY = (
@@ -1314,12 +1322,16 @@ def session_imbalance(spark, d):
     return signals.session_imbalance(rows).withColumns({c: F.round(c, 6) for c in ("imbalance", "volume")})
 
 
+_LARGE = f"CAST(price AS HUGEINT) * qty // {SCALE} > {3_000 * SCALE}"
+
+
 @query(
-    f"SELECT symbol, trading_date, CAST(count_if(qty >= {80 * SCALE}) AS DOUBLE) / count(*) AS large_trade_ratio, count(*) AS n FROM trades GROUP BY ALL",
-    "large_trade_ratio",
+    f"SELECT symbol, trading_date, CAST(sum(CASE WHEN {_LARGE} THEN qty ELSE 0 END) AS DOUBLE) / CAST(sum(qty) AS DOUBLE) AS large_trade_ratio,"
+    f" CAST(count_if({_LARGE}) AS DOUBLE) / count(*) AS large_count_ratio, count(*) AS n FROM trades GROUP BY ALL",
+    "large_trade_ratio large_count_ratio",
 )
 def large_trade_ratio(spark, d):
-    return signals.large_trade_ratio(v.trades(spark, d), 80 * SCALE)
+    return microstructure.large_trades(v.trades(spark, d), 3_000 * SCALE)
 
 
 @query(
@@ -1339,13 +1351,15 @@ def order_to_cancel(spark, d):
     " x AS (SELECT symbol, trading_date, max(n) AS longest_run FROM l GROUP BY ALL),"
     " a AS (SELECT symbol, trading_date, CAST(sum(CASE WHEN event_kind = 'ADD' THEN g * qty END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN event_kind = 'ADD' THEN qty END) AS DOUBLE), 0) AS ofi,"
     " CAST(sum(CASE WHEN event_kind = 'CANCEL' THEN g * qty END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN event_kind = 'CANCEL' THEN qty END) AS DOUBLE), 0) AS cancel_imbalance,"
-    " CAST(sum(g * h) AS DOUBLE) / nullif(count(h), 0) AS sign_autocorrelation FROM u GROUP BY ALL)"
-    " SELECT symbol, trading_date, round(ofi, 6) AS ofi, round(cancel_imbalance, 6) AS cancel_imbalance, round(sign_autocorrelation, 6) AS sign_autocorrelation, longest_run"
-    " FROM a JOIN x USING (symbol, trading_date)"
+    " count_if(event_kind = 'ADD') / nullif(CAST(count_if(event_kind = 'CANCEL') AS DOUBLE), 0) AS add_cancel_ratio FROM u GROUP BY ALL),"
+    " e5 AS (SELECT symbol, trading_date, g, lag(g, 5) OVER (PARTITION BY symbol, trading_date, channel_id ORDER BY channel_seq) AS h5 FROM s),"
+    " c5 AS (SELECT symbol, trading_date, CASE WHEN var_pop(CASE WHEN h5 IS NOT NULL THEN g END) > 0 AND var_pop(h5) > 0 THEN corr(g, h5) END AS sign_correlation FROM e5 GROUP BY ALL)"
+    " SELECT symbol, trading_date, round(ofi, 6) AS ofi, round(cancel_imbalance, 6) AS cancel_imbalance, round(add_cancel_ratio, 6) AS add_cancel_ratio,"
+    " round(sign_correlation, 6) + 0e0 AS sign_correlation, longest_run FROM a JOIN x USING (symbol, trading_date) JOIN c5 USING (symbol, trading_date)"
 )
 def l3_order_flow(spark, d):
     out = signals.l3_order_flow(v.orders(spark, d))
-    return out.withColumns({c: F.round(c, 6) for c in ("ofi", "cancel_imbalance", "sign_autocorrelation")})
+    return out.withColumns({c: F.round(c, 6) for c in ("ofi", "cancel_imbalance", "add_cancel_ratio", "sign_correlation")})
 
 
 @query(

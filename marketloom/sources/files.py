@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import os
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,14 +37,70 @@ def with_file_seq(df: DataFrame, by: str = "bronze_path", output: str = "file_se
     return df.withColumn("__row", F.monotonically_increasing_id()).withColumn(output, F.row_number().over(order).cast("long")).drop("__row")
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*", hashes: bool = False) -> DataFrame:
+#: Bytes of a file that a task holds at a time.
+BLOCK = 8 << 20
+
+
+def open_stream(path: str) -> BinaryIO:
+    """A file's bytes as a stream, from local disks, HDFS or object stores that Arrow reads.
+
+    Spark gives some paths with their odd characters escaped, some without; both are found.
+    """
+    from urllib.parse import unquote
+
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        name = path.removeprefix("file:").replace("///", "/", 1)
+        return open(name if os.path.exists(name) else unquote(name), "rb")
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_stream(name, buffer_size=BLOCK)
+
+
+def digest(path: str, opened: Callable[[str], BinaryIO] = open_stream) -> str:
+    """SHA-256 of a file, read in blocks."""
+    found = hashlib.sha256()
+    with opened(path) as stream:
+        while block := stream.read(BLOCK):
+            found.update(block)
+    return found.hexdigest()
+
+
+def fault(path: str, opened: Callable[[str], BinaryIO] = open_stream) -> str | None:
+    """What keeps a file from being read to its end, or None; ``.gz`` is unpacked as it is read."""
+    try:
+        with opened(path) as stream:
+            inner = gzip.GzipFile(fileobj=stream) if path.endswith(".gz") else stream
+            while inner.read(BLOCK):
+                pass
+    except Exception as e:  # whatever zlib or a store raises is this file's fault alone
+        return f"{type(e).__name__}: {e}"
+    return None
+
+
+def each_file(paths: DataFrame, function: Callable[[str], str | None], output: str, column: str = "bronze_path") -> DataFrame:
+    """Adds ``function(path)``; files are dealt to tasks by their path, and a task has one open at a time."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(**{output: [function(p) for p in frame[column]]})
+
+    kinds = ", ".join(f"`{n}` {t}" for n, t in [*paths.dtypes, (output, "string")])
+    tasks = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not made smaller: rows are few, files may not be
+    return paths.repartition(tasks, column).mapInPandas(run, kinds)
+
+
+def list_files(
+    spark: SparkSession, folder: str, pattern: str = "*", hashes: bool = False, opened: Callable[[str], BinaryIO] = open_stream
+) -> DataFrame:
     """(bronze_path, file_size_bytes, last_modified, sha256?) of a folder, subfolders included.
 
-    Contents are read only for hashes, one file in a task at a time.
+    Contents are read only for hashes, in blocks of ``BLOCK`` bytes, so files may be of any size; ``opened`` reaches
+    stores that Arrow does not know.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    out = [F.col("path").alias("bronze_path"), F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("last_modified")]
-    return files.select(*out, *([F.sha2("content", 256).alias("sha256")] if hashes else []))
+    out = files.select(F.col("path").alias("bronze_path"), F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("last_modified"))
+    return each_file(out, lambda path: digest(path, opened), "sha256") if hashes else out
 
 
 def discover_partitions(files: DataFrame, exchange: str | None = None, data_type: str | None = None, limit: int | None = None) -> DataFrame:

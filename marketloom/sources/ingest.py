@@ -5,7 +5,9 @@ written as events or as quarantine; counts per file become the ledger's rows.  E
 parse error is left out and the file is failed; other files go on.
 
 Raw files are read and parsed once: marked rows go to a staged folder, and all else reads that.  The ledger has the
-files as pending before anything else is written.  After a crash the next run over the same files finds them pending,
+files as pending before anything else is written.  If the reading or parsing of a batch breaks, the files are looked
+through, those that cannot be read to their end are failed, and the others go on without them; what still breaks is
+halved until the file is found that does it, so one bad file fails alone.  After a crash the next run over the same files finds them pending,
 takes away what the broken run had written for them (whole files, since a run writes its own) and starts anew.
 """
 
@@ -24,9 +26,12 @@ from ..core.storage import kept
 from ..core.timeutil import trading_date
 from ..operators.dimension import pit_coverage
 from ..operators.validation import REASON, mark
-from . import cn, crypto, lake, manifest
+from . import cn, crypto, files as raw_files, lake, manifest
 from .crypto import ERROR
 
+#: Files whose own batch broke, after which the fault is taken to lie elsewhere.
+MOST_BROKEN = 20
+
 #: Names of data types, and their tables.
 ALIASES = {
     "trades": "trades",
@@ -47,6 +52,9 @@ ALIASES = {
     "L2_new": "cn_l2_snapshots",
     "l2_new": "cn_l2_snapshots",
 }
+_COUNTS = (
+    "file_id long, rows_total long, rows_written long, rows_quarantined long, trading_date_min date, trading_date_max date, reasons string, error string"
+)
 Parser = Callable[[DataFrame], DataFrame]
 Writer = Callable[[DataFrame, str], None]
 #: Parsers by table; a caller may add its own or pass one.
@@ -132,11 +140,14 @@ def mark_rows(raw: DataFrame, data_type: str, dim: DataFrame, parser: Parser | N
 def ledger_rows(files: DataFrame, counts: DataFrame, now_us: int) -> DataFrame:
     """Rows of ``ingest_manifest`` for files (identity and file_id) and their counts."""
     both = files.join(counts, "file_id", "left")
+    if "fault" not in both.columns:
+        both = both.withColumn("fault", F.lit(None).cast("string"))
     total = F.coalesce("rows_total", F.lit(0).cast("long"))
     written = F.coalesce("rows_written", F.lit(0).cast("long"))
-    status = F.when(F.col("error").isNotNull() | (total == 0), "failed").when(written == 0, "quarantined").otherwise("success")
+    status = F.when(F.col("fault").isNotNull() | F.col("error").isNotNull() | (total == 0), "failed").when(written == 0, "quarantined").otherwise("success")
     reason = (
-        F.when(F.col("error").isNotNull(), F.concat(F.lit("parser_error: "), F.col("error")))
+        F.when(F.col("fault").isNotNull(), F.concat(F.lit("pipeline_error: "), F.col("fault")))
+        .when(F.col("error").isNotNull(), F.concat(F.lit("parser_error: "), F.col("error")))
         .when(total == 0, "empty_parse")
         .otherwise(F.nullif(F.col("reasons"), F.lit("")))
     )
@@ -154,6 +165,47 @@ def ledger_rows(files: DataFrame, counts: DataFrame, now_us: int) -> DataFrame:
     return normalize(rows, "ingest_manifest")
 
 
+def staged_rows(
+    spark: SparkSession, folder: str, paths: list[str], write: Callable[[list[str], str], None], look: Callable[[DataFrame], DataFrame]
+) -> tuple[list[str], dict[str, str]]:
+    """Writes the rows of ``paths`` to folders under ``folder``; returns the folders, and the faults of files left out.
+
+    One job for all, as long as none breaks.  When one does, ``look`` tells once which files cannot be read to their
+    end; after that a group that breaks is halved.  A file whose own job breaks has that as its fault.
+    """
+    groups, done, faults, looked, broken = [paths], [], {}, False, 0
+    while groups:
+        group = groups.pop()
+        out = f"{folder}/{len(done)}-{uuid4().hex}"
+        try:
+            write(group, out)
+            done.append(out)
+            continue
+        except Exception as e:
+            lake.delete(spark, out)
+            if len(group) == 1:
+                broken += 1
+                if broken > MOST_BROKEN:
+                    raise
+                faults[group[0]] = _message(e)
+                continue
+        if not looked:
+            looked = True
+            table = look(spark.createDataFrame([(p,) for p in group], "bronze_path string"))
+            faults |= {r["bronze_path"]: r["fault"] for r in table.where("fault is not null").collect()}
+            rest = [p for p in group if p not in faults]
+            if len(rest) < len(group):
+                groups += [rest] if rest else []
+                continue
+        groups += [group[len(group) // 2 :], group[: len(group) // 2]]
+    return done, faults
+
+
+def _message(e: Exception) -> str:
+    text = str(e).strip() or type(e).__name__
+    return text.splitlines()[0][:500]
+
+
 def pending_rows(files: DataFrame, now_us: int) -> DataFrame:
     """Rows of ``ingest_manifest`` for files that a run is about to work on, later than all that was known of them."""
     none = {c: F.lit(None).cast("long") for c in ("rows_total", "rows_written", "rows_quarantined", "processed_at_ts_us")}
@@ -193,10 +245,14 @@ def ingest(
     dry_run: bool = False,
     now_us: int | None = None,
     writer: Writer | None = None,
+    look: Callable[[DataFrame], DataFrame] = lambda paths: raw_files.each_file(paths, raw_files.fault, "fault"),
 ) -> DataFrame:
     """Ingests files (identity columns) that the ledger has not as success; returns their ledger rows.
 
     ``read`` turns paths into raw rows with bronze_path and file_seq; the driver lists the paths, as for any read.
+    ``look`` tells the faults of raw files, (bronze_path) to (bronze_path, fault); it runs only when a batch breaks.
+    A file that cannot be read, or whose rows break the job, is failed as ``pipeline_error`` and writes nothing; the
+    others go on.  If ``MOST_BROKEN`` readable files break one by one, the error is raised.
     ``writer`` (valid rows, table) takes the place of the event store; it must bear a retry itself.  ``dry_run``
     writes nothing to the lake and numbers files 0.  ``force`` takes files that have succeeded as well, and writes
     their rows once more.  Two runs over the same files at the same time are not supported.
@@ -221,17 +277,29 @@ def ingest(
             if not broken.isEmpty():
                 take_back(spark, root, table, broken, unfinished)
             pending_rows(pending, now).coalesce(1).write.mode("append").parquet(f"{root}/ingest_manifest")
-        numbered = read(paths).join(pending.select("bronze_path", "file_id"), "bronze_path")
-        marked_rows(numbered, table, dim, parser, exchange).write.parquet(f"{staged}/rows")
-        marked = with_failed(spark.read.parquet(f"{staged}/rows"), table)
-        rows = ledger_rows(pending, marked.counts(), now)
+
+        def write(group: list[str], out: str) -> None:
+            numbered = read(group).join(pending.select("bronze_path", "file_id"), "bronze_path")
+            found = marked_rows(numbered, table, dim, parser, exchange)
+            normalize(found, table)  # wrong types are the batch's fault now, not the writer's later
+            found.write.parquet(out)
+
+        folders, faults = staged_rows(spark, f"{staged}/rows", paths, write, look)
+        if folders:
+            marked = with_failed(spark.read.parquet(*folders), table)
+            counts = marked.counts()
+        else:
+            counts = spark.createDataFrame([], _COUNTS)
+        told = spark.createDataFrame(list(faults.items()), "bronze_path string, fault string")
+        rows = ledger_rows(pending.join(told, "bronze_path", "left"), counts, now)
         if dry_run:
             return kept(rows)
-        lake.append_quarantine(marked.rejected, root, table, now)
-        if writer is None:
-            lake.append_events(marked.valid, root, table)
-        else:
-            writer(marked.valid, table)
+        if folders:
+            lake.append_quarantine(marked.rejected, root, table, now)
+            if writer is None:
+                lake.append_events(marked.valid, root, table)
+            else:
+                writer(marked.valid, table)
         rows.coalesce(1).write.mode("append").parquet(f"{root}/ingest_manifest")
         done = kept(lake.read_table(spark, root, "ingest_manifest").where(F.col("processed_at_ts_us") == now).join(pending.select("file_id"), "file_id", "left_semi"))
         return done.select(*spec("ingest_manifest").names)

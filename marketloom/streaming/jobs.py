@@ -34,6 +34,23 @@ def stream_time_bars(trades: DataFrame, width: str = "1 minute", late: str = "1
     )
 
 
+def stream_trade_clusters(trades: DataFrame, gap: str = "1 second", late: str = "1 minute") -> DataFrame:
+    """Runs of trades with at most ``gap`` between neighbours, each emitted once when the watermark has passed its end.
+
+    State is one row for each open run.  Closed runs equal those of ``microstructure.trade_clusters``.
+    """
+    stamped = trades.withColumn("event_time", F.timestamp_micros("ts_event_us")).withWatermark("event_time", late)
+    bought = F.when(F.col("side") == "buy", F.col("qty").cast("decimal(19,0)"))
+    runs = stamped.groupBy("exchange", "symbol", F.session_window("event_time", gap).alias("w")).agg(
+        F.min("ts_event_us").alias("start_us"),
+        F.max("ts_event_us").alias("end_us"),
+        F.count("*").alias("n"),
+        exact_sum(F.col("qty")).cast("long").alias("qty"),
+        F.try_divide(F.coalesce(F.sum(bought), F.lit(0)).cast("double"), exact_sum(F.col("qty")).cast("double")).alias("buy_share"),
+    )
+    return runs.select("exchange", "symbol", "start_us", "end_us", "n", "qty", "buy_share")
+
+
 def stream_ingest(
     spark: SparkSession,
     folder: str,
@@ -58,7 +75,12 @@ def stream_ingest(
         files = found.select(
             F.lit(vendor).alias("vendor"), F.lit(data_type).alias("data_type"), "bronze_path", F.sha2("digest", 256).alias("file_hash")
         )
-        batch.ingest(spark, root, files, lambda paths: with_file_seq(rows.where(F.col("bronze_path").isin(paths))), data_type, dim(), exchange=exchange)
+
+        def read(paths: list[str]) -> DataFrame:
+            asked = spark.createDataFrame([(p,) for p in paths], "bronze_path string")
+            return with_file_seq(rows.join(asked, "bronze_path", "left_semi"))
+
+        batch.ingest(spark, root, files, read, data_type, dim(), exchange=exchange)
 
     source = spark.readStream.schema(schema).option("header", True).csv(folder).select("*", F.col("_metadata.file_path").alias("bronze_path"))
     return source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

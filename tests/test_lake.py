@@ -349,3 +349,115 @@ def test_stream_ingest(spark, tmp_path):
     jobs.stream_ingest(spark, str(raw), SCHEMA, root, "v", "trades", lambda: dim, str(tmp_path / "anew")).awaitTermination()
     ledger = lake.read_table(spark, root, "ingest_manifest").where("status = 'success'")
     assert lake.read_table(spark, root, "trades").count() == 2 and ledger.select("file_hash").distinct().count() == 2
+
+
+def gz(folder, name, *rows, cut=None):
+    import gzip
+
+    plain = csv(folder, name, *rows)
+    data = gzip.compress(plain.read_bytes())
+    plain.unlink()
+    path = folder / f"{name}.gz"
+    path.write_bytes(data if cut is None else data[:cut])
+    return path
+
+
+def identities(spark, raw, pattern="*"):
+    listed = files.list_files(spark, str(raw), pattern, hashes=True)
+    return listed.select(F.lit("v").alias("vendor"), F.lit("trades").alias("data_type"), "bronze_path", F.col("sha256").alias("file_hash"))
+
+
+def test_one_bad_file_fails_alone(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    ts = 1_704_067_200_000_000
+    rows = [("deribit", "BTC", ts + i, ts, i, "buy", 2.5, 1) for i in range(3_000)]
+    gz(raw, "good.csv", *rows[:2])
+    gz(raw, "cut.csv", *rows, cut=2_000)
+    (raw / "noise.csv.gz").write_bytes(b"\x1f\x8b\x08\x00" + bytes(range(200)))
+    csv(raw, "plain.csv", *rows[2:5])
+    dim = dimension.bootstrap(snapshot(spark, ("deribit", "BTC", 1)), ts - 5)
+    read = lambda paths: files.with_file_seq(files.read_csv_typed(spark, paths, SCHEMA))
+    out = {r["bronze_path"].rsplit("/", 1)[1]: r for r in ingest.ingest(spark, root, identities(spark, raw), read, "trades", dim).collect()}
+    assert (out["good.csv.gz"]["status"], out["good.csv.gz"]["rows_written"]) == ("success", 2)
+    assert (out["plain.csv"]["status"], out["plain.csv"]["rows_written"]) == ("success", 3)
+    for name in ("cut.csv.gz", "noise.csv.gz"):
+        assert out[name]["status"] == "failed" and out[name]["status_reason"].startswith("pipeline_error: ")
+        assert out[name]["rows_written"] == 0
+    assert lake.read_table(spark, root, "trades").count() == 5
+    # A later run takes the failed ones alone; mended, they succeed.
+    (raw / "noise.csv.gz").unlink()
+    gz(raw, "cut.csv", *rows[:7])
+    again = ingest.ingest(spark, root, identities(spark, raw), read, "trades", dim).collect()
+    assert [(r["status"], r["rows_written"]) for r in again] == [("success", 7)]
+
+
+def test_a_file_that_breaks_the_parser_fails_alone(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    ts = 1_704_067_200_000_000
+    for i in range(6):
+        csv(raw, f"f{i}.csv", ("deribit", "BTC", ts + i, ts, "boom" if i == 3 else i, "buy", 2.5, 1))
+    dim = dimension.bootstrap(snapshot(spark, ("deribit", "BTC", 1)), ts - 5)
+    read = lambda paths: files.with_file_seq(files.read_csv_typed(spark, paths, SCHEMA))
+
+    def parser(df):
+        broken = F.when(F.col("id") == "boom", F.raise_error(F.lit("no such id"))).otherwise(F.col("id"))
+        return ingest.PARSERS["trades"](df.withColumn("id", broken.cast("string")))
+
+    out = {r["bronze_path"][-6:]: r for r in ingest.ingest(spark, root, identities(spark, raw), read, "trades", dim, parser=parser).collect()}
+    assert {k for k, r in out.items() if r["status"] == "success"} == {f"f{i}.csv" for i in (0, 1, 2, 4, 5)}
+    assert out["f3.csv"]["status"] == "failed" and "no such id" in out["f3.csv"]["status_reason"]
+    # A price that is no integer is every file's fault.
+    floats = lambda df: ingest.PARSERS["trades"](df).withColumn("price", F.col("price") / 1e9)
+    lake2 = str(tmp_path / "lake2")
+    out = ingest.ingest(spark, lake2, identities(spark, raw, "f0.csv"), read, "trades", dim, parser=floats).collect()
+    assert out[0]["status"] == "failed" and out[0]["status_reason"].startswith("pipeline_error: ") and "must be integers" in out[0]["status_reason"]
+    assert lake.read_table(spark, lake2, "trades").count() == 0
+
+
+def test_many_broken_files_are_an_error(spark, tmp_path, monkeypatch):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    for i in range(4):
+        csv(raw, f"f{i}.csv", ("deribit", "BTC", 1, 1, i, "buy", 2.5, 1))
+    monkeypatch.setattr(ingest, "MOST_BROKEN", 2)
+    dim = dimension.bootstrap(snapshot(spark, ("deribit", "BTC", 1)), 0)
+
+    def read(paths):
+        raise RuntimeError("the reader itself is broken")
+
+    with pytest.raises(RuntimeError, match="itself is broken"):
+        ingest.ingest(spark, root, identities(spark, raw), read, "trades", dim)
+
+
+def test_hashes_hold_one_block(spark, tmp_path, monkeypatch):
+    import hashlib
+    import random
+
+    rng = random.Random(1)
+    data = {f"f{i}": rng.randbytes(rng.choice([0, 1, 999, 1000, 1001, 20_000])) for i in range(12)} | {"na me%41": b"x"}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    got = [r["sha256"] for r in files.list_files(spark, str(tmp_path), hashes=True).collect()]
+    assert sorted(got) == sorted(hashlib.sha256(x).hexdigest() for x in data.values())
+    asked = []
+
+    class Stream:
+        def __init__(self, content):
+            self.left = content
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+        def read(self, n):
+            asked.append(n)
+            out, self.left = self.left[:n], self.left[n:]
+            return out
+
+    monkeypatch.setattr(files, "BLOCK", 1000)
+    assert files.digest("x", lambda _: Stream(data["f3"] * 3)) == hashlib.sha256(data["f3"] * 3).hexdigest()
+    assert set(asked) == {1000}

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,7 +224,13 @@ def test_order_flow_is_the_same_in_any_chunks(spark, chunk):
         adds = [(s * r[4], r[4]) for s, r in zip(signs, own, strict=True) if r[3] == "ADD"]
         assert got[day]["longest_run"] == longest
         assert abs(got[day]["ofi"] - sum(a for a, _ in adds) / sum(b for _, b in adds)) < 1e-12
-        assert abs(got[day]["sign_autocorrelation"] - sum(a * b for a, b in zip(signs, signs[1:])) / (len(signs) - 1)) < 1e-12
+        kinds = [r[3] for r in own]
+        assert got[day]["add_cancel_ratio"] == kinds.count("ADD") / kinds.count("CANCEL")
+        pairs = []
+        for channel in range(3):
+            walk = [s for s, r in zip(signs, own, strict=True) if r[0] == channel]
+            pairs += zip(walk[5:], walk)
+        assert abs(got[day]["sign_correlation"] - np.corrcoef(*zip(*pairs))[0, 1]) < 1e-12
 
 
 def test_long_clock_spines_come_in_stretches(spark, monkeypatch):
