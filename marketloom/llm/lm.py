@@ -5,7 +5,8 @@ of level q is put into one Bloom filter q times, once for each level up to its o
 asking for level 1, 2, ... until one is missing.  The filter is blocked (all bits of an entry lie in one
 512-bit block), so it is cut into segments and grows with the corpus without ever being in one place: batches
 of texts send their distinct n-grams to the segments, a task fills each segment and probes it for all
-batches, and the levels go back to the batch's texts, which are scored there.
+batches, and the levels go back to the batch's texts, which are scored there.  Batches and segments both grow with
+the root of the corpus, so the rows between them grow in proportion to it.
 
 Probabilities are interpolated: p(w | v) = LAMBDA c(v w) / c(v) + (1 - LAMBDA) p(w), with the unigram smoothed as in
 the base score; behind a token that was never seen, p(w | v) = p(w).
@@ -42,9 +43,14 @@ PROBES = 3
 BLOCK = 512
 #: Training tokens to a segment of the filter, about; segments are a power of two.
 SEGMENT_TOKENS = 1 << 19
-LEAST_SEGMENTS, MOST_SEGMENTS = 1 << 4, 1 << 16
+LEAST_SEGMENTS = 1 << 4
 #: Bytes of one batch of texts, about; a task sums its n-grams at a time.
 SUMMED = 10_000_000
+#: Training tokens up to which segments and batches are that large; beyond, both grow by the root of the excess, so at
+#: 10^13 tokens a segment has 16 million (64 MB packed) and a batch 340 MB of texts.
+ROOTED = 1 << 33
+#: Bits of a key, and blocks of a segment that are filled at a time, a byte a bit.
+KEY_BITS, FILLED = 48, 1 << 15
 _LEVELS = 48
 _GOLD, _SEED_2, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -132,27 +138,20 @@ def joined(batch_column):
         yield words, np.array(starts)
 
 
-def places(h: np.ndarray, level: int, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(block, bits inside it) of entries at one level.  The block is by the leading bits, whatever the level."""
-    block = (h >> np.uint64(16)) * np.uint64(blocks) >> np.uint64(32)
+def inside(h: np.ndarray, level: int) -> list[np.ndarray]:
+    """Bits of entries at one level inside their blocks."""
     one = _scattered(h + np.uint64(level * int(_SEED_2) & 0xFFFFFFFFFFFFFFFF))
     step = (one >> np.uint64(40)) | np.uint64(1)
-    return block, [(one + np.uint64(i) * step) & np.uint64(BLOCK - 1) for i in range(PROBES)]
+    return [(one + np.uint64(i) * step) & np.uint64(BLOCK - 1) for i in range(PROBES)]
 
 
-def levels(h: np.ndarray, bits: np.ndarray, blocks: int | None = None, first: int = 0) -> np.ndarray:
-    """Level of each n-gram by repeated membership probes; 0 where level 1 is missing.
-
-    ``bits`` are the whole filter, or those from block ``first`` of a filter of ``blocks``.
-    """
-    blocks = blocks or len(bits) * 8 // BLOCK
+def levels(h: np.ndarray, block: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Level of each n-gram, whose block is given, by repeated membership probes; 0 where level 1 is missing."""
     found, alive = np.zeros(len(h), np.int64), np.arange(len(h))
     for level in range(1, _LEVELS):
-        block, inside = places(h[alive], level, blocks)
-        block = block - np.uint64(first)
         held = np.ones(len(alive), bool)
-        for i in inside:
-            at = block * np.uint64(BLOCK) + i
+        for i in inside(h[alive], level):
+            at = block[alive] * np.uint64(BLOCK) + i
             held &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         alive = alive[held]
         if not len(alive):
@@ -188,9 +187,14 @@ def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(utf8(text_col).alias("t")).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def growth(train_tokens: int) -> float:
+    """How many times larger segments and batches are than at their least."""
+    return max(1.0, (train_tokens / ROOTED) ** 0.5)
+
+
 def segments_of(train_tokens: int) -> int:
-    wanted = max(1, train_tokens // SEGMENT_TOKENS)
-    return min(MOST_SEGMENTS, max(LEAST_SEGMENTS, 1 << (wanted - 1).bit_length()))
+    wanted = max(1, int(train_tokens / (SEGMENT_TOKENS * growth(train_tokens))))
+    return max(LEAST_SEGMENTS, 1 << (wanted - 1).bit_length())
 
 
 def filter_bits(train_tokens: int) -> int:
@@ -235,50 +239,48 @@ class Segments:
 
     def __post_init__(self):
         self.count = segments_of(self.train_tokens)
-        self.blocks = filter_bits(self.train_tokens) // BLOCK
-        self.inner = 48 - (self.count.bit_length() - 1)  # bits of a key inside its segment
-        self.own = self.blocks // self.count
+        self.inner = KEY_BITS - (self.count.bit_length() - 1)  # bits of a key inside its segment
+        self.own = filter_bits(self.train_tokens) // BLOCK // self.count  # blocks of a segment
+
+    def block(self, keys: np.ndarray) -> np.ndarray:
+        """The block of each key inside its segment, by the key's bits there; ascending as the keys of a segment are."""
+        lead = max(0, self.inner - 32)  # bits enough for any segment, and few enough for the product
+        inner = (keys & np.uint64((1 << self.inner) - 1)) >> np.uint64(lead)
+        return inner * np.uint64(self.own) >> np.uint64(self.inner - lead)
 
     def cut(self, keys: np.ndarray, counts: np.ndarray):
         """(segment, packed keys and counts) of each segment that has some of the ascending keys."""
-        cuts = np.searchsorted(keys, np.arange(self.count + 1, dtype=np.uint64) << np.uint64(self.inner))
-        for s in np.flatnonzero(np.diff(cuts)).tolist():
-            part = slice(cuts[s], cuts[s + 1])
-            yield s, *pack(keys[part] - (np.uint64(s) << np.uint64(self.inner)), counts[part], self.inner)
+        own = keys >> np.uint64(self.inner)
+        cuts = np.r_[np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), len(keys)] if len(keys) else []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield int(own[a]), *pack(keys[a:b] - (own[a] << np.uint64(self.inner)), counts[a:b], self.inner)
 
-    def filled(self, segment: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The segment's bytes; distinct keys with counts of 0 are left out."""
+    def filled(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The bytes of the segment of the ascending distinct keys; those with counts of 0 are left out."""
         top = np.where(counts > 0, np.log2(np.maximum(counts, 1)).astype(np.int64) + 1, 0)
-        bits = np.zeros(self.own * BLOCK, bool)
-        for level in range(1, int(top.max(initial=0)) + 1):
-            block, inside = places(keys[top >= level], level, self.blocks)
-            for i in inside:
-                bits[((block - np.uint64(segment * self.own)) * np.uint64(BLOCK) + i).astype(np.int64)] = True
-        return np.packbits(bits, bitorder="little")
+        block, out = self.block(keys), np.zeros(self.own * BLOCK // 8, np.uint8)
+        for first in range(0, self.own, FILLED):
+            size = min(FILLED, self.own - first)
+            part = slice(*np.searchsorted(block, [first, first + size]))
+            bits = np.zeros(size * BLOCK, bool)
+            for level in range(1, int(top[part].max(initial=0)) + 1):
+                some = top[part] >= level
+                start = (block[part][some] - np.uint64(first)) * np.uint64(BLOCK)
+                for i in inside(keys[part][some], level):
+                    bits[(start + i).astype(np.int64)] = True
+            out[first * BLOCK // 8 :][: size * BLOCK // 8] = np.packbits(bits, bitorder="little")
+        return out
 
     def answered(self, segment: int, parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, list[np.ndarray]]:
         """(the segment's bytes, levels of each part's keys)."""
         held = [unpack(*part) for part in parts]
         keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
         keys = keys + (np.uint64(segment) << np.uint64(self.inner))
-        bits = self.filled(segment, keys, np.bincount(back, np.concatenate([n for _, n in held])))
-        found = levels(keys, bits, self.blocks, segment * self.own).astype(np.uint8)[back]
+        bits = self.filled(keys, np.bincount(back, np.concatenate([n for _, n in held])))
+        found = levels(keys, self.block(keys), bits).astype(np.uint8)[back]
         return bits, np.split(found, np.cumsum([len(k) for k, _ in held])[:-1])
 
 
-def build_filter(docs: DataFrame, train_tokens: int, text_col: str = "text") -> np.ndarray:
-    """The whole filter of ``docs`` as bytes, for corpora whose filter one process can hold; scores do without it."""
-    shape = Segments(train_tokens)
-    whole = np.zeros(shape.blocks * BLOCK // 8, np.uint8)
-    rows = docs.select(
-        F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("u"), utf8(text_col).alias("t"), F.spark_partition_id().alias("p")
-    )
-    dealt = rows.mapInArrow(_sent(shape, SUMMED), _SENT).repartition("segment").sortWithinPartitions("segment")
-    for row in dealt.mapInArrow(_probed(shape, True), _PROBED).toLocalIterator():
-        whole[row["segment"] * shape.own * BLOCK // 8 :][: len(row["data"])] = np.frombuffer(row["data"], np.uint8)
-    return whole
-
-
 _SENT = "segment int, batch long, low binary, rest binary"
 _PROBED = "batch long, segment int, data binary"
 
@@ -366,17 +368,13 @@ def _packed_texts(most: int):
     return run
 
 
-def _probed(shape: Segments, whole: bool):
-    """Fills each segment and, in the order of its keys, gives each batch their levels; rows come sorted by segment.
-
-    With ``whole`` the segments' bytes are given instead.
-    """
+def _probed(shape: Segments):
+    """Fills each segment and, in the order of its keys, gives each batch their levels; rows come sorted by segment."""
 
     def run(batches):
         def done():
-            bits, found = shape.answered(segment, parts)
-            data = [bits.tobytes()] if whole else [x.tobytes() for x in found]
-            columns = [pa.array([None] if whole else names, pa.int64()), pa.array([segment] * len(data), pa.int32()), pa.array(data, pa.binary())]
+            data = [x.tobytes() for x in shape.answered(segment, parts)[1]]
+            columns = [pa.array(names, pa.int64()), pa.array([segment] * len(data), pa.int32()), pa.array(data, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["batch", "segment", "data"])
 
         segment, names, parts = None, [], []
@@ -400,13 +398,15 @@ def score_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     frequent: int = FREQUENT,
-    summed: int = SUMMED,
+    summed: int | None = None,
 ) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row per input row.
 
     The model learns from rows where ``usable`` holds.  A null text counts as empty: its one token is the
     end.  Without training rows N and V are 0 and every token has probability PRIOR / PRIOR = 1 in the base.
-    Ids may be null or repeated; extra columns are ignored.  ``docs`` is read more than once; if its tasks do not
+    Ids may be null or repeated; extra columns are ignored.  A task holds some tens of bytes for each byte of
+    a batch of texts and for each token of a segment; both grow with the corpus (``growth``) unless ``summed``, the
+    bytes of a batch, is given.  ``docs`` is read more than once; if its tasks do not
     get the same rows each time, the run fails.
     """
     spark = docs.sparkSession
@@ -421,6 +421,7 @@ def score_texts(
     known = zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)
     shared = spark.sparkContext.broadcast({t: log10(c + PRIOR) - below for t, c in known})
     shape = Segments(n)
+    summed = summed or int(SUMMED * growth(n))
     end = mixed(hashes([END]))
 
     def run(batches):
@@ -506,7 +507,7 @@ def score_texts(
         F.spark_partition_id().alias("p"),  # counted from 0 in either reading, as a task's own number is not
     )
     sent = rows.mapInArrow(_sent(shape, summed), _SENT).repartition("segment").sortWithinPartitions("segment")
-    probed = sent.mapInArrow(_probed(shape, False), _PROBED)
+    probed = sent.mapInArrow(_probed(shape), _PROBED)
     # The texts are read once more here, since to carry them through the segments would shuffle them twice.
     met = probed.unionByName(rows.mapInArrow(_packed_texts(summed), _PROBED)).repartition("batch").sortWithinPartitions("batch")
     scored = met.mapInArrow(
