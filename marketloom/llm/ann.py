@@ -327,7 +327,8 @@ def search(
 
     keyed = checkpointed(sound.select("id", "v", "q").mapInArrow(key_rows, "id long, q boolean, same binary, v binary"))
     by_vector = Window.partitionBy("same").orderBy("id")
-    distinct_ids = keyed.select("id", "same", "v").withColumn("i", F.row_number().over(by_vector)).where(F.col("i") <= k + 2).drop("i")
+    once = keyed.select("id", "same", "v").dropDuplicates(["same", "id"])  # repeated rows are one candidate
+    distinct_ids = once.withColumn("i", F.row_number().over(by_vector)).where(F.col("i") <= k + 2).drop("i")
     asking = keyed.where("q").groupBy("same").agg(F.min("id").alias("id"), F.first("v").alias("v"))
 
     def windows_of(x: np.ndarray) -> np.ndarray:
