@@ -7,6 +7,7 @@ notice with at most k errors and gives the span.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -75,9 +76,10 @@ class Scanner:
         """(first word, label) of every place of every phrase; places may overlap."""
         found = []
         for phrase, label in self.phrases:
-            at = line.find(phrase)
+            at, word, seen = line.find(phrase), 0, 0
             while at >= 0:
-                found.append((line.count(" ", 0, at), label))
+                word, seen = word + line.count(" ", seen, at), at
+                found.append((word, label))
                 at = line.find(phrase, at + 1)
         return found
 
@@ -86,7 +88,7 @@ class Scanner:
 
         A notice that lies inside the span of a longer one is part of it and is not told by itself.
         """
-        tried, found = set(), {}
+        tried, found, spaces = set(), {}, None
         for end, (size, places) in self.seeds.iter(line):
             for n, offset in places:
                 notice, label, k, pattern = self.notices[n]
@@ -98,7 +100,9 @@ class Scanner:
                 m = pattern.search(line, low, min(len(line), start + len(notice) + 1 + k))
                 if m:
                     inside = line[m.start() : m.end()]
-                    first = line.count(" ", 0, m.start() + len(inside) - len(inside.lstrip(" ")))
+                    if spaces is None:
+                        spaces = [at for at, c in enumerate(line) if c == " "]
+                    first = bisect_left(spaces, m.start() + len(inside) - len(inside.lstrip(" ")))
                     key = (label, first - 1)
                     errors = sum(m.fuzzy_counts)
                     if key not in found or errors < found[key][3]:
