@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 WINDOW = 8
-#: A template of fewer words is not searched with other values in its slots; word for word, any item is.
-TEMPLATE_WORDS = 5
+#: Plain words that a template has at least, whatever its length, to be searched with other values in its slots.
+PLAIN_WORDS = 2
 #: Bits for each item window of the filter that lets document windows through to the join, and the most of all.
 #: The broadcast is 16 MB at most; beyond it more windows reach the join, which is exact.
 WINDOW_BITS, LEAST_BITS, MOST_BITS = 24, 1 << 16, 1 << 27
@@ -35,12 +35,18 @@ UNITS = frozenset(
     " mph kmh km/h kph w kw kwh v mv a ma hz khz mhz ghz j kj cal kcal pa kpa bar degree degrees celsius fahrenheit"
     .split()
 )
-_TOKEN = re.compile(r"[^\W_]+(?:[.,:/][0-9]+)*|[.!?\n]|%")
-_NUMBER = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*(?:st|nd|rd|th)?$")
+#: Words that begin questions and sentences and are no names, wherever they stand.
+NO_NAMES = frozenset(
+    "a an and are at by can did do does each every find for from given has have how if in is it let of on one or that the"
+    " there these this to was were what when where which who why will with".split()
+)
+#: A number, which ends where letters begin, so that ``12kg`` and ``3x`` are two tokens; a word, which may hold digits
+#: behind its first letter; the end of a sentence; a percent sign.
+_TOKEN = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*(?:(?:st|nd|rd|th)(?![^\W_]))?|[^\W0-9_][^\W_]*(?:[.,:/][0-9]+)*|[.!?\n]|%")
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 
 
-_WORD, _END, _NUM, _CAPITAL, _PERCENT, _UNIT = range(6)
+_WORD, _END, _NUM, _CAPITAL, _PERCENT, _UNIT, _CAPITALS = range(7)
 _PLACEHOLDERS = (NUM, UNIT, NAME)
 
 
@@ -49,11 +55,14 @@ def _kind(token: str) -> int:
         return _END
     if token == "%":
         return _PERCENT
-    low = token.lower()
-    if token[0].isdigit() and _NUMBER.match(low):
+    if "0" <= token[0] <= "9":
         return _NUM
-    if low in UNITS:
+    if (low := token.lower()) in UNITS:
         return _UNIT
+    if low in NO_NAMES:
+        return _WORD
+    if len(token) > 1 and token.isupper():
+        return _CAPITALS
     return _CAPITAL if token[0].isupper() and token[1:2].islower() else _WORD
 
 
@@ -91,8 +100,9 @@ class Canonical:
         self.placeholders = np.array([_hash(p) for p in _PLACEHOLDERS], np.uint64)
 
     def __call__(self, text: str) -> Template:
-        """A number starts with digits; a unit is a word of ``UNITS`` (or %) right behind a number; a name is a
-        word with a capital first and a small letter after it that does not begin a sentence."""
+        """A number starts with digits; a unit is a word of ``UNITS`` (or %) right behind a number; a name is a word of
+        capitals alone, two or more, or one with a capital first and a small letter after it that does not begin a
+        sentence; words of ``NO_NAMES`` are none."""
         if len(self.tokens.low) > _Tokens.KEPT:
             self.tokens = _Tokens()
         found = _TOKEN.findall(text)
@@ -110,7 +120,7 @@ class Canonical:
         slot = np.full(len(kind), -1, np.int8)
         slot[kind == _NUM] = 0
         slot[((kind == _UNIT) & behind_number) | (kind == _PERCENT)] = 1
-        slot[(kind == _CAPITAL) & inside] = 2
+        slot[((kind == _CAPITAL) & inside) | (kind == _CAPITALS)] = 2
         words = tokens.hash[number]
         return Template(number, slot, words, np.where(slot >= 0, self.placeholders[slot], words), tokens.low, bool((kind[:1] == _CAPITAL).any()))
 
@@ -152,12 +162,12 @@ class Template:
 
     def templates(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, hashes) of the windows that can be asked again with other values: they have a slot, but at least
-        half of them are words, or a row of numbers would be a question."""
-        if not TEMPLATE_WORDS <= size <= len(self) or not (self.slot >= 0).any():
+        half of them, and ``PLAIN_WORDS``, are plain words, or a row of numbers would be a question."""
+        if size > len(self) or not (self.slot >= 0).any():
             return np.empty(0, np.int64), np.empty(0, np.uint64)
         slots = np.cumsum(np.r_[0, self.slot >= 0])
         slots = slots[size:] - slots[:-size]
-        places = np.flatnonzero((slots > 0) & (2 * slots <= size))
+        places = np.flatnonzero((slots > 0) & (2 * slots <= size) & (size - slots >= PLAIN_WORDS))
         return places, _window_hashes(self.hashes, size, 1 << 32)[places]
 
     def quoted(self, placeholders: np.ndarray) -> Template | None:
@@ -198,10 +208,10 @@ def _probe(hashes: np.ndarray, i: int, bits: int) -> np.ndarray:
 
 
 def items_of(items: DataFrame, window: int) -> DataFrame:
-    """(item_id, item_at, template, item_words, item_windows, size, hash): a row per window of an item."""
+    """(item_key, item_at, template, item_words, item_windows, hash): a row per window of ``items`` (item_key, text)."""
     out = pa.schema(
         [
-            ("item_id", pa.int64()),
+            ("item_key", pa.string()),
             ("item_at", pa.int64()),
             ("template", pa.string()),
             ("item_words", pa.list_(pa.string())),
@@ -222,8 +232,8 @@ def items_of(items: DataFrame, window: int) -> DataFrame:
                     rows = []
             yield _emit(out, rows)
 
-    return items.select("item_id", "text").mapInArrow(
-        run, "item_id long, item_at long, template string, item_words array<string>, item_windows long, hash long"
+    return items.select("item_key", "text").mapInArrow(
+        run, "item_key string, item_at long, template string, item_words array<string>, item_windows long, hash long"
     )
 
 
@@ -284,33 +294,24 @@ def windows_of(texts: DataFrame, sizes: list[int], filter_) -> DataFrame:
     return texts.mapInArrow(run, "key string, at long, template string, words array<string>")
 
 
-def matches(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    window: int = WINDOW,
-) -> DataFrame:
-    """(key, item_id, n_windows, item_windows, changed_slots): documents, by md5 of their text, with items.
+def _asked(benchmark: DataFrame, item_text_col: str, window: int) -> DataFrame:
+    """Windows of the distinct texts of items; ``item_key`` is the md5 of the text."""
+    text = F.col(item_text_col).cast("string")
+    items = benchmark.where(text.isNotNull()).select(text.alias("text")).distinct()
+    return checkpointed(items_of(items.select(F.md5(F.col("text").cast("binary")).alias("item_key"), "text"), window))
 
-    One row per text and item that share windows along one alignment, if one of the windows is the same word for
-    word or all slots of those windows are consistent.  Items shorter than ``window`` words are searched whole,
-    however short; those without words match nothing.  Other values in slots are looked for in windows of at least
-    ``TEMPLATE_WORDS`` words of which at least half are no slots.  Null texts match nothing.  Repeated texts share a
-    key.  Very long texts are searched whole.
-    """
-    spark = docs.sparkSession
-    items = benchmark.where(F.col(item_text_col).isNotNull()).select(
-        F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
-    )
+
+def _held(docs: DataFrame, asked: DataFrame, text_col: str) -> DataFrame:
+    """(key, at, template, words): windows of the distinct places of texts that may be items'."""
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("t"))
     texts = texts.select(F.md5(F.col("t").cast("binary")).alias("key"), "t")
-    asked = checkpointed(items_of(items, window))
     bits, sizes = window_filter(asked)
-    asked = asked.drop("hash")
-    held = checkpointed(windows_of(texts, sizes, spark.sparkContext.broadcast(bits)).distinct())
-    pairs = held.join(asked, "template").withColumn("shift", F.col("at") - F.col("item_at"))
+    return checkpointed(windows_of(texts, sizes, docs.sparkSession.sparkContext.broadcast(bits)).distinct())
+
+
+def _lined(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """(key, item_key, n_windows, item_windows, changed_slots, literal) of the alignments that are leaks."""
+    pairs = held.join(asked.drop("hash"), "template").withColumn("shift", F.col("at") - F.col("item_at"))
     slots = F.transform(
         F.filter(
             F.arrays_zip(F.split("template", " ").alias("t"), F.col("item_words").alias("i"), F.col("words").alias("d")),
@@ -319,7 +320,7 @@ def matches(
         lambda x: F.struct(x["t"].alias("t"), x["i"].alias("i"), x["d"].alias("d")),
     )
     # One alignment has no more windows than its item, so these sets are small.
-    lined = pairs.groupBy("key", "item_id", "shift").agg(
+    lined = pairs.groupBy("key", "item_key", "shift").agg(
         F.countDistinct("item_at").alias("n_windows"),
         F.max("item_windows").alias("item_windows"),
         F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
@@ -328,31 +329,68 @@ def matches(
     one_way = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["t"], x["i"])))) == F.size("slots")
     other_way = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["t"], x["d"])))) == F.size("slots")
     changed = F.size(F.filter("slots", lambda x: x["i"] != x["d"]))
+    return lined.where((one_way & other_way) | F.col("literal")).withColumn("changed_slots", changed.cast("long"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """(key, item_key, n_windows, item_windows, changed_slots): texts with items, both by their md5.
+
+    One row per text and item that share windows along one alignment, if one of the windows is the same word for
+    word or all slots of those windows are consistent.  Items shorter than ``window`` words are searched whole,
+    however short; those without words match nothing.  Other values in slots are looked for in windows of which at
+    least half, and ``PLAIN_WORDS``, are no slots.  Null texts match nothing.  Repeated texts share a key.  Very long
+    texts are searched whole.
+    """
+    asked = _asked(benchmark, item_text_col, window)
     return (
-        lined.where((one_way & other_way) | F.col("literal"))
-        .groupBy("key", "item_id")
+        _lined(_held(docs, asked, text_col), asked)
+        .groupBy("key", "item_key")
         .agg(
             F.max("n_windows").alias("n_windows"),
             F.max("item_windows").alias("item_windows"),
-            F.min(changed).cast("long").alias("changed_slots"),
+            F.min("changed_slots").alias("changed_slots"),
         )
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """(key): the texts of ``matches``, without telling the items.
+
+    A window word for word is a leak by itself, so a text needs one and meets each item text once; a word that is an
+    item, in however many texts and places, is a semi-join.  Only windows with slots are lined up with their items.
+    """
+    asked = _asked(benchmark, item_text_col, window)
+    held = _held(docs, asked, text_col)
+    literal = F.col("template").startswith("= ")
+    plain = held.where(literal).select("key", "template").distinct()
+    plain = plain.join(asked.where(literal).select("template").distinct(), "template", "left_semi").select("key").distinct()
+    rest = held.where(~literal).join(plain, "key", "left_anti")
+    return plain.unionByName(_lined(rest, asked.where(~literal)).select("key").distinct())
+
+
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, changed_slots): rows of ``docs`` that hold benchmark items.
 
-    Repeated rows each return theirs; null ids are kept; texts that are null or hold no item return none.
+    Repeated rows, and items of one text, each return theirs; null ids are kept; texts that are null or hold no item
+    return none.
     """
-    found = matches(docs, benchmark, text_col=text_col, window=window)
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.md5(F.col(text_col).cast("string").cast("binary")).alias("key")
-    )
-    return rows.join(found, "key").drop("key")
+    found = matches(docs, benchmark, text_col=text_col, item_text_col=item_text_col, window=window)
+    md5 = lambda c: F.md5(F.col(c).cast("string").cast("binary"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), md5(text_col).alias("key"))
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), md5(item_text_col).alias("item_key"))
+    return rows.join(found, "key").join(items, "item_key").select("doc_id", "item_id", "n_windows", "item_windows", "changed_slots")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item; null texts stay."""
-    found = matches(docs, benchmark, text_col=text_col, window=window).select(F.col("key").alias("__leak")).distinct()
+    found = leaking(docs, benchmark, text_col=text_col, window=window).select(F.col("key").alias("__leak"))
     key = F.md5(F.col(text_col).cast("string").cast("binary"))
     return docs.join(found, key == F.col("__leak"), "left_anti")
