@@ -4,13 +4,75 @@ import hashlib
 import re
 import zlib
 
-from marketloom.llm import decontam, quality, secrets
+from marketloom.llm import quality, secrets
+from marketloom.llm.decontam import NO_NAMES, UNITS
+
+
+def plain_template(text):
+    """(words in lower case, slots, whether the first word may be a name), read character by character.
+
+    Slots are 0 for numbers, 1 for units behind numbers and percent signs, 2 for names, -1 for words.
+    """
+    text, i, tokens = text or "", 0, []
+    digit = lambda c: c in set("0123456789")
+
+    def more(i):
+        """Behind marks that have digits right after them."""
+        while i + 1 < len(text) and text[i] in ".,:/" and digit(text[i + 1]):
+            i += 1
+            while i < len(text) and digit(text[i]):
+                i += 1
+        return i
+
+    while i < len(text):
+        c, start = text[i], i
+        if c in ".!?\n":
+            tokens.append((c, "end"))
+        elif c == "%":
+            tokens.append((c, "percent"))
+        elif digit(c):
+            while i < len(text) and digit(text[i]):
+                i += 1
+            i = more(i)
+            if text[i : i + 2] in ("st", "nd", "rd", "th") and not text[i + 2 : i + 3].isalnum():
+                i += 2
+            tokens.append((text[start:i], "num"))
+            continue
+        elif c.isalnum():
+            while i < len(text) and text[i].isalnum():
+                i += 1
+            i = more(i)
+            tokens.append((text[start:i], "word"))
+            continue
+        i += 1
+    words, slots, fresh, behind, capital = [], [], True, False, False
+    for token, kind in tokens:
+        if kind == "end":
+            fresh = True  # what comes next begins a sentence, and may still be behind a number
+            continue
+        if kind == "percent" and not behind:
+            continue
+        slot = -1
+        name = kind == "word" and token.lower() not in UNITS | NO_NAMES and token[0].isupper() and token[1:2].islower()
+        capitals = kind == "word" and token.lower() not in UNITS | NO_NAMES and len(token) > 1 and token.isupper()
+        if kind == "num":
+            slot = 0
+        elif kind == "percent" or (token.lower() in UNITS and behind):
+            slot = 1
+        elif capitals or (name and not fresh):
+            slot = 2
+        if not words:
+            capital = name and not capitals
+            slot = -1 if name and not capitals else slot
+        words.append(token.lower())
+        slots.append(slot)
+        fresh, behind = False, kind == "num"
+    return words, slots, capital
 
 
 def brute_leaks(texts, items, window=8):
     """(text, item) pairs by comparing all windows, one by one."""
-    canonical = decontam.Canonical()
-    read = lambda t: (lambda x: (x.words(0, len(x)), x.slot.tolist(), x.capital))(canonical(t or ""))
+    read = plain_template
 
     def hits(doc, item, size):
         """Slots by alignment, and whether a window is the same word for word."""
@@ -27,7 +89,7 @@ def brute_leaks(texts, items, window=8):
                     literal.append(1)
                 mine = ds[i : i + size]
                 full = sum(s >= 0 for s in mine)
-                if size >= 5 and full and 2 * full <= size:
+                if full and 2 * full <= size and size - full >= 2:
                     for way in ways:
                         if way == mine and all(x == y for x, y, s in zip(a, b, mine) if s < 0):
                             slots.update((s, x, y) for x, y, s in zip(a, b, mine) if s >= 0)

@@ -232,6 +232,25 @@ def test_neighbours_of_crowded_places_and_one_very_long_vector(spark, monkeypatc
         assert r.score == (x[r.query_id] * x[r.vec_id]).sum()
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Repeated rows of one id take no other id's place."""
+    rows = [(3, [1.0, 0.0])] * 30 + [(5, [1.0, 0.0]), (7, [1.0, 0.0]), (9, [0.5, 0.0]), (20, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = ann.search(table, F.col("vec_id") % 20 == 0, k=4).orderBy("rank").toPandas()
+    assert got["vec_id"].tolist() == [3, 5, 7, 9]
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 8))
+    x[1::10] = x[1]  # an equal vector of many ids
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [r for r in rows[::10] for _ in range(30)]  # a tenth of the rows 30 times more
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = ann.search(table, F.col("vec_id") % 20 == 0, k=20, window_rows=100).toPandas()
+    expected = brute_nearest(np.arange(len(x)), x, 20)
+    assert set(got["query_id"]) == set(expected) and (got.groupby("query_id")["vec_id"].nunique() == 20).all()
+    share = [len(set(g["vec_id"]) & set(expected[q])) / 20 for q, g in got.groupby("query_id")]
+    assert np.mean(share) >= 0.9
+
+
 def test_windows_are_dealt_whole_or_by_id():
     windows = ann.Windows([np.array([5, 5, 9]), np.array([], int)], [1, 0])
     windows.deal({0: 10, 1: 0, 2: 95, 3: 4, 4: 30}, 40)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from plain import brute_leaks
 from pyspark.sql import functions as F
@@ -207,6 +208,41 @@ def test_canonical_templates():
     assert len(canonical("")) == len(canonical("... % !")) == 0
 
 
+def test_canonical_equals_a_plain_reading():
+    from plain import plain_template
+
+    rng = random.Random(2)
+    pieces = ["12kg", "3x", "3rd", "3rds", "1,200.5", "1.", "7:30", "IBM", "NASA", "Anna", "kg", "KG", "A", "I", "%", ".", "!", "\n", "h2o", "v1.2", "é", "Éa", "ÉA", "_", "x_y", "²", "٣", "5", "and", "4%", "/", ":", "1st2"]
+    canonical = decontam.Canonical()
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) + rng.choice([" ", " ", "", "  "]) for _ in range(rng.randint(0, 12)))
+        t = canonical(text)
+        assert (t.words(0, len(t)), t.slot.tolist(), t.capital) == plain_template(text), text
+
+
+def test_questions_asked_again_with_other_values(spark, docs):
+    items = ["If Anna buys 12kg of rice, how much does she carry home in all?", "What is 12 + 30?", "Which x solves 3x plus 4 equals 10 for us?", "IBM sold 30 servers to NASA in one year, at what price?"]
+    again = ["If Bertha buys 7kg of rice, how much does she carry home in all?", "What is 9 + 41?", "Which x solves 5x plus 2 equals 17 for us?", "AMD sold 45 servers to ESA in one year, at what price?"]
+    other = ["What is an IBM server", "The sum 9 + 41 is what?", "Which x solves it for us", "Nobody sold servers to anyone in one year"]
+    bench = spark.createDataFrame(list(enumerate(items)) + [(9, items[1])], "item_id long, text string")
+    table = docs([f"He asked: {t} Then he left." for t in again] + other)
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(table, bench).collect()}
+    assert got == {(i, i) for i in range(4)} | {(1, 9)}
+    assert {r["doc_id"] for r in decontam.clean(table, bench).collect()} == {4, 5, 6, 7}
+
+
+def test_clean_leaves_out_what_contaminated_finds(spark, docs):
+    """One-word items in very many places and repeated items are met once for each text."""
+    rng = random.Random(8)
+    items = [(i, "the") for i in range(40)] + [(50 + i, t) for i, t in enumerate(["rice 5 kg now", "Anna and Bob", "buys 3 apples"])]
+    texts = ["the " * 3000, "a 7 the", "no such word", "rice 9 kg now", "he buys 8 apples", None, ""] + [" ".join(rng.choices("rice 5 9 kg now buys apples Anna and Bob the".split(), k=6)) for _ in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = docs(texts)
+    found = {r["doc_id"] for r in decontam.contaminated(table, bench).select("doc_id").distinct().collect()}
+    assert found == {k for k, _ in brute_leaks(texts, items)}
+    assert {r["doc_id"] for r in decontam.clean(table, bench).collect()} == set(range(len(texts))) - found
+
+
 def test_decontamination_slots_must_agree(spark, docs):
     bench = spark.createDataFrame([(1, "give 5 apples and 5 pears to both of them now")], "item_id long, text string")
     got = {r["doc_id"] for r in decontam.contaminated(docs(["give 8 apples and 8 pears to both of them now", "give 8 apples and 9 pears to both of them now"]), bench).collect()}
@@ -255,7 +291,7 @@ def test_decontamination_equals_brute_force_over_all_windows(spark, docs):
 def test_decontamination_filter_follows_the_items(spark):
     few = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     many = spark.createDataFrame([(i, " ".join(f"w{i * 7 + j}" for j in range(12))) for i in range(4000)], "item_id long, text string")
-    sizes = [len(decontam.window_filter(decontam.items_of(x, 8))[0]) for x in (few, many)]
+    sizes = [len(decontam.window_filter(decontam.items_of(x.selectExpr("string(item_id) as item_key", "text"), 8))[0]) for x in (few, many)]
     assert sizes[0] == decontam.LEAST_BITS // 8 and sizes[1] > 4 * sizes[0]
 
 
@@ -288,11 +324,20 @@ def test_lm_base_is_exact_with_and_without_frequent_tokens(spark, docs):
 
 def test_lm_filter_levels(spark, docs):
     rows = docs([(1, "a " * 40 + "b b b c")])
-    bits = lm.build_filter(rows, 1000)
-    h = lm.hashes([b"a", b"b", b"c", b"zz"])
-    assert lm.levels(lm.mixed(h), bits).tolist()[:3] == [6, 2, 1]
+    shape = lm.Segments(1000)
+    rows = rows.select(F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("u"), F.col("text").cast("binary").alias("t"), F.spark_partition_id().alias("p"))
+    parts = {}
+    for r in rows.mapInArrow(lm._sent(shape, lm.SUMMED), lm._SENT).collect():
+        parts.setdefault(r["segment"], []).append((bytes(r["low"]), bytes(r["rest"])))
+    whole = {s: shape.answered(s, p)[0] for s, p in parts.items()}  # the filter, in one process
+
+    def read(keys):
+        segments = (keys >> np.uint64(shape.inner)).tolist()
+        return [int(lm.levels(keys[i : i + 1], shape.block(keys[i : i + 1]), whole[s])[0]) if s in whole else 0 for i, s in enumerate(segments)]
+
+    assert read(lm.mixed(lm.hashes([b"a", b"b", b"c", b"zz"])))[:3] == [6, 2, 1]
     pair = lm.bigrams(lm.hashes([b"a", b"a", b"b"]), np.array([0]))
-    assert lm.levels(pair[1:], bits).tolist() == [6, 1]
+    assert read(pair[1:]) == [6, 1]
 
 
 def test_lm_packed_counts_come_back():
@@ -424,15 +469,50 @@ def test_licence_titles_and_letters_beyond_ascii(spark, docs):
     assert got == {0: [("cc-by-nc-sa", 0)], 1: [("cc-by", 0)], 2: [("cc-by-sa", 0)], 3: [("mit", 2)]}
 
 
-def test_lm_filter_grows_with_the_corpus_and_rarely_errs(spark, docs):
-    for tokens_ in (1000, 10**8, 5 * 10**9, 10**12):
-        assert lm.filter_bits(tokens_) >= 12 * tokens_
+def test_licences_in_a_text_of_many_hits():
+    """200,000 exact phrases and 20,000 notices in one text: their words are counted on, not anew for each hit."""
+    import time
+
+    scanner = licenses.Scanner()
+    for piece, n, each in ((b"cc by ", 200_000, 1), (b"released under the mit licence yes ", 20_000, 0)):
+        scanner(piece * 50)
+        began = time.process_time()
+        found = scanner(piece * n)
+        took = time.process_time() - began
+        few = scanner(piece * 30)
+        assert len(found["base"]) == each * n and (not each or [x["word"] for x in found["base"][:3]] == [0, 2, 4])
+        if each:
+            assert found["base"][-1]["word"] == 2 * n - 2
+        assert len(found["notices"]) == len(few["notices"]) // 30 * n
+        assert took < 8, took
+
+
+@pytest.mark.parametrize("tokens_", [200_000, 10**9, 10**11, 10**13])
+def test_lm_filter_has_no_greatest_size(tokens_):
+    """One segment, filled as densely as they come (0.9 entries a token), read back, and asked for what it has not."""
     rng = np.random.default_rng(3)
-    shape = lm.Segments(200_000)
-    keys = np.unique(rng.integers(0, 1 << shape.inner, 11_000, dtype=np.uint64))  # of one segment, as dense as they come
-    bits, _ = shape.answered(3, [lm.pack(keys, np.ones(len(keys), np.int64), shape.inner)])
-    unseen = rng.integers(0, 1 << shape.inner, 50_000, dtype=np.uint64) + (np.uint64(3) << np.uint64(shape.inner))
-    assert (lm.levels(unseen, bits, shape.blocks, 3 * shape.own) > 0).mean() < 0.01
+    shape = lm.Segments(tokens_)
+    assert lm.filter_bits(tokens_) >= 32 * tokens_ and shape.count * shape.own * lm.BLOCK == lm.filter_bits(tokens_)
+    segment = shape.count - 3
+    first = np.uint64(segment) << np.uint64(shape.inner)
+    keys = np.unique(rng.integers(0, 1 << shape.inner, int(0.9 * tokens_ / shape.count), dtype=np.uint64)) + first
+    bits = shape.filled(keys, np.ones(len(keys), np.int64))
+    block = shape.block(keys)
+    assert len(bits) == shape.own * lm.BLOCK // 8 <= 1 << 27 and block.max() < shape.own and (np.diff(block.astype(np.int64)) >= 0).all()
+    held = np.bincount(block.astype(np.int64), minlength=shape.own)
+    assert held.max() < 10 * held.mean() + 20  # blocks are filled evenly
+    some = keys[:: max(1, len(keys) // 50_000)]
+    assert (lm.levels(some, shape.block(some), bits) >= 1).all()
+    unseen = rng.integers(0, 1 << shape.inner, 50_000, dtype=np.uint64) + first
+    unseen = unseen[~np.isin(unseen, keys)]
+    assert (lm.levels(unseen, shape.block(unseen), bits) > 0).mean() < 0.01
+    cut = list(shape.cut(np.sort(np.r_[keys[:5], some[:5] - first]), np.ones(10, np.int64)))
+    assert [c[0] for c in cut] == [0, segment]
+
+
+def test_lm_rows_between_batches_and_segments_follow_the_corpus():
+    rows = [n / (lm.SUMMED * lm.growth(n)) * lm.segments_of(n) / n for n in (2**34, 2**38, 2**44, 2**50)]
+    assert max(rows) < 2.1 * min(rows)
 
 
 def test_held_out_of_null_ids(spark, docs):
