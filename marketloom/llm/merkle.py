@@ -77,26 +77,30 @@ def placed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return found.select(*rows.columns, (F.col("own") - 1 + F.col("offset")).alias("pos"), "n")
 
 
-def _subtree(key: tuple, table: pa.Table) -> pa.Table:
-    """The nodes of up to ``STRIDE`` levels over a block of consecutive nodes, and the one above them."""
-    table = table.sort_by("idx")
-    g, n, base, first = (table[c][0].as_py() for c in ("g", "n", "level", "idx"))
-    digests, out = table["digest"].to_pylist(), {"level": [], "idx": [], "digest": [], "segment": []}
-    top = min(STRIDE, depth(n) - base)
-    for up in range(top + 1):
-        idx = first >> up
-        for i, digest in enumerate(digests):
-            out["level"].append(base + up)
-            out["idx"].append(idx + i)
-            out["digest"].append(digest)
-            # The topmost node's sibling is in another block: the next turn, or nothing if it is the root.
-            other = digests[i ^ 1] if (i ^ 1) < len(digests) else b""
-            out["segment"].append(other if up < top else None)
-        digests = [parent(digests[i : i + 2]) for i in range(0, len(digests), 2)]
-    size = len(out["idx"])
-    schema = pa.schema([("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.binary()), ("segment", pa.binary())])
-    nodes = pa.table(out, schema)
-    return nodes.add_column(0, "n", pa.array([n] * size, pa.int64())).add_column(0, "g", pa.array([g] * size, pa.string()))
+def _subtree(stride: int):
+    """The nodes of up to ``stride`` levels over a block of consecutive nodes, and the one above them."""
+
+    def built(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("idx")
+        g, n, base, first = (table[c][0].as_py() for c in ("g", "n", "level", "idx"))
+        digests, out = table["digest"].to_pylist(), {"level": [], "idx": [], "digest": [], "segment": []}
+        top = min(stride, depth(n) - base)
+        for up in range(top + 1):
+            idx = first >> up
+            for i, digest in enumerate(digests):
+                out["level"].append(base + up)
+                out["idx"].append(idx + i)
+                out["digest"].append(digest)
+                # The topmost node's sibling is in another block: the next turn, or nothing if it is the root.
+                other = digests[i ^ 1] if (i ^ 1) < len(digests) else b""
+                out["segment"].append(other if up < top else None)
+            digests = [parent(digests[i : i + 2]) for i in range(0, len(digests), 2)]
+        size = len(out["idx"])
+        schema = pa.schema([("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.binary()), ("segment", pa.binary())])
+        nodes = pa.table(out, schema)
+        return nodes.add_column(0, "n", pa.array([n] * size, pa.int64())).add_column(0, "g", pa.array([g] * size, pa.string()))
+
+    return built
 
 
 def levels(n: Column | str) -> Column:
@@ -116,7 +120,7 @@ def tree(leaves: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     nodes = roots = None
     for _ in range(max(1, -(-depth(most) // STRIDE))):
         block = F.shiftright("idx", STRIDE).alias("block")
-        built = checkpointed(base.groupBy("g", block).applyInArrow(_subtree, _NODES))
+        built = checkpointed(base.groupBy("g", block).applyInArrow(_subtree(STRIDE), _NODES))
         below, above = built.where("segment is not null"), built.where("segment is null")
         done = above.where(F.col("level") == levels("n")).select("g", "digest")
         nodes, roots = (below, done) if nodes is None else (nodes.unionByName(below), roots.unionByName(done))

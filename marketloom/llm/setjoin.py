@@ -4,12 +4,14 @@ A document's set is one node, whatever its copies.  Two sets that link share one
 any order that all sets keep to, so those elements are the buckets and no link is missed.  Elements that a sample finds
 common come last in the order; the sample decides how much work there is, never the result.
 
-1. ``sketch``: sets, their prefixes and their signatures (a bitmap of the elements), and ``met``: prefix elements of
-   two sets or more, found in ranges of (element, set), so that a common one is spread over many tasks.
-2. First turn: every set goes to one group, under the smallest set that it shares an element with; links found there
-   join most of what belongs together.
-3. Second turn: only elements between sets that are still apart.  There the signatures alone leave the sets that may
-   have a partner, and only their texts are sent.
+1. Sets, their prefixes and their signatures (a bitmap of the elements); then ``met``: prefix elements of two sets
+   or more whose sizes, and places of the element, allow a link.  They are found in ranges of (element, set), so that a
+   common one is spread over many tasks.
+2. First turn: every set goes to one group, under the smallest set that it meets; links found there join most of what
+   belongs together.
+3. Second turn: only elements between sets that are still apart.
+
+In both turns the signatures alone leave the sets that may have a partner, and only their texts are sent.
 
 Inside a group sets are the leaves of a signature tree.  A node holds the OR of its bitmaps and the range of its
 sizes; two nodes are compared from the roots down, and a pair is left where the most that any two sets below can have
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, utf8
-from .components import connected_components
+from .groups import SEEN, first_groups, gathered, labelled, once, part_name, second_groups
 from .simhash import Shingles
 
 WORDS, PERCENT = 4, 85
@@ -38,8 +40,9 @@ CHUNK, CHUNK_SHINGLES = 1024, 4_000_000
 #: Rows of a side that is broadcast, at most; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 FAN, BLOCK = 8, 1 << 21
-#: Sets or rows that a task knows it has already given; the table starts anew when it is full.
-SEEN = 500_000
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: Nodes of a key that are compared by size and place, each with each.
+NEIGHBOURS = 16
 
 
 def least_common(a, b, percent: int = PERCENT):
@@ -48,12 +51,20 @@ def least_common(a, b, percent: int = PERCENT):
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """Bitmap of a set, of four bits an element or more; a wider one folds onto a narrower one by OR of its halves."""
-    width = max(64, 1 << (4 * len(hashes) - 1).bit_length())
-    at = (hashes >> np.uint64(20)).astype(np.int64) & (width - 1)
-    bits = np.zeros(width, np.uint8)
-    bits[at] = 1
-    return np.packbits(bits, bitorder="little").view("<u8")
+    """Bitmap of a set, of a bit an element or more, and behind it the parity of the elements of each bit.
+
+    Wider ones fold onto narrower ones, by OR and by XOR of their halves.  Bitmaps are what nodes of the tree combine;
+    parities, of which an element turns one bit whatever the others, tell two sets apart more sharply.
+    """
+    width = max(64, 1 << (len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width)
+    return np.packbits(np.concatenate([counts > 0, counts % 2 == 1]), bitorder="little").view("<u8")
+
+
+def folded(signatures: np.ndarray) -> np.ndarray:
+    """Signatures, a row each, at half their width."""
+    a, b, c, d = np.split(signatures, 4, axis=1)
+    return np.concatenate([a | b, c ^ d], axis=1)
 
 
 class Tree:
@@ -63,7 +74,8 @@ class Tree:
     that share a bit with another element of it.
     """
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, height: int):
+    def __init__(self, signatures: np.ndarray, sizes: np.ndarray, height: int):
+        bits, self.parity = np.split(signatures, 2, axis=1)
         crowd = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.levels = [(bits, sizes, sizes, crowd)]
         for _ in range(height):
@@ -73,9 +85,9 @@ class Tree:
             self.levels.append(tuple(f.reduceat(x, cut, axis=0) for f, x in up))
 
 
-def _possible(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, percent: int, leaves: bool) -> np.ndarray:
-    """Whether sets below nodes ``i`` of level ``a`` and ``j`` of ``b`` can link."""
-    (bits_a, low_a, high_a, crowd_a), (bits_b, low_b, high_b, crowd_b) = a, b
+def _possible(a: Tree, b: Tree, level: int, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets below nodes ``i`` of ``a`` and ``j`` of ``b``, both of one level, can link."""
+    (bits_a, low_a, high_a, crowd_a), (bits_b, low_b, high_b, crowd_b) = a.levels[level], b.levels[level]
     keep = (100 * high_a[i] >= percent * low_b[j]) & (100 * high_b[j] >= percent * low_a[i])
     at = np.flatnonzero(keep)
     need = least_common(low_a[i], low_b[j], percent)
@@ -83,8 +95,8 @@ def _possible(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, percent: int, le
         x, y = i[block], j[block]
         both = np.bitwise_count(bits_a[x] & bits_b[y]).sum(axis=1, dtype=np.int64)
         most = both + np.minimum(crowd_a[x], crowd_b[y])
-        if leaves:  # a bit that differs takes an element that differs
-            differ = (low_a[x] - crowd_a[x]) + (low_b[y] - crowd_b[y]) - 2 * both
+        if level == 0:  # a parity that differs takes an element that differs
+            differ = np.bitwise_count(a.parity[x] ^ b.parity[y]).sum(axis=1, dtype=np.int64)
             most = np.minimum(most, (low_a[x] + low_b[y] - differ) // 2)
         keep[block] = most >= need[block]
     return keep
@@ -94,7 +106,7 @@ def traverse(a: Tree, b: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of leaves that may link, from the roots down; of one tree with itself each pair once."""
     i = j = np.zeros(1, np.int64)
     for level in reversed(range(len(a.levels))):
-        keep = _possible(a.levels[level], b.levels[level], i, j, percent, level == 0)
+        keep = _possible(a, b, level, i, j, percent)
         i, j = i[keep], j[keep]
         if level:
             step = np.arange(FAN)
@@ -127,8 +139,8 @@ def candidates(sizes: np.ndarray, signatures: list[np.ndarray], near: np.ndarray
         i, j = traverse(tree, tree, percent)
         yield own[i], own[j]
         if len(wider):
-            halves = np.stack([signatures[m] for m in wider])
-            i, j = traverse(tree, Tree(halves[:, :words] | halves[:, words:], sizes[wider], height), percent)
+            halves = folded(np.stack([signatures[m] for m in wider]))
+            i, j = traverse(tree, Tree(halves, sizes[wider], height), percent)
             yield own[i], wider[j]
 
 
@@ -145,12 +157,14 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:
     """(group, its other columns by node), of groups of two nodes or more; rows come sorted by the first column, of one node the first one counts."""
     group, rows = None, {}
     for batch in batches:
-        for g, node, *rest in zip(*batch.columns, strict=True):
-            if g.as_py() != group:
+        *columns, last = batch.columns  # the last one is long: its values are taken one by one
+        for g, node, *rest in zip(*(c.to_pylist() for c in columns), last, strict=True):
+            if g != group:
                 if len(rows) > 1:
                     yield group, rows
-                group, rows = g.as_py(), {}
-            rows.setdefault(node.as_py(), rest)
+                group, rows = g, {}
+            if node not in rows:
+                rows[node] = (*rest[:-1], rest[-1].as_py())
     if len(rows) > 1:
         yield group, rows
 
@@ -161,8 +175,8 @@ def _forest(words: int, percent: int):
     def run(batches):
         shingles = Shingles(words)
         for _, rows in _by_group(batches):
-            nodes, sets = list(rows), [shingles(t.as_py() or b"") for _, t in rows.values()]
-            label = np.unique([x.as_py() for x, _ in rows.values()], return_inverse=True)[1]
+            nodes, sets = list(rows), [shingles(t or b"") for _, t in rows.values()]
+            label = np.unique([x for x, _ in rows.values()], return_inverse=True)[1]
             sizes, least = np.array([len(s) for s in sets]), np.array([s[0] for s in sets])
             u, v = [], []
             for left, right in candidates(sizes, [signature(s) for s in sets], least, percent):
@@ -182,20 +196,58 @@ def _forest(words: int, percent: int):
     return run
 
 
+def _pairs_of_few(rows: list[tuple], percent: int) -> tuple[list[int], list[int]]:
+    """Pairs of a few (label, size, near, signature) of different labels that may link: all pairs, by their parities."""
+    parities, left, right = [], [], []
+    for label, size, _, data in rows:
+        half = len(data) // 2
+        parities.append((label, size, half, int.from_bytes(data[half:], "little")))
+    for i, (label, size, half, parity) in enumerate(parities):
+        for j in range(i):
+            other, other_size, other_half, other_parity = parities[j]
+            if label == other or 100 * min(size, other_size) < percent * max(size, other_size):
+                continue
+            a, b, narrow = parity, other_parity, min(half, other_half)
+            if half != other_half:  # the wider one folds; sizes allow one step
+                low = (1 << 8 * narrow) - 1
+                a, b = ((x & low) ^ (x >> 8 * narrow) for x in (a, b))
+            if size + other_size - (a ^ b).bit_count() >= 2 * least_common(size, other_size, percent):
+                left.append(i)
+                right.append(j)
+    return left, right
+
+
 def _hopeful(percent: int):
-    """(g, node) of the sets of a group whose signature leaves them a partner of another label."""
+    """(g, node, label): sets of a group that may link across labels, in the parts that such pairs connect.
+
+    A part is named by its nodes, so that what many elements have in common is the same group from each of them.
+    """
+
+    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        if len(rows) <= FAN:  # one node of a tree
+            return tuple(np.array(x, np.int64) for x in _pairs_of_few(rows, percent))
+        label, size, near = (np.array([r[c] for r in rows]) for c in range(3))
+        found = list(candidates(size, [np.frombuffer(r[3], "<u8") for r in rows], near, percent))
+        left, right = (np.concatenate(x) for x in zip(*found, strict=True))
+        apart = label[left] != label[right]
+        return left[apart], right[apart]
 
     def run(batches):
-        for g, rows in _by_group(batches):
-            nodes = np.array(list(rows), np.int64)
-            label, size, near = (np.array([r[c].as_py() for r in rows.values()]) for c in range(3))
-            signatures = [np.frombuffer(r[3].as_py(), "<u8") for r in rows.values()]
-            some = np.zeros(len(nodes), bool)
-            for left, right in candidates(size, signatures, near, percent):
-                apart = label[left] != label[right]
-                some[left[apart]] = some[right[apart]] = True
-            if some.any():
-                yield pa.RecordBatch.from_pydict({"g": pa.array([g] * int(some.sum()), pa.int64()), "node": pa.array(nodes[some])})
+        out = [], [], []
+
+        def given():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out], names=["g", "node", "label"])
+
+        for _, rows in _by_group(batches):
+            nodes, values = np.array(list(rows), np.int64), list(rows.values())
+            for part in gathered(*pairs(values), len(values)):
+                name = part_name(nodes[part])
+                for column, x in zip(out, (np.full(len(part), name), nodes[part], [values[i][0] for i in part]), strict=True):
+                    column.append(x)
+            if len(out[0]) > 1_000:
+                yield given()
+                out = [], [], []
+        yield given()
 
     return run
 
@@ -265,54 +317,68 @@ def _sketched(words: int, percent: int, known: np.ndarray, counts: np.ndarray):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch]):
-    """(k, node, rep) of keys with two nodes or more in a sorted range; of the range's first and last key in any case,
-    as their other nodes may be in the next range.  ``rep`` is the smallest node of the key in the range."""
+def _runs(percent: int):
+    """(k, node, rep) of keys with two nodes or more that may link, in a sorted range of (k, node, n, place).
 
-    def given(k, v, first, last):
+    Here ``k`` becomes a name of the key's nodes, so that sets which share many elements meet once.  ``place`` is the key's in the set: at the first element that two sets share, neither has more in common than what
+    it has from there on.  Keys of more than ``NEIGHBOURS`` nodes are given whole, and so are the range's first and
+    last key, as their other nodes may be in another range.  ``rep`` is the smallest node that a node may link with.
+    """
+
+    def given(rows, first, last):
+        k, v, n, place = rows
         new = np.r_[True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])]
-        k, v = k[new], v[new]
+        k, v, n, place = (x[new] for x in (k, v, n, place))
         starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         length = np.diff(np.r_[starts, len(k)])
-        keep = length > 1
-        keep[0] |= first
-        keep[-1] |= last
-        rows = np.repeat(keep, length)
-        rep = np.repeat(v[starts], length)
-        return pa.RecordBatch.from_arrays([pa.array(x[rows]) for x in (k, v, rep)], names=["k", "node", "rep"])
-
-    held, first = [np.empty(0, np.int64)] * 2, True
-    for batch in batches:
-        held = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns, strict=True)]
-        k, v = held
-        if len(k) and k[0] != k[-1]:
-            cut = int(np.searchsorted(k, k[-1]))  # the last run may go on
-            yield given(k[:cut], v[:cut], first, False)
-            held, first = [k[cut:], v[cut:]], False
-    if len(held[0]):
-        yield given(*held, first, True)
-
-
-def _once(batches):
-    """Rows whose (g, node) this task has not given yet: repeated rows leave a task about once."""
-    seen = set()
-    for batch in batches:
-        keep = []
-        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            keep.append(pair not in seen)
-            if len(seen) >= SEEN:
-                seen = set()
-            seen.add(pair)
-        yield batch.filter(pa.array(keep, pa.bool_()))
-
-
-def _linked(docs: DataFrame, text_col: str, dealt: DataFrame, words: int, percent: int) -> DataFrame:
-    """Edges (u, v) inside the groups of ``dealt`` (g, node, label, rk), whose texts are fetched by ``rk``."""
-    rows = docs.select(_row_key(docs).alias("rk"), utf8(text_col).alias("t"))
+        crowd = np.repeat(length > NEIGHBOURS, length)
+        keep, rep = crowd.copy(), np.where(crowd, np.repeat(v[starts], length), v)
+        rest = n - place
+        for d in range(1, min(NEIGHBOURS, len(k))):
+            i = np.flatnonzero((k[d:] == k[:-d]) & ~crowd[d:])
+            if not len(i):
+                break
+            j = i + d
+            fits = np.minimum(rest[i], rest[j]) >= least_common(n[i], n[j], percent)
+            i, j = i[fits], j[fits]
+            keep[i] = keep[j] = True
+            rep[j] = np.minimum(rep[j], v[i])
+        edge = np.zeros(len(k), bool)
+        edge[: length[0]] = first
+        edge[len(k) - length[-1] :] |= last
+        keep |= edge
+        k, v, rep, edge = (x[keep] for x in (k, v, rep, edge))
+        if len(k):
+            starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            h = v.view(np.uint64) * _GOLD
+            name = np.add.reduceat((h ^ (h >> np.uint64(31))) * _GOLD, starts).view(np.int64)
+            k = np.where(edge, k, np.repeat(name, np.diff(np.r_[starts, len(k)])))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (k, v, rep)], names=["k", "node", "rep"])
+
+    def run(batches):
+        held, first = [np.empty(0, np.int64)] * 4, True
+        for batch in batches:
+            held = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns, strict=True)]
+            k = held[0]
+            if len(k) and k[0] != k[-1]:
+                cut = int(np.searchsorted(k, k[-1]))  # the last run may go on
+                yield given([h[:cut] for h in held], first, False)
+                held, first = [h[cut:] for h in held], False
+        if len(held[0]):
+            yield given(held, first, True)
+
+    return run
+
+
+def _linked(docs: DataFrame, groups: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+    """Edges (u, v) inside ``groups`` (g, node, label): the signatures first, then the texts of what they leave."""
+    met = groups.join(sets.select("node", "n", "near", "bits"), "node").select("g", "node", "label", "n", "near", "bits")
+    hopeful = met.repartition("g").sortWithinPartitions("g").mapInArrow(_hopeful(percent), "g long, node long, label long")
+    dealt = checkpointed(hopeful.distinct().join(sets.select("node", "rk"), "node").select("g", "node", "label", "rk"))
+    rows = docs.select(_row_key(docs).alias("rk"), utf8("text").alias("t"))
     few = dealt.count() <= BROADCAST_ROWS
     texts = rows.join(F.broadcast(dealt) if few else dealt, "rk").select("g", "node", "label", "t")
-    schema = "g long, node long, label long, t binary"
-    texts = texts.mapInArrow(_once, schema).repartition("g").sortWithinPartitions("g")
+    texts = texts.mapInArrow(once, "g long, node long, label long, t binary").repartition("g").sortWithinPartitions("g")
     return checkpointed(texts.mapInArrow(_forest(words, percent), "u long, v long"))
 
 
@@ -320,50 +386,6 @@ def _row_key(docs: DataFrame):
     return F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``nodes`` with their component as ``label``; the node itself without edges."""
-    found = connected_components(edges).select("node", F.col("component").alias("label"))
-    return nodes.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
-def _first_groups(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(g, node, label, rk): every set under the smallest one that it meets; that one is in each chunk of its group."""
-    under = met.groupBy("node").agg(F.min("rep").alias("rep")).where("rep <> node").join(sets, "node")
-    sizes = under.groupBy("rep").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
-    sizes = sizes.withColumn("chunks", F.ceil(F.greatest(F.col("rows") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)))
-    members = under.join(sizes, "rep").select("rep", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"), "node", "rk")
-    heads = sizes.join(sets, sizes.rep == sets.node).select(
-        "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "node", "rk"
-    )
-    return members.unionByName(heads).select(F.xxhash64("rep", "chunk").alias("g"), "node", F.col("node").alias("label"), "rk")
-
-
-def _second_groups(met: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(g, node, label): sets that share an element and are apart, in pairs of chunks of the element's sets.
-
-    The sets of an element's largest component meet the others only, never each other.
-    """
-    parts = met.groupBy("k", "label").agg(F.count("*").alias("rows"))
-    keys = parts.groupBy("k").agg(
-        F.count("*").alias("labels"), F.sum("rows").alias("rows"), F.max(F.struct("rows", "label")).alias("main")
-    ).where("labels > 1")
-    rows = met.join(keys, "k").withColumn("chief", F.col("label") == F.col("main.label"))
-    own, rest = F.ceil(F.col("main.rows") / chunk), F.ceil((F.col("rows") - F.col("main.rows")) / chunk)
-    rows = rows.select("k", "node", "label", "chief", own.alias("own"), rest.alias("rest"), F.xxhash64("node", F.lit(3)).alias("h"))
-
-    def upto(column: str):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(column) - 1)).alias("other")
-
-    chief, others = rows.where("chief"), rows.where("not chief")
-    across = chief.select("k", "node", "label", F.pmod("h", "own").alias("c"), upto("rest")).unionByName(
-        others.select("k", "node", "label", upto("own"), F.pmod("h", "rest").alias("c")).select("k", "node", "label", F.col("other").alias("c"), F.col("c").alias("other"))
-    )
-    within = others.select("k", "node", "label", F.pmod("h", "rest").alias("c"), upto("rest")).select(
-        "k", "node", "label", F.least("c", "other").alias("c"), (-1 - F.greatest("c", "other")).alias("other")
-    )
-    return across.unionByName(within).select(F.xxhash64("k", "c", "other").alias("g"), "node", "label")
-
-
 def components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -384,20 +406,19 @@ def components(
         )
     )
     given = marks.where("keys is not null")
-    ranged = given.select(F.explode("keys").alias("k"), "node").repartitionByRange("k", "node").sortWithinPartitions("k", "node")
-    met = checkpointed(ranged.mapInArrow(_runs, "k long, node long, rep long"))
-    sets = given.groupBy("node").agg(F.min("rk").alias("rk"), F.first("n").alias("n"))
-
-    edges = _linked(docs, "text", checkpointed(_first_groups(met, sets)), words, percent)
-    apart = checkpointed(_second_groups(_labelled(met.select("k", "node"), edges)))
-    sketches = given.select("node", "n", F.element_at("keys", 1).alias("near"), "bits")
-    hopes = apart.join(sketches, "node").select("g", "node", "label", "n", "near", "bits").repartition("g").sortWithinPartitions("g")
-    hopeful = hopes.mapInArrow(_hopeful(percent), "g long, node long")
-    dealt = hopeful.join(apart, ["g", "node"]).join(sets.select("node", "rk"), "node").select("g", "node", "label", "rk")
-    edges = edges.unionByName(_linked(docs, "text", checkpointed(dealt), words, percent))
+    keyed = given.select("node", "n", F.posexplode("keys").alias("place", "k")).select("k", "node", "n", F.col("place").cast("long").alias("place"))
+    ranged = keyed.repartitionByRange("k", "node").sortWithinPartitions("k", "node")
+    met = ranged.mapInArrow(_runs(percent), "k long, node long, rep long")
+    met = checkpointed(met.groupBy("k", "node").agg(F.min("rep").alias("rep")))
+    # A set that several tasks have met has a row from each, equal but for the row that it was met in.
+    sets = checkpointed(given.select("node", "rk", "n", F.element_at("keys", 1).alias("near"), "bits").dropDuplicates(["node"]))
+
+    edges = _linked(docs, checkpointed(first_groups(met, sets, CHUNK, CHUNK_SHINGLES)), sets, words, percent)
+    apart = checkpointed(second_groups(labelled(met.select("k", "node"), edges), CHUNK))
+    edges = edges.unionByName(_linked(docs, apart, sets, words, percent))
 
     firsts = marks.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    grouped = _labelled(firsts, edges)
+    grouped = labelled(firsts, edges)
     lowest = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = grouped.join(lowest, "label").select("node", "component_id")
     columns = "doc_id", F.col("n").alias("n_shingles")

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marketloom.llm import centroids, merkle, setjoin
+from marketloom.llm import centroids, groups, merkle, setjoin
 from marketloom.llm.common import remainder
 from marketloom.llm.simhash import Shingles
 
@@ -69,7 +69,7 @@ def plain_manifest(rows):
 
 
 def manifest(df):
-    rows = merkle.verified_manifest(df, changed={"n_chars": F.try_add("n_chars", F.lit(1))}, where=remainder("doc_id", 7) == 0)
+    rows = merkle.verified_manifest(df, changed={"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}, where=remainder("doc_id", 7) == 0)
     return sorted(map(tuple, rows.collect()), key=str)
 
 
@@ -277,11 +277,11 @@ def test_second_groups_meet_all_pairs_that_are_apart(spark):
     label = {n: x for _, n, x in rows}
     rows = [(k, n, label[n]) for k, n, _ in rows]
     met = spark.createDataFrame(rows, "k long, node long, label long")
-    groups = {}
-    for g, node, _ in setjoin._second_groups(met, chunk=7).collect():
-        groups.setdefault(g, []).append(node)
-    assert max(map(len, groups.values())) < 60
-    got = {p for g in groups.values() for p in combinations(sorted(g), 2) if label[p[0]] != label[p[1]]}
+    found = {}
+    for g, node, _ in groups.second_groups(met, chunk=7).collect():
+        found.setdefault(g, []).append(node)
+    assert max(map(len, found.values())) < 60
+    got = {p for g in found.values() for p in combinations(sorted(g), 2) if label[p[0]] != label[p[1]]}
     want = {tuple(sorted((a, b))) for (k, a, x), (m, b, y) in combinations(rows, 2) if k == m and x != y}
     assert got == want
 
@@ -314,6 +314,9 @@ def test_trees_and_prefixes_lose_no_link(seed, common):
     for i, j in setjoin.candidates(np.array(list(map(len, sets))), [setjoin.signature(s) for s in sets], np.array([s[0] for s in sets])):
         left |= {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist(), strict=True)}
     assert true <= left
+    rows = [(i, len(s), 0, setjoin.signature(s).tobytes()) for i, s in enumerate(sets)]
+    few = {p for p in combinations(range(len(sets)), 2) if setjoin._pairs_of_few([rows[p[0]], rows[p[1]]], 85)[0]}
+    assert true <= few
     known = np.unique(np.concatenate(sets)[::common])
     first = [set(setjoin.prefix(s, known, rng.integers(3, 9, len(known)) * 0 + 3).tolist()) for s in sets]
     assert all(first[i] & first[j] for i, j in true)
@@ -327,9 +330,9 @@ def test_traversal_leaves_out_whole_nodes(monkeypatch):
     looked = []
     possible = setjoin._possible
 
-    def counting(a, b, i, j, percent, leaves):
-        looked.append((leaves, len(i)))
-        return possible(a, b, i, j, percent, leaves)
+    def counting(a, b, level, i, j, percent):
+        looked.append((level == 0, len(i)))
+        return possible(a, b, level, i, j, percent)
 
     monkeypatch.setattr(setjoin, "_possible", counting)
     near = np.repeat(np.arange(64), 8)
@@ -338,5 +341,11 @@ def test_traversal_leaves_out_whole_nodes(monkeypatch):
     assert sum(n for leaves, n in looked if leaves) < 0.1 * len(sets) ** 2 / 2
 
 
+def test_parts_are_what_pairs_connect():
+    left, right = np.array([5, 1, 2, 9]), np.array([1, 7, 3, 8])
+    assert [sorted(p.tolist()) for p in groups.gathered(left, right, 10)] == [[1, 5, 7], [2, 3], [8, 9]]
+    assert groups.gathered(left[:0], right[:0], 4) == []
+
+
 def test_shingles_are_of_the_asked_words():
     assert len(Shingles(4)(b"a b c d e")) == 2 and len(Shingles(4)(b"a b")) == 1 and not len(Shingles(4)(b" "))
