@@ -10,8 +10,8 @@
 3. ``near_duplicates``: components of the links.
 4. ``without_near_copies``: one row of each group of texts whose shingle sets are similar.  Such texts differ in
    up to a quarter of the fingerprint's bits, where ranges of bits name nearly all pairs; so there the buckets are
-   min-hash bands, the same bit-sliced comparison leaves pairs within a wide radius, and the exact similarity of
-   their shingle sets decides.
+   min-hash bands, the same bit-sliced comparison leaves the pairs of a bucket within a wide radius, and the exact
+   similarity of their shingle sets decides.  What is compared never leaves its bucket.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, utf8
 from .components import connected_components
+from .groups import first_groups, labelled, once, part_name, second_groups
 
 BITS = 64
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -239,6 +240,8 @@ def hex_fingerprint(column: str = "fp"):
 NEAR_WORDS, NEAR_SIMILARITY, NEAR_BITS, BANDS, BAND_ROWS = 5, 0.8, 20, 12, 4
 #: Rows and shingles of a chunk of a group, about: a task compares two chunks.
 CHUNK_ROWS, CHUNK_SHINGLES = 2048, 4_000_000
+#: Rows of a side that is broadcast, at most; larger ones are shuffled.
+BROADCAST_ROWS = 300_000
 _TURN = np.random.default_rng(5).integers(0, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -320,26 +323,53 @@ def _sketched(shingle: int):
     return run
 
 
-def _once(batches):
-    """Rows whose (group, node) this task has not seen: repeated rows leave a task once."""
-    seen = set()
-    for batch in batches:
-        keep = []
-        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            keep.append(pair not in seen)
-            seen.add(pair)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+def _parts(radius: int, block: int = 1024):
+    """(k, node, rep): the nodes of each bucket that pairs within ``radius`` connect, under the part's name and with its
+    smallest node; rows (k, node, fp) come sorted by bucket, buckets of few rows are compared together."""
+
+    def parts(keys, nodes, marks):
+        label = np.arange(len(keys))
+        for row, near in pairs_within(marks.view(np.uint64), radius, keys):
+            seen = np.unique(np.append(label[near], label[row]))
+            if len(seen) > 1:
+                label[np.isin(label, seen)] = seen[0]
+        order = np.argsort(label, kind="stable")
+        found = [np.unique(nodes[p]) for p in np.split(order, np.flatnonzero(np.diff(label[order])) + 1) if len(p) > 1]
+        sizes = [len(p) for p in found]
+        columns = [np.repeat(np.array([f(p) for p in found], np.int64), sizes) for f in (part_name, np.min)]
+        columns.insert(1, np.concatenate([np.empty(0, np.int64), *found]))
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["k", "node", "rep"])
+
+    def run(batches):
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            held = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns, strict=True)]
+            key = held[0]
+            if len(key) < block:
+                continue
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            at = 0
+            while starts[-1] - at >= block:  # whole buckets only; the last one may go on in the next batch
+                to = starts[np.searchsorted(starts, at + block)]
+                yield parts(*(h[at:to] for h in held))
+                at = to
+            held = [h[at:] for h in held]
+        if len(held[0]):
+            yield parts(*held)
+
+    return run
 
 
 def _verified(shingle: int, radius: int, least: float):
-    """Edges of a spanning forest of each group's pairs that are similar; rows come sorted by group."""
+    """Edges of a spanning forest of the similar pairs of different labels of each group; rows (g, node, label, fp, t)
+    come sorted by group."""
 
     def run(batches):
         shingles = Shingles(shingle)
-        group, nodes, marks, sets = None, {}, [], []
+        group, nodes, labels, marks, sets = None, {}, [], [], []
 
         def edges():
-            label = np.arange(len(sets))
+            label = np.unique(labels, return_inverse=True)[1]
             names = list(nodes)
             u, v = [], []
             for row, near in pairs_within(np.array(marks, np.int64).view(np.uint64), radius):
@@ -354,14 +384,15 @@ def _verified(shingle: int, radius: int, least: float):
             return pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
         for batch in batches:
-            for g, node, fp, text in zip(*(batch.column(i) for i in range(4)), strict=True):
-                if g.as_py() != group:
+            for g, node, label, fp, text in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4), strict=True):
+                if g != group:
                     if len(sets) > 1:
                         yield edges()
-                    group, nodes, marks, sets = g.as_py(), {}, [], []
-                if node.as_py() not in nodes:
-                    nodes[node.as_py()] = len(nodes)
-                    marks.append(fp.as_py())
+                    group, nodes, labels, marks, sets = g, {}, [], [], []
+                if node not in nodes:
+                    nodes[node] = len(nodes)
+                    labels.append(label)
+                    marks.append(fp)
                     sets.append(shingles(text.as_py() or b""))
         if len(sets) > 1:
             yield edges()
@@ -386,9 +417,10 @@ def without_near_copies(
     never by their id: different texts under one id are different rows.  Equal rows are one.  Extra columns, whatever
     their names, are kept; an empty table gives none.
 
-    Equal texts are one class before anything is compared.  Classes that share a band and whose fingerprints differ in at most
-    ``radius`` bits form loose groups, whose texts meet, by pairs of bounded chunks, for the exact similarity.  A
-    link at 0.8 is missed in 0.2 % of cases (no band shared), closer ones hardly ever.
+    Equal texts are one class before anything is compared.  Inside a band's bucket, in pairs of bounded chunks, the
+    fingerprints leave the classes that pairs of at most ``radius`` differing bits connect; such a part of a bucket is
+    what meets for the exact similarity, first each class under the smallest one it meets, then what is still apart.
+    A link at 0.8 is missed in 0.2 % of cases (no band shared), closer ones hardly ever.
     """
     columns = docs.columns
     others = [c for c in columns if c != text_col]
@@ -408,18 +440,24 @@ def without_near_copies(
         .agg(F.min(first).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("n").alias("n"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    met = classes.select("fp", F.explode("bands").alias("k")).distinct()
-    loose = connected_components(bucket_links(met, radius, apart=True))
-    grouped = classes.join(loose, classes.fp == loose.node, "left").select(
-        classes.node.alias("node"), "fp", "first", "n", F.coalesce("component", "fp").alias("g")
-    )
-    crowds = grouped.groupBy("g").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).where("rows > 1")
-    chunks = F.ceil(F.greatest(F.col("rows") / F.lit(CHUNK_ROWS), F.col("shingles") / F.lit(CHUNK_SHINGLES)))
-    members = grouped.join(crowds, "g").select("g", "node", "fp", "rows", "shingles", F.col("first.tk").alias("tk"), F.col("first.ok").alias("ok"))
-    dealt = in_chunks(members, "g", chunks, F.xxhash64("node"))
-    texts = keyed.select("tk", "ok", "t").join(dealt, ["tk", "ok"]).select("g", "node", "fp", "t")
-    schema = "g long, node long, fp long, t binary"
-    links_ = texts.mapInArrow(_once, schema).repartition("g").sortWithinPartitions("g").mapInArrow(_verified(shingle, radius, least), "u long, v long")
+    buckets = classes.select(F.explode("bands").alias("k"), "node", "fp")
+    crowded = buckets.groupBy("k").agg(F.count("*").alias("rows")).where("rows > 1")
+    dealt = in_chunks(buckets.join(crowded, "k"), "k", F.ceil(F.col("rows") / F.lit(CHUNK_ROWS)), F.xxhash64("node"))
+    dealt = dealt.select("k", "node", "fp").repartition("k").sortWithinPartitions("k")
+    met = checkpointed(dealt.mapInArrow(_parts(radius), "k long, node long, rep long").distinct())
+    keys = classes.select("node", "fp", F.col("first.tk").alias("tk"), F.col("first.ok").alias("ok"))
+
+    def similar(groups: DataFrame) -> DataFrame:
+        """Edges (u, v) inside ``groups`` (g, node, label), whose texts are fetched."""
+        asked = checkpointed(groups.join(keys, "node").select("tk", "ok", "g", "node", "label", "fp"))
+        few = asked.count() <= BROADCAST_ROWS
+        texts = keyed.select("tk", "ok", "t").join(F.broadcast(asked) if few else asked, ["tk", "ok"])
+        texts = texts.select("g", "node", "label", "fp", "t").mapInArrow(once, "g long, node long, label long, fp long, t binary")
+        verified = texts.repartition("g").sortWithinPartitions("g").mapInArrow(_verified(shingle, radius, least), "u long, v long")
+        return checkpointed(verified)
+
+    links_ = similar(first_groups(met, classes, CHUNK_ROWS, CHUNK_SHINGLES))
+    links_ = links_.unionByName(similar(second_groups(labelled(met.select("k", "node"), links_), CHUNK_ROWS)))
     found = connected_components(links_)
     one = (
         classes.join(found.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
