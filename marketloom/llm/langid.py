@@ -21,8 +21,9 @@ SAMPLE_TEXTS = 300
 SAMPLE_BYTES = 96 << 10
 #: Of a longer text a piece of this many characters is sampled (it is predicted whole all the same).
 SAMPLE_CHARS = 6000
-#: Languages up to which their counts are broadcast.
-FEW_LANGUAGES = 10_000
+#: Languages that are learned at most: each has a dictionary on the driver and in every worker, and costs a compression
+#: of every text.  More are an error, as a column of anything else than languages would be.
+MOST_LANGUAGES = 1_000
 #: Characters that are compressed at a time.
 PIECE = 8192
 #: The winner must save at least this share of bytes against the second to be reliable.
@@ -46,7 +47,7 @@ def learn(
     """Dictionary content per language, from rows where ``usable`` holds and the language is not null.
 
     Every language of those rows is learned, however rare and however long its texts; each costs one compression of
-    every text.  For each language those texts count whose md5 of the id comes first, so that the sample is spread
+    every text.  More than ``MOST_LANGUAGES`` of them raise a ValueError.  For each language those texts count whose md5 of the id comes first, so that the sample is spread
     and fixed: at most ``sample_texts``, of a text over ``SAMPLE_CHARS`` characters a piece of that many whose
     place follows from the md5, and no more than about twice ``sample_bytes`` in all reach the driver.  Null and
     empty texts teach nothing, nor do those without a letter; repeated texts count once.
@@ -59,10 +60,12 @@ def learn(
     length = F.char_length("t")
     rows = rows.where(length > 0)
     named = rows.groupBy("lang").count()
-    if (few := named.limit(FEW_LANGUAGES + 1).count()) <= FEW_LANGUAGES:
-        named = F.broadcast(named)
-    if not few:
+    found = named.limit(MOST_LANGUAGES + 1).count()
+    if found > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang_col!r}")
+    if not found:
         return {}
+    named = F.broadcast(named)  # a row a language
     # Of a frequent language only the hashes that can be among the first go on: about four times the sample,
     # however many rows there are.
     place = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import plain
@@ -149,6 +150,22 @@ def test_crowded_groups_of_near_copies_are_cut_into_chunks(spark, sf, monkeypatc
     assert len(kept) == len(set(plain.near_groups([r[1] for r in rows]))) and {0, 1, 2} <= {r["doc_id"] for r in kept}
 
 
+def test_texts_of_one_template_do_not_chain_up(spark, monkeypatch):
+    """600 texts with a common frame, none a near-copy: what meets for the exact check never leaves a bucket."""
+    rng = random.Random(12)
+    frame = [f"f{i}" for i in range(120)]
+    rows = []
+    for i in range(600):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(50)]
+        rows.append((i, " ".join(frame + own), "en", "a", 1))
+    seen = []
+    monkeypatch.setattr(simhash, "first_groups", lambda *a, f=simhash.first_groups: seen.append(a[0]) or f(*a))
+    assert simhash.without_near_copies(spark.createDataFrame(rows, SCHEMA)).count() == 600
+    bands = Counter(k for _, t, *_ in rows for k in set(simhash.bands(simhash.Shingles()(t.encode())).tolist()))
+    sizes = Counter(r["k"] for r in seen[0].collect())
+    assert max(sizes.values(), default=0) <= max(bands.values()) < 300
+
+
 def test_similarity_and_sets_are_exact():
     rng = random.Random(3)
     sets = simhash.Shingles()

@@ -125,6 +125,67 @@ def test_language_query_equals_a_plain_classifier(spark, sf):
         assert got[r["doc_id"]] == plain_language(r["text"], {k: c[:shortest] for k, c in known.items()})
 
 
+def plain_language_of_any_lengths(text, dictionaries):
+    """Dictionaries of unequal lengths: each length, of the longest halved, meets the leader's cut to that length."""
+    import zstandard
+
+    plain = langid.normalised(text or "")
+    if not any(map(str.isalpha, plain)):
+        return "und"
+
+    def size(content):
+        coder = zstandard.ZstdCompressor(
+            level=3, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        return sum(len(coder.compress(plain[i : i + 8192].encode())) for i in range(0, len(plain), 8192))
+
+    lengths = {}
+    for lang, content in dictionaries.items():
+        n = max(map(len, dictionaries.values()))
+        while n > len(content):
+            n //= 2
+        lengths[lang] = n
+    cost = {}
+    for n in sorted(set(lengths.values()), reverse=True):
+        shift = 0
+        if cost:
+            lead = min(cost, key=lambda x: (cost[x], x))
+            shift = cost[lead] - size(dictionaries[lead][:n])
+        cost |= {lang: size(dictionaries[lang][:n]) + shift for lang in lengths if lengths[lang] == n}
+    return min((n, lang) for lang, n in cost.items())[1]
+
+
+def test_language_with_unequal_dictionaries_and_very_long_texts(spark, docs, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    known = langid.learn(rows, learned("doc_id", 5))
+    cut = {lang: content[: len(content) // (1, 3, 9, 20)[i]] for i, (lang, content) in enumerate(sorted(known.items()))}
+    texts = [r["text"] for r in rows.limit(60).collect()]
+    texts += [" ".join(texts[:30]) * 20, "x" * 300_000, " " * 300_000 + "a"]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs(texts), cut).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == plain_language_of_any_lengths(t, cut)
+
+
+def test_too_many_languages_are_an_error(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    table = docs([]).unionByName(docs([(1, "some text")], lang="a"))
+    for lang in "bcd":
+        assert set(langid.learn(table, F.lit(True))) == set("abcd"[: "abcd".index(lang)])
+        table = table.unionByName(docs([(1, f"text of {lang}")], lang=lang))
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        langid.learn(table, F.lit(True))
+
+
+def test_tokens_of_very_long_texts(spark, docs):
+    """A megabyte without a space, and with them, against the library."""
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefghijklmnop", k=1_000_000)), " ".join("".join(rng.choices("etaoin shrdlu", k=9)) for _ in range(100_000)), "é" * 400_000, " " * 500_000]
+    got = {r["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(docs(texts), MODEL).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(library.encode(t)) for t in texts]
+
+
 def test_languages_that_are_rare_long_or_many_are_learned(spark, docs):
     rng = random.Random(12)
     letters = "abcdefghijklmnopqrstuvwxyz"
