@@ -95,7 +95,7 @@ def list_files(
 ) -> DataFrame:
     """(bronze_path, file_size_bytes, last_modified, sha256?) of a folder, subfolders included.
 
-    Contents are read only for hashes, in blocks of ``BLOCK`` bytes, so files may be of any size; ``opened`` reaches
+    Empty files are not listed.  Contents are read only for hashes, in blocks of ``BLOCK`` bytes, so files may be of any size; ``opened`` reaches
     stores that Arrow does not know.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)

@@ -129,8 +129,12 @@ def discover_symbols(
 
 
 def append_events(df: DataFrame, root: str, table: str) -> None:
+    """Appends rows, dealt in ranges of symbol and time inside each partition, so that a reader of one symbol skips the
+    files and row groups of others by their statistics, and one symbol's day is as many files as it needs."""
     s = event_spec(table)
     validate_schema(df, s)
+    order = [*s.partition_by, "symbol", "ts_event_us"]
+    df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     df.write.mode("append").partitionBy(*s.partition_by).parquet(f"{root}/{table}")
 
 
