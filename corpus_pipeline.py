@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import decontam, mixing, quality, secrets, simhash
 from marketloom.llm.common import learned, shared_dir, table
 from marketloom.llm.queries import ACCEPT
+from marketloom.sources import lake
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,4 +86,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+    for name, _ in STAGES[:-1]:  # the last one's rows are what is returned
+        lake.delete(spark, f"{folder}/{name}")
     return docs

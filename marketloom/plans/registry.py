@@ -650,17 +650,18 @@ _F = lambda n: f"OVER (PARTITION BY exchange, symbol ORDER BY ts_spine_us ROWS B
     "mean5 mean12 median50 diff persistence",
 )
 def rolling_windows(spark, d):
-    w = windows.by(BY, (TS,))
-    return volume_bars_of(spark, d).select(
-        *BY,
-        TS,
-        windows.rolling_mean("close", 5, w).alias("mean5"),
-        windows.rolling_mean("close", 12, w, least=1).alias("mean12"),
-        windows.rolling_median("close", 50, w).alias("median50"),
-        windows.diff("close", w).alias("diff"),
-        windows.changed("close", w).alias("changed"),
-        windows.persistence("flow_imbalance", w).alias("persistence"),
-    )
+    def columns(w):
+        return {
+            "mean5": windows.rolling_mean("close", 5, w),
+            "mean12": windows.rolling_mean("close", 12, w, least=1),
+            "median50": windows.rolling_median("close", 50, w),
+            "diff": windows.diff("close", w),
+            "changed": windows.changed("close", w),
+            "persistence": windows.persistence("flow_imbalance", w),
+        }
+
+    found = windows.windowed(volume_bars_of(spark, d), BY, (TS,), columns, back=49)
+    return found.select(*BY, TS, "mean5", "mean12", "median50", "diff", "changed", "persistence")
 
 
 @query(
@@ -1362,13 +1363,18 @@ def l3_order_flow(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("ofi", "cancel_imbalance", "add_cancel_ratio", "sign_correlation")})
 
 
+_REPLAY = "exchange, symbol, channel_id NULLS FIRST, channel_seq NULLS FIRST, ts_event_us, file_id, file_seq, event_table"
+
+
 @query(
-    "SELECT event_table, exchange, symbol, ts_event_us, file_seq FROM (SELECT 'trades' AS event_table, * FROM trades"
+    f"SELECT event_table, exchange, symbol, ts_event_us, file_seq, row_number() OVER (ORDER BY {_REPLAY}) - 1 AS place FROM (SELECT 'trades' AS event_table, * FROM trades"
     " UNION ALL BY NAME SELECT 'quotes' AS event_table, * FROM quotes UNION ALL BY NAME SELECT 'cn_order_events' AS event_table, * FROM orders_cn)"
 )
 def replay_event_table(spark, d):
     out = signals.replay_events(("trades", v.trades(spark, d)), ("quotes", v.quotes(spark, d)), ("cn_order_events", v.orders(spark, d)))
-    return out.select("event_table", *BY, "ts_event_us", "file_seq")
+    order = ("exchange", "symbol", "channel_id", "channel_seq", "ts_event_us", "file_id", "file_seq", "event_table")
+    placed = windows.row_index(out.select(*order), order, "place")
+    return placed.select("event_table", *BY, "ts_event_us", "file_seq", "place")
 
 
 _Z = "OVER (PARTITION BY underlying_index ORDER BY trading_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
