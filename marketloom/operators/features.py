@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..core.numeric import divide
 from .spine import THRESHOLDS
-from .windows import by, lagged, returns, rolling_mean, rolling_median
+from .windows import by, lagged, rolling_mean, rolling_median, windowed
 
 KEYS, TS = ("exchange", "symbol"), "ts_spine_us"
 #: Round-trip costs in basis points: two exchanges; perpetual against spot.
@@ -20,11 +20,10 @@ BPS = 10_000.0
 
 
 def momentum(bars: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
-    w = by(keys, (ts,))
-    out = returns(bars, keys, (ts,), steps=(1, 5, 10))
     moment = F.timestamp_micros(ts)
-    return out.withColumns(
-        {
+
+    def columns(w) -> dict[str, Column]:
+        return {f"ret_{k}bar": divide(F.col("close"), lagged("close", k, w)) - 1 for k in (1, 5, 10)} | {
             "vwap_reversion": divide(F.col("close") - F.col("vwap"), F.col("vwap")),
             "trade_count_accel": divide(F.col("trade_count"), lagged("trade_count", 1, w)) - 1,
             "flow_persistence": F.col("flow_imbalance") * lagged("flow_imbalance", 1, w),
@@ -33,14 +32,14 @@ def momentum(bars: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataF
             "hour": F.hour(moment),
             "weekday": F.weekday(moment) + 1,
         }
-    )
+
+    return windowed(bars, keys, (ts,), columns, back=49)
 
 
 def funding(bars: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
     """``bars``: trade bars joined with funding bars."""
-    w = by(keys, (ts,))
     change = divide(F.col("oi_change"), F.col("oi_open"))
-    return bars.withColumns(
+    columns = lambda w: (
         {
             "funding_carry_annual": F.col("funding_close") * 365 * 3,
             "funding_surprise": F.col("funding_close") - F.col("predicted_funding_close"),
@@ -51,6 +50,7 @@ def funding(bars: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFr
             "oi_momentum_5bar": divide(F.col("oi_close"), lagged("oi_close", 5, w)) - 1,
         }
     )
+    return windowed(bars, keys, (ts,), columns, back=5)
 
 
 def cross_exchange(both: DataFrame, keys: Sequence[str] = ("symbol",), ts: str = TS, a: str = "a_", b: str = "b_") -> DataFrame:
@@ -128,13 +128,17 @@ def multi_timeframe(both: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS, f
 
 def with_trend(bars: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
     """Adds ret_5bar and ma5, the mean of five closes."""
-    return returns(bars, keys, (ts,), steps=(5,)).withColumn("ma5", rolling_mean("close", 5, by(keys, (ts,))))
+
+    def columns(w) -> dict[str, Column]:
+        return {"ret_5bar": divide(F.col("close"), lagged("close", 5, w)) - 1, "ma5": rolling_mean("close", 5, w)}
+
+    return windowed(bars, keys, (ts,), columns, back=5)
 
 
 def adaptive_regime(buckets: DataFrame, vol: str = "hourly_vol", keys: Sequence[str] = KEYS, ts: str = "bucket_us") -> DataFrame:
     """Adds the smoothed volatility (mean of up to 12 buckets), regime and bar threshold."""
-    w = by(keys, (ts,))
-    out = buckets.withColumn("smooth_vol", rolling_mean(vol, 12, w, least=1))
+    smooth = lambda w: {"smooth_vol": rolling_mean(vol, 12, w, least=1)}
+    out = windowed(buckets, keys, (ts,), smooth, back=11)
     regime = F.when(F.col("smooth_vol") > HIGH_VOL, "HIGH").when(F.col("smooth_vol") < LOW_VOL, "LOW").otherwise("MEDIUM")
     pairs = [F.lit(x) for kv in THRESHOLDS.items() for x in kv]
     return out.withColumn("regime", regime).withColumn("bar_threshold", F.create_map(*pairs)[F.col("regime")])

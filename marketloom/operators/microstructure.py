@@ -22,6 +22,8 @@ from .windows import windowed
 KEYS = ("exchange", "symbol")
 ORDER = ("ts_event_us", "file_id", "file_seq")
 MINUTE_US = 60_000_000
+#: Volume buckets that one row becomes at a time.
+BLOCK = 4096
 #: Times are counted in milliseconds from here, so that sums of their squares fit 38 digits.
 ORIGIN_US = 1_577_836_800_000_000  # 2020-01-01
 
@@ -44,9 +46,13 @@ def volume_buckets(trades: DataFrame, size: int, keys: Sequence[str] = KEYS, ord
         raise ValueError("size must be > 0")
     run = running_sum(trades.where("qty > 0"), keys, order, F.col("qty"), "__s")
     start = (F.col("__s") - F.col("qty")).cast("decimal(38,0)")
-    last = whole_quotient((F.col("__s") - 1).cast("decimal(38,0)"), size).cast("long")
-    reached = F.explode(F.sequence(whole_quotient(start, size).cast("long"), last))
-    split = run.select(*keys, order[0], "side", start.alias("__a"), "__s", reached.alias("bucket"))
+    first, last = (whole_quotient(x.cast("decimal(38,0)"), size).cast("long") for x in (start, F.col("__s") - 1))
+    spans = run.select(*keys, order[0], "side", start.alias("__a"), "__s", first.alias("__first"), last.alias("__last"))
+    # A trade of very many buckets is cut twice, so that no array is longer than a block.
+    blocks = F.sequence(F.floor(F.col("__first") / BLOCK), F.floor(F.col("__last") / BLOCK))
+    spans = spans.withColumn("__block", F.explode(blocks))
+    reached = F.sequence(F.greatest("__first", F.col("__block") * BLOCK), F.least("__last", F.col("__block") * BLOCK + (BLOCK - 1)))
+    split = spans.select(*keys, order[0], "side", "__a", "__s", F.explode(reached).alias("bucket"))
     edge = (F.col("bucket").cast("decimal(38,0)") * F.lit(size).cast("decimal(38,0)")).cast("decimal(38,0)")
     part = (F.least("__s", edge + size) - F.greatest("__a", edge)).cast("decimal(38,0)")
     return split.groupBy(*keys, "bucket").agg(
@@ -246,8 +252,8 @@ def touch_depth(
     rows = (
         u.withColumn("rank", F.lit(1)).select(*columns)
         .unionByName(held.select(*keys, "c", F.lit(0).alias("rank"), "t", none, "side", "price", "qty", F.lit(False).alias("is_snapshot")))
-        .unionByName(p.select(*keys, "c", F.lit(2).alias("rank"), "t", none, F.lit(None).cast("string").alias("side"), *(F.lit(None).cast("long").alias(c) for c in ("price", "qty")), F.lit(False).alias("is_snapshot")))
-    )
+        .unionByName(p.select(*keys, "c", F.lit(2).alias("rank"), "t", none, F.lit(None).cast("string").alias("side"), *(F.lit(0).cast("long").alias(c) for c in ("price", "qty")), F.lit(False).alias("is_snapshot")))
+    )  # fmt: skip  (no nulls among the longs, which pandas would turn to doubles)
     spread = rows.repartition(*keys, "c").sortWithinPartitions(*keys, "c", F.col("rank") > 0, "t", "rank", "o")
     kinds = ", ".join(f"{k} {t}" for k, t in p.select(*keys).dtypes)
     flat = spread.select(*keys, "c", "rank", "t", "side", "price", "qty", "is_snapshot")

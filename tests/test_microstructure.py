@@ -57,7 +57,8 @@ def test_volume_buckets_split_trades(spark, trades):
     assert m.volume_buckets(df.limit(0), size).count() == 0
 
 
-def test_one_trade_fills_many_buckets(spark):
+def test_one_trade_fills_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 7)
     df = spark.createDataFrame([("x", "s", None, 1, 1, 1, "buy", S, 3), ("x", "s", None, 2, 1, 2, "sell", S, 1000)], TRADES)
     got = m.volume_buckets(df, 10).orderBy("bucket").collect()
     assert [r["bucket_qty"] for r in got] == [10] * 100 + [3]
@@ -166,6 +167,8 @@ def test_depth_at_the_touch_equals_a_plain_walk(spark, chunk):
             ts += 1
             updates += [("x", symbol, ts, 1, 10_000 + 10 * i + j, *r, True) for j, r in enumerate([("bid", 3, 4), ("bid", 2, 0), ("ask", 20, 7)])]
             ts += 1
+    big = (1 << 60) + 1  # prices beyond what a double can tell apart
+    updates = [(*u[:6], big + u[6], *u[7:]) for u in updates]
     points = [("x", s, t) for s in ("hot", "b", "none") for t in rng.sample(range(ts + 100), 60)]
     u = spark.createDataFrame(updates, "exchange string, symbol string, ts_event_us long, file_id long, file_seq long, side string, price long, qty long, is_snapshot boolean")
     p = spark.createDataFrame(points + points[:5], "exchange string, symbol string, ts_spine_us long")
