@@ -143,6 +143,7 @@ def test_near_duplicate_stage_equals_brute_force(spark, sf):
 
 def test_crowded_groups_of_near_copies_are_cut_into_chunks(spark, sf, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", 0)  # texts are met by a shuffle
     rng = random.Random(2)
     base = [" ".join(f"{k}w{rng.randrange(10**6)}" for _ in range(90)) for k in range(3)]
     rows = [(i, edited(rng, base[i % 3], 1), "en", "a", 1) for i in range(150)]
