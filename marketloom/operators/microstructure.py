@@ -153,6 +153,58 @@ def above_quantile(rows: DataFrame, share: float = 0.95, day: Sequence[str] = ("
     )
 
 
+# Flow, spreads and intensity
+
+
+def trade_flow(trades: DataFrame, lot: int, day: Sequence[str] = ("symbol", "trading_date")) -> DataFrame:
+    """(day, aggressor_volume, retail_intensity, n): buys less sells, and the share of trades of at most ``lot``."""
+    return trades.groupBy(*day).agg(
+        decoded((_side("buy", wide(F.col("qty"))) - _side("sell", wide(F.col("qty")))).cast("decimal(38,0)")).alias("aggressor_volume"),
+        divide(F.count_if(F.col("qty") <= lot), F.count("*")).alias("retail_intensity"),
+        F.count("*").alias("n"),
+    )
+
+
+def window_imbalance(
+    trades: DataFrame, first_minute: int, last_minute: int, offset_us: int, day: Sequence[str] = ("symbol", "trading_date")
+) -> DataFrame:
+    """(day, imbalance, volume) of the trades from ``first_minute`` of the local day up to, without, ``last_minute``.
+
+    ``offset_us`` is the exchange's distance from UTC, so 14:30 to 15:00 in Shanghai is 870, 900 and eight hours.
+    """
+    minute = F.floor(F.pmod(F.col("ts_event_us") + offset_us, F.lit(CHUNK_US)) / MINUTE_US)
+    rows = trades.where((minute >= first_minute) & (minute < last_minute))
+    signed = (_side("buy", wide(F.col("qty"))) - _side("sell", wide(F.col("qty")))).cast("decimal(38,0)")
+    return rows.groupBy(*day).agg(
+        divide(signed, exact_sum(F.col("qty"))).alias("imbalance"), decoded(exact_sum(F.col("qty"))).alias("volume")
+    )
+
+
+def spread_regime(quotes: DataFrame, day: Sequence[str] = ("exchange", "symbol", "trading_date")) -> DataFrame:
+    """(day, spread_pct, n): mean spread in percent of the middle, over quotes that are not crossed or empty."""
+    sound = quotes.where("bid_price > 0 AND ask_price > 0 AND ask_price >= bid_price")
+    spread = divide(F.col("ask_price") - F.col("bid_price"), F.col("ask_price") + F.col("bid_price")) * 200
+    return sound.groupBy(*day).agg(F.avg(spread).alias("spread_pct"), F.count("*").alias("n"))
+
+
+def volume_acceleration(trades: DataFrame, step_us: int = MINUTE_US, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, step_us, volume, acceleration): change of a step's volume on the step right before it, for a second of the
+    step; a step without trades has a volume of 0 when it is before one with trades."""
+    step = (F.floor(F.col("ts_event_us") / step_us) * step_us).cast("long").alias("step_us")
+    volume = trades.groupBy(*keys, step).agg(exact_sum(F.col("qty")).alias("v"))
+    seen = previous(volume, keys, ("step_us",), F.struct("step_us", "v"), "__last")
+    before = F.when(F.col("__last.step_us") == F.col("step_us") - step_us, F.col("__last.v")).when(F.col("__last").isNotNull(), F.lit(0).cast("decimal(38,0)"))
+    change = decoded((F.col("v") - before).cast("decimal(38,0)")) / F.lit(step_us / 1e6)
+    return seen.select(*keys, "step_us", decoded(F.col("v")).alias("volume"), change.alias("acceleration"))
+
+
+def trade_intensity(trades: DataFrame, width_us: int = 5 * MINUTE_US, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Adds ``trade_intensity``, trades a second over the last ``width_us``, and ``recent_volume`` of the same frame."""
+    sums = trailing_sums(trades, keys, "ts_event_us", {"__n": F.lit(1), "__q": F.col("qty")}, width_us)
+    found = {"trade_intensity": F.col("__n").cast("double") / F.lit(width_us / 1e6), "recent_volume": decoded(F.col("__q"))}
+    return sums.withColumns(found).drop("__n", "__q")
+
+
 # Order lifetimes
 
 _ORDER_KEY = ("exchange", "symbol", "trading_date", "channel_id", "order_ref")

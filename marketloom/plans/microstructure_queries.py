@@ -213,6 +213,59 @@ def exact_quantiles(spark, d):
     return stats.quantiles(rows, "value", {"q01": 0.01, "q50": 0.5, "q99": 0.99}, ["event_type"], small=512)
 
 
+# Flow, spreads and intensity
+
+_SIGNED = "CAST(sum(CASE side WHEN 'buy' THEN qty WHEN 'sell' THEN -qty ELSE 0 END) AS DOUBLE)"
+
+
+@query(
+    f"SELECT symbol, trading_date, {_SIGNED} / 1e9 AS aggressor_volume, count_if(qty <= {10 * SCALE}) / count(*)::DOUBLE AS retail_intensity, count(*) AS n"
+    " FROM trades GROUP BY symbol, trading_date",
+    "aggressor_volume retail_intensity",
+)
+def trade_flow(spark, d):
+    return m.trade_flow(v.trades(spark, d), 10 * SCALE)
+
+
+@query(
+    f"SELECT symbol, trading_date, {_SIGNED} / CAST(sum(qty) AS DOUBLE) AS imbalance, CAST(sum(qty) AS DOUBLE) / 1e9 AS volume FROM trades"
+    f" WHERE (ts_event_us + {8 * HOUR_US}) % {v.DAY} // 60000000 BETWEEN 870 AND 899 GROUP BY symbol, trading_date",
+    "imbalance volume",
+)
+def late_session_imbalance(spark, d):
+    return m.window_imbalance(v.trades(spark, d), 870, 900, 8 * HOUR_US)
+
+
+@query(
+    "SELECT exchange, symbol, trading_date, avg((ask_price - bid_price)::DOUBLE / (ask_price + bid_price) * 200) AS spread_pct, count(*) AS n FROM quotes"
+    " WHERE bid_price > 0 AND ask_price > 0 AND ask_price >= bid_price GROUP BY ALL",
+    "spread_pct",
+)
+def spread_regime(spark, d):
+    return m.spread_regime(v.quotes(spark, d))
+
+
+@query(
+    f", st AS (SELECT exchange, symbol, ts_event_us // {HOUR_US} * {HOUR_US} AS step_us, sum(qty) AS q FROM trades GROUP BY ALL),"
+    " sl AS (SELECT *, lag(step_us) OVER o AS ls, lag(q) OVER o AS lq FROM st WINDOW o AS (PARTITION BY exchange, symbol ORDER BY step_us))"
+    f" SELECT exchange, symbol, step_us, q::DOUBLE / 1e9 AS volume, (q - CASE WHEN ls = step_us - {HOUR_US} THEN lq WHEN ls IS NOT NULL THEN 0 END)::DOUBLE / 1e9 / 3600 AS acceleration FROM sl",
+    "volume acceleration",
+)
+def volume_acceleration(spark, d):
+    return m.volume_acceleration(v.trades(spark, d), HOUR_US)
+
+
+_LAST_5 = "OVER (PARTITION BY exchange ORDER BY ts_event_us RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW)"
+
+
+@query(
+    f"SELECT file_seq, count(*) {_LAST_5} / 300e0 AS trade_intensity, CAST(sum(qty) {_LAST_5} AS DOUBLE) / 1e9 AS recent_volume FROM trades",
+    "trade_intensity recent_volume",
+)
+def trade_intensity(spark, d):
+    return m.trade_intensity(v.trades(spark, d), keys=("exchange",)).select("file_seq", "trade_intensity", "recent_volume")
+
+
 # Depth at the touch
 
 _BOOK = f"""

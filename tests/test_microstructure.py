@@ -265,3 +265,25 @@ def test_kyle_lambda_is_the_days_slope(spark):
         rows.append(("x", "s", None, i * step, 1, i, "buy" if x > 0 else "sell", price * S, abs(x) * S))
     (r,) = m.kyle_lambda(spark.createDataFrame(rows, TRADES)).collect()
     assert r["n"] == 5 and np.isclose(r["kyle_lambda"], 2.0) and np.isclose(r["r2"], 1.0) and abs(r["intercept"]) < 1e-9
+
+
+def test_flow_spreads_and_acceleration(spark, trades):
+    rows, df = trades
+    got = {r["symbol"]: r for r in m.trade_flow(df, 1, ("symbol",)).collect()}
+    late = {r["symbol"]: r for r in m.window_imbalance(df, 0, 1, 30, ("symbol",)).collect()}
+    for symbol, own in by_symbol(rows).items():
+        net = sum({"buy": r[8], "sell": -r[8]}.get(r[6], 0) for r in own)
+        assert np.isclose(got[symbol]["aggressor_volume"], net / S) and np.isclose(got[symbol]["retail_intensity"], np.mean([r[8] <= 1 for r in own]))
+        assert np.isclose(late[symbol]["imbalance"], net / sum(r[8] for r in own))
+    assert m.window_imbalance(df, 1, 2, 30, ("symbol",)).count() == 0
+    quotes = spark.createDataFrame([("x", "s", 1, 99, 101), ("x", "s", 1, 100, 100), ("x", "s", 1, 101, 99), ("x", "s", 1, 0, 5)], "exchange string, symbol string, trading_date int, bid_price long, ask_price long")
+    (r,) = m.spread_regime(quotes).collect()
+    assert r["n"] == 2 and np.isclose(r["spread_pct"], 1.0)
+    steps = {(r["symbol"], r["step_us"]): r["acceleration"] for r in m.volume_acceleration(df, 100).collect()}
+    for symbol, own in by_symbol(rows).items():
+        volume = defaultdict(int)
+        for r in own:
+            volume[r[3] // 100 * 100] += r[8]
+        for i, at in enumerate(sorted(volume)):
+            want = None if i == 0 else (volume[at] - volume.get(at - 100, 0)) / S / 1e-4
+            assert (steps[symbol, at] is None) if want is None else np.isclose(steps[symbol, at], want)
