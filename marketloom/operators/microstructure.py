@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..core.numeric import divide, notional, wide, whole_quotient
 from .bars import decoded, exact_sum
 from .scan import CHUNK_US, chunk_of, previous, running_sum, trailing_sums
-from .stats import beside, quantiles
+from .stats import beside, correlation, quantiles
 from .windows import windowed
 
 KEYS = ("exchange", "symbol")
@@ -91,7 +91,7 @@ def kyle_lambda(trades: DataFrame, step_us: int = MINUTE_US, keys: Sequence[str]
     """(keys, trading_date, kyle_lambda, intercept, r2, n): regression of price changes on signed volume, by day.
 
     Steps of ``step_us`` have the last price and buys less sells; a step without trades is none.  Changes are those to
-    the step before on the same day.
+    the step before on the same day.  Null on a day whose signed volume does not vary.
     """
     step = (F.floor(F.col("ts_event_us") / step_us) * step_us).cast("long").alias("step_us")
     signed = (_side("buy", wide(F.col("qty"))) - _side("sell", wide(F.col("qty")))).cast("decimal(38,0)")
@@ -100,10 +100,13 @@ def kyle_lambda(trades: DataFrame, step_us: int = MINUTE_US, keys: Sequence[str]
     )
     w = Window.partitionBy(*keys, "trading_date").orderBy("step_us")  # a day's steps
     moves = rows.withColumn("move", F.col("close") - F.lag("close").over(w)).where("move is not null")
+    slope = F.try_divide(F.covar_pop("move", "signed_qty"), F.var_pop("signed_qty"))
+    steady = (F.var_pop("move") == 0) & (F.var_pop("signed_qty") > 0)
+    close = correlation("move", "signed_qty")
     return moves.groupBy(*keys, "trading_date").agg(
-        F.regr_slope("move", "signed_qty").alias("kyle_lambda"),
-        F.regr_intercept("move", "signed_qty").alias("intercept"),
-        F.regr_r2("move", "signed_qty").alias("r2"),
+        slope.alias("kyle_lambda"),
+        (F.avg("move") - slope * F.avg("signed_qty")).alias("intercept"),
+        F.when(steady, F.lit(1.0)).otherwise(close * close).alias("r2"),
         F.count("*").alias("n"),
     )
 
@@ -397,7 +400,7 @@ def lead_lag(returns: DataFrame, pairs: DataFrame, most: int, key: str = "symbol
     sent = lead.select("leader", "follower", "step", "x", lags.alias("lag")).withColumn("step", F.col("step") + F.col("lag"))
     follow = returns.select(F.col(key).alias("follower"), "step", F.col("ret").alias("y"))
     return sent.join(follow, ["follower", "step"]).groupBy("leader", "follower", "lag").agg(
-        F.corr("x", "y").alias("correlation"), F.count("*").alias("n")
+        correlation("x", "y").alias("correlation"), F.count("*").alias("n")
     )
 
 

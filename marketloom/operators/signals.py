@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..core.numeric import divide, wide
 from .bars import decoded, exact_sum
-from .stats import beside_once, percent_ranks, quantiles
+from .stats import beside_once, correlation, percent_ranks, quantiles
 from .windows import by, lagged, rolling_mean, rolling_std, windowed
 
 HOUR_US = 3_600_000_000
@@ -207,7 +207,9 @@ def sign_correlation(orders: DataFrame, lag: int = 5, stretch: int = FLOW_CHUNK)
     earlier = lambda w: {"before": F.lag("sign", lag).over(w)}
     keys = ("symbol", "trading_date", "channel_id")
     both = windowed(rows, keys, ("channel_seq",), earlier, back=lag, stretch=stretch, chunk=FLOW_CHUNK)
-    return both.groupBy("symbol", "trading_date").agg(F.corr("sign", "before").alias("sign_correlation"))
+    pair = F.col("before").isNotNull()
+    both = both.withColumn("sign", F.when(pair, F.col("sign")))  # a day without pairs has its row
+    return both.groupBy("symbol", "trading_date").agg(correlation("sign", "before").alias("sign_correlation"))
 
 
 def l3_order_flow(orders: DataFrame, chunk: int = FLOW_CHUNK) -> DataFrame:

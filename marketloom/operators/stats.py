@@ -107,6 +107,11 @@ def _holding(spans: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFram
     return spans.join(named, on).drop(*(f"__{k}" for k in by))
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson's correlation of rows in which both are there; null where one of them does not vary."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def distribution(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """min, quartiles (linear between neighbours), mean and max; no group's values are held in one buffer."""
     by, names = list(by), ("min", "q25", "median", "mean", "q75", "max")
@@ -193,7 +198,7 @@ def rank_ic(
 
     # Rows of a common value are one key here; adaptive execution splits such a partition, as the sides are only joined.
     both = long.join(ranks("x"), [*groups, "x"]).join(ranks("y"), [*groups, "y"])
-    both = both.groupBy(*groups).agg(F.corr("rx", "ry").alias("ic"), F.count("*").alias("n"))
+    both = both.groupBy(*groups).agg(correlation("rx", "ry").alias("ic"), F.count("*").alias("n"))
     t = divide(F.col("ic") * F.sqrt(F.col("n") - 2.0), F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("ic") * F.col("ic"))))
     found = both.where(F.col("n") >= least).select(*groups, "ic", t.alias("t_stat"), "n")
     return found.select(*groups, "ic", "t_stat", p_value(F.col("t_stat"), F.col("n") - 2).alias("p_value"), "n")

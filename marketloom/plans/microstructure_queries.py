@@ -163,7 +163,8 @@ _STEPS = (
 
 
 @query(
-    _STEPS + " SELECT exchange, symbol, trading_date, regr_slope(move, q) AS kyle_lambda, regr_intercept(move, q) AS intercept, regr_r2(move, q) AS r2, count(*) AS n"
+    _STEPS + " SELECT exchange, symbol, trading_date, CASE WHEN var_pop(q) > 0 THEN regr_slope(move, q) END AS kyle_lambda,"
+    " CASE WHEN var_pop(q) > 0 THEN regr_intercept(move, q) END AS intercept, CASE WHEN var_pop(q) > 0 THEN regr_r2(move, q) END AS r2, count(*) AS n"
     " FROM moves WHERE move IS NOT NULL GROUP BY ALL",
     "kyle_lambda intercept r2",
 )
@@ -313,7 +314,7 @@ _LAGS = (
     f", closes AS (SELECT exchange || ':' || symbol AS s, ts_event_us // {HOUR_US} AS step, arg_max(price, ts_event_us) AS close FROM trades WHERE price > 0 GROUP BY ALL),"
     " rs AS (SELECT s, step, ln(close::DOUBLE) - ln(lag(close) OVER (PARTITION BY s ORDER BY step)::DOUBLE) AS ret FROM closes),"
     " pairs2 AS (SELECT DISTINCT 'binance-futures:' || symbol AS leader, 'okx-futures:' || symbol AS follower FROM trades),"
-    " correlated AS (SELECT leader, follower, lag, corr(a.ret, b.ret) AS correlation, count(*) AS n FROM pairs2 CROSS JOIN (SELECT unnest(range(-6, 7)) AS lag)"
+    " correlated AS (SELECT leader, follower, lag, CASE WHEN var_pop(a.ret) > 0 AND var_pop(b.ret) > 0 THEN corr(a.ret, b.ret) END AS correlation, count(*) AS n FROM pairs2 CROSS JOIN (SELECT unnest(range(-6, 7)) AS lag)"
     " JOIN rs a ON a.s = leader JOIN rs b ON b.s = follower AND b.step = a.step + lag WHERE a.ret IS NOT NULL AND b.ret IS NOT NULL GROUP BY ALL)"
 )
 
