@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,9 @@ def learned(id_col: str | Column, modulus: int) -> Column:
 def utf8(text_col: str) -> Column:
     """The whole text as UTF-8 bytes; null stays null."""
     return F.col(text_col).cast("string").cast("binary")
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in ascending order, by a sort: several times faster than by the hash table of ``np.unique``."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values

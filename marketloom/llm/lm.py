@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, utf8
+from .common import checkpointed, distinct, utf8
 
 #: The end of a text.  It holds a space, so no word is like it.
 END = b"</s> "
@@ -342,7 +342,7 @@ def _sent(shape: Segments, most: int):
                         used.append(keys[known])
                         other.append(keys[~known])
             keys, n = np.unique(np.concatenate(used), return_counts=True)
-            every = np.union1d(keys, np.concatenate(other))
+            every = distinct(np.concatenate([keys, *other]))
             counts = np.zeros(len(every), np.int64)
             counts[np.searchsorted(every, keys)] = n
             rows = list(shape.cut(every, counts))

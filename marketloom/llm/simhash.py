@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, utf8
+from .common import checkpointed, distinct, utf8
 from .components import connected_components
 from .groups import first_groups, labelled, once, part_name, second_groups
 
@@ -272,7 +272,7 @@ class Shingles:
         for i in range(size):
             out = (out ^ h[i : i + len(out)]) * _MIX
             out ^= out >> np.uint64(29)
-        return np.unique(out)
+        return distinct(out)
 
 
 def set_fingerprint(hashes: np.ndarray) -> int:
