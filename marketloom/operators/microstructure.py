@@ -355,8 +355,9 @@ def _touches(n_keys: int):
                 if side in book:
                     book[side].set(int(price), int(qty))
             names = [*frame.columns[:n_keys], "t", "bid_price", "bid_qty", "ask_price", "ask_qty"]
-            kinds = dict.fromkeys(names[n_keys + 1 :], "Int64")
-            yield pd.DataFrame(out, columns=names).astype(kinds).rename(columns={"t": "ts_spine_us"})
+            kinds = {"t": "int64"} | dict.fromkeys(names[n_keys + 1 :], "Int64")
+            # As objects first: a column of longs and None would pass through doubles.
+            yield pd.DataFrame(out, columns=names, dtype=object).astype(kinds).rename(columns={"t": "ts_spine_us"})
 
     return run
 
