@@ -143,6 +143,34 @@ def test_crowded_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
     assert [tuple(r) for r in cotrading.matched_trades(df).select(*order).orderBy(*order).collect()] == whole
 
 
+@pytest.mark.parametrize("block", [3, 40, 100_000])
+def test_cotrading_equals_all_pairs_without_forming_them(spark, monkeypatch, block):
+    import random
+
+    rng = random.Random(block)
+    rows = [(rng.choice("abcd"), rng.choice([500, rng.randint(0, 9_000)]), 1, rng.randint(0, 400), rng.choice([1, 5, 2**62])) for _ in range(250)]
+    rows = list({r[:4]: r for r in rows}.values())
+    rows += rows[:9] + [("z", 500, 1, 900, None), ("a", None, 1, 901, 1), (None, 500, 1, 902, 1), ("y", 90_000, 1, 903, 1)]
+    df = spark.createDataFrame(rows, "symbol string, ts_event_us long, file_id long, file_seq long, qty long").repartition(5)
+    df = df.withColumn("file_id", F.lit(1).cast("long"))  # a constant, as in the views, which Spark folds into the order of the blocks
+    monkeypatch.setattr(cotrading, "CROWDED", block)
+    whole = {r for r in rows if r[0] is not None and r[1] is not None}
+    want, sums = set(), {}
+    for i in whole:
+        for symbol in {r[0] for r in whole if r[0] > i[0]}:
+            near = [(abs(j[1] - i[1]), j[1], j[2:4], j[4]) for j in whole if j[0] == symbol and abs(j[1] - i[1]) <= 300]
+            if near:
+                qty = min(near, key=lambda x: x[:3])[3]
+                want.add((i[0], symbol, i[1], i[2:4], i[4], qty))
+                n, shared = sums.get((i[0], symbol), (0, 0))
+                sums[i[0], symbol] = n + 1, shared + min(q for q in (i[4], qty) if q is not None)
+    got = [(*r[:3], tuple(r[3]), *r[4:]) for r in cotrading.matched_trades(df, 300).collect()]
+    assert len(got) == len(want) and set(got) == want
+    pairs = cotrading._shared(df, 300)
+    assert {(r["sym_i"], r["sym_j"]): (r["matches"], int(r["shared"])) for r in pairs.collect()} == sums
+    assert "FlatMapGroupsInArrow" in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_clusters_of_a_graph_with_two_parts(spark):
     rows = [(a, b, 1, w) for g, w in (("abcd", 0.9), ("xyz", 0.4)) for a in g for b in g if a < b] + [("d", "x", 1, 0.001)]
     similar = spark.createDataFrame(rows, "sym_i string, sym_j string, matches long, similarity double")
