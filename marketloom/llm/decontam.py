@@ -10,8 +10,9 @@ beside the templates, so that no copy word for word is lost to its slots.
 
 from __future__ import annotations
 
-import hashlib
 import re
+import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +51,14 @@ _WORD, _END, _NUM, _CAPITAL, _PERCENT, _UNIT, _CAPITALS = range(7)
 _PLACEHOLDERS = (NUM, UNIT, NAME)
 
 
-def _kind(token: str) -> int:
+def _kind(token: str, low: str) -> int:
     if token in ".!?\n":
         return _END
     if token == "%":
         return _PERCENT
     if "0" <= token[0] <= "9":
         return _NUM
-    if (low := token.lower()) in UNITS:
+    if low in UNITS:
         return _UNIT
     if low in NO_NAMES:
         return _WORD
@@ -67,7 +68,8 @@ def _kind(token: str) -> int:
 
 
 def _hash(token: str) -> int:
-    return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+    """Alike for two tokens now and then, which the join by the windows' words tells apart."""
+    return zlib.crc32(token.encode()) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
 
 
 class _Tokens(dict):
@@ -78,20 +80,28 @@ class _Tokens(dict):
     def __init__(self):
         super().__init__()
         self.low: list[str] = []
-        self.kind = np.empty(1024, np.int8)
-        self.hash = np.empty(1024, np.uint64)
+        self.kind, self.hash = array("b"), array("Q")
 
     def __missing__(self, token: str) -> int:
-        number = len(self.low)
-        if number == len(self.kind):
-            self.kind, self.hash = np.resize(self.kind, 2 * number), np.resize(self.hash, 2 * number)
+        self[token] = number = len(self.low)
         low = token.lower()
         self.low.append(low)
-        self.kind[number], self.hash[number] = _kind(token), _hash(low)
-        self[token] = number
+        self.kind.append(_kind(token, low))
+        self.hash.append(_hash(low))
         return number
 
 
+def _taken(values: array, kind: type, at: np.ndarray) -> np.ndarray:
+    """A copy, since an array that numpy looks at cannot grow."""
+    return np.frombuffer(values, kind)[at] if len(at) else np.empty(0, kind)
+
+
+def _behind(held: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(held), bool)
+    out[1:] = held[:-1]
+    return out
+
+
 class Canonical:
     """Templates of texts, and hashes of their windows."""
 
@@ -108,20 +118,21 @@ class Canonical:
         found = _TOKEN.findall(text)
         tokens = self.tokens
         number = np.fromiter(map(tokens.__getitem__, found), np.int64, len(found))
-        kind = tokens.kind[number]
-        sentence = np.cumsum(kind == _END)
+        kind = _taken(tokens.kind, np.int8, number)
         word = kind != _END
-        number, kind, sentence = number[word], kind[word], sentence[word]
-        behind_number = np.r_[False, kind[:-1] == _NUM]
+        sentence = np.cumsum(~word, dtype=np.int32)[word]
+        number, kind = number[word], kind[word]
+        behind_number = _behind(kind == _NUM)
         if (stray := (kind == _PERCENT) & ~behind_number).any():
             number, kind, sentence = number[~stray], kind[~stray], sentence[~stray]
-            behind_number = np.r_[False, kind[:-1] == _NUM]
-        inside = np.r_[False, sentence[1:] == sentence[:-1]]
+            behind_number = _behind(kind == _NUM)
+        inside = np.zeros(len(kind), bool)
+        np.equal(sentence[1:], sentence[:-1], out=inside[1:])
         slot = np.full(len(kind), -1, np.int8)
         slot[kind == _NUM] = 0
         slot[((kind == _UNIT) & behind_number) | (kind == _PERCENT)] = 1
         slot[((kind == _CAPITAL) & inside) | (kind == _CAPITALS)] = 2
-        words = tokens.hash[number]
+        words = _taken(tokens.hash, np.uint64, number)
         return Template(number, slot, words, np.where(slot >= 0, self.placeholders[slot], words), tokens.low, bool((kind[:1] == _CAPITAL).any()))
 
 

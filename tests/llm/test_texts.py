@@ -310,6 +310,14 @@ def test_decontamination_slots_must_agree(spark, docs):
     assert got == {0}
 
 
+def test_decontamination_tells_words_of_one_hash_apart(spark, docs):
+    assert decontam._hash("plumless") == decontam._hash("buckeroo")  # crc32 is cheap, and only lets windows through to the join
+    text = "the {} cat sat on the mat all day"
+    bench = spark.createDataFrame([(1, text.format("plumless"))], "item_id long, text string")
+    found = decontam.contaminated(docs([text.format("plumless"), text.format("buckeroo")]), bench)
+    assert [r["doc_id"] for r in found.collect()] == [0]
+
+
 def test_decontamination_repeated_rows(spark, docs):
     bench = spark.createDataFrame(BENCH[:1], "item_id long, text string")
     rows = docs([(1, BENCH[0][1]), (1, BENCH[0][1]), (None, BENCH[0][1])]).withColumn("key", F.lit("x")).withColumn("item_id", F.lit(7))
