@@ -171,6 +171,15 @@ def test_cotrading_equals_all_pairs_without_forming_them(spark, monkeypatch, blo
     assert "FlatMapGroupsInArrow" in pairs._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_graph_reads_the_kept_sums_and_not_the_trades_again(spark):
+    rows = [("abc"[i % 3], 700 * i, 1, i, S) for i in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, ts_event_us long, file_id long, file_seq long, qty long")
+    similar = cotrading.similarity(df)
+    for found in (similar, cotrading.edges(similar, 3), cotrading.centrality(cotrading.edges(similar, 3))):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "FlatMapGroupsInArrow" not in plan
+
+
 def test_clusters_of_a_graph_with_two_parts(spark):
     rows = [(a, b, 1, w) for g, w in (("abcd", 0.9), ("xyz", 0.4)) for a in g for b in g if a < b] + [("d", "x", 1, 0.001)]
     similar = spark.createDataFrame(rows, "sym_i string, sym_j string, matches long, similarity double")
