@@ -144,16 +144,16 @@ def _shared(trades: DataFrame, tolerance_us: int) -> DataFrame:
 def similarity(trades: DataFrame, tolerance_us: int = TOLERANCE_US, by_volume: bool = True) -> DataFrame:
     """(sym_i, sym_j, matches, similarity), i < j: shared volume (or matches) over the root of both totals.
 
-    The pairs' sums, a row each, are kept: whatever reads the result again does not match the trades again.
+    The result, a row for a pair, is kept: whatever reads it again does not read the trades again.
     """
-    pairs = kept(_shared(trades, tolerance_us))
+    pairs = _shared(trades, tolerance_us)
     totals = trades.groupBy("symbol").agg(F.sum(wide(F.col("qty"))).alias("v"), F.count("*").alias("n"))
     size = decoded(F.col("v")) if by_volume else F.col("n").cast("double")
     i = totals.select(F.col("symbol").alias("sym_i"), size.alias("size_i"))
     j = totals.select(F.col("symbol").alias("sym_j"), size.alias("size_j"))
     shared = decoded(F.col("shared")) if by_volume else F.col("matches").cast("double")
     similar = pairs.join(i, "sym_i").join(j, "sym_j")
-    return similar.select("sym_i", "sym_j", "matches", divide(shared, F.sqrt(F.col("size_i") * F.col("size_j"))).alias("similarity"))
+    return kept(similar.select("sym_i", "sym_j", "matches", divide(shared, F.sqrt(F.col("size_i") * F.col("size_j"))).alias("similarity")))
 
 
 def edges(similar: DataFrame, n_symbols: int, top_k: int = 5) -> DataFrame:

@@ -180,6 +180,16 @@ def test_graph_reads_the_kept_sums_and_not_the_trades_again(spark):
         assert "Generate" not in plan and "FlatMapGroupsInArrow" not in plan
 
 
+def test_similarity_is_kept_whole_so_that_clusters_read_no_trades(spark, tmp_path):
+    rows = [("abc"[i % 3], 700 * i, 1, i, S) for i in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, ts_event_us long, file_id long, file_seq long, qty long")
+    df.write.parquet(str(tmp_path / "trades"))
+    similar = cotrading.similarity(spark.read.parquet(str(tmp_path / "trades")))
+    for found in (similar, cotrading.edges(similar, 3), cotrading.clusters(similar, k=2)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" not in plan and "LogicalRDD" in plan
+
+
 def test_clusters_of_a_graph_with_two_parts(spark):
     rows = [(a, b, 1, w) for g, w in (("abcd", 0.9), ("xyz", 0.4)) for a in g for b in g if a < b] + [("d", "x", 1, 0.001)]
     similar = spark.createDataFrame(rows, "sym_i string, sym_j string, matches long, similarity double")
