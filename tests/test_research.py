@@ -8,6 +8,7 @@ from marketloom.core.timeutil import micros
 from marketloom.operators import asof, bars, cotrading, spine, stats, windows
 from marketloom.operators.phases import add_trading_phase, filter_by_phase
 from marketloom.operators.scan import running_sum
+from marketloom.plans import registry
 
 TRADES = [("BTC", 10, 1, 40 * S, 10 * S), ("BTC", 20, 1, 70 * S, 10 * S), ("BTC", 20, 2, 10 * S, 10 * S), ("BTC", 30, 3, 80 * S, 20 * S), ("ETH", 15, 1, 5 * S, 30 * S)]
 
@@ -190,6 +191,43 @@ def test_similarity_is_kept_whole_so_that_clusters_read_no_trades(spark, tmp_pat
         assert "parquet" not in plan and "LogicalRDD" in plan
 
 
+def most_rows(spark, run):
+    """The rows of ``run`` and the most rows that leave one operator of its plans, as Spark counts them."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    known = store.executionsList()
+    last = known.last().executionId() if known.nonEmpty() else -1
+    rows = sorted(tuple(r) for r in run().collect())
+    bus.waitUntilEmpty()
+    found = store.executionsList()
+    most = 0
+    for number in (found.apply(i).executionId() for i in range(found.size())):
+        if number > last:
+            values, nodes = store.executionMetrics(number), store.planGraph(number).allNodes()
+            metrics = [nodes.apply(i).metrics() for i in range(nodes.size())]
+            ids = [m.apply(k).accumulatorId() for m in metrics for k in range(m.size()) if m.apply(k).name() == "number of output rows"]
+            most = max([most, *(int(values.apply(a).replace(",", "")) for a in ids if values.contains(a))])
+    return rows, most
+
+
+@pytest.mark.parametrize("query", ["cotrading_edges"])
+def test_cotrading_queries_work_in_proportion_to_trades_inside_the_tolerance(spark, monkeypatch, tmp_path, query):
+    monkeypatch.setattr(cotrading, "CROWDED", 500)
+    found, most = [], []
+    for copies in (4, 16):  # timestamps repeated, ids shifted
+        c = F.col("id") % 500
+        rows = spark.range(500 * copies).select(
+            F.col("id").alias("event_id"), F.timestamp_micros(F.lit(1_704_067_200_000_000) + c * 7_000_000).alias("ts"),
+            F.floor(c * c / 7).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.format_string('{"k": %d}', c % 90).alias("props"),
+        )
+        rows.write.parquet(str(tmp_path / f"{copies}/events.parquet"))
+        rows, n = most_rows(spark, lambda d=str(tmp_path / str(copies)): registry.QUERIES[query](spark, d))
+        found.append(rows)
+        most.append(n)
+    assert found[0] and [r[:2] for r in found[0]] == [r[:2] for r in found[1]]
+    assert most[0] >= 500 * 4 and most[1] <= 1.1 * 4 * most[0]
+
+
 def test_clusters_of_a_graph_with_two_parts(spark):
     rows = [(a, b, 1, w) for g, w in (("abcd", 0.9), ("xyz", 0.4)) for a in g for b in g if a < b] + [("d", "x", 1, 0.001)]
     similar = spark.createDataFrame(rows, "sym_i string, sym_j string, matches long, similarity double")
