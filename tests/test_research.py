@@ -210,7 +210,7 @@ def most_rows(spark, run):
     return rows, most
 
 
-@pytest.mark.parametrize("query", ["cotrading_edges"])
+@pytest.mark.parametrize("query", ["cotrading_edges", "cotrading_centrality"])
 def test_cotrading_queries_work_in_proportion_to_trades_inside_the_tolerance(spark, monkeypatch, tmp_path, query):
     monkeypatch.setattr(cotrading, "CROWDED", 500)
     found, most = [], []
